@@ -17,7 +17,7 @@ digits) and name a real calendar day; the first format that does wins. Year
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnsift.functions.text import strip_unicode
@@ -41,8 +41,7 @@ DATE_FORMATS: tuple[tuple[int, str, bool, bool], ...] = (
 )
 
 
-def _candidate(stripped: Column, length: int, pattern: str, has_month: bool, has_day: bool) -> Column:
-    piece = strip_unicode(F.substring(stripped, 1, length))
+def _candidate(piece: Column, pattern: str, has_month: bool, has_day: bool) -> Column:
     matched = piece.rlike(pattern)
     year = F.regexp_extract(piece, pattern, 1)
     month = F.lpad(F.regexp_extract(piece, pattern, 2), 2, "0") if has_month else F.lit("01")
@@ -51,7 +50,30 @@ def _candidate(stripped: Column, length: int, pattern: str, has_month: bool, has
     return F.when(matched & (year != F.lit("0000")), iso.try_cast("date"))
 
 
+def _prefix(stripped: Column, length: int) -> Column:
+    return strip_unicode(F.substring(stripped, 1, length))
+
+
 def parse_published(col: Column) -> Column:
-    """Parse a free-form publication text into a DATE (null when unparseable)."""
+    """Parse a free-form publication text into a DATE (null when unparseable).
+
+    A single expression; for wide projections prefer ``with_parsed_date``,
+    which stages the work so generated code stays small.
+    """
     stripped = strip_unicode(F.coalesce(col.cast("string"), F.lit("")))
-    return F.coalesce(*[_candidate(stripped, *fmt) for fmt in DATE_FORMATS])
+    return F.coalesce(*[_candidate(_prefix(stripped, n), p, m, d) for n, p, m, d in DATE_FORMATS])
+
+
+def with_parsed_date(df: DataFrame, source: str = "published", target: str = "published_date") -> DataFrame:
+    """Add ``target`` = parsed date of ``source``, computed in staged projections.
+
+    The stripped text and each stripped prefix are projected once (they are
+    referenced several times, so Catalyst keeps them as separate projections)
+    and the five candidates then only read those columns.
+    """
+    base = "_pd_text"
+    pieces = {f"_pd_{n}": _prefix(F.col(base), n) for n, _, _, _ in DATE_FORMATS}
+    staged = df.withColumn(base, strip_unicode(F.coalesce(F.col(source).cast("string"), F.lit(""))))
+    staged = staged.withColumns(pieces)
+    parsed = F.coalesce(*[_candidate(F.col(f"_pd_{n}"), p, m, d) for n, p, m, d in DATE_FORMATS])
+    return staged.withColumn(target, parsed).drop(base, *pieces)

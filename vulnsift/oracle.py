@@ -136,14 +136,150 @@ def _standalone(expr: str, name: str) -> str:
     return f"WITH {cve_cte()}, {dims_cte()} SELECT ord, cve_id, round({expr}, 4) AS {name} FROM dims"
 
 
+STRIDE = 1 << 44  # merged order offset of the mirror feed
+
+
+def filter_ctes() -> str:
+    """After ``ready``: ``cls`` (reasons), ``tiered``, ``sample`` (with flag)."""
+    thr, floor, k = CFG.quality_threshold, CFG.review_floor, CFG.per_severity_quota
+    ranks = " ".join(f"WHEN {q(name)} THEN {i}" for i, name in enumerate(K.SEVERITY_ORDER))
+    five = ", ".join(q(x) for x in K.SEVERITY_ORDER)
+    return f"""cls AS (
+  SELECT *, nullif(concat_ws('; ',
+      CASE WHEN coalesce(clarity_score, {d(1.0)}) = {d(0.0)} THEN {q(K.REASON_CLARITY)} END,
+      CASE WHEN {blank_sql("description")} THEN {q(K.REASON_BLANK)} END,
+      CASE WHEN coalesce(source_credibility_score, {d(1.0)}) < {d(0.3)} THEN {q(K.REASON_UNTRUSTED)} END), '') AS exclusion_reason
+  FROM ready
+), tiered AS (
+  SELECT *, CASE WHEN exclusion_reason IS NOT NULL THEN NULL
+                 WHEN coalesce(composite_score, {d(0.0)}) >= {d(thr)} THEN 'training_ready'
+                 WHEN coalesce(composite_score, {d(0.0)}) >= {d(floor)} THEN 'review_queue'
+                 ELSE 'rejected' END AS tier
+  FROM cls
+), grp AS (
+  SELECT *, upper(coalesce(nullif(severity, ''), 'UNKNOWN')) AS sev_group FROM tiered WHERE tier = 'training_ready'
+), ranked AS (
+  SELECT *, CAST(CASE sev_group {ranks} END AS BIGINT) AS severity_rank,
+         row_number() OVER (PARTITION BY sev_group ORDER BY coalesce(composite_score, {d(0.0)}) DESC, ord) AS sample_rank
+  FROM grp WHERE sev_group IN ({five})
+), sample AS (
+  SELECT *, coalesce({date_sql("published")} > DATE '{CFG.cutoff_date}', false) AS contamination_flag
+  FROM ranked WHERE sample_rank <= {k}
+)"""
+
+
+def filtering_prefix() -> str:
+    return f"{scoring_prefix()}, {filter_ctes()}"
+
+
 def oracles() -> dict[str, str]:
     o: dict[str, str] = {}
-    o["relevance"] = _standalone("rel", "relevance_score")
-    o["completeness"] = _standalone("comp", "completeness_score")
-    o["credibility"] = _standalone("cred", "source_credibility_score")
-    o["clarity"] = _standalone("clar", "clarity_score")
+    cve = f"WITH {cve_cte()}"
+
+    o["nvd_normalise"] = f"""{cve}
+SELECT ord, cve_id,
+  CASE WHEN description IS NULL OR ord % 17 = 5 THEN '' ELSE description END AS description,
+  published,
+  concat('2025-02-', lpad(CAST(ord % 28 + 1 AS VARCHAR), 2, '0')) AS last_modified,
+  CASE WHEN cvss_score IS NULL OR ord % 4 = 3 THEN NULL ELSE cvss_score END AS cvss_score,
+  CASE WHEN cvss_score IS NULL OR ord % 4 = 3 THEN NULL ELSE severity END AS severity,
+  CASE WHEN cwe_id IS NULL THEN '' WHEN ord % 5 = 0 THEN concat(cwe_id, ',', cwe_id) ELSE cwe_id END AS cwe_ids,
+  CAST(CASE WHEN cwe_id IS NULL THEN 0 WHEN ord % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_cwe,
+  'nvd' AS source
+FROM cve"""
+
+    o["hf_normalise"] = f"""{cve}, m AS (
+  SELECT *, CASE WHEN ord % 13 = 7 THEN lower(cve_id) ELSE cve_id END AS cid,
+         CASE WHEN ord % 2 = 1 THEN lower(severity) ELSE severity END AS sev,
+         CASE WHEN cwe_id IS NOT NULL AND ord % 7 = 3 THEN 'Improper Input Validation' ELSE cwe_id END AS cwe
+  FROM cve
+)
+SELECT ord, cid AS cve_id, coalesce(description, 'None') AS description,
+  CASE WHEN starts_with(cid, 'CVE-') AND regexp_matches(split_part(cid, '-', 2), '^[0-9]+$')
+       THEN split_part(cid, '-', 2) ELSE '' END AS published,
+  '' AS last_modified,
+  CASE WHEN ord % 5 = 4 THEN NULL WHEN cvss_score IS NOT NULL THEN cvss_score
+       WHEN ord % 5 = 0 THEN {d(9.9)} WHEN ord % 5 = 1 THEN {d(1.0)} ELSE NULL END AS cvss_score,
+  upper(nullif(sev, '')) AS severity,
+  coalesce(cwe, '') AS cwe_ids,
+  CAST(CASE WHEN cwe IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_cwe,
+  'huggingface' AS source
+FROM m WHERE cid <> ''"""
+
+    o["source_anti_join"] = f"""{cve}
+SELECT ord, cve_id FROM cve m
+WHERE source <> 'nvd' AND cve_id <> ''
+  AND NOT EXISTS (SELECT 1 FROM cve p WHERE p.source = 'nvd' AND p.cve_id = m.cve_id)"""
+
+    o["merge_dedup"] = f"""{cve}, u AS (
+  SELECT CASE WHEN source = 'nvd' THEN ord ELSE ord + {STRIDE} END AS ord, cve_id, source FROM cve WHERE cve_id <> ''
+)
+SELECT ord, cve_id, source FROM (
+  SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY ord) AS rn FROM u) WHERE rn = 1"""
+
+    sb = K.SMALL_BATCH_CONFIG
+    o["record_cap"] = f"""{cve}, p AS (
+  SELECT ord, cve_id, source FROM cve WHERE source = 'nvd' ORDER BY ord LIMIT {sb.primary_cap}
+), m AS (
+  SELECT ord, cve_id, source FROM cve c
+  WHERE source <> 'nvd' AND cve_id <> ''
+    AND NOT EXISTS (SELECT 1 FROM p WHERE p.cve_id = c.cve_id AND p.cve_id <> '')
+  ORDER BY ord LIMIT {sb.mirror_cap}
+)
+SELECT ord, cve_id, source FROM p
+UNION ALL SELECT ord + {STRIDE}, cve_id, source FROM m"""
+
+    o["ingest_counts"] = f"""{cve}, ids AS (
+  SELECT cve_id, min(src) AS src FROM (
+    SELECT cve_id, 0 AS src FROM cve WHERE source = 'nvd'
+    UNION ALL
+    SELECT CASE WHEN ord % 13 = 7 THEN lower(cve_id) ELSE cve_id END, 1 FROM cve WHERE source <> 'nvd'
+  ) WHERE cve_id <> '' GROUP BY cve_id
+)
+SELECT count(*) AS total, count_if(src = 0) AS nvd, count_if(src = 1) AS huggingface FROM ids"""
+
+    for name, expr in (("relevance", "rel"), ("completeness", "comp"), ("credibility", "cred"), ("clarity", "clar")):
+        col = {"relevance": "relevance_score", "completeness": "completeness_score",
+               "credibility": "source_credibility_score", "clarity": "clarity_score"}[name]
+        o[name] = _standalone(expr, col)
     o["composite"] = (
         f"{scoring_prefix()} SELECT ord, cve_id, relevance_score, completeness_score, "
         f"source_credibility_score, clarity_score, composite_score, training_ready FROM ready"
     )
+    o["score_dataset"] = f"""{scoring_prefix()}
+SELECT ord, cve_id, description, published, '' AS last_modified, cvss_score, severity,
+  coalesce(cwe_id, '') AS cwe_ids, source, relevance_score, completeness_score,
+  source_credibility_score, clarity_score, composite_score, training_ready,
+  {q(CFG.pipeline_version)} AS pipeline_version, '2025-01-01T00:00:00Z' AS scored_at
+FROM ready"""
+
+    fp = filtering_prefix()
+    o["hard_exclusions"] = f"{fp} SELECT ord, cve_id, exclusion_reason FROM cls WHERE exclusion_reason IS NOT NULL"
+    o["tiers"] = f"{fp} SELECT ord, cve_id, composite_score, tier FROM tiered WHERE exclusion_reason IS NULL"
+    o["stratified_sample"] = (
+        f"{fp} SELECT ord, cve_id, severity, composite_score, severity_rank, "
+        f"CAST(sample_rank AS BIGINT) AS sample_rank, true AS sampled FROM sample"
+    )
+    o["parse_date"] = (
+        f"SELECT ord, published, CAST({date_sql('published')} AS VARCHAR) AS published_date "
+        f"FROM ({date_samples_sql()}) t"
+    )
+    o["decontaminate"] = (
+        f"{scoring_prefix()} SELECT ord, cve_id, published, "
+        f"coalesce({date_sql('published')} > DATE '{CFG.cutoff_date}', false) AS contamination_flag FROM ready"
+    )
+    o["filter_summary"] = f"""{fp}
+SELECT count(*) AS total_input,
+  count_if(exclusion_reason IS NOT NULL) AS hard_excluded,
+  count_if(tier = 'training_ready') AS training_ready_raw,
+  count_if(tier = 'review_queue') AS review_queue,
+  count_if(tier = 'rejected') AS tier_rejected,
+  (SELECT count(*) FROM sample) AS sampled,
+  (SELECT count_if(NOT contamination_flag) FROM sample) AS training_final,
+  (SELECT count_if(contamination_flag) FROM sample) AS flagged_contamination
+FROM tiered"""
+    o["training_final"] = (
+        f"{fp} SELECT ord, cve_id, severity, published, composite_score, severity_rank, "
+        f"CAST(sample_rank AS BIGINT) AS sample_rank FROM sample WHERE NOT contamination_flag"
+    )
     return o

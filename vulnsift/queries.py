@@ -11,9 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vulnsift.operators import scoring
-from vulnsift.sources.fixture import cve_records
+from vulnsift import config as K
+from vulnsift.config import SMALL_BATCH_CONFIG
+from vulnsift.functions.dates import with_parsed_date
+from vulnsift.operators import filtering, merge, normalise, scoring
+from vulnsift.plans import filter as filter_plan
+from vulnsift.plans import ingest as ingest_plan
+from vulnsift.session import ensure_checkpoint_dir
+from vulnsift.sources.fixture import cve_records, date_samples, mirror_rows, primary_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,11 +59,159 @@ def q_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _flat(df: DataFrame) -> DataFrame:
+    """Record columns with the id list rendered as text (for value comparison)."""
+    return df.select(
+        "ord",
+        "cve_id",
+        "description",
+        "published",
+        "last_modified",
+        "cvss_score",
+        "severity",
+        F.array_join("cwe_ids", ",").alias("cwe_ids"),
+        F.size("cwe_ids").cast("long").alias("n_cwe"),
+        "source",
+    )
+
+
+def q_nvd_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(normalise.normalise_primary_pages(primary_pages(spark, sf_dir)))
+
+
+def q_hf_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(normalise.normalise_mirror_rows(mirror_rows(spark, sf_dir)))
+
+
+def _split_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    records = cve_records(spark, sf_dir)
+    is_primary = F.col("source") == F.lit(K.SOURCE_PRIMARY)
+    return records.filter(is_primary), records.filter(~is_primary)
+
+
+def q_source_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    primary, mirror = _split_sources(spark, sf_dir)
+    return merge.drop_known_ids(mirror, primary).select("ord", "cve_id")
+
+
+def q_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    primary, mirror = _split_sources(spark, sf_dir)
+    return merge.keep_first(merge.ordered_union(primary, mirror)).select("ord", "cve_id", "source")
+
+
+def q_record_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = SMALL_BATCH_CONFIG
+    primary, mirror = _split_sources(spark, sf_dir)
+    capped = merge.cap_records(primary, cfg.primary_cap)
+    rest = merge.cap_records(merge.drop_known_ids(mirror, capped), cfg.mirror_cap)
+    return merge.ordered_union(capped, rest).select("ord", "cve_id", "source")
+
+
+def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = primary_pages(spark, sf_dir, only_source=K.SOURCE_PRIMARY)
+    rows = mirror_rows(spark, sf_dir, exclude_source=K.SOURCE_PRIMARY)
+    return ingest_plan.source_counts(ingest_plan.ingest_frames(pages, rows))
+
+
+def scored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_dataset(cve_records(spark, sf_dir), scored_at=FIXED_SCORED_AT)
+
+
+def scored_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored records as a stage boundary (what the filter and report stages read).
+
+    In a run the score stage writes its output and later stages read it; here
+    the same cut is a reliable checkpoint into the shared
+    ``spark.checkpoint.dir``, so the filters downstream see plain columns
+    instead of re-deriving every score inside their predicates.
+    """
+    ensure_checkpoint_dir(spark)
+    return scored_records(spark, sf_dir).checkpoint(eager=True)
+
+
+def q_score_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_records(spark, sf_dir).select(
+        "ord",
+        "cve_id",
+        "description",
+        "published",
+        "last_modified",
+        "cvss_score",
+        "severity",
+        F.array_join("cwe_ids", ",").alias("cwe_ids"),
+        "source",
+        *K.SCORE_COLUMNS,
+        "training_ready",
+        "pipeline_version",
+        "scored_at",
+    )
+
+
+def q_hard_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, excluded = filtering.apply_hard_exclusions(scored_stage(spark, sf_dir))
+    return excluded.select("ord", "cve_id", "exclusion_reason")
+
+
+def q_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, _ = filtering.apply_hard_exclusions(scored_stage(spark, sf_dir))
+    return filtering.apply_tiered_filter(kept).select("ord", "cve_id", "composite_score", "tier")
+
+
+def _ranks() -> list:
+    return [F.col("severity_rank").cast("long").alias("severity_rank"), F.col("sample_rank").cast("long").alias("sample_rank")]
+
+
+def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_plan.sample_of(filter_plan.classify(scored_stage(spark, sf_dir)))
+
+
+def q_stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(spark, sf_dir).select(
+        "ord", "cve_id", "severity", "composite_score", *_ranks(), "sampled"
+    )
+
+
+def q_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = with_parsed_date(date_samples(spark, sf_dir), "published", "published_date")
+    return parsed.select("ord", "published", F.col("published_date").cast("string").alias("published_date"))
+
+
+def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = filtering.with_contamination_flag(scored_records(spark, sf_dir))
+    return flagged.select("ord", "cve_id", "published", "contamination_flag")
+
+
+def q_filter_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_plan.summary_of(filter_plan.build_routes(scored_stage(spark, sf_dir)))
+
+
+def q_training_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: the clean severity-balanced training sample."""
+    routes = filter_plan.build_routes(scored_stage(spark, sf_dir))
+    return routes.filter(F.col("route") == F.lit(K.ROUTE_FINAL)).select(
+        "ord", "cve_id", "severity", "published", "composite_score", *_ranks()
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "nvd_normalise": q_nvd_normalise,
+        "hf_normalise": q_hf_normalise,
+        "source_anti_join": q_source_anti_join,
+        "merge_dedup": q_merge_dedup,
+        "record_cap": q_record_cap,
+        "ingest_counts": q_ingest_counts,
         "relevance": q_relevance,
         "completeness": q_completeness,
         "credibility": q_credibility,
         "clarity": q_clarity,
         "composite": q_composite,
+        "score_dataset": q_score_dataset,
+        "hard_exclusions": q_hard_exclusions,
+        "tiers": q_tiers,
+        "stratified_sample": q_stratified_sample,
+        "parse_date": q_parse_date,
+        "decontaminate": q_decontaminate,
+        "filter_summary": q_filter_summary,
+        "training_final": q_training_final,
     }

@@ -146,3 +146,145 @@ def date_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir, ("doc_id",))
     cases = [F.when(F.col("doc_id") % len(DATE_SAMPLES) == i, F.lit(s)) for i, s in enumerate(DATE_SAMPLES)]
     return docs.select(F.col("doc_id").alias("ord"), F.coalesce(*cases).alias("published"))
+
+
+# ---------------------------------------------------------------------------
+# Source-shaped views of the relation, for the normalisation and ingest checks.
+# ---------------------------------------------------------------------------
+PAGE_SIZE = 100
+
+
+def _fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return docs.selectExpr(*[f"{expr} AS {name}" for name, expr in CVE_COLUMNS])
+
+
+def _cvss_entry(score, severity):
+    return F.struct(F.struct(score.alias("baseScore"), severity.alias("baseSeverity")).alias("cvssData"))
+
+
+def primary_entries(raw: DataFrame) -> DataFrame:
+    """Each record as a nested API entry ``cve`` (plus its ``ord``).
+
+    Variants by ``ord % 4``: 0 → V3.1 list (V3.0 ignored); 1 → empty V3.1, two
+    V3.0 entries (first wins); 2 → V3.1 missing, one V3.0 entry; 3 → V3.1
+    whose first entry has no data (no fall-through to V3.0). Records without
+    a score have empty lists. The English description comes after a Spanish
+    one, tagged ``en``/``EN-us``/``En``; every 17th record has only a French
+    one. Weaknesses mix a catch-all code and the CWE id (doubled every 5th).
+    """
+    o = F.col("ord")
+    score, sev = F.col("cvss_score"), F.col("severity")
+    has = score.isNotNull()
+    entry_t = "array<struct<cvssData:struct<baseScore:double,baseSeverity:string>>>"
+    empty = F.array().cast(entry_t)
+    main = F.array(_cvss_entry(score, sev)).cast(entry_t)
+    decoy = F.array(_cvss_entry(F.lit(9.9), F.lit("CRITICAL"))).cast(entry_t)
+    v31 = (
+        F.when(~has, empty)
+        .when(o % 4 == 0, main)
+        .when(o % 4 == 1, empty)
+        .when(o % 4 == 2, F.lit(None).cast(entry_t))
+        .otherwise(F.array(F.struct(F.lit(None).cast("struct<baseScore:double,baseSeverity:string>").alias("cvssData"))).cast(entry_t))
+    )
+    v30 = (
+        F.when(~has, empty)
+        .when(o % 4 == 0, decoy)
+        .when(o % 4 == 1, F.concat(main, decoy))
+        .otherwise(main)
+    )
+    tag = F.when(o % 17 == 5, F.lit("fr")).when(o % 3 == 0, F.lit("en")).when(o % 3 == 1, F.lit("EN-us")).otherwise(F.lit("En"))
+    spanish = F.struct(F.lit("es").alias("lang"), F.lit("Descripción no disponible.").alias("value"))
+    own = F.struct(tag.alias("lang"), F.col("description").alias("value"))
+    descriptions = F.when(F.col("description").isNull(), F.array(spanish)).otherwise(F.array(spanish, own))
+    cwe = F.col("cwe_id")
+    value_t = "array<struct<value:string>>"
+    ids = F.when(o % 5 == 0, F.array(F.struct(cwe.alias("value")), F.struct(cwe.alias("value")))).otherwise(
+        F.array(F.struct(cwe.alias("value")))
+    )
+    weaknesses = F.when(
+        cwe.isNull(), F.array(F.struct(F.array(F.struct(F.lit("NVD-CWE-noinfo").alias("value"))).cast(value_t).alias("description")))
+    ).otherwise(
+        F.array(
+            F.struct(F.array(F.struct(F.lit("NVD-CWE-Other").alias("value"))).cast(value_t).alias("description")),
+            F.struct(ids.cast(value_t).alias("description")),
+        )
+    )
+    cve = F.struct(
+        F.col("cve_id").alias("id"),
+        F.col("published").alias("published"),
+        F.concat(F.lit("2025-02-"), F.lpad((o % 28 + 1).cast("string"), 2, "0")).alias("lastModified"),
+        F.struct(v31.alias("cvssMetricV31"), v30.alias("cvssMetricV30")).alias("metrics"),
+        descriptions.alias("descriptions"),
+        weaknesses.alias("weaknesses"),
+    )
+    return raw.select("ord", cve.alias("cve"))
+
+
+def pages_of(entries: DataFrame) -> DataFrame:
+    """Group entries into API pages of at most 100, in ``ord`` order.
+
+    A page collects at most ``PAGE_SIZE`` entries (bounded group). Positions
+    inside a page follow ``ord``, so ``startIndex + position`` preserves the
+    record order.
+    """
+    total = entries.agg(F.count(F.lit(1))).scalar()
+    page = F.floor(F.col("ord") / F.lit(PAGE_SIZE)).cast("long")
+    grouped = entries.groupBy(page.alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("ord"), F.col("cve")))).alias("_items")
+    )
+    return grouped.select(
+        (F.col("page") * F.lit(PAGE_SIZE)).alias("startIndex"),
+        total.cast("long").alias("totalResults"),
+        F.transform("_items", lambda x: F.struct(x.getField("cve").alias("cve"))).alias("vulnerabilities"),
+    )
+
+
+def primary_pages(spark: SparkSession, sf_dir: str, only_source: str | None = None) -> DataFrame:
+    raw = _fixture_raw(spark, sf_dir)
+    if only_source is not None:
+        raw = raw.filter(F.col("source") == F.lit(only_source))
+    return pages_of(primary_entries(raw))
+
+
+def mirror_rows_of(raw: DataFrame) -> DataFrame:
+    """Each record as a flat mirror row (all text).
+
+    Score text placement by ``ord % 5``: 0 → V3 (V4, V2 decoys); 1 → V4 after
+    an empty V3; 2 → V2 after empty V3/V4; 3 → V2 padded with spaces after
+    missing V3/V4; 4 → unparseable V3 (the score becomes null). Severity is
+    lower-cased on odd rows; catch-all or empty weakness codes replace
+    missing ones; every 13th id is lower-cased.
+    """
+    o = F.col("ord")
+    txt = F.col("cvss_score").cast("string")
+    none = F.lit(None).cast("string")
+    v3 = F.when(o % 5 == 0, txt).when(o % 5 == 4, F.lit("n/a")).when(o % 5 == 3, none).otherwise(F.lit(""))
+    v4 = F.when(o % 5 == 0, F.lit("9.9")).when(o % 5 == 1, txt).when(o % 5 == 2, F.lit("")).when(o % 5 == 3, none).otherwise(F.lit("7.0"))
+    v2 = F.when(o % 5 == 2, txt).when(o % 5 == 3, F.concat(F.lit(" "), txt, F.lit(" "))).otherwise(F.lit("1.0"))
+    sev = F.when(o % 2 == 1, F.lower(F.col("severity"))).otherwise(F.col("severity"))
+    cwe = (
+        F.when(F.col("cwe_id").isNotNull() & (o % 7 == 3), F.lit("Improper Input Validation"))
+        .when(F.col("cwe_id").isNotNull(), F.col("cwe_id"))
+        .when(o % 4 == 0, F.lit("NVD-CWE-Other"))
+        .when(o % 4 == 1, F.lit("NVD-CWE-noinfo"))
+        .when(o % 4 == 2, F.lit(""))
+    )
+    cid = F.when(o % 13 == 7, F.lower(F.col("cve_id"))).otherwise(F.col("cve_id"))
+    return raw.select(
+        o.alias("ord"),
+        cid.alias("CVE-ID"),
+        F.col("description").alias("DESCRIPTION"),
+        v4.alias("CVSS-V4"),
+        v3.alias("CVSS-V3"),
+        v2.alias("CVSS-V2"),
+        sev.alias("SEVERITY"),
+        cwe.alias("CWE-ID"),
+    )
+
+
+def mirror_rows(spark: SparkSession, sf_dir: str, exclude_source: str | None = None) -> DataFrame:
+    raw = _fixture_raw(spark, sf_dir)
+    if exclude_source is not None:
+        raw = raw.filter(F.col("source") != F.lit(exclude_source))
+    return mirror_rows_of(raw)
