@@ -282,4 +282,118 @@ FROM tiered"""
         f"{fp} SELECT ord, cve_id, severity, published, composite_score, severity_rank, "
         f"CAST(sample_rank AS BIGINT) AS sample_rank FROM sample WHERE NOT contamination_flag"
     )
+    sp = scoring_prefix()
+    means = ", ".join(
+        f"round(coalesce(avg({c}), {d(0.0)}), 6) AS avg_{c.replace('_score', '').replace('source_', '')}"
+        for c in K.SCORE_COLUMNS
+    )
+    o["score_summary"] = f"""{sp}
+SELECT count(*) AS total, count_if(training_ready) AS ready_count,
+  round(CASE WHEN count(*) > 0 THEN count_if(training_ready) * {d(100.0)} / count(*) ELSE {d(0.0)} END, 6) AS ready_pct,
+  {means}
+FROM ready"""
+    o["data_card_stats"] = f"""{fp}
+SELECT count(*) AS total_records,
+  count_if(source = 'nvd') AS nvd_records,
+  count_if(source = 'huggingface') AS huggingface_records,
+  count_if(exclusion_reason IS NULL) AS passing_hard_filters,
+  count_if(training_ready) AS training_ready,
+  round(CASE WHEN count(*) > 0 THEN count_if(training_ready) * {d(100.0)} / count(*) ELSE {d(0.0)} END, 6) AS pass_rate,
+  {means},
+  count_if(cvss_score IS NOT NULL) AS with_cvss,
+  count_if(cwe_id IS NOT NULL) AS with_cwe
+FROM cls"""
+    c0 = f"coalesce(composite_score, {d(0.0)})"
+    o["headline_stats"] = f"""{sp}
+SELECT count(*) AS total, count_if(training_ready) AS ready_count,
+  round(count_if(training_ready) * {d(100.0)} / count(*), 6) AS pass_rate,
+  round(avg({c0}), 6) AS avg_composite
+FROM ready"""
+    o["median_score"] = f"{sp} SELECT round(median({c0}), 6) AS median_score FROM ready"
+    cred = f"coalesce(source_credibility_score, {d(0.0)})"
+    o["credibility_iqr"] = f"""{sp}, cv AS (
+  SELECT {cred} AS v, row_number() OVER (ORDER BY {cred}) AS rn, count(*) OVER () AS n FROM ready
+), h AS (
+  SELECT median(v) FILTER (WHERE rn <= n // 2) AS q1,
+         median(v) FILTER (WHERE rn > (n + 1) // 2) AS q3
+  FROM cv
+)
+SELECT round(q1, 6) AS q1, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr FROM h"""
+    label = "upper(coalesce(nullif(severity, ''), 'UNKNOWN'))"
+    o["modal_severity"] = f"""{sp}, g AS (
+  SELECT {label} AS top_severity, count(*) AS top_severity_count, min(ord) AS first_ord FROM ready GROUP BY 1
+)
+SELECT top_severity, top_severity_count,
+  round(top_severity_count * {d(100.0)} / (SELECT count(*) FROM ready), 6) AS top_severity_pct
+FROM g ORDER BY top_severity_count DESC, first_ord LIMIT 1"""
+    top = lambda k: f"(SELECT * FROM ready ORDER BY {c0} DESC, ord LIMIT {k})"
+    o["top20_stats"] = f"""{sp}
+SELECT round(avg({c0}), 6) AS top20_avg,
+  round(count_if(source = 'nvd') * {d(100.0)} / count(*), 6) AS top20_nvd_pct
+FROM {top(K.TOP_TABLE_ROWS)} t"""
+    thr, floor = CFG.quality_threshold, CFG.review_floor
+    o["readiness_breakdown"] = f"""{sp}, b AS (
+  SELECT CASE WHEN {c0} >= {d(thr)} THEN 0 WHEN {c0} >= {d(floor)} THEN 1 ELSE 2 END AS position FROM ready
+), p AS (SELECT * FROM (VALUES (0, 'Training Ready'), (1, 'Review Queue'), (2, 'Rejected')) v(position, bucket))
+SELECT CAST(p.position AS BIGINT) AS position, p.bucket,
+  CAST(count(b.position) AS BIGINT) AS count,
+  round(count(b.position) * {d(100.0)} / (SELECT count(*) FROM ready), 6) AS pct
+FROM p LEFT JOIN b ON b.position = p.position GROUP BY p.position, p.bucket"""
+    o["score_histogram"] = f"""{sp}, b AS (
+  SELECT CAST(floor(CAST(round({c0} * 10000) AS BIGINT) / 500) AS BIGINT) AS bin FROM ready
+), r AS (SELECT range AS bin FROM range({K.HISTOGRAM_BINS}))
+SELECT r.bin, round(r.bin * {d(K.HISTOGRAM_WIDTH)}, 2) AS bin_start, round((r.bin + 1) * {d(K.HISTOGRAM_WIDTH)}, 2) AS bin_end,
+  CAST(count(b.bin) AS BIGINT) AS count
+FROM r LEFT JOIN b ON b.bin = r.bin GROUP BY r.bin"""
+    dims_union = " UNION ALL ".join(
+        f"SELECT '{dm}' AS dimension, coalesce({dm}, {d(0.0)}) AS score FROM ready" for dm in K.DIMENSIONS
+    )
+    o["dimension_summary"] = f"""{sp}, l AS ({dims_union})
+SELECT dimension, round(min(score), 6) AS min, round(quantile_cont(score, 0.25), 6) AS q1,
+  round(quantile_cont(score, 0.5), 6) AS median, round(quantile_cont(score, 0.75), 6) AS q3,
+  round(max(score), 6) AS max, round(avg(score), 6) AS mean
+FROM l GROUP BY dimension"""
+    order = ", ".join(f"({i}, {q(x)})" for i, x in enumerate(K.SEVERITY_ORDER))
+    o["severity_distribution"] = f"""{sp}, b AS (
+  SELECT CASE WHEN {label} IN ('CRITICAL', 'HIGH', 'MEDIUM', 'LOW') THEN {label} ELSE 'UNKNOWN' END AS severity FROM ready
+), p AS (SELECT * FROM (VALUES {order}) v(position, severity))
+SELECT CAST(p.position AS BIGINT) AS position, p.severity, CAST(count(b.severity) AS BIGINT) AS count
+FROM p LEFT JOIN b ON b.severity = p.severity GROUP BY p.position, p.severity"""
+    mark = q(K.MISSING_MARK)
+    fmt = lambda c: f"CASE WHEN {c} IS NULL THEN {mark} ELSE printf('%.3f', {c}) END"
+    o["top20_table"] = f"""{sp}
+SELECT CAST(row_number() OVER (ORDER BY {c0} DESC, ord) AS BIGINT) AS rank,
+  coalesce(cve_id, '') AS cve_id,
+  CASE WHEN coalesce(severity, '') = '' THEN {mark} ELSE severity END AS severity,
+  {fmt('cvss_score')} AS cvss, {fmt('composite_score')} AS composite,
+  {fmt('relevance_score')} AS relevance, {fmt('completeness_score')} AS completeness,
+  {fmt('clarity_score')} AS clarity,
+  CASE WHEN training_ready THEN 'Yes' ELSE 'No' END AS training_ready
+FROM {top(K.TOP_TABLE_ROWS)} t"""
+    heat_union = " UNION ALL ".join(
+        f"SELECT rank, cve_id, '{dm}' AS dimension, coalesce({dm}, {d(0.0)}) AS score FROM t" for dm in K.DIMENSIONS
+    )
+    o["heatmap"] = f"""{sp}, t AS (
+  SELECT CAST(row_number() OVER (ORDER BY {c0} DESC, ord) AS BIGINT) AS rank, coalesce(cve_id, '') AS cve_id, *
+  EXCLUDE (cve_id) FROM {top(K.HEATMAP_ROWS)} x
+) {heat_union}"""
+    o["callout_facts"] = f"""{sp}, cv AS (
+  SELECT {cred} AS v, row_number() OVER (ORDER BY {cred}) AS rn, count(*) OVER () AS n FROM ready
+), h AS (
+  SELECT median(v) FILTER (WHERE rn <= n // 2) AS q1, median(v) FILTER (WHERE rn > (n + 1) // 2) AS q3 FROM cv
+), g AS (
+  SELECT {label} AS sev, count(*) AS cnt, min(ord) AS first_ord FROM ready GROUP BY 1
+), m AS (SELECT sev, cnt FROM g ORDER BY cnt DESC, first_ord LIMIT 1),
+t AS {top(K.TOP_TABLE_ROWS)},
+med AS (SELECT round(median({c0}), 6) AS median_score FROM ready)
+SELECT
+  round(count_if(training_ready) * {d(100.0)} / count(*), 6) AS pass_rate,
+  (SELECT median_score FROM med) AS median_score,
+  CASE WHEN (SELECT median_score FROM med) < {d(thr)} THEN 'below' ELSE 'above' END AS median_position,
+  (SELECT round(round(q3, 6) - round(q1, 6), 6) FROM h) AS credibility_iqr,
+  (SELECT sev FROM m) AS top_severity,
+  (SELECT round(cnt * {d(100.0)} / (SELECT count(*) FROM ready), 6) FROM m) AS top_severity_pct,
+  (SELECT round(avg({c0}), 6) FROM t) AS top20_avg,
+  (SELECT round(count_if(source = 'nvd') * {d(100.0)} / count(*), 6) FROM t) AS top20_nvd_pct
+FROM ready"""
     return o

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vulnsift import config as K
 from vulnsift.config import SMALL_BATCH_CONFIG
 from vulnsift.functions.dates import with_parsed_date
-from vulnsift.operators import filtering, merge, normalise, scoring
+from vulnsift.operators import filtering, merge, normalise, report, scoring, summaries
 from vulnsift.plans import filter as filter_plan
 from vulnsift.plans import ingest as ingest_plan
 from vulnsift.session import ensure_checkpoint_dir
@@ -193,6 +193,38 @@ def q_training_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.score_summary(scored_stage(spark, sf_dir))
+
+
+def q_data_card_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.data_card_stats(scored_stage(spark, sf_dir))
+
+
+def _report_query(builder: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return builder(scored_stage(spark, sf_dir))
+
+    run.__name__ = f"q_{builder.__name__}"
+    return run
+
+
+REPORT_QUERIES: dict[str, Query] = {
+    "headline_stats": _report_query(report.headline_stats),
+    "median_score": _report_query(report.median_score),
+    "credibility_iqr": _report_query(report.credibility_hinges),
+    "modal_severity": _report_query(report.modal_severity),
+    "top20_stats": _report_query(report.top20_stats),
+    "readiness_breakdown": _report_query(report.readiness_breakdown),
+    "score_histogram": _report_query(report.score_histogram),
+    "dimension_summary": _report_query(report.dimension_summary),
+    "severity_distribution": _report_query(report.severity_distribution),
+    "top20_table": _report_query(report.top20_table),
+    "heatmap": _report_query(report.heatmap),
+    "callout_facts": _report_query(report.callout_facts),
+}
+
+
 def queries() -> dict[str, Query]:
     return {
         "nvd_normalise": q_nvd_normalise,
@@ -214,4 +246,7 @@ def queries() -> dict[str, Query]:
         "decontaminate": q_decontaminate,
         "filter_summary": q_filter_summary,
         "training_final": q_training_final,
+        "score_summary": q_score_summary,
+        "data_card_stats": q_data_card_stats,
+        **REPORT_QUERIES,
     }
