@@ -57,13 +57,14 @@ def ingest(
     output_path: str,
     cfg: CurationConfig = DEFAULT_CONFIG,
     mirror_format: str = "csv",
+    one_page_per_file: bool = True,
 ) -> IngestRun:
     """Read both landings, merge, write the raw record file, return the counts."""
     from vulnsift.sources.jsonl import read_jsonl, write_jsonl
     from vulnsift.sources.landing import read_mirror, read_primary_pages
     from vulnsift.schemas import RECORD_SCHEMA
 
-    pages = read_primary_pages(spark, pages_path)
+    pages = read_primary_pages(spark, pages_path, one_page_per_file)
     rows = read_mirror(spark, mirror_path, mirror_format)
     write_jsonl(ingest_frames(pages, rows, cfg), output_path)
     written = read_jsonl(spark, output_path, RECORD_SCHEMA)

@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from vulnsift.schemas import MIRROR_SCHEMA, NVD_PAGE_SCHEMA
 
 
-def read_primary_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(NVD_PAGE_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def read_primary_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
+    """Landed pages: one JSON document per file (as fetched), or JSON lines
+    with one page per line when ``one_page_per_file`` is false."""
+    reader = spark.read.schema(NVD_PAGE_SCHEMA).option("mode", "FAILFAST")
+    return reader.option("multiLine", one_page_per_file).json(path)
 
 
 def read_mirror(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
