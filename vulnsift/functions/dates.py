@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vulnsift.functions import per_session
 from vulnsift.functions.text import strip_unicode
 
 _YEAR = "([0-9]{4})"
@@ -72,8 +73,26 @@ def with_parsed_date(df: DataFrame, source: str = "published", target: str = "pu
     and the five candidates then only read those columns.
     """
     base = "_pd_text"
-    pieces = {f"_pd_{n}": _prefix(F.col(base), n) for n, _, _, _ in DATE_FORMATS}
-    staged = df.withColumn(base, strip_unicode(F.coalesce(F.col(source).cast("string"), F.lit(""))))
+    pieces = _prefix_columns(base)
+    staged = df.withColumn(base, _stripped_text(source))
     staged = staged.withColumns(pieces)
-    parsed = F.coalesce(*[_candidate(F.col(f"_pd_{n}"), p, m, d) for n, p, m, d in DATE_FORMATS])
-    return staged.withColumn(target, parsed).drop(base, *pieces)
+    return staged.withColumn(target, _parsed_from_prefixes()).drop(base, *pieces)
+
+
+@per_session
+def _stripped_text(source: str) -> Column:
+    return strip_unicode(F.coalesce(F.col(source).cast("string"), F.lit("")))
+
+
+def _prefix_columns(base: str) -> dict[str, Column]:
+    return {f"_pd_{n}": _prefix_of(base, n) for n, _, _, _ in DATE_FORMATS}
+
+
+@per_session
+def _prefix_of(base: str, n: int) -> Column:
+    return _prefix(F.col(base), n)
+
+
+@per_session
+def _parsed_from_prefixes() -> Column:
+    return F.coalesce(*[_candidate(F.col(f"_pd_{n}"), p, m, d) for n, p, m, d in DATE_FORMATS])

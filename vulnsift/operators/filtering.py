@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from vulnsift import config as K
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
+from vulnsift.functions import per_session
 from vulnsift.functions.dates import with_parsed_date
 from vulnsift.functions.numbers import is_real
 from vulnsift.functions.text import is_blank
 
 
+@per_session
 def exclusion_reason_expr() -> Column:
     """Reasons joined with '; ' in fixed order; '' when the record is kept.
 
@@ -47,6 +49,7 @@ def apply_hard_exclusions(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept, excluded
 
 
+@per_session
 def tier_expr(cfg: CurationConfig = DEFAULT_CONFIG) -> Column:
     """training_ready ≥ threshold; review_queue ≥ review floor; else rejected.
 
@@ -66,6 +69,7 @@ def apply_tiered_filter(df: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) ->
     return df.withColumn("tier", tier_expr(cfg))
 
 
+@per_session
 def severity_group_expr() -> Column:
     """Upper-cased severity, with null/'' counted as UNKNOWN."""
     sev = F.col("severity")
@@ -81,6 +85,11 @@ def severity_rank_expr(group: Column) -> Column:
     return rank
 
 
+@per_session
+def severity_rank_of_group() -> Column:
+    return severity_rank_expr(severity_group_expr())
+
+
 def sample_keys(df: DataFrame, k: int) -> DataFrame:
     """``(ord, severity_rank, sample_rank)`` of the top-k records per severity group.
 
@@ -90,7 +99,7 @@ def sample_keys(df: DataFrame, k: int) -> DataFrame:
     composite = F.coalesce(F.col("composite_score"), F.lit(0.0))
     keys = df.select(
         F.col("ord"),
-        severity_rank_expr(severity_group_expr()).alias("severity_rank"),
+        severity_rank_of_group().alias("severity_rank"),
         composite.alias("_composite"),
     ).filter(F.col("severity_rank").isNotNull())
     w = Window.partitionBy("severity_rank").orderBy(F.col("_composite").desc(), F.col("ord").asc())

@@ -189,23 +189,22 @@ def score_histogram(scored: DataFrame) -> DataFrame:
 
     The bin comes from the score on its 4-decimal grid, so a composite of
     exactly 0.60 lands in [0.60, 0.65) and not, by binary rounding, below.
+    One aggregate with a conditional count per bin gives every bin (empty
+    ones included, out-of-range scores in none) without a join, so no
+    inferred join-key filter is pushed back into the scoring projection.
     """
-    spark = scored.sparkSession
     grid = F.round(_score("composite_score") * 10000).cast("long")
     step = round(K.HISTOGRAM_WIDTH * 10000)
-    counts = (
-        scored.select(F.floor(grid / step).cast("long").alias("bin"))
-        .filter((F.col("bin") >= 0) & (F.col("bin") < K.HISTOGRAM_BINS))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
-    bins = spark.range(K.HISTOGRAM_BINS).withColumnRenamed("id", "bin")
-    joined = F.broadcast(bins).join(counts, on="bin", how="left")
-    return joined.select(
-        "bin",
-        F.round(F.col("bin") * K.HISTOGRAM_WIDTH, 2).alias("bin_start"),
-        F.round((F.col("bin") + 1) * K.HISTOGRAM_WIDTH, 2).alias("bin_end"),
-        F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
+    binned = scored.select(F.floor(grid / step).cast("long").alias("_bin"))
+    names = [f"b{i}" for i in range(K.HISTOGRAM_BINS)]
+    counts = binned.agg(*[F.count_if(F.col("_bin") == i).alias(n) for i, n in enumerate(names)])
+    long = counts.unpivot([], names, "_name", "count")
+    bin_no = F.substring(F.col("_name"), 2, 3).cast("long")
+    return long.select(
+        bin_no.alias("bin"),
+        F.round(bin_no * K.HISTOGRAM_WIDTH, 2).alias("bin_start"),
+        F.round((bin_no + 1) * K.HISTOGRAM_WIDTH, 2).alias("bin_end"),
+        F.col("count").cast("long").alias("count"),
     )
 
 

@@ -17,32 +17,34 @@ from pyspark.sql import functions as F
 
 from vulnsift import config as K
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
+from vulnsift.functions import per_session
 from vulnsift.functions.numbers import is_real
 from vulnsift.functions.text import contains_any, count_substrings_present, has_items, has_text
 
 # Helper columns added by ``with_base_facts`` and dropped after scoring.
-_DESC, _LEN, _HITS = "_desc", "_desc_len", "_kw_hits"
-_BASE = (_DESC, _LEN, _HITS)
+_DESC, _LOWER, _LEN, _HITS = "_desc", "_desc_lower", "_desc_len", "_kw_hits"
+_BASE = (_DESC, _LOWER, _LEN, _HITS)
 
 
 def with_base_facts(df: DataFrame) -> DataFrame:
-    """Add description, its code-point length and the capped keyword hit count."""
+    """Add description, its code-point length, its lower-cased form (computed
+    once: the 13 keyword tests read it) and the capped keyword hit count."""
     desc = F.coalesce(F.col("description"), F.lit(""))
-    return df.withColumns({_DESC: desc}).withColumns(
-        {
-            _LEN: F.length(F.col(_DESC)),
-            _HITS: F.least(
-                count_substrings_present(F.lower(F.col(_DESC)), K.SECURITY_KEYWORDS),
-                F.lit(K.KEYWORD_CAP),
-            ),
-        }
-    )
+    staged = df.withColumns({_DESC: desc}).withColumns({_LOWER: F.lower(F.col(_DESC)), _LEN: F.length(F.col(_DESC))})
+    return staged.withColumn(_HITS, keyword_hits_expr())
+
+
+@per_session
+def keyword_hits_expr() -> Column:
+    """Number of keywords present in the lower-cased description, at most 3."""
+    return F.least(count_substrings_present(F.col(_LOWER), K.SECURITY_KEYWORDS), F.lit(K.KEYWORD_CAP))
 
 
 def _cvss_present() -> Column:
     return F.col("cvss_score").isNotNull()
 
 
+@per_session
 def relevance_expr() -> Column:
     """CVSS tier points + CWE points + 0.1 per keyword (at most 3), capped at 1."""
     cvss = F.col("cvss_score")
@@ -56,6 +58,7 @@ def relevance_expr() -> Column:
     return F.least(F.lit(0.0) + tier + cwe + keywords, F.lit(1.0))
 
 
+@per_session
 def completeness_expr(cfg: CurationConfig = DEFAULT_CONFIG) -> Column:
     """Points for an in-bounds description, CVSS, severity, CWE and publication date."""
     n = F.col(_LEN)
@@ -75,6 +78,7 @@ def completeness_expr(cfg: CurationConfig = DEFAULT_CONFIG) -> Column:
     return F.least(total, F.lit(1.0))
 
 
+@per_session
 def credibility_expr() -> Column:
     """Source base (primary 1.0, mirror 0.6, other 0.3) plus 0.1 with CVSS, capped at 1."""
     src = F.lower(F.coalesce(F.col("source"), F.lit("")))
@@ -87,6 +91,7 @@ def credibility_expr() -> Column:
     return F.least(base + boost, F.lit(1.0))
 
 
+@per_session
 def clarity_expr() -> Column:
     """0 for placeholder text; otherwise a value by description length band."""
     n = F.col(_LEN)
@@ -98,6 +103,7 @@ def clarity_expr() -> Column:
     return F.when(contains_any(F.col(_DESC), K.PLACEHOLDER_MARKERS), F.lit(0.0)).otherwise(banded)
 
 
+@per_session
 def gate_failed(cfg: CurationConfig = DEFAULT_CONFIG) -> Column:
     """Hard gate: empty description or length outside the configured bounds."""
     n = F.col(_LEN)

@@ -1,9 +1,9 @@
 """End-to-end filter stage: exclusions → tiers → sample → decontamination → routes.
 
-The plan reads the scored records once per action. The sample (at most
-5 × quota rows, a bound fixed by the configuration) is the only part that
-needs a shuffle; it is joined back to every record by broadcast when that
-bound is small, so routing and counting stay map-side.
+The sample (at most 5 × quota rows, a bound fixed by the configuration) is
+the only part that needs a shuffle, and only its narrow keys go through it;
+they are joined back to the records by broadcast when that bound is small,
+so routing and counting stay map-side.
 """
 
 from __future__ import annotations
@@ -16,15 +16,14 @@ from pyspark.sql import functions as F
 from vulnsift import config as K
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.operators.filtering import (
+    BROADCAST_SAMPLE_ROWS,
     apply_stratified_sample,
-    with_contamination_flag,
+    sample_keys,
     tier_expr,
+    with_contamination_flag,
     with_exclusion_reason,
 )
 
-# Largest sample we broadcast; beyond it the join is left to the planner.
-BROADCAST_SAMPLE_ROWS = 1_000_000
-
 
 def sample_bound(cfg: CurationConfig) -> int:
     return len(K.SEVERITY_ORDER) * cfg.per_severity_quota
@@ -51,25 +50,30 @@ def route_expr() -> Column:
     )
 
 
-def attach_sample(classified: DataFrame, sample: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Every record with its sample marks and ``route`` (null = not written)."""
-    marks = sample.select("ord", "sampled", "contamination_flag", "severity_rank", "sample_rank")
+def attach_sample(classified: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Every record with its sample marks and ``route`` (null = not written).
+
+    Only the sample keys (at most 5 × quota rows, a bound set by the
+    configuration) travel back to the records, by broadcast when small, so
+    routing stays map-side and the records are scanned once more at most.
+    """
+    ready = classified.filter(F.col("tier") == F.lit(K.TIER_READY))
+    marks = sample_keys(ready, cfg.per_severity_quota)
     if sample_bound(cfg) <= BROADCAST_SAMPLE_ROWS:
         marks = F.broadcast(marks)
-    joined = classified.join(marks, on="ord", how="left").withColumn(
-        "sampled", F.coalesce(F.col("sampled"), F.lit(False))
-    )
+    joined = classified.join(marks, on="ord", how="left")
+    sampled = F.col("sample_rank").isNotNull()
+    joined = with_contamination_flag(joined.withColumn("sampled", sampled), cfg, target="_post_cutoff")
     # Only flagged records carry the contamination mark.
-    joined = joined.withColumn(
-        "contamination_flag", F.when(F.col("contamination_flag"), F.lit(True))
+    joined = joined.withColumn("contamination_flag", F.when(sampled & F.col("_post_cutoff"), F.lit(True))).drop(
+        "_post_cutoff"
     )
     return joined.withColumn("route", route_expr())
 
 
 def build_routes(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
     """Lazy: all records with reason, tier, sample marks and route."""
-    classified = classify(scored, cfg)
-    return attach_sample(classified, sample_of(classified, cfg), cfg)
+    return attach_sample(classify(scored, cfg), cfg)
 
 
 def summary_of(routes: DataFrame) -> DataFrame:

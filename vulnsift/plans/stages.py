@@ -28,6 +28,21 @@ from vulnsift.sources.jsonl import read_jsonl, write_jsonl
 STAGES = ("ingest", "score", "filter", "report", "all")
 
 
+def observe_stage(df, name: str):
+    """Mark ``df`` as the output of stage ``name`` with record/ready counts as metrics.
+
+    The metrics are delivered with the first action (``Observation.get`` or the
+    query listener); the marker is also where Catalyst stops pushing the next
+    stage's filters down, so they read the stage's columns.
+    """
+    from pyspark.sql import functions as F
+
+    metrics = [F.count(F.lit(1)).alias("records")]
+    if "training_ready" in df.columns:
+        metrics.append(F.count_if(F.coalesce(F.col("training_ready"), F.lit(False))).alias("ready"))
+    return df.observe(name, *metrics)
+
+
 @dataclass
 class StagePaths:
     work: str

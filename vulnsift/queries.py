@@ -19,7 +19,7 @@ from vulnsift.functions.dates import with_parsed_date
 from vulnsift.operators import filtering, merge, normalise, report, scoring, summaries
 from vulnsift.plans import filter as filter_plan
 from vulnsift.plans import ingest as ingest_plan
-from vulnsift.session import ensure_checkpoint_dir
+from vulnsift.plans.stages import observe_stage
 from vulnsift.sources.fixture import cve_records, date_samples, mirror_rows, primary_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,15 +118,16 @@ def scored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scored records as a stage boundary (what the filter and report stages read).
-
-    In a run the score stage writes its output and later stages read it; here
-    the same cut is a reliable checkpoint into the shared
-    ``spark.checkpoint.dir``, so the filters downstream see plain columns
-    instead of re-deriving every score inside their predicates.
+    """The scored records as a stage boundary (what the filter stage reads).
+
+    In a run the score stage writes its output and the filter stage reads it.
+    In these single-plan queries the boundary is an observed stage: the
+    record and ready counts are collected as metrics (the score-stage
+    summary), and filters of the next stage stay above it instead of being
+    pushed into the scoring projection, where they would re-derive every
+    score inside their predicates.
     """
-    ensure_checkpoint_dir(spark)
-    return scored_records(spark, sf_dir).checkpoint(eager=True)
+    return observe_stage(scored_records(spark, sf_dir), "scored")
 
 
 def q_score_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,17 +194,20 @@ def q_training_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Summaries and report tables are aggregates and top-k over the scored records
+# with no filter in front of them, so they run on the lazy scored frame: one
+# pass from the documents, scoring fused into the aggregation stage.
 def q_score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.score_summary(scored_stage(spark, sf_dir))
+    return summaries.score_summary(scored_records(spark, sf_dir))
 
 
 def q_data_card_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.data_card_stats(scored_stage(spark, sf_dir))
+    return summaries.data_card_stats(scored_records(spark, sf_dir))
 
 
 def _report_query(builder: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return builder(scored_stage(spark, sf_dir))
+        return builder(scored_records(spark, sf_dir))
 
     run.__name__ = f"q_{builder.__name__}"
     return run

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vulnsift.sources.partitioning import spread_small_input
+
 # (column, SQL expression over documents)
 CVE_COLUMNS: tuple[tuple[str, str], ...] = (
     ("ord", "doc_id"),
@@ -117,7 +119,9 @@ def date_samples_sql(table: str = "documents") -> str:
 
 
 def read_documents(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = ("doc_id", "text", "lang", "source")) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
+    """The documents table, column-pruned at the scan, spread over the cores
+    when the file arrives as fewer splits than there are cores."""
+    return spread_small_input(spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns))
 
 
 def cve_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,21 @@
+"""Input parallelism for small or unsplittable inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread rows over the cluster's cores when the scan yields fewer splits.
+
+    Parquet splits at row-group granularity and multi-line JSON/CSV files not
+    at all, so a small input can arrive as a single task that then carries
+    all of the CPU-heavy text work (keyword tests, date parsing). When the
+    scan has fewer partitions than the default parallelism, a round-robin
+    repartition to that parallelism spreads the work; real inputs with more
+    splits than cores pass through unchanged (no shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
