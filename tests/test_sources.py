@@ -56,10 +56,11 @@ def _land(spark, tmp_path):
     return str(pages_dir), mirror
 
 
-def test_stage_runner_end_to_end(spark, tmp_path):
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_stage_runner_end_to_end(spark, tmp_path, fmt):
     pages, mirror = _land(spark, tmp_path)
     paths = StagePaths(str(tmp_path / "work"))
-    result = run_stages(spark, "all", paths, pages, mirror, scored_at="2025-01-01T00:00:00Z")
+    result = run_stages(spark, "all", paths, pages, mirror, scored_at="2025-01-01T00:00:00Z", fmt=fmt)
     expected = q_ingest_counts(spark, SF_SMALL).first().asDict()
     assert result.ingest == expected
     assert result.score["total"] == expected["total"]
@@ -68,7 +69,7 @@ def test_stage_runner_end_to_end(spark, tmp_path):
     assert f["sampled"] == f["training_final"] + f["flagged_contamination"] <= 250
     assert len(result.report) == 12
     # stages can be re-run one at a time over the written files
-    again = run_stages(spark, "filter", paths)
+    again = run_stages(spark, "filter", paths, fmt=fmt)
     assert again.filter == f
 
 

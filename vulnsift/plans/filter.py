@@ -35,9 +35,19 @@ def classify(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFra
     return reasoned.withColumn("tier", F.when(F.col("exclusion_reason").isNull(), tier_expr(cfg)))
 
 
+def ready_tier(classified: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Kept records of the ready tier.
+
+    The plain ``composite_score >= threshold`` conjunct is implied by the tier
+    and lets a Parquet scan skip row groups by their min/max statistics.
+    """
+    implied = F.col("composite_score") >= F.lit(cfg.quality_threshold)
+    return classified.filter(implied & (F.col("tier") == F.lit(K.TIER_READY)))
+
+
 def sample_of(classified: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
     """The severity-balanced sample of the ready tier, with ``contamination_flag``."""
-    ready = classified.filter(F.col("tier") == F.lit(K.TIER_READY))
+    ready = ready_tier(classified, cfg)
     return with_contamination_flag(apply_stratified_sample(ready, cfg=cfg), cfg)
 
 
@@ -57,8 +67,7 @@ def attach_sample(classified: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -
     configuration) travel back to the records, by broadcast when small, so
     routing stays map-side and the records are scanned once more at most.
     """
-    ready = classified.filter(F.col("tier") == F.lit(K.TIER_READY))
-    marks = sample_keys(ready, cfg.per_severity_quota)
+    marks = sample_keys(ready_tier(classified, cfg), cfg.per_severity_quota)
     if sample_bound(cfg) <= BROADCAST_SAMPLE_ROWS:
         marks = F.broadcast(marks)
     joined = classified.join(marks, on="ord", how="left")
@@ -97,7 +106,9 @@ class FilterRun:
     output_dir: str
 
 
-def run_filter_pipeline(scored: DataFrame, output_dir: str, cfg: CurationConfig = DEFAULT_CONFIG) -> FilterRun:
+def run_filter_pipeline(
+    scored: DataFrame, output_dir: str, cfg: CurationConfig = DEFAULT_CONFIG, fmt: str = "json"
+) -> FilterRun:
     """Write the four routes under ``output_dir/route=<name>/`` and return the counts.
 
     The rejected and review routes need no sample information, so they are
@@ -108,7 +119,7 @@ def run_filter_pipeline(scored: DataFrame, output_dir: str, cfg: CurationConfig
     then composite descending).
     """
     from vulnsift.session import ensure_checkpoint_dir
-    from vulnsift.sources.jsonl import write_jsonl
+    from vulnsift.sources.stagefiles import write_stage
 
     ensure_checkpoint_dir(scored.sparkSession)
     classified = classify(scored, cfg)
@@ -118,12 +129,12 @@ def run_filter_pipeline(scored: DataFrame, output_dir: str, cfg: CurationConfig
         F.col("exclusion_reason").isNotNull() | (F.col("tier") == F.lit(K.TIER_REVIEW))
     ).withColumns({"sampled": F.lit(None).cast("boolean"), "contamination_flag": F.lit(None).cast("boolean")})
     large = large.withColumn("route", route_expr()).drop("sampled", "contamination_flag")
-    write_jsonl(large, output_dir, partition_by="route")
+    write_stage(large, output_dir, fmt, partition_by="route")
 
     small = sample.withColumn("contamination_flag", F.when(F.col("contamination_flag"), F.lit(True)))
     small = small.withColumn("route", route_expr())
     small = small.coalesce(1).sortWithinPartitions("route", "severity_rank", "sample_rank")
-    write_jsonl(small, output_dir, partition_by="route", mode="append")
+    write_stage(small, output_dir, fmt, partition_by="route", mode="append")
 
     counts = classified.agg(
         F.count(F.lit(1)).alias("total_input"),
@@ -141,9 +152,9 @@ def run_filter_pipeline(scored: DataFrame, output_dir: str, cfg: CurationConfig
     return FilterRun(summary=summary, output_dir=output_dir)
 
 
-def read_route(spark, output_dir: str, route: str, schema=None) -> DataFrame:
+def read_route(spark, output_dir: str, route: str, schema=None, fmt: str = "json") -> DataFrame:
     """Read one written route back (schema defaults to the routed record schema)."""
     from vulnsift.schemas import ROUTED_SCHEMA
-    from vulnsift.sources.jsonl import read_jsonl
+    from vulnsift.sources.stagefiles import read_stage
 
-    return read_jsonl(spark, f"{output_dir}/route={route}", schema or ROUTED_SCHEMA)
+    return read_stage(spark, f"{output_dir}/route={route}", schema or ROUTED_SCHEMA, fmt)

@@ -58,15 +58,16 @@ def ingest(
     cfg: CurationConfig = DEFAULT_CONFIG,
     mirror_format: str = "csv",
     one_page_per_file: bool = True,
+    fmt: str = "parquet",
 ) -> IngestRun:
     """Read both landings, merge, write the raw record file, return the counts."""
-    from vulnsift.sources.jsonl import read_jsonl, write_jsonl
-    from vulnsift.sources.landing import read_mirror, read_primary_pages
     from vulnsift.schemas import RECORD_SCHEMA
+    from vulnsift.sources.landing import read_mirror, read_primary_pages
+    from vulnsift.sources.stagefiles import read_stage, write_stage
 
     pages = read_primary_pages(spark, pages_path, one_page_per_file)
     rows = read_mirror(spark, mirror_path, mirror_format)
-    write_jsonl(ingest_frames(pages, rows, cfg), output_path)
-    written = read_jsonl(spark, output_path, RECORD_SCHEMA)
+    write_stage(ingest_frames(pages, rows, cfg), output_path, fmt)
+    written = read_stage(spark, output_path, RECORD_SCHEMA, fmt)
     row = source_counts(written).first()
     return IngestRun(counts={k: int(v) for k, v in row.asDict().items()}, output_path=output_path)

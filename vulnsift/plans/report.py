@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.operators.report import build_report
 from vulnsift.schemas import SCORED_SCHEMA
-from vulnsift.sources.jsonl import EmptyInputError, read_jsonl, write_jsonl
+from vulnsift.sources.jsonl import EmptyInputError, write_jsonl
+from vulnsift.sources.stagefiles import read_stage
 
 
 @dataclass
@@ -23,13 +24,13 @@ class ReportRun:
     tables: dict[str, str]  # table name → output folder
 
 
-def load_scored(spark: SparkSession, scored_path: str) -> DataFrame:
+def load_scored(spark: SparkSession, scored_path: str, fmt: str = "json") -> DataFrame:
     """Scored records; a missing path raises, an empty input raises ``EmptyInputError``."""
     import os
 
     if "://" not in scored_path and not os.path.exists(scored_path):
         raise FileNotFoundError(f"Scored data not found at '{scored_path}'. Run the score stage first.")
-    return read_jsonl(spark, scored_path, SCORED_SCHEMA, require_rows=True)
+    return read_stage(spark, scored_path, SCORED_SCHEMA, fmt, require_rows=True)
 
 
 def generate_report(
@@ -37,9 +38,11 @@ def generate_report(
     scored_path: str,
     output_dir: str,
     cfg: CurationConfig = DEFAULT_CONFIG,
+    fmt: str = "json",
 ) -> ReportRun:
-    """Compute all report tables from the scored file and write each under ``output_dir``."""
-    scored = load_scored(spark, scored_path)
+    """Compute all report tables from the scored file and write each under ``output_dir``
+    (each table is small: one JSON file per table)."""
+    scored = load_scored(spark, scored_path, fmt)
     tables = {}
     for name, table in build_report(scored, cfg).items():
         path = f"{output_dir}/{name}"

@@ -2,7 +2,8 @@
 
 Each stage reads the previous stage's written output, so every stage
 boundary is also a lineage cut: a lost executor re-runs at most the current
-stage. Paths are folders of JSON-lines part files.
+stage. Stage files are Parquet by default (``--format json`` writes JSON
+lines instead); report tables are small JSON files.
 
     python -m vulnsift.plans.stages --stage all --pages landing/pages \\
         --mirror landing/mirror.csv --work data/
@@ -23,7 +24,7 @@ from vulnsift.plans.filter import run_filter_pipeline
 from vulnsift.plans.ingest import ingest
 from vulnsift.plans.report import generate_report, load_scored
 from vulnsift.schemas import RECORD_SCHEMA
-from vulnsift.sources.jsonl import read_jsonl, write_jsonl
+from vulnsift.sources.stagefiles import FORMATS, read_stage, write_stage
 
 STAGES = ("ingest", "score", "filter", "report", "all")
 
@@ -66,10 +67,17 @@ class RunResult:
     report: dict = field(default_factory=dict)
 
 
-def run_score_stage(spark: SparkSession, raw_path: str, scored_path: str, cfg: CurationConfig, scored_at: str | None = None) -> dict:
-    raw = read_jsonl(spark, raw_path, RECORD_SCHEMA)
-    write_jsonl(score_dataset(raw, scored_at=scored_at, cfg=cfg), scored_path)
-    row = score_summary(load_scored(spark, scored_path)).first()
+def run_score_stage(
+    spark: SparkSession,
+    raw_path: str,
+    scored_path: str,
+    cfg: CurationConfig,
+    scored_at: str | None = None,
+    fmt: str = "parquet",
+) -> dict:
+    raw = read_stage(spark, raw_path, RECORD_SCHEMA, fmt)
+    write_stage(score_dataset(raw, scored_at=scored_at, cfg=cfg), scored_path, fmt)
+    row = score_summary(load_scored(spark, scored_path, fmt)).first()
     return row.asDict()
 
 
@@ -82,20 +90,24 @@ def run_stages(
     mirror_format: str = "csv",
     cfg: CurationConfig = DEFAULT_CONFIG,
     scored_at: str | None = None,
+    fmt: str = "parquet",
 ) -> RunResult:
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {STAGES}")
+    if fmt not in FORMATS:
+        raise ValueError(f"format must be one of {FORMATS}")
     result = RunResult()
     if stage in ("ingest", "all"):
         if not pages_path or not mirror_path:
             raise ValueError("the ingest stage needs the landed pages and mirror paths")
-        result.ingest = ingest(spark, pages_path, mirror_path, paths.raw, cfg, mirror_format).counts
+        result.ingest = ingest(spark, pages_path, mirror_path, paths.raw, cfg, mirror_format, fmt=fmt).counts
     if stage in ("score", "all"):
-        result.score = run_score_stage(spark, paths.raw, paths.scored, cfg, scored_at)
+        result.score = run_score_stage(spark, paths.raw, paths.scored, cfg, scored_at, fmt)
     if stage in ("filter", "all"):
-        result.filter = run_filter_pipeline(load_scored(spark, paths.scored), paths.filtered, cfg).summary
+        scored = load_scored(spark, paths.scored, fmt)
+        result.filter = run_filter_pipeline(scored, paths.filtered, cfg, fmt).summary
     if stage in ("report", "all"):
-        result.report = generate_report(spark, paths.scored, paths.report, cfg).tables
+        result.report = generate_report(spark, paths.scored, paths.report, cfg, fmt).tables
     return result
 
 
@@ -106,6 +118,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--pages", help="landed primary-feed pages (JSON)")
     parser.add_argument("--mirror", help="landed mirror rows")
     parser.add_argument("--mirror-format", default="csv", choices=("csv", "parquet"))
+    parser.add_argument("--format", default="parquet", choices=FORMATS, help="stage file format")
     parser.add_argument("--max-records", type=int, default=None, dest="max_records",
                         help="primary-feed cap (default: none)")
     parser.add_argument("--mirror-cap", type=int, default=None, dest="mirror_cap",
@@ -113,7 +126,9 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     cfg = CurationConfig(primary_cap=args.max_records, mirror_cap=args.mirror_cap)
     spark = SparkSession.builder.appName("vulnsift").getOrCreate()
-    result = run_stages(spark, args.stage, StagePaths(args.work), args.pages, args.mirror, args.mirror_format, cfg)
+    result = run_stages(
+        spark, args.stage, StagePaths(args.work), args.pages, args.mirror, args.mirror_format, cfg, fmt=args.format
+    )
     print(json.dumps(result.__dict__, indent=2, default=str))
 
 
