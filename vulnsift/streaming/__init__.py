@@ -1,0 +1 @@
+"""Structured Streaming: incremental, row-wise stages over landed files."""
