@@ -126,3 +126,18 @@ def test_generate_report_guards_and_tables(spark, scored, tmp_path):
         "headline_stats", "median_score", "credibility_iqr", "modal_severity", "top20_stats", "readiness_breakdown",
         "score_histogram", "dimension_summary", "severity_distribution", "top20_table", "heatmap", "callout_facts"}
     assert spark.read.json(run.tables["score_histogram"]).count() == 21
+
+
+def test_shared_report_equals_standalone_tables(spark):
+    from vulnsift.queries import REPORT_QUERIES, scored_records
+    from vulnsift.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    scored_df = scored_records(spark, "/root/testdata/sf0.01")
+    shared = report.build_report(scored_df, materialise=lambda df: df.checkpoint(eager=True))
+    assert set(shared) == set(REPORT_QUERIES)
+    for name, table in shared.items():
+        alone = REPORT_QUERIES[name](spark, "/root/testdata/sf0.01")
+        assert sorted(table.columns) == sorted(alone.columns), name
+        key = lambda df: sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
+        assert key(table) == key(alone), name

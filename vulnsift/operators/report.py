@@ -12,10 +12,16 @@ Every table is an aggregate or a bounded top-k over the scored records:
 
 A missing score counts as 0.0 throughout the report (unlike the stage
 summaries, which average only present values).
+
+Global tables are written as aggregate expressions plus a finisher over the
+one-row result, so ``build_report`` can compute all of them in a single
+aggregation pass; each table also has a stand-alone function.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,21 +43,39 @@ def _ready() -> Column:
 
 
 # R1 -------------------------------------------------------------------------
-def headline_stats(scored: DataFrame) -> DataFrame:
-    total = F.count(F.lit(1))
-    ready = F.count_if(_ready())
-    return scored.agg(
-        total.alias("total"),
-        ready.alias("ready_count"),
-        round_stat(_pct(ready, total)).alias("pass_rate"),
-        round_stat(F.avg(_score("composite_score"))).alias("avg_composite"),
+def _headline_aggs() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("n_total"),
+        F.count_if(_ready()).alias("n_ready"),
+        F.avg(_score("composite_score")).alias("avg_composite_all"),
+    ]
+
+
+def _headline_from(g: DataFrame) -> DataFrame:
+    return g.select(
+        F.col("n_total").alias("total"),
+        F.col("n_ready").alias("ready_count"),
+        round_stat(_pct(F.col("n_ready"), F.col("n_total"))).alias("pass_rate"),
+        round_stat(F.col("avg_composite_all")).alias("avg_composite"),
     )
 
 
+def headline_stats(scored: DataFrame) -> DataFrame:
+    return _headline_from(scored.agg(*_headline_aggs()))
+
+
 # R2 -------------------------------------------------------------------------
+def _median_aggs() -> list[Column]:
+    return [F.median(_score("composite_score")).alias("median_composite")]
+
+
+def _median_from(g: DataFrame) -> DataFrame:
+    return g.select(round_stat(F.col("median_composite")).alias("median_score"))
+
+
 def median_score(scored: DataFrame) -> DataFrame:
     """Exact median of the composite (mean of the middle two for even counts)."""
-    return scored.agg(round_stat(F.median(_score("composite_score"))).alias("median_score"))
+    return _median_from(scored.agg(*_median_aggs()))
 
 
 # R3 -------------------------------------------------------------------------
@@ -115,13 +139,23 @@ def modal_severity(scored: DataFrame) -> DataFrame:
 
 
 # R5, R10, R11 ---------------------------------------------------------------
+def _best_first() -> list[Column]:
+    return [_score("composite_score").desc(), F.col("ord").asc()]
+
+
 def top_records(scored: DataFrame, k: int) -> DataFrame:
     """The k best records by composite (missing = 0), earlier ``ord`` first on ties."""
-    return scored.orderBy(_score("composite_score").desc(), F.col("ord").asc()).limit(k)
+    return scored.orderBy(*_best_first()).limit(k)
 
 
-def top20_stats(scored: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame:
-    top = top_records(scored, k)
+def ranked_top(scored: DataFrame, k: int) -> DataFrame:
+    """``top_records`` with its 1-based ``rank`` (a window over k rows only)."""
+    rank = F.row_number().over(Window.orderBy(*_best_first()))
+    return top_records(scored, k).withColumn("rank", rank.cast("long"))
+
+
+def _top20_stats_from(ranked: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame:
+    top = ranked.filter(F.col("rank") <= k)
     n = F.count(F.lit(1))
     return top.agg(
         round_stat(F.coalesce(F.avg(_score("composite_score")), F.lit(0.0))).alias("top20_avg"),
@@ -129,17 +163,18 @@ def top20_stats(scored: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame:
     )
 
 
+def top20_stats(scored: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame:
+    return _top20_stats_from(ranked_top(scored, k), k)
+
+
 def _fmt(col: Column) -> Column:
     return F.when(col.isNull(), F.lit(K.MISSING_MARK)).otherwise(F.format_string("%.3f", col))
 
 
-def top20_table(scored: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame:
-    """Display rows of the top-k table (numbers as 3-decimal text, '—' for missing)."""
-    top = top_records(scored, k)
-    rank = F.row_number().over(Window.orderBy(_score("composite_score").desc(), F.col("ord").asc()))
+def _top20_table_from(ranked: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame:
     sev = F.col("severity")
-    return top.select(
-        rank.cast("long").alias("rank"),
+    return ranked.filter(F.col("rank") <= k).select(
+        "rank",
         F.coalesce(F.col("cve_id"), F.lit("")).alias("cve_id"),
         F.when(F.coalesce(sev, F.lit("")) == F.lit(""), F.lit(K.MISSING_MARK)).otherwise(sev).alias("severity"),
         _fmt(F.col("cvss_score")).alias("cvss"),
@@ -151,111 +186,154 @@ def top20_table(scored: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame:
     )
 
 
-def heatmap(scored: DataFrame, k: int = K.HEATMAP_ROWS) -> DataFrame:
-    """Top-k records × four dimensions, long format ``(rank, cve_id, dimension, score)``."""
-    top = top_records(scored, k)
-    rank = F.row_number().over(Window.orderBy(_score("composite_score").desc(), F.col("ord").asc()))
-    wide = top.select(
-        rank.cast("long").alias("rank"),
+def top20_table(scored: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame:
+    """Display rows of the top-k table (numbers as 3-decimal text, '—' for missing)."""
+    return _top20_table_from(ranked_top(scored, k), k)
+
+
+def _heatmap_from(ranked: DataFrame, k: int = K.HEATMAP_ROWS) -> DataFrame:
+    wide = ranked.filter(F.col("rank") <= k).select(
+        "rank",
         F.coalesce(F.col("cve_id"), F.lit("")).alias("cve_id"),
         *[_score(d).alias(d) for d in K.DIMENSIONS],
     )
     return wide.unpivot(["rank", "cve_id"], list(K.DIMENSIONS), "dimension", "score")
 
 
+def heatmap(scored: DataFrame, k: int = K.HEATMAP_ROWS) -> DataFrame:
+    """Top-k records × four dimensions, long format ``(rank, cve_id, dimension, score)``."""
+    return _heatmap_from(ranked_top(scored, k), k)
+
+
 # R6 -------------------------------------------------------------------------
+_BANDS = ("Training Ready", "Review Queue", "Rejected")
+
+
+def _readiness_aggs(cfg: CurationConfig) -> list[Column]:
+    c = _score("composite_score")
+    hi, lo = F.lit(cfg.quality_threshold), F.lit(cfg.review_floor)
+    conds = (c >= hi, (c >= lo) & (c < hi), c < lo)
+    return [F.count_if(cond).alias(f"band_{i}") for i, cond in enumerate(conds)]
+
+
+def _readiness_from(g: DataFrame) -> DataFrame:
+    total = F.col("band_0") + F.col("band_1") + F.col("band_2")
+    rows = [
+        F.struct(
+            F.lit(i).cast("long").alias("position"),
+            F.lit(name).alias("bucket"),
+            F.col(f"band_{i}").cast("long").alias("count"),
+            round_stat(_pct(F.col(f"band_{i}"), total)).alias("pct"),
+        )
+        for i, name in enumerate(_BANDS)
+    ]
+    return g.select(F.inline(F.array(*rows)))
+
+
 def readiness_breakdown(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
     """Records per composite band over all scored rows: count and share."""
-    c = _score("composite_score")
-    counts = scored.agg(
-        F.count_if(c >= F.lit(cfg.quality_threshold)).alias("Training Ready"),
-        F.count_if((c >= F.lit(cfg.review_floor)) & (c < F.lit(cfg.quality_threshold))).alias("Review Queue"),
-        F.count_if(c < F.lit(cfg.review_floor)).alias("Rejected"),
-    )
-    long = counts.unpivot([], ["Training Ready", "Review Queue", "Rejected"], "bucket", "count")
-    total = F.sum("count").over(Window.partitionBy(F.lit(1)))
-    position = F.when(F.col("bucket") == "Training Ready", 0).when(F.col("bucket") == "Review Queue", 1).otherwise(2)
-    return long.select(
-        position.cast("long").alias("position"),
-        "bucket",
-        F.col("count").cast("long").alias("count"),
-        round_stat(_pct(F.col("count"), total)).alias("pct"),
-    )
+    return _readiness_from(scored.agg(*_readiness_aggs(cfg)))
 
 
 # R7 -------------------------------------------------------------------------
+def _histogram_aggs() -> list[Column]:
+    """One conditional count per bin: every bin exists (empty ones count 0),
+    out-of-range scores land in none, and no join is needed."""
+    grid = F.round(_score("composite_score") * 10000).cast("long")
+    step = round(K.HISTOGRAM_WIDTH * 10000)
+    bin_no = F.floor(grid / step)
+    return [F.count_if(bin_no == i).alias(f"hist_{i}") for i in range(K.HISTOGRAM_BINS)]
+
+
+def _histogram_from(g: DataFrame) -> DataFrame:
+    rows = [
+        F.struct(
+            F.lit(i).cast("long").alias("bin"),
+            F.lit(round(i * K.HISTOGRAM_WIDTH, 2)).alias("bin_start"),
+            F.lit(round((i + 1) * K.HISTOGRAM_WIDTH, 2)).alias("bin_end"),
+            F.col(f"hist_{i}").cast("long").alias("count"),
+        )
+        for i in range(K.HISTOGRAM_BINS)
+    ]
+    return g.select(F.inline(F.array(*rows)))
+
+
 def score_histogram(scored: DataFrame) -> DataFrame:
     """21 bins of width 0.05 from 0 (the last one [1.00, 1.05)), zero-filled.
 
     The bin comes from the score on its 4-decimal grid, so a composite of
     exactly 0.60 lands in [0.60, 0.65) and not, by binary rounding, below.
-    One aggregate with a conditional count per bin gives every bin (empty
-    ones included, out-of-range scores in none) without a join, so no
-    inferred join-key filter is pushed back into the scoring projection.
     """
-    grid = F.round(_score("composite_score") * 10000).cast("long")
-    step = round(K.HISTOGRAM_WIDTH * 10000)
-    binned = scored.select(F.floor(grid / step).cast("long").alias("_bin"))
-    names = [f"b{i}" for i in range(K.HISTOGRAM_BINS)]
-    counts = binned.agg(*[F.count_if(F.col("_bin") == i).alias(n) for i, n in enumerate(names)])
-    long = counts.unpivot([], names, "_name", "count")
-    bin_no = F.substring(F.col("_name"), 2, 3).cast("long")
-    return long.select(
-        bin_no.alias("bin"),
-        F.round(bin_no * K.HISTOGRAM_WIDTH, 2).alias("bin_start"),
-        F.round((bin_no + 1) * K.HISTOGRAM_WIDTH, 2).alias("bin_end"),
-        F.col("count").cast("long").alias("count"),
-    )
+    return _histogram_from(scored.agg(*_histogram_aggs()))
 
 
 # R8 -------------------------------------------------------------------------
+def _dimension_aggs() -> list[Column]:
+    out = []
+    for i, d in enumerate(K.DIMENSIONS):
+        v = _score(d)
+        out += [
+            F.min(v).alias(f"dim{i}_min"),
+            F.percentile(v, [0.25, 0.5, 0.75]).alias(f"dim{i}_q"),
+            F.max(v).alias(f"dim{i}_max"),
+            F.avg(v).alias(f"dim{i}_mean"),
+        ]
+    return out
+
+
+def _dimension_from(g: DataFrame) -> DataFrame:
+    rows = []
+    for i, d in enumerate(K.DIMENSIONS):
+        q = F.col(f"dim{i}_q")
+        rows.append(
+            F.struct(
+                F.lit(d).alias("dimension"),
+                round_stat(F.col(f"dim{i}_min")).alias("min"),
+                round_stat(q[0]).alias("q1"),
+                round_stat(q[1]).alias("median"),
+                round_stat(q[2]).alias("q3"),
+                round_stat(F.col(f"dim{i}_max")).alias("max"),
+                round_stat(F.col(f"dim{i}_mean")).alias("mean"),
+            )
+        )
+    return g.select(F.inline(F.array(*rows)))
+
+
 def dimension_summary(scored: DataFrame) -> DataFrame:
     """Per dimension: min, quartiles (linear interpolation), max and mean."""
-    long = scored.select(*[_score(d).alias(d) for d in K.DIMENSIONS]).unpivot(
-        [], list(K.DIMENSIONS), "dimension", "score"
-    )
-    q = F.percentile(F.col("score"), [0.25, 0.5, 0.75])
-    stats = long.groupBy("dimension").agg(
-        F.min("score").alias("min"),
-        q.alias("_q"),
-        F.max("score").alias("max"),
-        F.avg("score").alias("mean"),
-    )
-    return stats.select(
-        "dimension",
-        round_stat(F.col("min")).alias("min"),
-        round_stat(F.col("_q")[0]).alias("q1"),
-        round_stat(F.col("_q")[1]).alias("median"),
-        round_stat(F.col("_q")[2]).alias("q3"),
-        round_stat(F.col("max")).alias("max"),
-        round_stat(F.col("mean")).alias("mean"),
-    )
+    return _dimension_from(scored.agg(*_dimension_aggs()))
 
 
 # R9 -------------------------------------------------------------------------
-def severity_distribution(scored: DataFrame) -> DataFrame:
-    """Records per fixed severity bucket (any other label counts as UNKNOWN)."""
+def _severity_aggs() -> list[Column]:
     label = severity_label()
     known = K.SEVERITY_ORDER[:-1]
     bucket = F.when(label.isin(*known), label).otherwise(F.lit(K.UNKNOWN_SEVERITY))
-    counts = scored.agg(*[F.count_if(bucket == F.lit(s)).alias(s) for s in K.SEVERITY_ORDER])
-    long = counts.unpivot([], list(K.SEVERITY_ORDER), "severity", "count")
-    position = None
-    for i, s in enumerate(K.SEVERITY_ORDER):
-        position = F.when(F.col("severity") == s, i) if position is None else position.when(F.col("severity") == s, i)
-    return long.select(position.cast("long").alias("position"), "severity", F.col("count").cast("long").alias("count"))
+    return [F.count_if(bucket == F.lit(s)).alias(f"sev_{i}") for i, s in enumerate(K.SEVERITY_ORDER)]
+
+
+def _severity_from(g: DataFrame) -> DataFrame:
+    rows = [
+        F.struct(
+            F.lit(i).cast("long").alias("position"),
+            F.lit(s).alias("severity"),
+            F.col(f"sev_{i}").cast("long").alias("count"),
+        )
+        for i, s in enumerate(K.SEVERITY_ORDER)
+    ]
+    return g.select(F.inline(F.array(*rows)))
+
+
+def severity_distribution(scored: DataFrame) -> DataFrame:
+    """Records per fixed severity bucket (any other label counts as UNKNOWN)."""
+    return _severity_from(scored.agg(*_severity_aggs()))
 
 
 # R12 ------------------------------------------------------------------------
-def callout_facts(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
-    """The report's key figures as one row (each part a scalar subquery)."""
-    head = headline_stats(scored)
-    med = median_score(scored).scalar()
-    hinges = credibility_hinges(scored)
-    modal = modal_severity(scored)
-    top = top20_stats(scored)
-    return head.select(
-        F.col("pass_rate"),
+def _callout_from(g: DataFrame, hinges: DataFrame, modal: DataFrame, top: DataFrame, cfg: CurationConfig) -> DataFrame:
+    med = round_stat(F.col("median_composite"))
+    return g.select(
+        round_stat(_pct(F.col("n_ready"), F.col("n_total"))).alias("pass_rate"),
         med.alias("median_score"),
         F.when(med < F.lit(cfg.quality_threshold), F.lit("below")).otherwise(F.lit("above")).alias("median_position"),
         hinges.select("iqr").scalar().alias("credibility_iqr"),
@@ -266,19 +344,56 @@ def callout_facts(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> Da
     )
 
 
-def build_report(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> dict[str, DataFrame]:
-    """All report tables, keyed by name (lazy)."""
+def callout_facts(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The report's key figures as one row: one aggregation pass for the pass
+    rate and median, one each for hinges, modal severity and top 20 (scalar
+    subqueries)."""
+    g = scored.agg(*_headline_aggs(), *_median_aggs())
+    return _callout_from(g, credibility_hinges(scored), modal_severity(scored), top20_stats(scored), cfg)
+
+
+# R13 ------------------------------------------------------------------------
+REPORT_COLUMNS = (
+    "ord", "cve_id", "severity", "source", "cvss_score", *K.SCORE_COLUMNS, "training_ready",
+)
+
+
+def build_report(
+    scored: DataFrame,
+    cfg: CurationConfig = DEFAULT_CONFIG,
+    materialise: Callable[[DataFrame], DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """All report tables, keyed by name, from four passes over the records.
+
+    One aggregation computes every global statistic (headline, median,
+    readiness bands, histogram, severity buckets, dimension summaries); the
+    top 50 (the top 20 are its first rows), the credibility frequency table
+    and the severity label counts are one pass each. ``materialise`` (for
+    example a reliable checkpoint) is applied to those four small results so
+    that the tables derived from them do not re-read the records.
+    """
+    narrow = scored.select(*REPORT_COLUMNS)
+    g = narrow.agg(
+        *_headline_aggs(), *_median_aggs(), *_readiness_aggs(cfg), *_histogram_aggs(), *_severity_aggs(),
+        *_dimension_aggs(),
+    )
+    top = ranked_top(narrow, max(K.HEATMAP_ROWS, K.TOP_TABLE_ROWS))
+    hinges = credibility_hinges(narrow)
+    modal = modal_severity(narrow)
+    if materialise is not None:
+        g, top, hinges, modal = (materialise(x) for x in (g, top, hinges, modal))
+    top20 = _top20_stats_from(top)
     return {
-        "headline_stats": headline_stats(scored),
-        "median_score": median_score(scored),
-        "credibility_iqr": credibility_hinges(scored),
-        "modal_severity": modal_severity(scored),
-        "top20_stats": top20_stats(scored),
-        "readiness_breakdown": readiness_breakdown(scored, cfg),
-        "score_histogram": score_histogram(scored),
-        "dimension_summary": dimension_summary(scored),
-        "severity_distribution": severity_distribution(scored),
-        "top20_table": top20_table(scored),
-        "heatmap": heatmap(scored),
-        "callout_facts": callout_facts(scored, cfg),
+        "headline_stats": _headline_from(g),
+        "median_score": _median_from(g),
+        "credibility_iqr": hinges,
+        "modal_severity": modal,
+        "top20_stats": top20,
+        "readiness_breakdown": _readiness_from(g),
+        "score_histogram": _histogram_from(g),
+        "dimension_summary": _dimension_from(g),
+        "severity_distribution": _severity_from(g),
+        "top20_table": _top20_table_from(top),
+        "heatmap": _heatmap_from(top),
+        "callout_facts": _callout_from(g, hinges, modal, top20, cfg),
     }

@@ -1,8 +1,7 @@
 """Report stage: every report table from one scored input, written as tables.
 
-The scored input is read once per table with only the columns that table
-needs (column pruning reaches the scan); nothing is collected to the driver
-except the one-row tables a caller asks for. Chart drawing and HTML are
+The scored input is read in four passes with only the columns the report
+needs (column pruning reaches the scan); nothing is collected to the driver. Chart drawing and HTML are
 presentation and not built here: the tables are the chart data.
 """
 
@@ -41,10 +40,20 @@ def generate_report(
     fmt: str = "json",
 ) -> ReportRun:
     """Compute all report tables from the scored file and write each under ``output_dir``
-    (each table is small: one JSON file per table)."""
+    (each table is small: one JSON file per table).
+
+    Four passes over the scored records (global statistics, top 50,
+    credibility frequencies, severity labels); their small results are
+    checkpointed into the shared ``spark.checkpoint.dir`` and every table is
+    derived from those.
+    """
+    from vulnsift.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     scored = load_scored(spark, scored_path, fmt)
     tables = {}
-    for name, table in build_report(scored, cfg).items():
+    report = build_report(scored, cfg, materialise=lambda df: df.checkpoint(eager=True))
+    for name, table in report.items():
         path = f"{output_dir}/{name}"
         write_jsonl(table.coalesce(1), path)
         tables[name] = path
