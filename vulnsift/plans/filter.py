@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vulnsift import config as K
@@ -112,9 +112,11 @@ def run_filter_pipeline(
     """Write the four routes under ``output_dir/route=<name>/`` and return the counts.
 
     The rejected and review routes need no sample information, so they are
-    written straight from one pass over the classified records. The sample is
-    checkpointed to the shared ``spark.checkpoint.dir``: the two small routes
-    and the counts reuse it, and a lost executor does not redo the window.
+    written straight from one pass over the classified records, which also
+    yields the tier counts (an observation). The sample is checkpointed to the
+    shared ``spark.checkpoint.dir``: the two small routes and their counts
+    reuse it, and a lost executor does not redo the window. Three passes over
+    the scored records in all: sample keys, sample rows, large routes.
     Small routes are written as one file each in sample order (severity group,
     then composite descending).
     """
@@ -125,24 +127,29 @@ def run_filter_pipeline(
     classified = classify(scored, cfg)
     sample = sample_of(classified, cfg).checkpoint(eager=True)
 
-    large = classified.filter(
+    # The tier counts ride along the pass that writes the large routes: the
+    # observation sits below the route filter, so it sees every record.
+    observed_counts = Observation("filter_counts")
+    observed = classified.observe(
+        observed_counts,
+        F.count(F.lit(1)).alias("total_input"),
+        F.count_if(F.col("exclusion_reason").isNotNull()).alias("hard_excluded"),
+        F.count_if(F.col("tier") == F.lit(K.TIER_READY)).alias("training_ready_raw"),
+        F.count_if(F.col("tier") == F.lit(K.TIER_REVIEW)).alias("review_queue"),
+        F.count_if(F.col("tier") == F.lit(K.TIER_REJECTED)).alias("tier_rejected"),
+    )
+    large = observed.filter(
         F.col("exclusion_reason").isNotNull() | (F.col("tier") == F.lit(K.TIER_REVIEW))
     ).withColumns({"sampled": F.lit(None).cast("boolean"), "contamination_flag": F.lit(None).cast("boolean")})
     large = large.withColumn("route", route_expr()).drop("sampled", "contamination_flag")
     write_stage(large, output_dir, fmt, partition_by="route")
+    counts = observed_counts.get
 
     small = sample.withColumn("contamination_flag", F.when(F.col("contamination_flag"), F.lit(True)))
     small = small.withColumn("route", route_expr())
     small = small.coalesce(1).sortWithinPartitions("route", "severity_rank", "sample_rank")
     write_stage(small, output_dir, fmt, partition_by="route", mode="append")
 
-    counts = classified.agg(
-        F.count(F.lit(1)).alias("total_input"),
-        F.count_if(F.col("exclusion_reason").isNotNull()).alias("hard_excluded"),
-        F.count_if(F.col("tier") == F.lit(K.TIER_READY)).alias("training_ready_raw"),
-        F.count_if(F.col("tier") == F.lit(K.TIER_REVIEW)).alias("review_queue"),
-        F.count_if(F.col("tier") == F.lit(K.TIER_REJECTED)).alias("tier_rejected"),
-    ).first().asDict()
     drawn = sample.agg(
         F.count(F.lit(1)).alias("sampled"),
         F.count_if(~F.col("contamination_flag")).alias("training_final"),

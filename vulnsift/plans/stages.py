@@ -96,6 +96,9 @@ def run_stages(
         raise ValueError(f"stage must be one of {STAGES}")
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
+    from vulnsift.session import input_bytes, size_shuffles
+
+    size_shuffles(spark, input_bytes(spark, pages_path or "", mirror_path or "", paths.raw, paths.scored))
     result = RunResult()
     if stage in ("ingest", "all"):
         if not pages_path or not mirror_path:

@@ -51,3 +51,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="vulnsift-ckpt-")
     sc.setCheckpointDir(folder)
     return folder
+
+
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files under ``paths`` (missing paths count 0)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        if not p:
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, nbytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Let AQE start from one shuffle partition per ``target_bytes`` of input.
+
+    AQE coalesces small partitions but cannot split an oversized one outside
+    joins, so the initial number must fit the largest shuffle (the id dedup
+    moves every record once). Only settings the session leaves unset are
+    filled in; returns the initial partition number in effect.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    wanted = max(spark.sparkContext.defaultParallelism, -(-nbytes // target_bytes))
+    current = spark.conf.get(key, None)
+    if current is None:
+        spark.conf.set(key, str(wanted))
+        current = str(wanted)
+    if spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) in (None, "64MB", "67108864b"):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return int(current)
