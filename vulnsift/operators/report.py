@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from vulnsift import config as K
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
+from vulnsift.functions import per_session
 from vulnsift.functions.numbers import round_stat
 
 
@@ -43,6 +44,7 @@ def _ready() -> Column:
 
 
 # R1 -------------------------------------------------------------------------
+@per_session
 def _headline_aggs() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n_total"),
@@ -65,6 +67,7 @@ def headline_stats(scored: DataFrame) -> DataFrame:
 
 
 # R2 -------------------------------------------------------------------------
+@per_session
 def _median_aggs() -> list[Column]:
     return [F.median(_score("composite_score")).alias("median_composite")]
 
@@ -209,6 +212,7 @@ def heatmap(scored: DataFrame, k: int = K.HEATMAP_ROWS) -> DataFrame:
 _BANDS = ("Training Ready", "Review Queue", "Rejected")
 
 
+@per_session
 def _readiness_aggs(cfg: CurationConfig) -> list[Column]:
     c = _score("composite_score")
     hi, lo = F.lit(cfg.quality_threshold), F.lit(cfg.review_floor)
@@ -217,6 +221,11 @@ def _readiness_aggs(cfg: CurationConfig) -> list[Column]:
 
 
 def _readiness_from(g: DataFrame) -> DataFrame:
+    return g.select(_readiness_rows())
+
+
+@per_session
+def _readiness_rows() -> Column:
     total = F.col("band_0") + F.col("band_1") + F.col("band_2")
     rows = [
         F.struct(
@@ -227,7 +236,7 @@ def _readiness_from(g: DataFrame) -> DataFrame:
         )
         for i, name in enumerate(_BANDS)
     ]
-    return g.select(F.inline(F.array(*rows)))
+    return F.inline(F.array(*rows))
 
 
 def readiness_breakdown(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -236,6 +245,7 @@ def readiness_breakdown(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG)
 
 
 # R7 -------------------------------------------------------------------------
+@per_session
 def _histogram_aggs() -> list[Column]:
     """One conditional count per bin: every bin exists (empty ones count 0),
     out-of-range scores land in none, and no join is needed."""
@@ -246,6 +256,11 @@ def _histogram_aggs() -> list[Column]:
 
 
 def _histogram_from(g: DataFrame) -> DataFrame:
+    return g.select(_histogram_rows())
+
+
+@per_session
+def _histogram_rows() -> Column:
     rows = [
         F.struct(
             F.lit(i).cast("long").alias("bin"),
@@ -255,7 +270,7 @@ def _histogram_from(g: DataFrame) -> DataFrame:
         )
         for i in range(K.HISTOGRAM_BINS)
     ]
-    return g.select(F.inline(F.array(*rows)))
+    return F.inline(F.array(*rows))
 
 
 def score_histogram(scored: DataFrame) -> DataFrame:
@@ -268,6 +283,7 @@ def score_histogram(scored: DataFrame) -> DataFrame:
 
 
 # R8 -------------------------------------------------------------------------
+@per_session
 def _dimension_aggs() -> list[Column]:
     out = []
     for i, d in enumerate(K.DIMENSIONS):
@@ -282,6 +298,11 @@ def _dimension_aggs() -> list[Column]:
 
 
 def _dimension_from(g: DataFrame) -> DataFrame:
+    return g.select(_dimension_rows())
+
+
+@per_session
+def _dimension_rows() -> Column:
     rows = []
     for i, d in enumerate(K.DIMENSIONS):
         q = F.col(f"dim{i}_q")
@@ -296,7 +317,7 @@ def _dimension_from(g: DataFrame) -> DataFrame:
                 round_stat(F.col(f"dim{i}_mean")).alias("mean"),
             )
         )
-    return g.select(F.inline(F.array(*rows)))
+    return F.inline(F.array(*rows))
 
 
 def dimension_summary(scored: DataFrame) -> DataFrame:
@@ -305,6 +326,7 @@ def dimension_summary(scored: DataFrame) -> DataFrame:
 
 
 # R9 -------------------------------------------------------------------------
+@per_session
 def _severity_aggs() -> list[Column]:
     label = severity_label()
     known = K.SEVERITY_ORDER[:-1]
@@ -313,6 +335,11 @@ def _severity_aggs() -> list[Column]:
 
 
 def _severity_from(g: DataFrame) -> DataFrame:
+    return g.select(_severity_rows())
+
+
+@per_session
+def _severity_rows() -> Column:
     rows = [
         F.struct(
             F.lit(i).cast("long").alias("position"),
@@ -321,7 +348,7 @@ def _severity_from(g: DataFrame) -> DataFrame:
         )
         for i, s in enumerate(K.SEVERITY_ORDER)
     ]
-    return g.select(F.inline(F.array(*rows)))
+    return F.inline(F.array(*rows))
 
 
 def severity_distribution(scored: DataFrame) -> DataFrame:

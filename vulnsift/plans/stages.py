@@ -53,8 +53,8 @@ class StagePaths:
     report: str = ""
 
     def __post_init__(self) -> None:
-        self.raw = self.raw or f"{self.work}/raw/cves_raw"
-        self.scored = self.scored or f"{self.work}/scored/cves_scored"
+        self.raw = self.raw or f"{self.work}/raw/records"
+        self.scored = self.scored or f"{self.work}/scored/records"
         self.filtered = self.filtered or f"{self.work}/filtered"
         self.report = self.report or f"{self.work}/report"
 
