@@ -158,3 +158,13 @@ def test_lazy_routes_match_run_summary(scored, tmp_path):
     run = run_filter_pipeline(df, str(tmp_path / "f"), CurationConfig(per_severity_quota=5)).summary
     assert lazy == run
     assert lazy["sampled"] == lazy["training_final"] + lazy["flagged_contamination"] <= 10
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_sample_keys_salting_is_exact(scored, buckets):
+    rows = [scored_row(severity=("HIGH", "LOW", "", "NONE")[i % 4], composite_score=round(0.6 + (i * 7 % 40) / 100, 2))
+            for i in range(300)]
+    df = scored(rows)
+    plain = sorted(tuple(r) for r in filtering.sample_keys(df, 7, salt_buckets=1).collect())
+    salted = sorted(tuple(r) for r in filtering.sample_keys(df, 7, salt_buckets=buckets).collect())
+    assert salted == plain and len(plain) == 21

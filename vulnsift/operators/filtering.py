@@ -90,19 +90,46 @@ def severity_rank_of_group() -> Column:
     return severity_rank_expr(severity_group_expr())
 
 
-def sample_keys(df: DataFrame, k: int) -> DataFrame:
+# Salt buckets of the first top-k level: one group's candidates spread over
+# this many tasks before the final per-group ranking.
+SAMPLE_SALT_BUCKETS = 64
+
+
+def sample_keys(df: DataFrame, k: int, salt_buckets: int | None = None) -> DataFrame:
     """``(ord, severity_rank, sample_rank)`` of the top-k records per severity group.
 
-    Only the three key columns and the composite travel through the sort and
-    the shuffle; ties on composite go to the earlier ``ord``.
+    Only the key columns and the composite travel through the sorts and
+    shuffles; ties on composite go to the earlier ``ord``. Every group can be
+    a large share of all records, so the ranking is two-level: the top k per
+    (group, hash bucket of ``ord``) first, then the top k per group among
+    those at most ``salt_buckets × k`` candidates. Exact: a record in a
+    group's top k is in the top k of its own bucket. Each level limits rows
+    per task before its shuffle (partial ``WindowGroupLimit``).
+
+    The first level pays off when there are many more map tasks than
+    buckets; by default it is used when the cluster's default parallelism
+    exceeds ``SAMPLE_SALT_BUCKETS`` (``salt_buckets=1`` turns it off).
     """
+    if salt_buckets is None:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        salt_buckets = SAMPLE_SALT_BUCKETS if parallelism > SAMPLE_SALT_BUCKETS else 1
     composite = F.coalesce(F.col("composite_score"), F.lit(0.0))
     keys = df.select(
         F.col("ord"),
         severity_rank_of_group().alias("severity_rank"),
         composite.alias("_composite"),
     ).filter(F.col("severity_rank").isNotNull())
-    w = Window.partitionBy("severity_rank").orderBy(F.col("_composite").desc(), F.col("ord").asc())
+    order = [F.col("_composite").desc(), F.col("ord").asc()]
+    if salt_buckets > 1:
+        bucket = F.pmod(F.xxhash64(F.col("ord")), F.lit(salt_buckets))
+        w1 = Window.partitionBy("severity_rank", "_bucket").orderBy(*order)
+        keys = (
+            keys.withColumn("_bucket", bucket)
+            .withColumn("_r", F.row_number().over(w1))
+            .filter(F.col("_r") <= F.lit(k))
+            .drop("_r", "_bucket")
+        )
+    w = Window.partitionBy("severity_rank").orderBy(*order)
     return (
         keys.withColumn("sample_rank", F.row_number().over(w))
         .filter(F.col("sample_rank") <= F.lit(k))
