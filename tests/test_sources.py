@@ -64,6 +64,11 @@ def test_stage_runner_end_to_end(spark, tmp_path, fmt):
     expected = q_ingest_counts(spark, SF_SMALL).first().asDict()
     assert result.ingest == expected
     assert result.score["total"] == expected["total"]
+    from vulnsift.operators.summaries import score_summary
+    from vulnsift.plans.report import load_scored
+
+    direct = score_summary(load_scored(spark, paths.scored, fmt)).first().asDict()
+    assert result.score == pytest.approx(direct)
     f = result.filter
     assert f["total_input"] == f["hard_excluded"] + f["training_ready_raw"] + f["review_queue"] + f["tier_rejected"]
     assert f["sampled"] == f["training_final"] + f["flagged_contamination"] <= 250

@@ -36,6 +36,25 @@ def score_summary(scored: DataFrame) -> DataFrame:
     )
 
 
+def score_summary_exprs() -> list[Column]:
+    """Aggregates of ``score_summary`` usable as observed metrics (raw means)."""
+    return [
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.coalesce(F.col("training_ready"), F.lit(False))).alias("ready_count"),
+        *[F.avg(F.col(c)).alias("avg_" + c.replace("_score", "").replace("source_", "")) for c in K.SCORE_COLUMNS],
+    ]
+
+
+def finish_score_summary(metrics: dict) -> dict:
+    """Turn observed ``score_summary_exprs`` into the ``score_summary`` row."""
+    total, ready = int(metrics["total"]), int(metrics["ready_count"])
+    out = {"total": total, "ready_count": ready, "ready_pct": round(ready * 100.0 / total, 6) if total else 0.0}
+    for key, value in metrics.items():
+        if key.startswith("avg_"):
+            out[key] = round(value, 6) if value is not None else 0.0
+    return out
+
+
 def data_card_stats(scored: DataFrame) -> DataFrame:
     """The dataset-statistics table of the data card, as one row."""
     total = F.count(F.lit(1))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vulnsift import config as K
@@ -34,14 +34,18 @@ def ingest_frames(pages: DataFrame, mirror_rows: DataFrame, cfg: CurationConfig
     return merge_sources(normalise_primary_pages(pages), normalise_mirror_rows(mirror_rows), cfg)
 
 
-def source_counts(records: DataFrame) -> DataFrame:
-    """Total records and records per named source, as one row."""
+def _source_count_exprs() -> list:
     src = F.col("source")
-    return records.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         F.count_if(src == F.lit(K.SOURCE_PRIMARY)).alias("nvd"),
         F.count_if(src == F.lit(K.SOURCE_MIRROR)).alias("huggingface"),
-    )
+    ]
+
+
+def source_counts(records: DataFrame) -> DataFrame:
+    """Total records and records per named source, as one row."""
+    return records.agg(*_source_count_exprs())
 
 
 @dataclass
@@ -63,11 +67,12 @@ def ingest(
     """Read both landings, merge, write the raw record file, return the counts."""
     from vulnsift.schemas import RECORD_SCHEMA
     from vulnsift.sources.landing import read_mirror, read_primary_pages
-    from vulnsift.sources.stagefiles import read_stage, write_stage
+    from vulnsift.sources.stagefiles import write_stage
 
     pages = read_primary_pages(spark, pages_path, one_page_per_file)
     rows = read_mirror(spark, mirror_path, mirror_format)
-    write_stage(ingest_frames(pages, rows, cfg), output_path, fmt)
-    written = read_stage(spark, output_path, RECORD_SCHEMA, fmt)
-    row = source_counts(written).first()
-    return IngestRun(counts={k: int(v) for k, v in row.asDict().items()}, output_path=output_path)
+    # The per-source counts are observed on the written rows: no second pass.
+    counts = Observation("ingest_counts")
+    merged = ingest_frames(pages, rows, cfg).select(*[F.col(f.name) for f in RECORD_SCHEMA.fields])
+    write_stage(merged.observe(counts, *_source_count_exprs()), output_path, fmt)
+    return IngestRun(counts={k: int(v) for k, v in counts.get.items()}, output_path=output_path)

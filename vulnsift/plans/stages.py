@@ -15,11 +15,11 @@ import argparse
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.operators.scoring import score_dataset
-from vulnsift.operators.summaries import score_summary
+from vulnsift.operators.summaries import finish_score_summary, score_summary_exprs
 from vulnsift.plans.filter import run_filter_pipeline
 from vulnsift.plans.ingest import ingest
 from vulnsift.plans.report import generate_report, load_scored
@@ -75,10 +75,12 @@ def run_score_stage(
     scored_at: str | None = None,
     fmt: str = "parquet",
 ) -> dict:
+    """Score the raw records; the stage summary is observed on the write (one pass)."""
     raw = read_stage(spark, raw_path, RECORD_SCHEMA, fmt)
-    write_stage(score_dataset(raw, scored_at=scored_at, cfg=cfg), scored_path, fmt)
-    row = score_summary(load_scored(spark, scored_path, fmt)).first()
-    return row.asDict()
+    summary = Observation("score_summary")
+    scored = score_dataset(raw, scored_at=scored_at, cfg=cfg)
+    write_stage(scored.observe(summary, *score_summary_exprs()), scored_path, fmt)
+    return finish_score_summary(summary.get)
 
 
 def run_stages(
