@@ -96,3 +96,21 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == ["ord", "cve_id", "severity", "published", "composite_score", "severity_rank", "sample_rank"]
+
+
+@pytest.fixture(scope="module")
+def shuffled_dir(spark, tmp_path_factory):
+    """The sf0.001 documents in a random row order, spread over five files."""
+    from pyspark.sql import functions as F
+
+    out = tmp_path_factory.mktemp("shuffled")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs.orderBy(F.rand(7)).repartition(5).write.parquet(str(out / "documents.parquet"))
+    return str(out)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_results_do_not_depend_on_input_order(spark, shuffled_dir, name):
+    base = QUERIES[name](spark, SF_SMALL)
+    moved = QUERIES[name](spark, shuffled_dir)
+    assert _rows(base.columns, [tuple(r) for r in base.collect()]) == _rows(moved.columns, [tuple(r) for r in moved.collect()])

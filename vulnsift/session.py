@@ -37,8 +37,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster sets this to a shared, fault-tolerant location and we use it as
-    is. Only when it is unset (local tests) do we point it at a fresh local
-    scratch folder.
+    is. Only a local-mode session (tests) without the setting gets a fresh
+    local scratch folder; on a cluster a missing setting is an error, since a
+    machine-local folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get(CHECKPOINT_CONF, None)
@@ -48,6 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            f"{CHECKPOINT_CONF} is not set: point it at shared storage (e.g. the cluster's distributed file system)"
+        )
     folder = tempfile.mkdtemp(prefix="vulnsift-ckpt-")
     sc.setCheckpointDir(folder)
     return folder
