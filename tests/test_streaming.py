@@ -41,3 +41,15 @@ def test_incremental_scoring(spark, tmp_path):
     start_incremental_scoring(spark, str(raw), out, ckpt).awaitTermination()
     assert spark.read.parquet(out).count() == 9
     assert all(r["scored_at"].endswith("Z") for r in spark.read.parquet(out).collect())
+
+
+def test_incremental_scoring_dedups_within_horizon(spark, tmp_path):
+    raw, out, ckpt = tmp_path / "raw", str(tmp_path / "scored"), str(tmp_path / "ckpt")
+    _land(raw, "a.json", [_row(1), _row(2), _row(1, source="huggingface")])
+    start_incremental_scoring(spark, str(raw), out, ckpt, dedup_horizon="1 hour").awaitTermination()
+    got = spark.read.parquet(out)
+    assert sorted(r["cve_id"] for r in got.collect()) == ["CVE-2024-00001", "CVE-2024-00002"]
+    _land(raw, "b.json", [_row(2, source="huggingface"), _row(3)])
+    start_incremental_scoring(spark, str(raw), out, ckpt, dedup_horizon="1 hour").awaitTermination()
+    assert sorted(r["cve_id"] for r in spark.read.parquet(out).collect()) == [
+        "CVE-2024-00001", "CVE-2024-00002", "CVE-2024-00003"]
