@@ -25,6 +25,10 @@ from vulnsift.operators.filtering import (
 )
 
 
+# Largest sample written as a single file per route.
+SINGLE_FILE_ROWS = 1_000_000
+
+
 def sample_bound(cfg: CurationConfig) -> int:
     return len(K.SEVERITY_ORDER) * cfg.per_severity_quota
 
@@ -147,7 +151,14 @@ def run_filter_pipeline(
 
     small = sample.withColumn("contamination_flag", F.when(F.col("contamination_flag"), F.lit(True)))
     small = small.withColumn("route", route_expr())
-    small = small.coalesce(1).sortWithinPartitions("route", "severity_rank", "sample_rank")
+    if sample_bound(cfg) <= SINGLE_FILE_ROWS:
+        # At most 5 × quota rows: one file per route, in sample order.
+        small = small.coalesce(1).sortWithinPartitions("route", "severity_rank", "sample_rank")
+    else:
+        # A large quota: range-partition by the sample order and write in parallel.
+        small = small.repartitionByRange("severity_rank", "sample_rank").sortWithinPartitions(
+            "route", "severity_rank", "sample_rank"
+        )
     write_stage(small, output_dir, fmt, partition_by="route", mode="append")
 
     drawn = sample.agg(
