@@ -156,3 +156,24 @@ def test_keep_first_plan_limits_before_shuffle(records):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert df.count() == 1 and F is not None
+
+
+def _pg(start, n, per=3, total=100):
+    return {"startIndex": start, "resultsPerPage": per, "totalResults": total,
+            "vulnerabilities": [{"cve": {"id": f"CVE-2024-{start + i}"}} for i in range(n)]}
+
+
+@pytest.mark.parametrize(
+    "pages,kept",
+    [
+        ([_pg(0, 3), _pg(3, 3), _pg(6, 3)], 9),  # all full pages
+        ([_pg(0, 3), _pg(3, 2), _pg(6, 3)], 5),  # short page ends the fetch
+        ([_pg(0, 3), _pg(3, 0), _pg(6, 3)], 3),  # empty page ends the fetch
+        ([_pg(0, 3, total=5), _pg(3, 3, total=5), _pg(6, 3, total=5)], 6),  # totalResults reached
+        ([_pg(6, 3), _pg(0, 3), _pg(3, 1)], 4),  # landing order does not matter
+    ],
+)
+def test_pages_within_fetch(spark, pages, kept):
+    df = spark.createDataFrame(pages, NVD_PAGE_SCHEMA)
+    out = normalise.normalise_primary_pages(normalise.pages_within_fetch(df))
+    assert out.count() == kept

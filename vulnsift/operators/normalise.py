@@ -65,6 +65,24 @@ def pick_cwe_ids(weaknesses: Column) -> Column:
     return F.filter(F.flatten(nested), lambda v: F.coalesce(v.startswith(K.CWE_PREFIX), F.lit(False)))
 
 
+def pages_within_fetch(pages: DataFrame) -> DataFrame:
+    """Drop landed pages the paging loop would never have reached.
+
+    A fetch stops after an empty page, after a short page (fewer entries
+    than ``resultsPerPage`` asked for) and once ``startIndex`` plus the page's
+    entries reaches ``totalResults``; pages starting at or after the first such
+    end are not part of the feed. The end is one aggregate over the page
+    headers (a scalar subquery), so the pages themselves are filtered in place.
+    """
+    n = F.coalesce(F.size(F.col("vulnerabilities")), F.lit(0))
+    start = F.coalesce(F.col("startIndex"), F.lit(0))
+    asked = F.col("resultsPerPage")
+    total = F.col("totalResults")
+    terminal = (n == 0) | (asked.isNotNull() & (n < asked)) | (total.isNotNull() & (start + n >= total))
+    end = pages.agg(F.min(F.when(terminal, start + n)).alias("end")).scalar()
+    return pages.filter(end.isNull() | (start < end))
+
+
 def normalise_primary_pages(pages: DataFrame) -> DataFrame:
     """Landed pages → one flat record per vulnerability entry, in page order."""
     entries = pages.select(

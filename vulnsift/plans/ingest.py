@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from vulnsift import config as K
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.operators.merge import cap_records, drop_known_ids, keep_first, ordered_union
-from vulnsift.operators.normalise import RECORD_COLUMNS, normalise_mirror_rows, normalise_primary_pages
+from vulnsift.operators.normalise import (
+    RECORD_COLUMNS,
+    normalise_mirror_rows,
+    normalise_primary_pages,
+    pages_within_fetch,
+)
 
 
 def merge_sources(primary: DataFrame, mirror: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -31,7 +36,8 @@ def merge_sources(primary: DataFrame, mirror: DataFrame, cfg: CurationConfig = D
 
 def ingest_frames(pages: DataFrame, mirror_rows: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
     """Landed pages and mirror rows → deduplicated records (lazy)."""
-    return merge_sources(normalise_primary_pages(pages), normalise_mirror_rows(mirror_rows), cfg)
+    primary = normalise_primary_pages(pages_within_fetch(pages))
+    return merge_sources(primary, normalise_mirror_rows(mirror_rows), cfg)
 
 
 def _source_count_exprs() -> list:

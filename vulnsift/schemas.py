@@ -63,6 +63,7 @@ NVD_CVE = T.StructType(
 NVD_PAGE_SCHEMA = T.StructType(
     [
         _f("startIndex", L),
+        _f("resultsPerPage", L),
         _f("totalResults", L),
         _f("vulnerabilities", T.ArrayType(T.StructType([_f("cve", NVD_CVE)]))),
     ]

@@ -13,7 +13,7 @@ DuckDB oracle. ``ord`` (the document id) is the record order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vulnsift.sources.partitioning import spread_small_input
@@ -228,17 +228,22 @@ def primary_entries(raw: DataFrame) -> DataFrame:
 def pages_of(entries: DataFrame) -> DataFrame:
     """Group entries into API pages of at most 100, in ``ord`` order.
 
-    A page collects at most ``PAGE_SIZE`` entries (bounded group). Positions
-    inside a page follow ``ord``, so ``startIndex + position`` preserves the
-    record order.
+    A page collects at most ``PAGE_SIZE`` entries (bounded group).
+    ``startIndex`` is the running total of the entries on earlier pages (a
+    window over the page table, one row per page), so ``startIndex + position``
+    numbers the feed densely and in order; ``resultsPerPage`` is what each page
+    holds, so no page reads as a short page before the last one.
     """
     total = entries.agg(F.count(F.lit(1))).scalar()
     page = F.floor(F.col("ord") / F.lit(PAGE_SIZE)).cast("long")
     grouped = entries.groupBy(page.alias("page")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("ord"), F.col("cve")))).alias("_items")
     )
+    n = F.size("_items").cast("long")
+    before = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return grouped.select(
-        (F.col("page") * F.lit(PAGE_SIZE)).alias("startIndex"),
+        (F.sum(n).over(before) - n).alias("startIndex"),
+        n.alias("resultsPerPage"),
         total.cast("long").alias("totalResults"),
         F.transform("_items", lambda x: F.struct(x.getField("cve").alias("cve"))).alias("vulnerabilities"),
     )
