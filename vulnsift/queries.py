@@ -43,7 +43,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
             version = (st.st_size, st.st_mtime_ns)
         except OSError:  # not a local path: build every time
             return fn(spark, sf_dir)
-        store = spark.sparkContext.__dict__.setdefault("_vulnsift_frames", {})
+        store = spark.__dict__.setdefault("_vulnsift_frames", {})
         key = (fn.__name__, os.path.abspath(sf_dir), version)
         if key not in store:
             store[key] = fn(spark, sf_dir)
@@ -125,7 +125,7 @@ def mirror_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_nvd_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(normalise.normalise_primary_pages(all_pages(spark, sf_dir)))
+    return _flat(normalise.normalise_primary_pages(normalise.pages_within_fetch(all_pages(spark, sf_dir))))
 
 
 def q_hf_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
