@@ -21,6 +21,7 @@ from vulnsift.operators import filtering, merge, normalise, report, scoring, sum
 from vulnsift.plans import filter as filter_plan
 from vulnsift.plans import ingest as ingest_plan
 from vulnsift.plans.stages import observe_stage
+from vulnsift.session import ensure_checkpoint_dir
 from vulnsift.sources.fixture import cve_records, date_samples, mirror_rows, primary_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,24 +105,31 @@ def _flat(df: DataFrame) -> DataFrame:
     )
 
 
+def _landed(df: DataFrame) -> DataFrame:
+    """Write a derived feed once, as a landing would be: a reliable checkpoint in
+    the shared ``spark.checkpoint.dir``. The source queries then scan it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 @_prepared
 def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return primary_pages(spark, sf_dir)
+    return _landed(primary_pages(spark, sf_dir))
 
 
 @_prepared
 def all_mirror_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mirror_rows(spark, sf_dir)
+    return _landed(mirror_rows(spark, sf_dir))
 
 
 @_prepared
 def primary_feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return primary_pages(spark, sf_dir, only_source=K.SOURCE_PRIMARY)
+    return _landed(primary_pages(spark, sf_dir, only_source=K.SOURCE_PRIMARY))
 
 
 @_prepared
 def mirror_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mirror_rows(spark, sf_dir, exclude_source=K.SOURCE_PRIMARY)
+    return _landed(mirror_rows(spark, sf_dir, exclude_source=K.SOURCE_PRIMARY))
 
 
 def q_nvd_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
