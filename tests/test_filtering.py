@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import glob
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vulnsift import oracle
-from vulnsift.config import KEYWORD_CAP, SECURITY_KEYWORDS
+from vulnsift.config import SECURITY_KEYWORDS
 from vulnsift.functions.dates import with_parsed_date
 from vulnsift.operators import scoring
 from vulnsift.plans.filter import classify
@@ -87,4 +87,3 @@ def test_random_records_agree_with_sql(spark, seed):
                 assert (a is None and b is None) or math.isclose(a, b, abs_tol=1e-9), (o, c, a, b, rows[o])
             else:
                 assert a == b, (o, c, a, b, rows[o])
-    assert KEYWORD_CAP == 3

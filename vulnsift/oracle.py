@@ -10,7 +10,7 @@ out because DuckDB reads ``0.1`` as DECIMAL.
 from __future__ import annotations
 
 from vulnsift import config as K
-from vulnsift.sources.fixture import DATE_SAMPLES, cve_relation_sql, date_samples_sql
+from vulnsift.sources.fixture import cve_relation_sql, date_samples_sql
 
 CFG = K.DEFAULT_CONFIG
 
