@@ -151,11 +151,19 @@ def test_uncapped_merge_equals_anti_join_path(records):
     assert key(fast) == key(slow)
 
 
-def test_keep_first_plan_limits_before_shuffle(records):
-    df = merge.keep_first(records([dict(cve_id="A"), dict(cve_id="A")]))
+def test_keep_first_aggregates_keys_before_shuffle(records):
+    df = merge.keep_first(records([dict(cve_id="A"), dict(cve_id="A"), dict(cve_id="B")]))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
-    assert df.count() == 1 and F is not None
+    assert "LeftSemi" in plan and "HashAggregate" in plan and "Window" not in plan
+    assert sorted((r["cve_id"], r["ord"]) for r in df.collect()) == [("A", 0), ("B", 2)]
+    assert F is not None
+
+
+def test_keep_first_hot_key(records):
+    rows = [dict(cve_id="HOT") for _ in range(300)] + [dict(cve_id=f"K{i}") for i in range(150)]
+    out = merge.keep_first(records(rows))
+    assert out.count() == 151
+    assert out.filter(F.col("cve_id") == "HOT").first()["ord"] == 0
 
 
 def _pg(start, n, per=3, total=100):
