@@ -43,13 +43,16 @@ def keep_first(df: DataFrame, key: str = "cve_id") -> DataFrame:
     Two steps instead of a window over the full records: the first ``ord`` of
     every key is an aggregate (map-side partial ``min`` collapses a hot key,
     even one holding a third of all records, to one row per task), and the
-    records are then kept by a semi join on ``ord``, which spreads evenly
+    records are then kept by a join on ``ord``, which spreads evenly
     whatever the key distribution. Full records cross the network once,
     partitioned by ``ord``.
     """
     has_key = F.coalesce(F.col(key), F.lit("")) != F.lit("")
     firsts = df.filter(has_key).groupBy(key).agg(F.min("ord").alias("ord")).select("ord")
-    return df.filter(has_key).join(firsts, on="ord", how="left_semi")
+    # An inner join on the unique ``ord`` keeps the same records as a semi join;
+    # unlike a semi join it is not copied into each branch of a union input, so
+    # the key aggregate runs once.
+    return df.filter(has_key).join(firsts, on="ord", how="inner")
 
 
 def cap_records(df: DataFrame, limit: int | None) -> DataFrame:
