@@ -95,7 +95,9 @@ def severity_rank_of_group() -> Column:
 SAMPLE_SALT_BUCKETS = 64
 
 
-def sample_keys(df: DataFrame, k: int, salt_buckets: int | None = None) -> DataFrame:
+def sample_keys(
+    df: DataFrame, k: int, salt_buckets: int | None = None, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """``(ord, severity_rank, sample_rank)`` of the top-k records per severity group.
 
     Only the key columns and the composite travel through the sorts and
@@ -109,6 +111,7 @@ def sample_keys(df: DataFrame, k: int, salt_buckets: int | None = None) -> DataF
     The first level pays off when there are many more map tasks than
     buckets; by default it is used when the cluster's default parallelism
     exceeds ``SAMPLE_SALT_BUCKETS`` (``salt_buckets=1`` turns it off).
+    ``carry`` names further (small) columns to keep with the keys.
     """
     if salt_buckets is None:
         parallelism = df.sparkSession.sparkContext.defaultParallelism
@@ -116,6 +119,7 @@ def sample_keys(df: DataFrame, k: int, salt_buckets: int | None = None) -> DataF
     composite = F.coalesce(F.col("composite_score"), F.lit(0.0))
     keys = df.select(
         F.col("ord"),
+        *carry,
         severity_rank_of_group().alias("severity_rank"),
         composite.alias("_composite"),
     ).filter(F.col("severity_rank").isNotNull())

@@ -71,16 +71,20 @@ def attach_sample(classified: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -
     configuration) travel back to the records, by broadcast when small, so
     routing stays map-side and the records are scanned once more at most.
     """
-    marks = sample_keys(ready_tier(classified, cfg), cfg.per_severity_quota)
+    # Dates are parsed for the sampled keys only (at most 5 × quota rows).
+    marks = sample_keys(ready_tier(classified, cfg), cfg.per_severity_quota, carry=("published",))
+    marks = with_contamination_flag(marks, cfg, target="_post_cutoff").select(
+        "ord",
+        "severity_rank",
+        "sample_rank",
+        F.lit(True).alias("sampled"),
+        F.when(F.col("_post_cutoff"), F.lit(True)).alias("contamination_flag"),
+    )
     if sample_bound(cfg) <= BROADCAST_SAMPLE_ROWS:
         marks = F.broadcast(marks)
     joined = classified.join(marks, on="ord", how="left")
-    sampled = F.col("sample_rank").isNotNull()
-    joined = with_contamination_flag(joined.withColumn("sampled", sampled), cfg, target="_post_cutoff")
-    # Only flagged records carry the contamination mark.
-    joined = joined.withColumn("contamination_flag", F.when(sampled & F.col("_post_cutoff"), F.lit(True))).drop(
-        "_post_cutoff"
-    )
+    # Only flagged records carry the contamination mark; unsampled ones are not sampled.
+    joined = joined.withColumn("sampled", F.coalesce(F.col("sampled"), F.lit(False)))
     return joined.withColumn("route", route_expr())
 
 
