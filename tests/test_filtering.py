@@ -167,3 +167,10 @@ def test_sample_keys_salting_is_exact(scored, buckets):
     plain = sorted(tuple(r) for r in filtering.sample_keys(df, 7, salt_buckets=1).collect())
     salted = sorted(tuple(r) for r in filtering.sample_keys(df, 7, salt_buckets=buckets).collect())
     assert salted == plain and len(plain) == 21
+
+
+def test_zero_threshold_keeps_missing_composite(scored):
+    cfg = CurationConfig(quality_threshold=0.0, review_floor=0.0)
+    rows = [scored_row(composite_score=None), scored_row(composite_score=0.5)]
+    out = filter_plan.summary_of(filter_plan.build_routes(scored(rows), cfg)).first()
+    assert out["training_ready_raw"] == 2 and out["sampled"] == 2

@@ -42,11 +42,14 @@ def classify(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFra
 def ready_tier(classified: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
     """Kept records of the ready tier.
 
-    The plain ``composite_score >= threshold`` conjunct is implied by the tier
-    and lets a Parquet scan skip row groups by their min/max statistics.
+    For a positive threshold the plain ``composite_score >= threshold``
+    conjunct is implied by the tier (a missing composite counts as 0) and lets
+    a Parquet scan skip row groups by their min/max statistics.
     """
-    implied = F.col("composite_score") >= F.lit(cfg.quality_threshold)
-    return classified.filter(implied & (F.col("tier") == F.lit(K.TIER_READY)))
+    ready = F.col("tier") == F.lit(K.TIER_READY)
+    if cfg.quality_threshold > 0:
+        ready = (F.col("composite_score") >= F.lit(cfg.quality_threshold)) & ready
+    return classified.filter(ready)
 
 
 def sample_of(classified: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
