@@ -141,3 +141,10 @@ def test_shared_report_equals_standalone_tables(spark):
         assert sorted(table.columns) == sorted(alone.columns), name
         key = lambda df: sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
         assert key(table) == key(alone), name
+
+
+def test_nan_composite_is_in_no_band_or_bin(scored):
+    rows = [scored_row(composite_score=float("nan")), scored_row(composite_score=0.7)]
+    bands = {r["bucket"]: r["count"] for r in report.readiness_breakdown(scored(rows)).collect()}
+    assert bands == {"Training Ready": 1, "Review Queue": 0, "Rejected": 0}
+    assert sum(r["count"] for r in report.score_histogram(scored(rows)).collect()) == 1

@@ -216,7 +216,8 @@ _BANDS = ("Training Ready", "Review Queue", "Rejected")
 def _readiness_aggs(cfg: CurationConfig) -> list[Column]:
     c = _score("composite_score")
     hi, lo = F.lit(cfg.quality_threshold), F.lit(cfg.review_floor)
-    conds = (c >= hi, (c >= lo) & (c < hi), c < lo)
+    real = ~F.isnan(c)  # NaN compares false with every bound: it is in no band
+    conds = (real & (c >= hi), real & (c >= lo) & (c < hi), real & (c < lo))
     return [F.count_if(cond).alias(f"band_{i}") for i, cond in enumerate(conds)]
 
 
@@ -249,7 +250,10 @@ def readiness_breakdown(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG)
 def _histogram_aggs() -> list[Column]:
     """One conditional count per bin: every bin exists (empty ones count 0),
     out-of-range scores land in none, and no join is needed."""
-    grid = F.round(_score("composite_score") * 10000).cast("long")
+    c = _score("composite_score")
+    # NaN or infinite scores fall in no bin (and are not cast to a number).
+    finite = ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+    grid = F.when(finite, F.round(c * 10000)).cast("long")
     step = round(K.HISTOGRAM_WIDTH * 10000)
     bin_no = F.floor(grid / step)
     return [F.count_if(bin_no == i).alias(f"hist_{i}") for i in range(K.HISTOGRAM_BINS)]
