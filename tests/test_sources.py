@@ -84,3 +84,20 @@ def test_capped_ingest(spark, tmp_path):
     cfg = CurationConfig(primary_cap=50, mirror_cap=20)
     result = run_stages(spark, "ingest", paths, pages, mirror, cfg=cfg)
     assert result.ingest["nvd"] <= 50 and result.ingest["huggingface"] <= 20
+
+
+def test_mirror_landings_csv_and_parquet(spark, tmp_path):
+    from vulnsift.operators.normalise import normalise_mirror_rows
+    from vulnsift.sources.landing import read_mirror
+
+    rows = mirror_rows(spark, SF_SMALL)
+    rows.write.option("header", True).option("escape", '"').csv(str(tmp_path / "csv"))
+    rows.write.parquet(str(tmp_path / "pq"))
+    key = lambda df: sorted((r["ord"], r["cve_id"], r["cvss_score"], r["severity"]) for r in df.collect())
+    want = key(normalise_mirror_rows(rows))
+    assert key(normalise_mirror_rows(read_mirror(spark, str(tmp_path / "pq"), "parquet"))) == want
+    assert key(normalise_mirror_rows(read_mirror(spark, str(tmp_path / "csv"), "csv"))) == want
+    swapped = rows.select("ord", "DESCRIPTION", "CVE-ID", "CVSS-V4", "CVSS-V3", "CVSS-V2", "SEVERITY", "CWE-ID")
+    swapped.write.option("header", True).option("escape", '"').csv(str(tmp_path / "bad"))
+    with pytest.raises(Exception):
+        read_mirror(spark, str(tmp_path / "bad"), "csv").collect()

@@ -26,6 +26,7 @@ def read_mirror(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         return (
             spark.read.schema(MIRROR_SCHEMA)
             .option("header", True)
+            .option("enforceSchema", False)  # header names must match the schema
             .option("mode", "FAILFAST")
             .option("multiLine", True)
             .option("escape", '"')
