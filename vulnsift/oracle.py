@@ -172,7 +172,32 @@ def filtering_prefix() -> str:
     return f"{scoring_prefix()}, {filter_ctes()}"
 
 
+def _bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)``.
+
+    DuckDB's ``count_if`` returns HUGEINT; Spark's returns BIGINT.
+    """
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(token) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j : k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def oracles() -> dict[str, str]:
+    return {name: _bigint_counts(sql) for name, sql in _oracles().items()}
+
+
+def _oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     cve = f"WITH {cve_cte()}"
 
