@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
@@ -47,6 +48,9 @@ def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     rel = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for col, dtype in df.dtypes:
+        assert SPARK_TO_DUCK.get(dtype, dtype) == duck_types[col], (col, dtype, duck_types[col])
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
     want = _rows(rel.columns, rel.fetchall())
     assert got == want
