@@ -33,8 +33,10 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     Building the derived relation and its scoring costs a few hundred
     milliseconds of plan analysis; the frame is a pure function of the
     documents file, so it is built once per session (keyed on the file's
-    size and modification time) like a prepared statement. Only the plan is
-    reused: every action still scans and computes.
+    size and modification time) like a prepared statement. For the scored and
+    record frames only the plan is reused: every action still scans and
+    computes. The derived source landings (``_landed``) are data written once
+    per session and scanned by every run, as landed files would be.
     """
 
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +56,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     wrapper.__doc__ = fn.__doc__
     return wrapper
 
+
 # Fixed batch timestamp for reproducible scored output.
 FIXED_SCORED_AT = "2025-01-01T00:00:00Z"
 
