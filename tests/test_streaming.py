@@ -53,3 +53,12 @@ def test_incremental_scoring_dedups_within_horizon(spark, tmp_path):
     start_incremental_scoring(spark, str(raw), out, ckpt, dedup_horizon="1 hour").awaitTermination()
     assert sorted(r["cve_id"] for r in spark.read.parquet(out).collect()) == [
         "CVE-2024-00001", "CVE-2024-00002", "CVE-2024-00003"]
+
+
+def test_incremental_scoring_from_parquet(spark, tmp_path):
+    from vulnsift.schemas import RECORD_SCHEMA as schema
+
+    raw, out, ckpt = tmp_path / "raw", str(tmp_path / "scored"), str(tmp_path / "ckpt")
+    spark.createDataFrame([_row(i) for i in range(4)], schema).write.parquet(str(raw / "batch1"))
+    start_incremental_scoring(spark, str(raw / "batch1"), out, ckpt, fmt="parquet").awaitTermination()
+    assert spark.read.parquet(out).count() == 4

@@ -32,12 +32,16 @@ def scored_stream(
     cfg: CurationConfig = DEFAULT_CONFIG,
     files_per_batch: int | None = None,
     dedup_horizon: str | None = None,
+    fmt: str = "json",
 ) -> DataFrame:
-    """Streaming frame of scored, classified records from JSON-lines landings."""
+    """Streaming frame of scored, classified records from raw record files
+    (JSON lines or Parquet, as the stage runner writes them)."""
     reader = spark.readStream.schema(RECORD_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    raw = reader.json(raw_dir)
+    if fmt not in ("json", "parquet"):
+        raise ValueError(f"unsupported raw format: {fmt}")
+    raw = reader.json(raw_dir) if fmt == "json" else reader.parquet(raw_dir)
     if dedup_horizon:
         raw = (
             raw.withColumn("_arrived", F.current_timestamp())
@@ -63,6 +67,7 @@ def start_incremental_scoring(
     available_now: bool = True,
     files_per_batch: int | None = None,
     dedup_horizon: str | None = None,
+    fmt: str = "json",
 ) -> StreamingQuery:
     """Start the stream writing Parquet to ``scored_dir``.
 
@@ -70,7 +75,7 @@ def start_incremental_scoring(
     scheduled incremental run); otherwise it keeps running with the default
     trigger. ``checkpoint_dir`` must be on shared, durable storage.
     """
-    stream = scored_stream(spark, raw_dir, cfg, files_per_batch, dedup_horizon)
+    stream = scored_stream(spark, raw_dir, cfg, files_per_batch, dedup_horizon, fmt)
     writer = (
         stream.writeStream.format("parquet")
         .option("path", scored_dir)
