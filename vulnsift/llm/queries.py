@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnsift.llm import ann, bytebpe, packing, sharding, tokenfiles, topk
-from vulnsift.llm.common import TOKENIZER_DIR, shared_path, table
+from vulnsift.llm import ann, bytebpe, langid, licenses, packing, quality, sharding, tokenfiles, topk
+from vulnsift.llm.common import TOKENIZER_DIR, crc_mod, shared_path, table
 
 WORD_BPE = f"{TOKENIZER_DIR}/word_bpe_49k.json"
 BYTE_BPE = f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken"
@@ -28,10 +28,27 @@ def op3_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.trained_identify(docs)
+    held_out = (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.trained_classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held_out = (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out")
+    return found.select("doc_id", held_out, "score", "predicted")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -45,7 +62,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_threshold_topk": op1_threshold_topk,
         "op2_token_files": op2_token_files,
         "op3_collision_ann": op3_collision_ann,
+        "op4_language_id": op4_language_id,
+        "op6_license_scan": op6_license_scan,
         "op7_byte_bpe": op7_byte_bpe,
+        "op8_quality": op8_quality,
         "op9_packing": op9_packing,
         "op10_sharding": op10_sharding,
     }
@@ -53,20 +73,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 OP1_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, r.vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.c) + 1), i -> q.c[i] * r.c[i])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * r.c[i])) AS BIGINT) AS score
   FROM v q JOIN v r ON q.vec_id % 100 = 0 AND r.vec_id <> q.vec_id AND len(q.c) = len(r.c)
 )
-SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
-FROM s QUALIFY row_number() OVER w <= 10
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
 """
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_threshold_topk": OP1_SQL}
+    return {"op1_threshold_topk": OP1_SQL, "op6_license_scan": licenses.oracle()}
