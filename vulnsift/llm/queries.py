@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnsift.llm import ann, bytebpe, langid, licenses, packing, quality, sharding, tokenfiles, topk
+from vulnsift.llm import ann, bytebpe, jaccard, langid, licenses, packing, quality, sharding, tokenfiles, topk
 from vulnsift.llm.common import TOKENIZER_DIR, crc_mod, shared_path, table
 
 WORD_BPE = f"{TOKENIZER_DIR}/word_bpe_49k.json"
@@ -35,6 +35,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": op2_token_files,
         "op3_collision_ann": op3_collision_ann,
         "op4_language_id": op4_language_id,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_license_scan": op6_license_scan,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_quality": op8_quality,
