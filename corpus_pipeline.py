@@ -4,17 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vulnsift.llm import packing
+from vulnsift.llm import jaccard, langid, packing, quality
 from vulnsift.llm.common import shared_path, table
 from vulnsift.llm.queries import WORD_BPE
 
+# A text of one language scores at least 0.5 however short it is; below this, it
+# is a mixture in which no language has much of a share.
+LEAST_LANGUAGE_SCORE = 0.35
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; those without letters, null texts among them, and
+    mixtures without a main language go."""
+    return langid.keep_identified(docs, langid.train_on_folds(docs), LEAST_LANGUAGE_SCORE)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts as label 1."""
+    return quality.keep_predicted(docs, quality.train_on_folds(docs, table(spark, sf_dir, "labels")))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document of the least id, once. Rows
+    without an id can't be told apart and stay."""
+    classes = jaccard.near_duplicates(docs)
+    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut and pack what is left into sequences of 2048 tokens."""
     return packing.pack_documents(docs, WORD_BPE)
 
 
-STAGES = [("packing", pack)]
+STAGES = [("language", language), ("quality", clean), ("near_duplicates", deduplicate), ("packing", pack)]
 ORACLE_SQL = None  # trained classifiers and a tokenizer file have no SQL
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vulnsift.llm.common import bounded_batches
+from vulnsift.llm.common import bounded_batches, map_batches
 from vulnsift.llm.pieces import WHITE, Ragged, WordTable, per_text, split
 
 # The pattern is part of the file format of the ranks (a fixed value).
@@ -265,7 +265,7 @@ def encode_documents(docs: DataFrame, ranks: str) -> DataFrame:
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, "doc_id long, ids array<int>")
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:
@@ -279,7 +279,7 @@ def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:
             out = [bpe.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "bytes"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
+    return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, bytes binary")
 
 
 def digests(docs: DataFrame, ranks: str) -> DataFrame:
@@ -300,4 +300,4 @@ def digests(docs: DataFrame, ranks: str) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, SCHEMA)
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, SCHEMA)

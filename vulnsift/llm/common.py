@@ -2,20 +2,50 @@
 
 from __future__ import annotations
 
-import re
+import os
+import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import vulnsift
 from vulnsift.session import ensure_checkpoint_dir
 
 TOKENIZER_DIR = "/opt/tokenizers"
 BATCH_BYTES = 16 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application: their Python
+    workers need not find it by a path of their own."""
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(vulnsift.__file__))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(root):
+        return
+    name = os.path.join(tempfile.mkdtemp(prefix="vulnsift-package-"), "vulnsift_package.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(name)
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package on the executors."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, by whatever path Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -52,6 +82,3 @@ def bounded_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int =
 def crc_mod(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
-
-
-ISOLATED_SPACE = re.compile(r"\s\s")

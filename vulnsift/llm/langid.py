@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnsift.llm.common import bounded_batches, crc_mod
-from vulnsift.llm.ngrams import gram_sums, grams, labelled_sample
+from vulnsift.llm.common import bounded_batches, crc_mod, map_batches
+from vulnsift.llm.ngrams import collected, gram_sums, grams, sample_rows
 from vulnsift.llm.pieces import NOT_LETTER, WordTable, split
 
 # First code points of ranges of one script (fixed values of the Unicode blocks).
@@ -63,7 +63,8 @@ class LanguageModel:
 def train(docs: DataFrame, per_language: int = 1200, longest: int = 20_000) -> LanguageModel:
     """Naive-Bayes n-gram weights from about ``per_language`` labelled documents of
     each language, of at most ``longest`` characters (``docs``: doc_id, text, lang)."""
-    sample, counts = labelled_sample(docs, "lang", per_language, longest)
+    rows, counts = sample_rows(docs.where("text is not null"), "lang", per_language)
+    sample = collected(rows, "lang", per_language, longest)
     langs = sorted(counts)
     seen = np.full((BUCKETS, max(len(langs), 1)), 0.1)
     by_script: dict[str, np.ndarray] = {}
@@ -210,6 +211,14 @@ class Labeller:
 _LABELLERS: dict[int, Labeller] = {}
 
 
+def _held(shared) -> Labeller:
+    """The worker's labeller for a broadcast model."""
+    held = _LABELLERS.get(0)
+    if held is None or held.model is not shared.value:
+        held = _LABELLERS[0] = Labeller(shared.value)
+    return held
+
+
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The language of every whole text of ``docs`` (doc_id, text): doc_id,
     lang_pred, score, spans.
@@ -226,21 +235,35 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed number of buckets x languages
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = next(iter(_LABELLERS.values()), None)
-        if held is None or held.model is not shared.value:
-            _LABELLERS.clear()
-            held = _LABELLERS[0] = Labeller(shared.value)
         span = pa.list_(pa.struct([("lang", pa.string()), ("begin", pa.int64()), ("end", pa.int64())]))
         for batch in bounded_batches(batches, "text", 4 << 20):
-            found = list(held.label(batch.column("text")))
+            found = list(_held(shared).label(batch.column("text")))
             spans = [[{"lang": x, "begin": b, "end": e} for x, b, e in s] for _, _, s in found]
             arrays = [batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(spans, span)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score", "spans"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, SCHEMA)
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, SCHEMA)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, with a score of at least
+    ``least``; all columns as they are. Cases as in ``identify``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded_batches(batches, "text", 4 << 20):
+            found = _held(shared).label(batch.column("text"))
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score, _ in found], pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
+
+
+def train_on_folds(docs: DataFrame) -> LanguageModel:
+    """Train on the documents whose crc32(doc_id) modulo 5 isn't 0."""
+    training = docs.where(crc_mod(F.col("doc_id"), 5) != 0)
+    return train(training.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "cast(lang as string) lang"))
 
 
 def trained_identify(docs: DataFrame) -> DataFrame:
-    """Train on the documents whose crc32(doc_id) modulo 5 isn't 0, label all."""
-    training = docs.where(crc_mod(F.col("doc_id"), 5) != 0).selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "cast(lang as string) lang")
-    return identify(docs, train(training))
+    """Train on the folds that aren't held out, label all documents."""
+    return identify(docs, train_on_folds(docs))

@@ -42,19 +42,25 @@ def gram_sums(words: list[bytes], sizes: tuple[int, ...], weights: np.ndarray) -
     return sums, counts
 
 
-def labelled_sample(rows: DataFrame, label: str, per_label: int, longest: int) -> tuple[list[tuple], dict]:
-    """About ``per_label`` (at most twice as many) rows (text, label) of each label,
-    by a hash of doc_id, of texts of at most ``longest`` characters; and all rows by label."""
-    usable = rows.where(F.col(label).isNotNull() & F.col("text").isNotNull())
-    counts = {r[0]: r[1] for r in usable.groupBy(label).count().collect()}
+def sample_rows(rows: DataFrame, label: str, per_label: int) -> tuple[DataFrame, dict]:
+    """About ``per_label`` rows of each label (and at most four times as many in
+    all as that times the labels), by a hash of doc_id; and the number of all rows
+    by label."""
+    counts = {r[0]: r[1] for r in rows.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
     keep: Column = F.lit(False)
     for value, n in counts.items():
         keep = keep | ((F.col(label) == F.lit(value)) & (draw < F.lit(int(min(1.0, per_label / n) * (1 << 30)))))
-    chosen = usable.where(keep).where(F.length("text") <= longest)
-    out, taken = [], dict.fromkeys(counts, 0)
-    for r in sorted(chosen.select("text", label, "doc_id").collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"])):
-        if taken[r[label]] < 2 * per_label:
-            taken[r[label]] += 1
+    return rows.where(keep).limit(4 * per_label * max(1, len(counts))), counts
+
+
+def collected(rows: DataFrame, label: str, per_label: int, longest: int) -> list[tuple]:
+    """(text, label) of sampled rows of at most ``longest`` characters, in a fixed
+    order, and at most twice ``per_label`` of a label."""
+    out, taken = [], {}
+    usable = rows.where(F.length("text") <= longest).select("text", label, "doc_id")
+    for r in sorted(usable.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"])):
+        taken[r[label]] = taken.get(r[label], 0) + 1
+        if taken[r[label]] <= 2 * per_label:
             out.append((r["text"], r[label]))
-    return out, counts
+    return out

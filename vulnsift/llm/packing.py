@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from vulnsift.llm.common import bounded_batches
+from vulnsift.llm.common import bounded_batches, map_batches
 from vulnsift.llm.wordbpe import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -111,4 +111,4 @@ def pack_documents(
         if ids:
             yield _packed(ids, docs_, capacity, base, (linear, quadratic))
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, SCHEMA)
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, SCHEMA)

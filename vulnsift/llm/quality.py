@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnsift.llm.common import bounded_batches, crc_mod
-from vulnsift.llm.ngrams import gram_sums, grams, labelled_sample
+from vulnsift.llm.common import bounded_batches, crc_mod, map_batches
+from vulnsift.llm.ngrams import collected, gram_sums, grams, sample_rows
 from vulnsift.llm.pieces import Ragged, WordTable, split
 
 SIZES = (2, 3, 4)
@@ -93,11 +93,14 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, prior
     return QualityModel(projected[:BUCKETS, None].astype(np.float32), projected[BUCKETS:].astype(np.float32), float(bias[1] - bias[0]) + prior)
 
 
-def train(rows: DataFrame, per_label: int = 2000, longest: int = 20_000) -> QualityModel:
+def train(docs: DataFrame, marked: DataFrame, per_label: int = 2000, longest: int = 20_000) -> QualityModel:
     """Fit on about ``per_label`` documents of each label, of at most ``longest``
-    characters (``rows``: doc_id, text, quality). Without both labels the score is
-    the one label's (0.5 without any)."""
-    sample, counts = labelled_sample(rows, "quality", per_label, longest)
+    characters (``docs``: doc_id, text; ``marked``: doc_id, quality). Without both
+    labels the score leans to the one there is (0.5 without any)."""
+    chosen, counts = sample_rows(marked, "quality", per_label)
+    # The sample is bounded, so it goes to the documents.
+    rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id")
+    sample = collected(rows, "quality", per_label, longest)
     labels = np.array([int(q) for _, q in sample], np.int64)
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
     s1 = int(labels.sum())
@@ -137,6 +140,14 @@ class Scorer:
 _SCORERS: dict[int, Scorer] = {}
 
 
+def _held(shared) -> Scorer:
+    """The worker's scorer for a broadcast model."""
+    held = _SCORERS.get(0)
+    if held is None or held.model is not shared.value:
+        held = _SCORERS[0] = Scorer(shared.value)
+    return held
+
+
 def classify(docs: DataFrame, model: QualityModel) -> DataFrame:
     """Score every whole text of ``docs`` (doc_id, text): doc_id, score, predicted.
 
@@ -148,20 +159,33 @@ def classify(docs: DataFrame, model: QualityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of buckets
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = next(iter(_SCORERS.values()), None)
-        if held is None or held.model is not shared.value:
-            _SCORERS.clear()
-            held = _SCORERS[0] = Scorer(shared.value)
         for batch in bounded_batches(batches, "text", 4 << 20):
-            score = held.score(batch.column("text"))
+            score = _held(shared).score(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, "doc_id long, score double, predicted int")
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, "doc_id long, score double, predicted int")
+
+
+def keep_predicted(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """The rows of ``docs`` predicted as label 1; all columns as they are. Cases as
+    in ``classify``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded_batches(batches, "text", 4 << 20):
+            yield batch.filter(pa.array(_held(shared).score(batch.column("text")) >= 0.5))
+
+    return map_batches(docs, run, docs.schema)
+
+
+def train_on_folds(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """Train on the labels whose crc32(doc_id) modulo 3 isn't 1. A document with
+    several labels trains with each."""
+    marked = labels.where("quality in (0, 1)").selectExpr("cast(doc_id as long) doc_id", "cast(quality as int) quality").where("doc_id is not null")
+    own = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
+    return train(own, marked.where(crc_mod(F.col("doc_id"), 3) != 1))
 
 
 def trained_classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Train on labelled documents whose crc32(doc_id) modulo 3 isn't 1, score all.
-    A document with several labels trains with each."""
-    marked = labels.where("quality in (0, 1)").selectExpr("cast(doc_id as long) doc_id", "cast(quality as int) quality").where(crc_mod(F.col("doc_id"), 3) != 1)
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").join(marked, "doc_id")
-    return classify(docs, train(rows))
+    """Train on the folds that aren't held out, score all documents."""
+    return classify(docs, train_on_folds(docs, labels))

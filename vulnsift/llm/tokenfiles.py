@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vulnsift.llm.common import bounded_batches
+from vulnsift.llm.common import bounded_batches, map_batches
 from vulnsift.llm.wordbpe import encoder
 
 MAGIC = b"TKID1"
@@ -160,7 +160,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
 
     order = ["doc_id", F.xxhash64("text")]
     ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(run, SHARDS).write.option("compression", "uncompressed").parquet(f"{folder}/shards")
+    map_batches(ordered, run, SHARDS).write.option("compression", "uncompressed").parquet(f"{folder}/shards")
     spark.createDataFrame([(dictionary_hash(dictionary), dictionary)], "hash binary, content binary").coalesce(1).write.parquet(f"{folder}/dictionary")
 
 
@@ -190,7 +190,7 @@ def _each(containers: DataFrame, dictionary: bytes, schema: str, row) -> DataFra
                 kinds = [pa.binary() if c.endswith("binary") else pa.int64() for c in schema.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-    return containers.select("base", "part_start", "content").mapInArrow(run, schema)
+    return map_batches(containers.select("base", "part_start", "content"), run, schema)
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:

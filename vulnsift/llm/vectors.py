@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vulnsift.llm.common import ship_package
+
 
 def finite_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """Rows (id, vec, dim) that take part: no null vector, null component, NaN or infinity."""
@@ -34,6 +36,7 @@ def search_in_blocks(vectors: DataFrame, is_query: Column, search: Search, k: in
     returns (query position, data id, score) of at least the ``k`` best of the
     block for each query. The blocks' answers are merged by score, then smaller id.
     """
+    ship_package(vectors.sparkSession)
     # The running number spreads repeated rows with one id over the blocks.
     data = vectors.withColumn("_n", F.monotonically_increasing_id())
     queries = vectors.where(is_query).withColumn("_n", F.monotonically_increasing_id())
