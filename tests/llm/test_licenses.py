@@ -1,0 +1,52 @@
+"""License scan: matching, inheritance, odd cases, no Python in the plan."""
+
+from __future__ import annotations
+
+from vulnsift.llm import licenses
+
+
+def found(df):
+    return {r["path"]: (r["license"], r["basis"], r["origin"]) for r in df.collect()}
+
+
+def test_own_and_inherited(spark):
+    files = [
+        ("LICENSE", "Released under the MIT License."),
+        ("a/LICENSE.txt", "some words\nLicensed under the Apache License, Version 2.0.\n"),
+        ("a/b/c/x.py", "print(1)"),
+        ("a/y.py", "# This work is licensed under the GNU General Public License, version 3."),
+        ("z.py", None),
+        ("d/e/f.py", ""),
+        ("d/COPYING", "nothing of the kind"),
+        ("g/COPYING", "Licensed under CC BY-NC 4.0."),
+        ("g/license-notes.md", "the moon has no license for that and many other unrelated words follow here"),
+        (None, "Released under the MIT License."),
+    ]
+    got = found(licenses.scan(spark.createDataFrame(files, "path string, text string")))
+    assert got == {
+        "LICENSE": ("MIT", "own", None),
+        "a/LICENSE.txt": ("Apache-2.0", "own", None),
+        "a/b/c/x.py": ("Apache-2.0", "inherited", "a"),
+        "a/y.py": ("GPL-3.0", "own", None),
+        "z.py": ("MIT", "inherited", ""),
+        "d/e/f.py": ("MIT", "inherited", ""),
+        "d/COPYING": ("MIT", "inherited", ""),
+        "g/COPYING": ("CC-BY-NC-4.0", "own", None),
+        "g/license-notes.md": ("CC-BY-NC-4.0", "inherited", "g"),
+        None: (None, "none", None),
+    }
+
+
+def test_ties_repeats_and_clashing_columns(spark):
+    rows = [("q/LICENSE-b", "Released under the ISC License."), ("q/LICENSE-a", "Released under the MIT License."), ("q/f", "x" * 100_000), ("q/f", None), ("r", "\n\n")]
+    df = spark.createDataFrame([(p, t, "x", 1, 2.0) for p, t in rows], "path string, text string, token string, pos int, score double")
+    got = found(licenses.scan(df))
+    assert got["q/f"] == ("MIT", "inherited", "q") and got["r"] == (None, "none", None)
+    assert licenses.scan(df.where("false")).count() == 0
+
+
+def test_native_plan(spark):
+    from conftest import SF_SMALL
+
+    plan = licenses.scan_documents(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

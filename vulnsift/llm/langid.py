@@ -170,6 +170,9 @@ class Labeller:
 
     def label(self, texts: pa.Array) -> Iterator[tuple[str, float, list[tuple[str, int, int]]]]:
         """Per text: language, score, spans (language, begin, end in bytes)."""
+        if not self.model.langs:
+            yield from [(UNKNOWN, 0.0, [])] * len(texts)
+            return
         p = split(texts, NOT_LETTER, fold=True)
         rows = self.table.rows_of(p)
         scores, letters = self.scores[rows].astype(np.float64), self.letters[rows]
@@ -177,7 +180,7 @@ class Labeller:
         running = np.concatenate([np.zeros((1, len(langs))), np.cumsum(scores, axis=0)])
         n = len(offsets) - 1
         totals = running[offsets[1:]] - running[offsets[:-1]]
-        top = (totals + 1e-6 * self.model.shares).argmax(axis=1) if langs else np.zeros(n, np.int64)
+        top = (totals + 1e-6 * self.model.shares).argmax(axis=1)
         worded = np.concatenate([[0], np.cumsum(letters)])[offsets]
         mixed = {}
         for i in range(n):
@@ -190,7 +193,7 @@ class Labeller:
         mixed = dict(zip(at.tolist(), viterbi(scores, offsets[at], offsets[at + 1], self.penalty)))
         for i in range(n):
             a, b = int(offsets[i]), int(offsets[i + 1])
-            if not langs or worded[i + 1] == worded[i]:
+            if worded[i + 1] == worded[i]:
                 yield UNKNOWN, 0.0, []
                 continue
             path = mixed.get(i)
@@ -200,8 +203,9 @@ class Labeller:
             begins, ends = [0, *changes.tolist()], [*changes.tolist(), b - a]
             by_lang = np.bincount(path, letters[a:b], len(langs))
             found = int((by_lang + 1e-6 * self.model.shares).argmax())
-            others = np.delete(totals[i], found)
-            margin = min(30.0, max(-30.0, float(totals[i, found] - others.max()))) if len(others) else 30.0
+            own = totals[i] if len(changes) == 0 else scores[a:b][path == found].sum(axis=0)
+            others = np.delete(own, found)
+            margin = min(30.0, max(-30.0, float(own[found] - others.max()))) if len(others) else 30.0
             score = float(by_lang[found] / by_lang.sum()) / (1 + math.exp(-margin))
             base = int(p.text_offsets[i])
             spans = [(langs[int(path[s])], int(p.starts[a + s]) - base, int(p.ends[a + e - 1]) - base) for s, e in zip(begins, ends)]
@@ -226,7 +230,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     Script ranges narrow a word's candidate languages, the word's n-grams score
     them, and Viterbi with a penalty for each change labels spans; the language
     with most letters names the text. ``score`` is its share of the letters times
-    how sure the whole text is of it. Null, empty and letterless texts are ``und``
+    how sure the words of its spans are of it. Null, empty and letterless texts are ``und``
     with score 0 and no spans; equal languages go to the one with more training
     labels; repeated rows and null ids are labelled like any other; without any
     training label all is ``und``; an empty table gives no rows; other columns

@@ -53,6 +53,24 @@ def _smallest(cells: Cells, shards: int, least: int, divisible: bool) -> int:
     return low
 
 
+def _even(cells: Cells, shards: int, capacity: int) -> list[int]:
+    """Byte positions at range ends at which shards end, none above a feasible
+    ``capacity`` and each as near as may be to an equal share of what is left."""
+    total, before = int(cells.before[-1]), cells.before
+    least = [total]  # the earliest end of each shard that leaves the later ones enough
+    for _ in range(shards - 1):
+        least.append(int(before[np.searchsorted(before, least[-1] - capacity, "left")]))
+    least.reverse()
+    ends, at = [], 0
+    for k in range(shards):
+        low = int(np.searchsorted(before, max(at, least[k]), "left"))
+        high = int(np.searchsorted(before, at + capacity, "right"))
+        options = before[low:high]
+        at = int(options[np.abs(options - (at + (total - at) / (shards - k))).argmin()])
+        ends.append(at)
+    return ends
+
+
 def _cells(groups: DataFrame, digits: int) -> dict[str, tuple[int, int, int]]:
     """Prefix -> (bytes, groups, bytes of the largest group); at most 16^DIGITS rows for a parent."""
     rows = groups.groupBy(F.substring("group", 1, digits).alias("p")).agg(F.sum("bytes").alias("b"), F.count("*").alias("n"), F.max("bytes").alias("m")).collect()
@@ -84,7 +102,7 @@ def minimax_cuts(groups: DataFrame, shards: int) -> list[str]:
                 last = int(np.searchsorted(own.before, hi, "left")) - 1
                 unsure |= {i for i in range(max(first, 0), min(last, len(prefix) - 1) + 1) if not own.atomic[i]}
         if not unsure:
-            ends = _greedy(own, shards, works, False)
+            ends = _even(own, shards, works)
             total = int(own.before[-1])
             return [prefix[int(np.searchsorted(own.before, e, "left"))] for e in ends if e < total]
         by_length: dict[int, list[str]] = {}
@@ -103,7 +121,7 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     Documents of equal text stay together. A group larger than an equal share of
     what is left has a shard of its own (largest first); the others, in the order
     of a hash of their text, are cut into contiguous runs so that the largest run
-    is as small as possible. Size is the UTF-8 bytes of the text plus 1; null text
+    is as small as possible and the others as even as that allows. Size is the UTF-8 bytes of the text plus 1; null text
     counts as empty and shares its group. ``slot`` numbers a shard's rows from 0
     without gaps. Repeated rows and null ids take a slot each; an empty table
     gives no rows; other columns are ignored.
