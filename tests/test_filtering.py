@@ -1,176 +1,133 @@
-"""Hard exclusions, tiers, sampling, decontamination and the filter run."""
+"""Exclusions, tiers, sampling, decontamination and the filter run."""
 
 from __future__ import annotations
 
-import glob
-import os
+import itertools
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import scored_row
+from vulnsift import config as K
 from vulnsift.config import CurationConfig
 from vulnsift.operators import filtering
-from vulnsift.plans import filter as filter_plan
-from vulnsift.plans.filter import read_route, run_filter_pipeline
+from vulnsift.plans.filter import filter_summary, read_route, run_filter_pipeline
 
+ROUTES = (K.ROUTE_REJECTED, K.ROUTE_REVIEW, K.ROUTE_FINAL, K.ROUTE_FLAGGED)
 
-def _reasons(df):
-    return [r[0] for r in df.orderBy("ord").select("exclusion_reason").collect()]
 
-
-# hard exclusions ------------------------------------------------------------
-def test_exclusion_placeholder(scored):
-    kept, excluded = filtering.apply_hard_exclusions(scored([scored_row(clarity_score=0.0, composite_score=0.35)]))
-    assert kept.count() == 0 and excluded.count() == 1
-    assert "clarity_score=0.0" in _reasons(excluded)[0]
-
-
-def test_exclusion_empty_description(scored):
-    kept, excluded = filtering.apply_hard_exclusions(scored([scored_row(description="")]))
-    assert kept.count() == 0
-    assert _reasons(excluded) == ["description missing or empty"]
-
-
-def test_exclusion_low_credibility(scored):
-    kept, excluded = filtering.apply_hard_exclusions(scored([scored_row(source_credibility_score=0.2)]))
-    assert kept.count() == 0
-    assert _reasons(excluded) == ["source_credibility_score < 0.3 (untrusted source)"]
-
-
-def test_exclusion_keeps_good_record_and_columns(scored):
-    df = scored([scored_row()])
+# exclusions -------------------------------------------------------------------
+def test_exclusion_reasons_of_every_combination(scored):
+    parts = [(dict(clarity_score=0.0), K.REASON_CLARITY), (dict(description=" \t　 "), K.REASON_BLANK),
+             (dict(source_credibility_score=0.29), K.REASON_UNTRUSTED)]
+    cases = [c for n in range(4) for c in itertools.combinations(parts, n)]
+    rows = [scored_row(**{k: v for change, _ in case for k, v in change.items()}) for case in cases]
+    df = scored(rows)
     kept, excluded = filtering.apply_hard_exclusions(df)
-    assert kept.count() == 1 and excluded.count() == 0
-    assert kept.columns == df.columns  # no column added to kept records
+    got = {r["ord"]: r["exclusion_reason"] for r in excluded.collect()}
+    assert got == {i: "; ".join(reason for _, reason in case) for i, case in enumerate(cases) if case}
+    assert [r["ord"] for r in kept.collect()] == [0] and kept.columns == df.columns
 
 
-def test_exclusion_reasons_in_order(scored):
-    df = scored([scored_row(description=None, clarity_score=0.0, source_credibility_score=0.0)])
-    _, excluded = filtering.apply_hard_exclusions(df)
-    assert _reasons(excluded) == [
-        "clarity_score=0.0 (placeholder or unparseable description); "
-        "description missing or empty; source_credibility_score < 0.3 (untrusted source)"
-    ]
+def test_missing_scores_never_exclude(scored):
+    rows = [scored_row(clarity_score=None), scored_row(source_credibility_score=None), scored_row(source_credibility_score=0.3),
+            scored_row(description=None), scored_row(description="​" * 9)]  # a zero-width space is not blank
+    kept, _ = filtering.apply_hard_exclusions(scored(rows))
+    assert sorted(r["ord"] for r in kept.collect()) == [0, 1, 2, 4]
 
 
-def test_exclusion_unicode_blank_and_missing_scores(scored):
-    rows = [
-        scored_row(description=" \t 　  " * 10),  # blank beyond ASCII spaces
-        scored_row(clarity_score=None, source_credibility_score=None),  # missing counts as 1.0
-        scored_row(description="​" * 60),  # zero-width space is not whitespace
-    ]
-    kept, excluded = filtering.apply_hard_exclusions(scored(rows))
-    assert _reasons(excluded) == ["description missing or empty"]
-    assert sorted(r[0] for r in kept.select("ord").collect()) == [1, 2]
-
+# tiers ------------------------------------------------------------------------
+def test_tier_bounds(scored):
+    cases = [(0.60, K.TIER_READY), (0.5999, K.TIER_REVIEW), (0.40, K.TIER_REVIEW), (0.3999, K.TIER_REJECTED), (1.0, K.TIER_READY),
+             (None, K.TIER_REJECTED), (float("nan"), K.TIER_REJECTED)]
+    got = filtering.apply_tiered_filter(scored([scored_row(composite_score=c) for c, _ in cases])).orderBy("ord").collect()
+    assert [r["tier"] for r in got] == [t for _, t in cases]
 
-# tiers ----------------------------------------------------------------------
-def test_tier_boundaries(scored):
-    rows = [scored_row(composite_score=v) for v in (0.60, 0.40, 0.399, 0.87, None)]
-    got = [r[0] for r in filtering.apply_tiered_filter(scored(rows)).orderBy("ord").select("tier").collect()]
-    assert got == ["training_ready", "review_queue", "rejected", "training_ready", "rejected"]
 
+# sample -----------------------------------------------------------------------
+def plain_sample(rows: list[dict], k: int) -> list[tuple]:
+    """(group, rank, position) of the sample, by sorting each group."""
+    groups: dict[str, list] = {}
+    for i, r in enumerate(rows):
+        groups.setdefault((r["severity"] or "UNKNOWN").upper(), []).append((-(r["composite_score"] or 0), i))
+    return sorted((g, n + 1, i) for g, name in enumerate(K.SEVERITY_ORDER) for n, (_, i) in enumerate(sorted(groups.get(name, []))[:k]))
 
-# stratified sample ----------------------------------------------------------
-def _sampled(scored_df, k):
-    return filtering.apply_stratified_sample(scored_df, target_per_severity=k)
-
-
-def test_sample_quota(scored):
-    rows = [scored_row(cve_id=f"CVE-H-{i}", severity="HIGH", composite_score=0.7 + i * 0.001) for i in range(100)]
-    out = _sampled(scored(rows), 10)
-    assert out.count() == 10
-    assert out.agg(F.min("composite_score")).first()[0] == pytest.approx(0.79)
 
+@pytest.mark.parametrize("k", [0, 1, 7, 500])
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_sample_equals_a_sort_of_each_group(scored, k, buckets):
+    labels = ("CRITICAL", "critical", "HIGH", "", None, "NONE", "Low", "unknown")
+    rows = [scored_row(severity=labels[i * i % 8], composite_score=None if i % 29 == 0 else (i * 37 % 11) / 10) for i in range(240)]
+    out = filtering.apply_stratified_sample(scored(rows), target_per_severity=k, buckets=buckets).collect()
+    assert sorted((r["severity_rank"], r["sample_rank"], r["ord"]) for r in out) == plain_sample(rows, k)
+    assert all(r["sampled"] for r in out) and {r["severity"] for r in out} <= set(labels)
 
-def test_sample_under_quota(scored):
-    rows = [scored_row(severity="CRITICAL", composite_score=0.9), scored_row(severity="CRITICAL", composite_score=0.85)]
-    assert _sampled(scored(rows), 50).count() == 2
 
+def test_sample_loses_nothing_without_positions(scored):
+    from pyspark.sql import functions as F
 
-def test_sample_order_and_flag(scored):
-    rows = [scored_row(severity="MEDIUM", composite_score=s) for s in (0.61, 0.95, 0.75)]
-    out = _sampled(scored(rows), 2).orderBy("severity_rank", "sample_rank")
-    assert [r["composite_score"] for r in out.collect()] == [0.95, 0.75]
-    assert all(r["sampled"] is True for r in out.collect())
+    rows = [scored_row(cve_id=f"CVE-2001-{i:04d}") for i in range(5)]
+    df = scored(rows).withColumn("ord", F.lit(None).cast("long"))
+    assert filtering.apply_stratified_sample(df).count() == 5
+    s = filter_summary(df).first()
+    assert (s["training_ready_raw"], s["sampled"], s["training_final"]) == (5, 5, 5)
+    same = scored(rows).withColumn("ord", F.lit(3).cast("long"))
+    assert filtering.apply_stratified_sample(same, target_per_severity=3).count() == 3
 
 
-def test_sample_groups_ties_and_other_severities(scored):
-    rows = [
-        scored_row(severity="high", composite_score=0.7),  # grouped with HIGH
-        scored_row(severity="HIGH", composite_score=0.7),  # tie: earlier ord wins
-        scored_row(severity="", composite_score=0.9),  # UNKNOWN
-        scored_row(severity=None, composite_score=0.8),  # UNKNOWN
-        scored_row(severity="NONE", composite_score=0.99),  # not sampled
-        scored_row(severity="unknown", composite_score=0.6),  # UNKNOWN
+# decontamination --------------------------------------------------------------
+@pytest.mark.parametrize("published,after", [
+    ("2019-07-01", False), ("2019-07-02", True), ("2019-07-02T23:59:59.999", True), ("2019", False), ("2020", True), ("2019-07", False),
+    ("2019-08", True), ("", False), (None, False), ("soon", False),
+])
+def test_decontamination(scored, published, after):
+    clean, flagged = filtering.apply_decontamination(scored([scored_row(published=published)]), cutoff_date="2019-07-01")
+    assert (clean.count(), flagged.count()) == (int(not after), int(after))
+    if after:
+        assert flagged.first()["contamination_flag"] is True
+
+
+# filter run -------------------------------------------------------------------
+def mixed(n: int) -> list[dict]:
+    """Records by rule over all routes."""
+    labels = ("HIGH", "LOW", "NONE", None)
+    return [
+        scored_row(cve_id=f"CVE-2005-{i:04d}", severity=labels[i % 4], composite_score=(i * 13 % 100) / 100,
+                   clarity_score=0.0 if i % 9 == 4 else 0.75, published=("2030-01-01", "2004")[i % 2])
+        for i in range(n)
     ]
-    out = _sampled(scored(rows), 1)
-    got = sorted((r["severity_rank"], r["ord"], r["severity"]) for r in out.collect())
-    assert got == [(1, 0, "high"), (4, 2, "")]
 
 
-# decontamination --------------------------------------------------------------
-@pytest.mark.parametrize(
-    "published,flagged",
-    [("2025-01-15", True), ("2023-01-01", False), ("2020", False), ("", False), (None, False),
-     ("2024", False), ("2024-08-01", False), ("2024-08-02T00:00:01.5", True), ("2024-09", True), ("n/a", False)],
-)
-def test_decontamination(scored, published, flagged):
-    clean, flag = filtering.apply_decontamination(scored([scored_row(published=published)]), cutoff_date="2024-08-01")
-    assert (clean.count(), flag.count()) == ((0, 1) if flagged else (1, 0))
-    if flagged:
-        assert flag.first()["contamination_flag"] is True
-
-
-# full filter run --------------------------------------------------------------
-def test_filter_run_writes_four_routes(scored, tmp_path):
-    rows = [scored_row(cve_id=f"CVE-2023-{i:05d}", composite_score=0.75) for i in range(20)]
-    rows += [scored_row(cve_id="CVE-2024-99999", description="** RESERVED ** placeholder",
-                        clarity_score=0.0, composite_score=0.10, training_ready=False)]
-    rows += [scored_row(cve_id="CVE-2024-00002", composite_score=0.5),
-             scored_row(cve_id="CVE-2024-00003", published="2025-02-01", severity="LOW")]
-    out = str(tmp_path / "filtered")
-    run = run_filter_pipeline(scored(rows), out)
-    for route in ("training_final", "review_queue", "rejected", "flagged_contamination"):
-        assert glob.glob(os.path.join(out, f"route={route}", "*.json")), route
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_run_routes_every_record_once(spark, scored, tmp_path, fmt):
+    rows, cfg, out = mixed(120), CurationConfig(per_severity_quota=6), str(tmp_path / "out")
+    run = run_filter_pipeline(scored(rows), out, cfg, fmt)
+    assert filter_summary(scored(rows), cfg).first().asDict() == run.summary
+    got = {route: read_route(spark, out, route, fmt=fmt).collect() for route in ROUTES}
     s = run.summary
-    assert s["hard_excluded"] == 1 and s["training_ready_raw"] == 21 and s["review_queue"] == 1
-    assert s["sampled"] == 21 and s["flagged_contamination"] == 1 and s["training_final"] == 20
-    assert s["total_input"] == s["hard_excluded"] + s["training_ready_raw"] + s["review_queue"] + s["tier_rejected"]
-    spark = scored([]).sparkSession
-    rejected = read_route(spark, out, "rejected").collect()
-    assert [r["cve_id"] for r in rejected] == ["CVE-2024-99999"] and rejected[0]["exclusion_reason"]
-    final = read_route(spark, out, "training_final").collect()
-    assert [r["sample_rank"] for r in final] == list(range(1, 21))  # written in sample order
-    assert all(r["contamination_flag"] is None for r in final)
-    # a re-run overwrites instead of appending
-    run_filter_pipeline(scored(rows), out)
-    assert read_route(spark, out, "training_final").count() == 20
-
-
-def test_lazy_routes_match_run_summary(scored, tmp_path):
-    rows = [scored_row(cve_id=f"C-{i}", severity=("HIGH", "LOW", "NONE")[i % 3], composite_score=0.3 + i * 0.01,
-                       published=("2025", "2023-01-01")[i % 2]) for i in range(60)]
-    df = scored(rows)
-    lazy = filter_plan.summary_of(filter_plan.build_routes(df, CurationConfig(per_severity_quota=5))).first().asDict()
-    run = run_filter_pipeline(df, str(tmp_path / "f"), CurationConfig(per_severity_quota=5)).summary
-    assert lazy == run
-    assert lazy["sampled"] == lazy["training_final"] + lazy["flagged_contamination"] <= 10
-
-
-@pytest.mark.parametrize("buckets", [1, 3, 64])
-def test_sample_keys_salting_is_exact(scored, buckets):
-    rows = [scored_row(severity=("HIGH", "LOW", "", "NONE")[i % 4], composite_score=round(0.6 + (i * 7 % 40) / 100, 2))
-            for i in range(300)]
-    df = scored(rows)
-    plain = sorted(tuple(r) for r in filtering.sample_keys(df, 7, salt_buckets=1).collect())
-    salted = sorted(tuple(r) for r in filtering.sample_keys(df, 7, salt_buckets=buckets).collect())
-    assert salted == plain and len(plain) == 21
+    assert [len(got[r]) for r in ROUTES] == [s["hard_excluded"], s["review_queue"], s["training_final"], s["flagged_contamination"]]
+    ids = [r["cve_id"] for rows_ in got.values() for r in rows_]
+    assert len(ids) == len(set(ids)) and s["total_input"] == 120
+    assert all(r["exclusion_reason"] for r in got[K.ROUTE_REJECTED]) and all(r["tier"] == K.TIER_REVIEW for r in got[K.ROUTE_REVIEW])
+    assert all(r["contamination_flag"] is True for r in got[K.ROUTE_FLAGGED]) and all(r["contamination_flag"] is None for r in got[K.ROUTE_FINAL])
+    order = [(r["severity_rank"], r["sample_rank"]) for r in got[K.ROUTE_FINAL]]
+    assert order == sorted(order)
+
+
+@pytest.mark.parametrize("rows", [
+    [],  # nothing at all
+    [scored_row(cve_id=f"CVE-2007-{i:04d}", composite_score=0.9) for i in range(4)],  # only clean, ready records
+    [scored_row(clarity_score=0.0)],  # only rejected ones
+])
+def test_all_four_routes_exist(spark, scored, tmp_path, rows):
+    out = str(tmp_path / "out")
+    run_filter_pipeline(scored(mixed(60)), out)
+    run = run_filter_pipeline(scored(rows), out)  # replaces what the first run wrote
+    counts = {route: read_route(spark, out, route).count() for route in ROUTES}
+    assert sum(counts.values()) == len(rows) == run.summary["total_input"]
+    assert counts[K.ROUTE_FINAL] == run.summary["training_final"] and counts[K.ROUTE_REJECTED] == run.summary["hard_excluded"]
 
 
 def test_zero_threshold_keeps_missing_composite(scored):
     cfg = CurationConfig(quality_threshold=0.0, review_floor=0.0)
-    rows = [scored_row(composite_score=None), scored_row(composite_score=0.5)]
-    out = filter_plan.summary_of(filter_plan.build_routes(scored(rows), cfg)).first()
-    assert out["training_ready_raw"] == 2 and out["sampled"] == 2
+    s = filter_summary(scored([scored_row(composite_score=None), scored_row(composite_score=0.5)]), cfg).first()
+    assert s["training_ready_raw"] == 2 and s["sampled"] == 2

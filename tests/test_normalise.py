@@ -5,9 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from vulnsift.config import CurationConfig
 from vulnsift.operators import merge, normalise
-from vulnsift.plans.ingest import merge_sources
+from vulnsift.plans.ingest import ingest_frames, merge_sources
 from vulnsift.schemas import MIRROR_SCHEMA, NVD_PAGE_SCHEMA
 
 
@@ -117,71 +116,83 @@ def test_mirror_fields(spark):
 
 
 # merge ------------------------------------------------------------------------
-def _recs(records, rows):
-    return records([dict(r) for r in rows])
-
-
 def test_anti_join_and_keep_first(records):
-    primary = records([dict(cve_id="A", source="nvd"), dict(cve_id="B", source="nvd"),
-                       dict(cve_id="A", source="nvd"), dict(cve_id="", source="nvd")])
-    mirror = records([dict(cve_id="B", source="huggingface"), dict(cve_id="C", source="huggingface"),
-                      dict(cve_id="C", source="huggingface"), dict(cve_id="", source="huggingface")])
+    primary = records([dict(cve_id=c, source="nvd") for c in ("A", "B", "A", "")])
+    mirror = records([dict(cve_id=c, source="huggingface") for c in ("B", "C", "C", "")])
     assert sorted(r["cve_id"] for r in merge.drop_known_ids(mirror, primary).collect()) == ["C", "C"]
     merged = merge.keep_first(merge.ordered_union(primary, mirror))
-    got = sorted((r["cve_id"], r["source"], r["ord"]) for r in merged.collect())
-    assert got == [("A", "nvd", 0), ("B", "nvd", 1), ("C", "huggingface", merge.ORD_STRIDE + 1)]
-
+    got = sorted((r["cve_id"], r["source"], r["src_rank"], r["ord"]) for r in merged.collect())
+    assert got == [("A", "nvd", 0, 0), ("B", "nvd", 0, 1), ("C", "huggingface", 1, 1)]
 
-def test_caps_count_mirror_after_precedence(records):
-    primary = records([dict(cve_id=f"P{i}", source="nvd") for i in range(5)])
-    mirror = records([dict(cve_id=f"P{i}", source="huggingface") for i in range(3)]
-                     + [dict(cve_id=f"M{i}", source="huggingface") for i in range(5)])
-    cfg = CurationConfig(primary_cap=2, mirror_cap=2)
-    got = [r["cve_id"] for r in merge_sources(primary, mirror, cfg).orderBy("ord").collect()]
-    # primary keeps P0, P1; mirror skips M-rows only after dropping P0, P1, so P2 counts
-    assert got == ["P0", "P1", "P2", "M0"]
 
-
-def test_uncapped_merge_equals_anti_join_path(records):
+def test_merge_equals_anti_join_path(records):
     primary = records([dict(cve_id=f"X{i % 7}", source="nvd") for i in range(20)])
     mirror = records([dict(cve_id=f"X{i % 11}", source="huggingface") for i in range(30)])
-    fast = merge_sources(primary, mirror)
     slow = merge.keep_first(merge.ordered_union(primary, merge.drop_known_ids(mirror, primary)))
-    key = lambda df: sorted((r["cve_id"], r["ord"], r["source"]) for r in df.collect())
-    assert key(fast) == key(slow)
+    key = lambda df: sorted((r["cve_id"], r["src_rank"], r["ord"]) for r in df.collect())
+    assert key(merge_sources(primary, mirror)) == key(slow)
+
 
+@pytest.mark.parametrize("ord_", [None, 4, -(1 << 62)])
+def test_keep_first_with_equal_or_missing_positions(records, ord_):
+    df = records([dict(cve_id=c, ord=ord_) for c in ("A", "B", "A", "C", "B", "A")])
+    assert sorted(r["cve_id"] for r in merge.keep_first(df).collect()) == ["A", "B", "C"]
 
-def test_keep_first_aggregates_keys_before_shuffle(records):
-    df = merge.keep_first(records([dict(cve_id="A"), dict(cve_id="A"), dict(cve_id="B")]))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "Window" not in plan
-    assert sorted((r["cve_id"], r["ord"]) for r in df.collect()) == [("A", 0), ("B", 2)]
-    assert F is not None
 
+def test_records_without_a_position_come_last(records):
+    df = records([dict(cve_id="A", ord=None, source="x"), dict(cve_id="A", ord=9, source="y")])
+    assert merge.keep_first(df).first()["source"] == "y"
 
-def test_keep_first_hot_key(records):
+
+def test_keep_first_limits_a_hot_key_before_the_shuffle(records):
     rows = [dict(cve_id="HOT") for _ in range(300)] + [dict(cve_id=f"K{i}") for i in range(150)]
     out = merge.keep_first(records(rows))
-    assert out.count() == 151
-    assert out.filter(F.col("cve_id") == "HOT").first()["ord"] == 0
+    assert out.count() == 151 and out.filter(F.col("cve_id") == "HOT").first()["ord"] == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") and "Join" not in plan
 
 
-def _pg(start, n, per=3, total=100):
-    return {"startIndex": start, "resultsPerPage": per, "totalResults": total,
-            "vulnerabilities": [{"cve": {"id": f"CVE-2024-{start + i}"}} for i in range(n)]}
+def test_renumbered_is_dense_enough_and_in_order(records):
+    rows = [dict(cve_id=f"K{i}", ord=100 - i) for i in range(50)] + [dict(cve_id="Z", ord=None)]
+    got = [r["cve_id"] for r in merge.renumbered(records(rows)).orderBy("ord").collect()]
+    assert got == [f"K{i}" for i in range(49, -1, -1)] + ["Z"]
 
 
-@pytest.mark.parametrize(
-    "pages,kept",
-    [
-        ([_pg(0, 3), _pg(3, 3), _pg(6, 3)], 9),  # all full pages
-        ([_pg(0, 3), _pg(3, 2), _pg(6, 3)], 5),  # short page ends the fetch
-        ([_pg(0, 3), _pg(3, 0), _pg(6, 3)], 3),  # empty page ends the fetch
-        ([_pg(0, 3, total=5), _pg(3, 3, total=5), _pg(6, 3, total=5)], 6),  # totalResults reached
-        ([_pg(6, 3), _pg(0, 3), _pg(3, 1)], 4),  # landing order does not matter
-    ],
-)
-def test_pages_within_fetch(spark, pages, kept):
-    df = spark.createDataFrame(pages, NVD_PAGE_SCHEMA)
-    out = normalise.normalise_primary_pages(normalise.pages_within_fetch(df))
-    assert out.count() == kept
+# feeds as they come -------------------------------------------------------------
+def page(start, ids, **more):
+    return {"startIndex": start, "vulnerabilities": [{"cve": {"id": i}} for i in ids], **more}
+
+
+def ingested(spark, pages, mirror=()):
+    rows = ingest_frames(spark.createDataFrame(pages, NVD_PAGE_SCHEMA), _mirror(spark, list(mirror)))
+    return [r["cve_id"] for r in rows.orderBy(*merge.record_order(rows)).collect()]
+
+
+@pytest.mark.parametrize("pages,want", [
+    ([page(0, "AB"), page(0, "AB")], "AB"),  # a page landed twice
+    ([page(None, "AB"), page(None, "CA")], "ABC"),  # no positions: as they lie
+    ([page(0, "ABC"), page(3, "D", resultsPerPage=3), page(6, "EF")], "ABCDEF"),  # a short page in the middle
+    ([page(0, "AB"), page(2, ""), page(4, "C")], "ABC"),  # an empty page
+    ([page(0, "AB", totalResults=4), page(2, "CD", totalResults=4), page(4, "EF", totalResults=6)], "ABCDEF"),  # the feed grew
+    ([page(4, "C"), page(0, "AB")], "ABC"),  # landed out of order
+    ([], ""),
+])
+def test_every_landed_page_counts(spark, pages, want):
+    assert "".join(ingested(spark, pages)) == want
+
+
+def test_mirror_without_positions(spark):
+    rows = spark.createDataFrame([("CVE-2020-1", "d"), ("CVE-2020-2", "e")], "`CVE-ID` string, DESCRIPTION string")
+    for c in ("CVSS-V4", "CVSS-V3", "CVSS-V2", "SEVERITY", "CWE-ID"):
+        rows = rows.withColumn(c, F.lit(None).cast("string"))
+    empty = spark.createDataFrame([], NVD_PAGE_SCHEMA)
+    assert sorted(r["cve_id"] for r in ingest_frames(empty, rows).collect()) == ["CVE-2020-1", "CVE-2020-2"]
+
+
+@pytest.mark.parametrize("v3,v4,v2,expected", [
+    (7.5, 1.0, 1.0, 7.5), (0.0, 8.1, 1.0, 8.1), (None, 0.0, 5.0, 5.0), (None, None, 0.0, 0.0), (None, None, None, None),
+])
+def test_mirror_number_columns(spark, v3, v4, v2, expected):
+    schema = "`CVE-ID` string, DESCRIPTION string, `CVSS-V4` double, `CVSS-V3` double, `CVSS-V2` float, SEVERITY string, `CWE-ID` string"
+    df = spark.createDataFrame([("CVE-2020-1", "d", v4, v3, v2, "LOW", None)], schema)
+    assert normalise.normalise_mirror_rows(df).first()["cvss_score"] == expected

@@ -16,10 +16,14 @@ from vulnsift.functions.dates import with_parsed_date
 from vulnsift.operators import scoring
 from vulnsift.plans.filter import classify
 from vulnsift.schemas import RECORD_SCHEMA
-from vulnsift.sources.fixture import DATE_SAMPLES
 
 WORDS = list(SECURITY_KEYWORDS) + ["Resource", "SQL injection", "vulnerabilities", "** RESERVED **", "** REJECT **",
                                    "lorem", "ipsum", "Ü", "é", " ", " ", "\t", "\n", " "]
+DAYS = ("2024-08-01", "2024-08-02", "2023-02-28", "2024-12-31")
+DATES = [None, "", "n/a", "99", "0000", "20231", "2024-123", "2024-8-5T10:00:00", " 2024-08-15 "] + [
+    form.format(d=d, y=d[:4], m=d[:7]) for d in DAYS
+    for form in ("{d}", "{y}", "{m}", "{d}T10:15:07.123", "{d}T10:15:07Z", "{d} 10:00", "{y}-13-01", "{y}-02-30", "{y}garbage", "{m}-xx", "{d}T25:00:00")
+]
 LENGTHS = [0, 1, 49, 50, 51, 99, 100, 101, 999, 1000, 1001, 1999, 2000, 2001, 4999, 5000, 5001, 5200]
 
 
@@ -42,7 +46,7 @@ def _record(rng: random.Random, i: int) -> dict:
         "ord": i,
         "cve_id": f"CVE-2024-{i:05d}",
         "description": _text(rng),
-        "published": rng.choice(DATE_SAMPLES + ("2024-08-02", "2025-01-15", None)),
+        "published": rng.choice(DATES),
         "last_modified": "",
         "cvss_score": cvss,
         "severity": rng.choice([None, "", "LOW", "medium", "High", "CRITICAL", "NONE", "unknown"]),

@@ -1,219 +1,127 @@
-"""Scoring dimensions, gate and composite (row-level cases)."""
+"""Scores against a plain restatement of their rules, over a grid of records."""
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import text_of
-from vulnsift.config import CurationConfig
+from vulnsift.config import SECURITY_KEYWORDS, CurationConfig
 from vulnsift.operators import scoring
 
-EMPTY = dict(cve_id="CVE-2000-0001", description="", published="", last_modified="", cwe_ids=[], source="nvd")
-SHORT = dict(
-    cve_id="CVE-2020-0001",
-    description="A small defect exists in version 1.0 of it.",  # 43 characters
-    published="2020-01-01",
-    cwe_ids=[],
-    source="huggingface",
-)
-FULL = dict(
-    cve_id="CVE-2023-44487",
-    description=text_of(
-        265,
-        "The protocol permits a denial of service because cancelled requests reset many streams; "
-        "it was exploited widely. This vulnerability allows remote code execution. ",
-    ),
-    published="2023-10-10",
-    last_modified="2023-11-01",
-    cvss_score=9.8,
-    severity="CRITICAL",
-    cwe_ids=["CWE-400"],
-    source="nvd",
-)
-MEDIUM = dict(
-    cve_id="CVE-2021-0001",
-    description=text_of(152, "A medium issue permits bypass of authentication in affected systems via a crafted request. "),
-    published="2021-06-01",
-    cvss_score=5.5,
-    severity="MEDIUM",
-    cwe_ids=[],
-    source="nvd",
-)
-RESERVED = dict(
-    cve_id="CVE-2024-99999",
-    description=text_of(137, "** RESERVED ** This identifier is held for a future announcement. "),
-    published="2024-01-01",
-    cwe_ids=[],
-    source="nvd",
-)
-MIRROR = dict(
-    cve_id="CVE-2019-0001",
-    description=text_of(146, "A SQL injection vulnerability in the login form lets an unauthenticated attacker read rows. "),
-    published="2019-03-15",
-    severity="HIGH",
-    cwe_ids=["CWE-89"],
-    source="huggingface",
-)
-
-
-def _one(df, col):
-    return df.select(col).first()[0]
-
-
-def _composite(records, row, cfg=None):
-    df = scoring.compute_composite(records([row]), cfg) if cfg else scoring.compute_composite(records([row]))
-    return df.first().asDict()
-
-
-# relevance ------------------------------------------------------------------
-def test_relevance_zero_for_empty(records):
-    assert _one(scoring.score_relevance(records([EMPTY])), "relevance_score") == 0.0
-
-
-def test_relevance_full_record_is_capped_at_one(records):
-    assert _one(scoring.score_relevance(records([FULL])), "relevance_score") == 1.0
-
-
-def test_relevance_medium_cvss_two_keywords(records):
-    assert _one(scoring.score_relevance(records([MEDIUM])), "relevance_score") == 0.4
-
-
-def test_relevance_cwe_and_keywords_without_cvss(records):
-    assert _one(scoring.score_relevance(records([MIRROR])), "relevance_score") == 0.5
-
-
-def test_relevance_cvss_tier_points(records):
-    values = [None, 0.0, 3.9, 4.0, 6.9, 7.0, 10.0, float("nan")]
-    rows = [dict(description="", cwe_ids=[], cvss_score=v) for v in values]
-    got = [r[0] for r in scoring.score_relevance(records(rows)).orderBy("ord").select("relevance_score").collect()]
-    assert got == [0.0, 0.0, 0.0, 0.2, 0.2, 0.4, 0.4, 0.0]
+CVSS = (None, 0.0, 3.9, 4.0, 6.9, 7.0, 10.0)
+WEAKNESSES = ([], ["CWE-77"], ["CWE-1", "CWE-2", "CWE-1"])
+SOURCES = ("nvd", "NVD", "huggingface", "forum", None)
+LENGTHS = (0, 49, 50, 99, 100, 1000, 1001, 2000, 2001, 5000, 5001)
+WORDS = ((), ("xss",), ("exploit", "bypass"), ("exploit", "bypass", "xss", "privilege"))
+
+
+def grid() -> list[dict]:
+    """Records by rule: lengths × words × scores, the other fields in turn."""
+    rows = []
+    for i, (n, words, cvss) in enumerate(itertools.product(LENGTHS, WORDS, CVSS)):
+        rows.append(
+            dict(
+                cve_id=f"CVE-1990-{i:05d}", description=text_of(n, " ".join(words) + " ")[:n], cvss_score=cvss,
+                cwe_ids=WEAKNESSES[i % 3], source=SOURCES[i % 5], severity=(None, "", "LOW")[i % 3], published=("", "1990", None)[i % 3],
+            )
+        )
+    return rows
+
+
+def rules(r: dict) -> dict:
+    """The four dimensions, the gate and the composite of one record."""
+    text, n, cvss = r["description"] or "", len(r["description"] or ""), r["cvss_score"]
+    hits = min(3, sum(k in text.lower() for k in SECURITY_KEYWORDS))
+    relevance = min(1.0, (0.4 if (cvss or 0) >= 7 else 0.2 if (cvss or 0) >= 4 else 0) + (0.3 if r["cwe_ids"] else 0) + 0.1 * hits)
+    has = (0.4, bool(text) and 50 <= n <= 5000), (0.2, cvss is not None), (0.1, bool(r["severity"])), (0.2, bool(r["cwe_ids"])), (0.1, bool(r["published"]))
+    completeness = min(1.0, sum(points for points, present in has if present))
+    credibility = min(1.0, {"nvd": 1.0, "huggingface": 0.6}.get((r["source"] or "").lower(), 0.3) + (0.1 if cvss is not None else 0))
+    clarity = 1.0 if 100 <= n <= 1000 else 0.7 if 50 <= n <= 2000 else 0.4 if 2000 < n <= 5000 else 0.0
+    out = dict(relevance_score=relevance, completeness_score=completeness, source_credibility_score=credibility, clarity_score=clarity)
+    out["composite_score"] = 0.35 * relevance + 0.25 * completeness + 0.25 * credibility + 0.15 * clarity
+    if not 50 <= n <= 5000:
+        out = dict.fromkeys(out, 0.0)
+    return out
+
+
+@pytest.fixture(scope="module")
+def scored_grid(spark):
+    from vulnsift.schemas import RECORD_SCHEMA
+
+    rows = [{f.name: None for f in RECORD_SCHEMA.fields} | {"ord": i} | r for i, r in enumerate(grid())]
+    return scoring.compute_composite(spark.createDataFrame(rows, RECORD_SCHEMA)).collect()
+
+
+def test_grid(scored_grid):
+    assert len(scored_grid) == len(LENGTHS) * len(WORDS) * len(CVSS)
+    for got, record in zip(sorted(scored_grid, key=lambda r: r["ord"]), grid()):
+        want = rules(record)
+        for name, value in want.items():
+            assert math.isclose(got[name], value, abs_tol=1e-4), (record, name)
+        assert got["training_ready"] is (got["composite_score"] >= 0.6)
+
+
+@pytest.mark.parametrize("function,name", [
+    (scoring.score_relevance, "relevance_score"), (scoring.score_completeness, "completeness_score"),
+    (scoring.score_credibility, "source_credibility_score"), (scoring.score_clarity, "clarity_score"),
+])
+def test_single_dimensions_have_no_gate(records, function, name):
+    rows = grid()[::17]
+    got = [r[name] for r in function(records(rows)).orderBy("ord").collect()]
+    gate = [50 <= len(r["description"]) <= 5000 for r in rows]
+    want = [rules(r)[name] for r in rows]
+    assert all(math.isclose(g, w) for g, w, open_ in zip(got, want, gate) if open_)
+    if name == "source_credibility_score":
+        assert min(got) >= 0.3
+
+
+def test_missing_text_and_nan_scores(records):
+    rows = [dict(description=None, cwe_ids=None), dict(description=text_of(120), cvss_score=math.nan, cwe_ids=[], source="nvd")]
+    first, second = scoring.compute_composite(records(rows)).orderBy("ord").collect()
+    assert first["composite_score"] == 0.0 and first["training_ready"] is False
+    assert second["relevance_score"] == 0.0 and second["completeness_score"] == 0.6
 
 
 @pytest.mark.parametrize(
-    "text,expected",
+    "text,hits",
     [
-        ("Resource exhaustion", 0.1),  # 'rce' inside 'resource'
-        ("Several vulnerabilities", 0.0),  # plural does not contain 'vulnerability'
-        ("A buffer overflow", 0.2),  # 'overflow' and 'buffer overflow'
-        ("SQL injection", 0.1),  # 'sqli' is not in 'sql injection'
-        ("EXPLOIT, Bypass, XSS, privilege", 0.3),  # case-insensitive, capped at three
+        ("Resource exhaustion", 1),  # 'rce' inside 'resource'
+        ("Several vulnerabilities", 0),  # the plural does not contain 'vulnerability'
+        ("A buffer overflow", 2),  # 'overflow' and 'buffer overflow'
+        ("SQL injection", 1),  # 'sqli' is not in 'sql injection'
     ],
 )
-def test_keyword_substrings(records, text, expected):
-    got = _one(scoring.score_relevance(records([dict(description=text, cwe_ids=[])])), "relevance_score")
-    assert math.isclose(got, expected)
-
+def test_keywords_are_substrings(records, text, hits):
+    got = scoring.score_relevance(records([dict(description=text, cwe_ids=[])])).first()["relevance_score"]
+    assert math.isclose(got, hits / 10)
 
-# completeness ---------------------------------------------------------------
-def test_completeness_full(records):
-    assert _one(scoring.score_completeness(records([FULL])), "completeness_score") == 1.0
 
-
-def test_completeness_short_record(records):
-    got = _one(scoring.score_completeness(records([SHORT])), "completeness_score")
-    assert got < 0.5 and math.isclose(got, 0.1)
-
-
-def test_completeness_empty(records):
-    assert _one(scoring.score_completeness(records([EMPTY])), "completeness_score") == 0.0
-
-
-def test_completeness_empty_strings_and_lists_are_missing(records):
-    row = dict(description=text_of(60), severity="", published="", cwe_ids=[], cvss_score=0.0)
-    assert math.isclose(_one(scoring.score_completeness(records([row])), "completeness_score"), 0.6)
-
-
-# credibility ----------------------------------------------------------------
-@pytest.mark.parametrize(
-    "source,cvss,expected",
-    [("nvd", None, 1.0), ("NVD", 9.0, 1.0), ("huggingface", None, 0.6), ("huggingface", 7.5, 0.7),
-     ("scraper", None, 0.3), (None, 0.0, 0.4)],
-)
-def test_credibility(records, source, cvss, expected):
-    got = _one(scoring.score_credibility(records([dict(source=source, cvss_score=cvss)])), "source_credibility_score")
-    assert math.isclose(got, expected)
-
-
-# clarity --------------------------------------------------------------------
-def test_clarity_placeholders(records):
-    rows = [dict(description=RESERVED["description"]), dict(description=text_of(200, "** REJECT ** gone. "))]
-    got = [r[0] for r in scoring.score_clarity(records(rows)).orderBy("ord").select("clarity_score").collect()]
-    assert got == [0.0, 0.0]
-
-
-def test_clarity_length_bands(records):
-    lengths = [0, 10, 49, 50, 99, 100, 200, 1000, 1001, 1500, 2000, 2001, 3000, 5000, 5001]
-    expected = [0.0, 0.0, 0.0, 0.7, 0.7, 1.0, 1.0, 1.0, 0.7, 0.7, 0.7, 0.4, 0.4, 0.4, 0.0]
-    rows = [dict(description=text_of(n)) for n in lengths]
-    got = [r[0] for r in scoring.score_clarity(records(rows)).orderBy("ord").select("clarity_score").collect()]
-    assert got == expected
+def test_placeholders_have_no_clarity(records):
+    texts = [text_of(400, "** RESERVED ** "), text_of(150) + " ** REJECT **", text_of(150, "** reserved ** ")]
+    got = [r[0] for r in scoring.score_clarity(records([dict(description=t) for t in texts])).orderBy("ord").select("clarity_score").collect()]
+    assert got == [0.0, 0.0, 1.0]
 
 
 def test_length_counts_code_points(records):
-    row = dict(description="é" * 50)  # 50 code points, 100 bytes
-    assert _one(scoring.score_clarity(records([row])), "clarity_score") == 0.7
-
-
-# composite ------------------------------------------------------------------
-def test_composite_gate_empty(records):
-    r = _composite(records, EMPTY)
-    assert r["composite_score"] == 0.0 and r["training_ready"] is False
-    assert all(r[k] == 0.0 for k in ("relevance_score", "completeness_score", "source_credibility_score", "clarity_score"))
-
-
-def test_composite_gate_short(records):
-    r = _composite(records, SHORT)
-    assert r["composite_score"] == 0.0 and r["training_ready"] is False
-
-
-def test_composite_gate_too_long(records):
-    r = _composite(records, dict(FULL, description=text_of(5001, "exploit ")))
-    assert r["composite_score"] == 0.0 and r["source_credibility_score"] == 0.0
-
-
-def test_composite_full_record(records):
-    r = _composite(records, FULL)
-    assert r["training_ready"] is True and r["composite_score"] == 1.0
-
-
-@pytest.mark.parametrize(
-    "row,expected,ready",
-    [(MEDIUM, 0.74, True), (RESERVED, 0.375, False), (MIRROR, 0.675, True)],
-)
-def test_composite_exact_values(records, row, expected, ready):
-    r = _composite(records, row)
-    assert r["composite_score"] == expected and r["training_ready"] is ready
-
-
-def test_composite_has_all_columns_and_keeps_input(records):
-    df = scoring.score_dataset(records([FULL]), scored_at="2025-01-01T00:00:00Z")
-    for col in ("relevance_score", "completeness_score", "source_credibility_score", "clarity_score",
-                "composite_score", "training_ready", "pipeline_version", "scored_at", "cve_id", "cwe_ids"):
-        assert col in df.columns
-    row = df.first()
-    assert row["pipeline_version"] == "v0.1.0" and row["scored_at"] == "2025-01-01T00:00:00Z"
-
-
-def test_composite_within_bounds(records):
-    df = scoring.compute_composite(records([FULL, MEDIUM, MIRROR, RESERVED, SHORT, EMPTY]))
-    assert df.filter((F.col("composite_score") < 0) | (F.col("composite_score") > 1)).count() == 0
+    assert scoring.score_clarity(records([dict(description="é" * 50)])).first()["clarity_score"] == 0.7
 
 
 def test_readiness_threshold_is_inclusive(records):
-    # rel .3 (cwe), comp .4+.2+.1+.2+.1 = 1.0, cred 1.0, clarity .7 (60 chars) → .105+.25+.25+.105 = .71
-    row = dict(description=text_of(60), cvss_score=1.0, severity="LOW", cwe_ids=["CWE-1"], published="2020", source="nvd")
-    r = _composite(records, row)
-    assert r["composite_score"] == 0.71
-    r2 = _composite(records, row, CurationConfig(quality_threshold=0.71, review_floor=0.4))
-    assert r2["training_ready"] is True
+    row = grid()[len(WORDS) * len(CVSS) * 4 + 5]
+    exact = scoring.compute_composite(records([row])).first()["composite_score"]
+    cfg = CurationConfig(quality_threshold=exact, review_floor=0.0)
+    assert scoring.compute_composite(records([row]), cfg).first()["training_ready"] is True
 
 
-def test_default_timestamp_format(records):
-    value = scoring.score_dataset(records([FULL])).first()["scored_at"]
-    assert len(value) == 20 and value[10] == "T" and value.endswith("Z")
+def test_score_dataset_keeps_input_and_stamps(records):
+    df = scoring.score_dataset(records([grid()[200]]), scored_at="2030-01-02T03:04:05Z")
+    row = df.first()
+    assert row["cve_id"] == "CVE-1990-00200" and row["pipeline_version"] == "v0.1.0" and row["scored_at"] == "2030-01-02T03:04:05Z"
+    now = scoring.score_dataset(records([grid()[200]])).first()["scored_at"]
+    assert len(now) == 20 and now[10] == "T" and now.endswith("Z")
 
 
 def test_weights_must_sum_to_one():

@@ -1,25 +1,28 @@
-"""Scale helpers: shuffle sizing from input bytes, spreading of single-split inputs."""
+"""Scale helpers: shuffle sizing from input bytes, paths by their file system."""
 
 from __future__ import annotations
 
-from vulnsift.session import input_bytes, size_shuffles
-from vulnsift.sources.partitioning import spread_small_input
+import pytest
 
-KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+from vulnsift.session import input_bytes, path_exists, sized_shuffles
 
+KEYS = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
-def test_size_shuffles_fills_only_unset(spark):
-    previous = spark.conf.get(KEY, None)
-    try:
-        spark.conf.unset(KEY)
-        assert size_shuffles(spark, 100 * 1024**4) == 409_600  # 100 TiB / 256 MiB
-        assert size_shuffles(spark, 1) == 409_600  # an explicit setting is kept
-        spark.conf.unset(KEY)
-        assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
-    finally:
-        spark.conf.unset(KEY)
-        if previous is not None:
-            spark.conf.set(KEY, previous)
+
+def test_each_run_is_sized_by_its_own_input(spark):
+    before = [spark.conf.get(k, None) for k in KEYS]
+    floor = spark.sparkContext.defaultParallelism
+    for nbytes, wanted in ((10, floor), (100 * 1024**4, 409_600), (1, floor)):  # 100 TiB / 256 MiB
+        with sized_shuffles(spark, nbytes) as n:
+            assert n == wanted and spark.conf.get(KEYS[0]) == str(wanted)
+        assert [spark.conf.get(k, None) for k in KEYS] == before
+
+
+def test_settings_return_after_a_failure(spark):
+    before = [spark.conf.get(k, None) for k in KEYS]
+    with pytest.raises(RuntimeError), sized_shuffles(spark, 1 << 40):
+        raise RuntimeError
+    assert [spark.conf.get(k, None) for k in KEYS] == before
 
 
 def test_input_bytes(spark, tmp_path):
@@ -28,10 +31,8 @@ def test_input_bytes(spark, tmp_path):
     assert input_bytes(spark, str(tmp_path), str(tmp_path / "missing")) == 1024
 
 
-def test_spread_only_below_core_count(spark):
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread_small_input(many) is many
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = spread_small_input(one)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r[0] for r in spread.collect()) == list(range(1000))
+def test_paths_are_looked_up_on_their_file_system(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x")
+    for path in (f"{tmp_path}/a", f"file:{tmp_path}/a", f"file://{tmp_path}/a"):
+        assert path_exists(spark, path)
+        assert not path_exists(spark, path + "b")

@@ -102,7 +102,7 @@ SCORE_COLUMNS: tuple[str, ...] = DIMENSIONS + ("composite_score",)
 
 @dataclass(frozen=True)
 class CurationConfig:
-    """All tunables of a run (weights, thresholds, bounds, quota, cutoff, caps)."""
+    """All tunables of a run (weights, thresholds, bounds, quota, cutoff)."""
 
     weight_relevance: float = 0.35
     weight_completeness: float = 0.25
@@ -114,10 +114,6 @@ class CurationConfig:
     max_description_length: int = 5000
     per_severity_quota: int = 50
     cutoff_date: str = "2024-08-01"
-    # Record caps of the two sources. None means "no cap" (the setting at scale);
-    # 500 / 200 reproduce the original small-batch defaults.
-    primary_cap: int | None = None
-    mirror_cap: int | None = None
     pipeline_version: str = PIPELINE_VERSION
 
     def __post_init__(self) -> None:
@@ -135,12 +131,7 @@ class CurationConfig:
             raise ValueError("min_description_length exceeds max_description_length")
         if self.per_severity_quota < 0:
             raise ValueError("per_severity_quota must be >= 0")
-        for cap in (self.primary_cap, self.mirror_cap):
-            if cap is not None and cap < 0:
-                raise ValueError("caps must be >= 0 or None")
         date.fromisoformat(self.cutoff_date)  # raises on a malformed cutoff
 
 
 DEFAULT_CONFIG = CurationConfig()
-# The original single-batch run: 500 primary records, 200 mirror records.
-SMALL_BATCH_CONFIG = CurationConfig(primary_cap=500, mirror_cap=200)

@@ -18,15 +18,15 @@ def per_session(fn):
     """
 
     @functools.wraps(fn)
-    def wrapper(*args):
+    def wrapper(*args, **kwargs):
         sc = SparkContext._active_spark_context
         if sc is None:
-            return fn(*args)
+            return fn(*args, **kwargs)
         store = sc.__dict__.setdefault("_vulnsift_columns", {})
-        key = (fn.__module__, fn.__qualname__, args)
+        key = (fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items())))
         col = store.get(key)
         if col is None:
-            col = store[key] = fn(*args)
+            col = store[key] = fn(*args, **kwargs)
         return col
 
     return wrapper

@@ -27,3 +27,8 @@ def is_real(col: Column) -> Column:
 def round_stat(col: Column, digits: int = 6) -> Column:
     """Round an aggregate so that engines summing in different orders agree."""
     return F.round(col.cast("double"), digits)
+
+
+def pct(part: Column, whole: Column) -> Column:
+    """part / whole × 100, 0 for an empty input."""
+    return F.when(whole > 0, part * F.lit(100.0) / whole).otherwise(F.lit(0.0))

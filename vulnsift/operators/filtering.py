@@ -90,65 +90,27 @@ def severity_rank_of_group() -> Column:
     return severity_rank_expr(severity_group_expr())
 
 
-# Salt buckets of the first top-k level: one group's candidates spread over
-# this many tasks before the final per-group ranking.
-SAMPLE_SALT_BUCKETS = 64
+# Hash buckets of the first top-k level: a group's candidates are ranked in this
+# many tasks before the final ranking of the group.
+SAMPLE_BUCKETS = 64
 
 
-def sample_keys(
-    df: DataFrame, k: int, salt_buckets: int | None = None, carry: tuple[str, ...] = ()
-) -> DataFrame:
-    """``(ord, severity_rank, sample_rank)`` of the top-k records per severity group.
-
-    Only the key columns and the composite travel through the sorts and
-    shuffles; ties on composite go to the earlier ``ord``. Every group can be
-    a large share of all records, so the ranking is two-level: the top k per
-    (group, hash bucket of ``ord``) first, then the top k per group among
-    those at most ``salt_buckets × k`` candidates. Exact: a record in a
-    group's top k is in the top k of its own bucket. Each level limits rows
-    per task before its shuffle (partial ``WindowGroupLimit``).
-
-    The first level pays off when there are many more map tasks than
-    buckets; by default it is used when the cluster's default parallelism
-    exceeds ``SAMPLE_SALT_BUCKETS`` (``salt_buckets=1`` turns it off).
-    ``carry`` names further (small) columns to keep with the keys.
-    """
-    if salt_buckets is None:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        salt_buckets = SAMPLE_SALT_BUCKETS if parallelism > SAMPLE_SALT_BUCKETS else 1
+def sample_order() -> list[Column]:
+    """Best composite first (missing = 0), then the earlier record; records of one
+    or no ``ord`` by id and text, so that the sample doesn't depend on partitioning."""
     composite = F.coalesce(F.col("composite_score"), F.lit(0.0))
-    keys = df.select(
-        F.col("ord"),
-        *carry,
-        severity_rank_of_group().alias("severity_rank"),
-        composite.alias("_composite"),
-    ).filter(F.col("severity_rank").isNotNull())
-    order = [F.col("_composite").desc(), F.col("ord").asc()]
-    if salt_buckets > 1:
-        bucket = F.pmod(F.xxhash64(F.col("ord")), F.lit(salt_buckets))
-        w1 = Window.partitionBy("severity_rank", "_bucket").orderBy(*order)
-        keys = (
-            keys.withColumn("_bucket", bucket)
-            .withColumn("_r", F.row_number().over(w1))
-            .filter(F.col("_r") <= F.lit(k))
-            .drop("_r", "_bucket")
-        )
-    w = Window.partitionBy("severity_rank").orderBy(*order)
-    return (
-        keys.withColumn("sample_rank", F.row_number().over(w))
-        .filter(F.col("sample_rank") <= F.lit(k))
-        .drop("_composite")
-    )
+    return [composite.desc(), F.col("ord").asc_nulls_last(), F.col("cve_id"), F.xxhash64("cve_id", "severity", "published")]
 
 
-# Largest sample we broadcast back to the records; beyond it the planner decides.
-BROADCAST_SAMPLE_ROWS = 1_000_000
+def sample_bucket() -> Column:
+    return F.pmod(F.xxhash64("ord", "cve_id", "published"), F.lit(SAMPLE_BUCKETS))
 
 
 def apply_stratified_sample(
     df: DataFrame,
     target_per_severity: int | None = None,
     cfg: CurationConfig = DEFAULT_CONFIG,
+    buckets: int = SAMPLE_BUCKETS,
 ) -> DataFrame:
     """Top-k records per severity group by composite (ties: earlier ``ord``).
 
@@ -158,15 +120,19 @@ def apply_stratified_sample(
     ``sample_rank`` (1..k within the group) so consumers can restore the
     order CRITICAL → UNKNOWN, composite descending.
 
-    Two phases: the top-k keys are chosen on narrow rows (at most
-    5 × k survive), then joined back to the full records by broadcast when
-    that bound is small. ``ord`` must be unique.
+    One pass: the top k of each (group, hash bucket), then the top k of each
+    group among those at most ``buckets`` × k. Exact, as a record in its group's
+    top k is in the top k of its bucket. Both levels limit the rows of a task
+    before its shuffle, and columns that are not used later are not carried.
     """
     k = cfg.per_severity_quota if target_per_severity is None else target_per_severity
-    keys = sample_keys(df, k)
-    if len(K.SEVERITY_ORDER) * k <= BROADCAST_SAMPLE_ROWS:
-        keys = F.broadcast(keys)
-    return df.join(keys, on="ord", how="inner").withColumn("sampled", F.lit(True))
+    ranked = df.withColumn("severity_rank", severity_rank_of_group()).filter(F.col("severity_rank").isNotNull())
+    bucket = F.pmod(F.xxhash64("ord", "cve_id", "published"), F.lit(buckets))
+    in_bucket = Window.partitionBy("severity_rank", "_bucket").orderBy(*sample_order())
+    first = ranked.withColumn("_bucket", bucket).withColumn("_r", F.row_number().over(in_bucket)).filter(F.col("_r") <= F.lit(k))
+    in_group = Window.partitionBy("severity_rank").orderBy(*sample_order())
+    chosen = first.drop("_r", "_bucket").withColumn("sample_rank", F.row_number().over(in_group))
+    return chosen.filter(F.col("sample_rank") <= F.lit(k)).withColumn("sampled", F.lit(True))
 
 
 def with_contamination_flag(

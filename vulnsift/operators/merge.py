@@ -1,21 +1,18 @@
-"""Source precedence, ordered union, keep-first dedup and record caps.
+"""Source precedence, ordered union and keep-first dedup.
 
-Order is explicit: every record carries ``ord`` (its position within its
-source). After the union the primary feed precedes the mirror; the merged
-``ord`` encodes that as ``source_rank * ORD_STRIDE + ord`` so one BIGINT
-keeps the global order and stays unique.
+Order is explicit and never a reason to lose a record: ``src_rank`` (primary
+before mirror), then ``ord`` (position within the source; a record without one
+comes last), then ``seq`` (position in the frame as read, if the frame has it),
+then a hash of the record. Repeated or missing values of ``ord`` are fine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Room for 2^44 (≈ 1.8e13) records per source.
-ORD_STRIDE = 1 << 44
 
-
-def _has_id() -> F.Column:
+def _has_id() -> Column:
     return F.coalesce(F.col("cve_id"), F.lit("")) != F.lit("")
 
 
@@ -31,36 +28,35 @@ def drop_known_ids(mirror: DataFrame, primary: DataFrame) -> DataFrame:
 
 
 def ordered_union(primary: DataFrame, mirror: DataFrame) -> DataFrame:
-    """Primary records then mirror records; ``ord`` becomes the merged order key."""
+    """Primary records, then mirror records, told apart by ``src_rank``."""
     cols = primary.columns
-    second = mirror.select(*cols).withColumn("ord", F.col("ord") + F.lit(ORD_STRIDE))
-    return primary.unionByName(second)
+    first = primary.withColumn("src_rank", F.lit(0))
+    return first.unionByName(mirror.select(*cols).withColumn("src_rank", F.lit(1)))
+
+
+def record_order(df: DataFrame) -> list[Column]:
+    """The sort keys of a record frame, as far as it has them."""
+    keys = [F.col(c).asc_nulls_last() for c in ("src_rank", "ord", "seq") if c in df.columns]
+    return [*keys, F.xxhash64(*[c for c in df.columns if c not in ("src_rank", "ord", "seq")])]
 
 
 def keep_first(df: DataFrame, key: str = "cve_id") -> DataFrame:
-    """First record per non-empty key in ``ord`` order (``ord`` unique).
-
-    Two steps instead of a window over the full records: the first ``ord`` of
-    every key is an aggregate (map-side partial ``min`` collapses a hot key,
-    even one holding a third of all records, to one row per task), and the
-    records are then kept by a join on ``ord``, which spreads evenly
-    whatever the key distribution. Full records cross the network once,
-    partitioned by ``ord``.
+    """First record per non-empty key in record order.
+
+    ``row_number() = 1`` is planned with a group limit before the shuffle: a
+    task sends one record for a key however many it holds, so a hot key costs
+    one record for each task.
     """
     has_key = F.coalesce(F.col(key), F.lit("")) != F.lit("")
-    firsts = df.filter(has_key).groupBy(key).agg(F.min("ord").alias("ord")).select("ord")
-    # An inner join on the unique ``ord`` keeps the same records as a semi join;
-    # unlike a semi join it is not copied into each branch of a union input, so
-    # the key aggregate runs once.
-    return df.filter(has_key).join(firsts, on="ord", how="inner")
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*record_order(df)))
+    return df.filter(has_key).withColumn("_n", first).filter(F.col("_n") == 1).drop("_n")
 
 
-def cap_records(df: DataFrame, limit: int | None) -> DataFrame:
-    """The first ``limit`` records in ``ord`` order (all when ``limit`` is None).
+def renumbered(df: DataFrame) -> DataFrame:
+    """The records with a new unique ``ord`` in record order.
 
-    Planned as TakeOrderedAndProject: every task keeps its own first ``limit``
-    rows and one task merges them.
+    A range sort puts the records in order over the partitions; the running id
+    of Spark then increases along it.
     """
-    if limit is None:
-        return df
-    return df.orderBy(F.col("ord").asc()).limit(limit)
+    ordered = df.sort(*record_order(df))
+    return ordered.drop("src_rank", "seq").withColumn("ord", F.monotonically_increasing_id())

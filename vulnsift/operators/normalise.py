@@ -1,13 +1,18 @@
 """Normalise the two feeds into the flat record shape.
 
+Every record carries ``ord``, its position in the source's own numbering (null
+if the source has none), and ``seq``, its position in the frame as read.
+
 Primary feed: landed API pages, one row per page with a ``vulnerabilities``
 array. ``posexplode`` yields one record per entry with
-``ord = startIndex + position``; CVSS, English description and weakness ids
+``ord = startIndex + position``; every landed page counts, in whatever state of
+the feed it was fetched. CVSS, English description and weakness ids
 are picked with higher-order array functions (no UDF, no explode of the
 inner arrays).
 
 Mirror feed: flat text rows. The CVSS text is coalesced by truthiness
-(V3, then V4, then V2) and parsed as a plain number; severity is
+(V3, then V4, then V2) and parsed as a plain number, number columns are
+coalesced the same way with 0 as absent; severity is
 upper-cased; one weakness id is wrapped unless it is a catch-all code; the
 publication year is read from the id.
 """
@@ -30,6 +35,7 @@ RECORD_COLUMNS = (
     "severity",
     "cwe_ids",
     "source",
+    "seq",
 )
 
 
@@ -65,24 +71,6 @@ def pick_cwe_ids(weaknesses: Column) -> Column:
     return F.filter(F.flatten(nested), lambda v: F.coalesce(v.startswith(K.CWE_PREFIX), F.lit(False)))
 
 
-def pages_within_fetch(pages: DataFrame) -> DataFrame:
-    """Drop landed pages the paging loop would never have reached.
-
-    A fetch stops after an empty page, after a short page (fewer entries
-    than ``resultsPerPage`` asked for) and once ``startIndex`` plus the page's
-    entries reaches ``totalResults``; pages starting at or after the first such
-    end are not part of the feed. The end is one aggregate over the page
-    headers (a scalar subquery), so the pages themselves are filtered in place.
-    """
-    n = F.coalesce(F.size(F.col("vulnerabilities")), F.lit(0))
-    start = F.coalesce(F.col("startIndex"), F.lit(0))
-    asked = F.col("resultsPerPage")
-    total = F.col("totalResults")
-    terminal = (n == 0) | (asked.isNotNull() & (n < asked)) | (total.isNotNull() & (start + n >= total))
-    end = pages.agg(F.min(F.when(terminal, start + n)).alias("end")).scalar()
-    return pages.filter(end.isNull() | (start < end))
-
-
 def normalise_primary_pages(pages: DataFrame) -> DataFrame:
     """Landed pages → one flat record per vulnerability entry, in page order."""
     entries = pages.select(
@@ -91,7 +79,7 @@ def normalise_primary_pages(pages: DataFrame) -> DataFrame:
     )
     cve = F.col("_item").getField("cve")
     with_cvss = entries.select(
-        (F.coalesce(F.col("_start"), F.lit(0)) + F.col("_pos")).cast("long").alias("ord"),
+        (F.col("_start") + F.col("_pos")).cast("long").alias("ord"),
         cve.alias("_cve"),
         pick_cvss(cve.getField("metrics")).alias("_cvss"),
     )
@@ -106,6 +94,7 @@ def normalise_primary_pages(pages: DataFrame) -> DataFrame:
         F.col("_cvss").getField("baseSeverity").alias("severity"),
         pick_cwe_ids(c.getField("weaknesses")).alias("cwe_ids"),
         F.lit(K.SOURCE_PRIMARY).alias("source"),
+        F.monotonically_increasing_id().alias("seq"),
     )
 
 
@@ -113,10 +102,25 @@ def _truthy_text(col: Column) -> Column:
     return F.when(col != F.lit(""), col)
 
 
-def mirror_cvss(v3: Column, v4: Column, v2: Column) -> Column:
-    """V3 or V4 or V2 by truthiness (empty text falls through), parsed as a number."""
-    chosen = F.coalesce(_truthy_text(v3), _truthy_text(v4), v2)
-    return parse_plain_number(chosen)
+def _truthy(df: DataFrame, name: str) -> Column:
+    """The column where the feed's value counts as present: text that isn't empty,
+    a number that isn't zero."""
+    col = F.col(f"`{name}`")
+    if df.schema[name].dataType.typeName() == "string":
+        return _truthy_text(col)
+    return F.when(col != F.lit(0), col)
+
+
+def mirror_cvss(rows: DataFrame) -> Column:
+    """V3 or V4 or V2, the first that counts as present (the last in any case), as a
+    number. Columns of numbers and of text may be mixed."""
+    number = lambda name, col: parse_plain_number(col) if rows.schema[name].dataType.typeName() == "string" else col.cast("double")
+    v3, v4 = _truthy(rows, "CVSS-V3"), _truthy(rows, "CVSS-V4")
+    return (
+        F.when(v3.isNotNull(), number("CVSS-V3", v3))
+        .when(v4.isNotNull(), number("CVSS-V4", v4))
+        .otherwise(number("CVSS-V2", F.col("`CVSS-V2`")))
+    )
 
 
 def mirror_severity(sev: Column) -> Column:
@@ -146,13 +150,14 @@ def normalise_mirror_rows(rows: DataFrame) -> DataFrame:
     cid = F.col("`CVE-ID`")
     kept = rows.filter(F.coalesce(cid, F.lit("")) != F.lit(""))
     return kept.select(
-        F.col("ord").cast("long").alias("ord"),
+        (F.col("ord") if "ord" in rows.columns else F.lit(None)).cast("long").alias("ord"),
         cid.alias("cve_id"),
         F.coalesce(F.col("DESCRIPTION"), F.lit("None")).alias("description"),
         year_from_id(cid).alias("published"),
         F.lit("").alias("last_modified"),
-        mirror_cvss(F.col("`CVSS-V3`"), F.col("`CVSS-V4`"), F.col("`CVSS-V2`")).alias("cvss_score"),
+        mirror_cvss(rows).alias("cvss_score"),
         mirror_severity(F.col("SEVERITY")).alias("severity"),
         mirror_cwe_ids(F.col("`CWE-ID`")).alias("cwe_ids"),
         F.lit(K.SOURCE_MIRROR).alias("source"),
+        F.monotonically_increasing_id().alias("seq"),
     )

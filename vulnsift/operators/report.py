@@ -28,17 +28,14 @@ from pyspark.sql import functions as F
 from vulnsift import config as K
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.functions import per_session
-from vulnsift.functions.numbers import round_stat
+from vulnsift.functions.numbers import pct, round_stat
+from vulnsift.operators.filtering import severity_group_expr
 
 
 def _score(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0.0))
 
 
-def _pct(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part * F.lit(100.0) / whole).otherwise(F.lit(0.0))
-
-
 def _ready() -> Column:
     return F.coalesce(F.col("training_ready"), F.lit(False))
 
@@ -57,7 +54,7 @@ def _headline_from(g: DataFrame) -> DataFrame:
     return g.select(
         F.col("n_total").alias("total"),
         F.col("n_ready").alias("ready_count"),
-        round_stat(_pct(F.col("n_ready"), F.col("n_total"))).alias("pass_rate"),
+        round_stat(pct(F.col("n_ready"), F.col("n_total"))).alias("pass_rate"),
         round_stat(F.col("avg_composite_all")).alias("avg_composite"),
     )
 
@@ -120,24 +117,22 @@ def credibility_hinges(scored: DataFrame) -> DataFrame:
 
 
 # R4 -------------------------------------------------------------------------
-def severity_label() -> Column:
-    """Upper-cased severity with null/'' as UNKNOWN (other values kept)."""
-    sev = F.col("severity")
-    return F.upper(F.coalesce(F.when(sev != F.lit(""), sev), F.lit(K.UNKNOWN_SEVERITY)))
-
-
 def modal_severity(scored: DataFrame) -> DataFrame:
     """Most frequent severity label; ties go to the label seen first."""
-    counts = scored.groupBy(severity_label().alias("top_severity")).agg(
-        F.count(F.lit(1)).alias("top_severity_count"), F.min("ord").alias("_first")
-    )
-    total = F.sum("top_severity_count").over(Window.partitionBy(F.lit(1)))
-    ranked = counts.withColumn("_total", total)
-    top = ranked.orderBy(F.col("top_severity_count").desc(), F.col("_first").asc()).limit(1)
-    return top.select(
-        "top_severity",
-        "top_severity_count",
-        round_stat(_pct(F.col("top_severity_count"), F.col("_total"))).alias("top_severity_pct"),
+    counts = scored.groupBy(severity_group_expr().alias("label")).agg(F.count(F.lit(1)).alias("c"), F.min("ord").alias("first"))
+    return _modal_from(counts.agg(F.sum("c").alias("n"), _modal_label().alias("top")))
+
+
+def _modal_label() -> Column:
+    """Of label rows (label, c, first) the most frequent, then the one seen first."""
+    return F.max(F.struct("c", (-F.col("first")).alias("before"), "label"))
+
+
+def _modal_from(totals: DataFrame) -> DataFrame:
+    return totals.filter(F.col("top").isNotNull()).select(
+        F.col("top.label").alias("top_severity"),
+        F.col("top.c").alias("top_severity_count"),
+        round_stat(pct(F.col("top.c"), F.col("n"))).alias("top_severity_pct"),
     )
 
 
@@ -162,7 +157,7 @@ def _top20_stats_from(ranked: DataFrame, k: int = K.TOP_TABLE_ROWS) -> DataFrame
     n = F.count(F.lit(1))
     return top.agg(
         round_stat(F.coalesce(F.avg(_score("composite_score")), F.lit(0.0))).alias("top20_avg"),
-        round_stat(_pct(F.count_if(F.col("source") == F.lit(K.SOURCE_PRIMARY)), n)).alias("top20_nvd_pct"),
+        round_stat(pct(F.count_if(F.col("source") == F.lit(K.SOURCE_PRIMARY)), n)).alias("top20_nvd_pct"),
     )
 
 
@@ -233,7 +228,7 @@ def _readiness_rows() -> Column:
             F.lit(i).cast("long").alias("position"),
             F.lit(name).alias("bucket"),
             F.col(f"band_{i}").cast("long").alias("count"),
-            round_stat(_pct(F.col(f"band_{i}"), total)).alias("pct"),
+            round_stat(pct(F.col(f"band_{i}"), total)).alias("pct"),
         )
         for i, name in enumerate(_BANDS)
     ]
@@ -332,7 +327,7 @@ def dimension_summary(scored: DataFrame) -> DataFrame:
 # R9 -------------------------------------------------------------------------
 @per_session
 def _severity_aggs() -> list[Column]:
-    label = severity_label()
+    label = severity_group_expr()
     known = K.SEVERITY_ORDER[:-1]
     bucket = F.when(label.isin(*known), label).otherwise(F.lit(K.UNKNOWN_SEVERITY))
     return [F.count_if(bucket == F.lit(s)).alias(f"sev_{i}") for i, s in enumerate(K.SEVERITY_ORDER)]
@@ -364,7 +359,7 @@ def severity_distribution(scored: DataFrame) -> DataFrame:
 def _callout_from(g: DataFrame, hinges: DataFrame, modal: DataFrame, top: DataFrame, cfg: CurationConfig) -> DataFrame:
     med = round_stat(F.col("median_composite"))
     return g.select(
-        round_stat(_pct(F.col("n_ready"), F.col("n_total"))).alias("pass_rate"),
+        round_stat(pct(F.col("n_ready"), F.col("n_total"))).alias("pass_rate"),
         med.alias("median_score"),
         F.when(med < F.lit(cfg.quality_threshold), F.lit("below")).otherwise(F.lit("above")).alias("median_position"),
         hinges.select("iqr").scalar().alias("credibility_iqr"),
@@ -375,12 +370,62 @@ def _callout_from(g: DataFrame, hinges: DataFrame, modal: DataFrame, top: DataFr
     )
 
 
+def _hinge(values: Column, n: Column, upper: bool) -> Column:
+    """Tukey hinge of ``values``: sorted (v, c) pairs of a value and its count."""
+    half = F.floor(n / 2)
+    start = n - half if upper else F.lit(0)
+    zero = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v"))
+
+    def at(rank: Column) -> Column:
+        step = lambda acc, x: F.struct(
+            (acc["seen"] + x["c"]).alias("seen"),
+            F.when(acc["v"].isNull() & (acc["seen"] + x["c"] >= rank), x["v"]).otherwise(acc["v"]).alias("v"),
+        )
+        return F.aggregate(values, zero, step)["v"]
+
+    return (at(start + F.floor((half - 1) / 2) + 1) + at(start + F.floor(half / 2) + 1)) / 2
+
+
 def callout_facts(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
-    """The report's key figures as one row: one aggregation pass for the pass
-    rate and median, one each for hinges, modal severity and top 20 (scalar
-    subqueries)."""
-    g = scored.agg(*_headline_aggs(), *_median_aggs())
-    return _callout_from(g, credibility_hinges(scored), modal_severity(scored), top20_stats(scored), cfg)
+    """The report's key figures as one row, from two passes.
+
+    One pass counts the records three ways at once (by composite and readiness, by
+    credibility, by severity label); a last aggregate over those few rows gives
+    pass rate, median, hinges and mode. The other pass is the top 20, a single
+    subquery.
+    """
+    facts = scored.select(
+        _score("composite_score").alias("composite"), _ready().alias("ready"), _score("source_credibility_score").alias("credibility"),
+        severity_group_expr().alias("label"), "ord",
+    )
+    sets = [["composite", "ready"], ["credibility"], ["label"]]
+    counted = facts.groupingSets(sets, "composite", "ready", "credibility", "label").agg(
+        F.count(F.lit(1)).alias("c"), F.min("ord").alias("first"), F.grouping("composite").alias("g_composite"),
+        F.grouping("credibility").alias("g_credibility"), F.grouping("label").alias("g_label"),
+    )
+    by_score, by_credibility, by_label = (F.col(f"g_{x}") == 0 for x in ("composite", "credibility", "label"))
+    last = counted.agg(
+        F.sum(F.when(by_score, F.col("c"))).alias("n_total"),
+        F.coalesce(F.sum(F.when(by_score & F.col("ready"), F.col("c"))), F.lit(0)).alias("n_ready"),
+        F.percentile(F.when(by_score, F.col("composite")), 0.5, F.col("c")).alias("median_composite"),
+        F.array_sort(F.collect_list(F.when(by_credibility, F.struct(F.col("credibility").alias("v"), F.col("c").alias("c"))))).alias("values"),
+        F.max(F.when(by_label, F.struct("c", (-F.col("first")).alias("before"), "label"))).alias("top"),
+    )
+    top = top20_stats(scored).select(F.struct("top20_avg", "top20_nvd_pct").alias("t")).scalar()
+    n = F.col("n_total")
+    q1, q3 = (round_stat(_hinge(F.col("values"), n, upper)) for upper in (False, True))
+    med = round_stat(F.col("median_composite"))
+    whole = last.withColumn("t", top)
+    return whole.select(
+        round_stat(pct(F.col("n_ready"), F.coalesce(n, F.lit(0)))).alias("pass_rate"),
+        med.alias("median_score"),
+        F.when(med < F.lit(cfg.quality_threshold), F.lit("below")).otherwise(F.lit("above")).alias("median_position"),
+        F.when(n >= 2, round_stat(q3 - q1)).alias("credibility_iqr"),
+        F.col("top.label").alias("top_severity"),
+        F.when(F.col("top").isNotNull(), round_stat(pct(F.col("top.c"), n))).alias("top_severity_pct"),
+        F.col("t.top20_avg").alias("top20_avg"),
+        F.col("t.top20_nvd_pct").alias("top20_nvd_pct"),
+    )
 
 
 # R13 ------------------------------------------------------------------------

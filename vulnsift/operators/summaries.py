@@ -6,16 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnsift import config as K
-from vulnsift.functions.numbers import round_stat
+from vulnsift.functions.numbers import pct, round_stat
 from vulnsift.functions.text import has_items
 from vulnsift.operators.filtering import exclusion_reason_expr
 
 
-def _pct(part: Column, whole: Column) -> Column:
-    """part / whole × 100, 0 for an empty input."""
-    return F.when(whole > 0, part * F.lit(100.0) / whole).otherwise(F.lit(0.0))
-
-
 def _means(prefix: str = "avg_") -> list[Column]:
     """Mean of each score over the records that have it (0 when none do)."""
     return [
@@ -31,7 +26,7 @@ def score_summary(scored: DataFrame) -> DataFrame:
     return scored.agg(
         total.alias("total"),
         ready.alias("ready_count"),
-        round_stat(_pct(ready, total)).alias("ready_pct"),
+        round_stat(pct(ready, total)).alias("ready_pct"),
         *_means(),
     )
 
@@ -66,7 +61,7 @@ def data_card_stats(scored: DataFrame) -> DataFrame:
         F.count_if(src == F.lit(K.SOURCE_MIRROR)).alias("huggingface_records"),
         F.count_if(exclusion_reason_expr() == F.lit("")).alias("passing_hard_filters"),
         ready.alias("training_ready"),
-        round_stat(_pct(ready, total)).alias("pass_rate"),
+        round_stat(pct(ready, total)).alias("pass_rate"),
         *_means(),
         F.count_if(F.col("cvss_score").isNotNull()).alias("with_cvss"),
         F.count_if(has_items(F.col("cwe_ids"))).alias("with_cwe"),

@@ -10,7 +10,7 @@ out because DuckDB reads ``0.1`` as DECIMAL.
 from __future__ import annotations
 
 from vulnsift import config as K
-from vulnsift.sources.fixture import cve_relation_sql, date_samples_sql
+from vulnsift.sources.fixture import PAGE_SIZE, cve_relation_sql, date_texts_sql
 
 CFG = K.DEFAULT_CONFIG
 
@@ -136,7 +136,49 @@ def _standalone(expr: str, name: str) -> str:
     return f"WITH {cve_cte()}, {dims_cte()} SELECT ord, cve_id, round({expr}, 4) AS {name} FROM dims"
 
 
-STRIDE = 1 << 44  # merged order offset of the mirror feed
+def primary_sql(source: str) -> str:
+    """The primary records as the pages give them; ``ord`` counts on each page."""
+    return f"""SELECT (ord // {PAGE_SIZE}) * {PAGE_SIZE} + row_number() OVER (PARTITION BY ord // {PAGE_SIZE} ORDER BY ord) - 1 AS ord, cve_id,
+  CASE WHEN description IS NULL OR ord % 17 = 5 THEN '' ELSE description END AS description,
+  published,
+  concat('2025-02-', lpad(CAST(ord % 28 + 1 AS VARCHAR), 2, '0')) AS last_modified,
+  CASE WHEN cvss_score IS NULL OR ord % 4 = 3 THEN NULL ELSE cvss_score END AS cvss_score,
+  CASE WHEN cvss_score IS NULL OR ord % 4 = 3 THEN NULL ELSE severity END AS severity,
+  CASE WHEN cwe_id IS NULL THEN '' WHEN ord % 5 = 0 THEN concat(cwe_id, ',', cwe_id) ELSE cwe_id END AS cwe_ids,
+  CAST(CASE WHEN cwe_id IS NULL THEN 0 WHEN ord % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_cwe,
+  'nvd' AS source, ord // {PAGE_SIZE} AS page
+FROM {source}"""
+
+
+MIRROR_TEXT_SCORE = f"""CASE WHEN ord % 5 = 4 THEN NULL WHEN cvss_score IS NOT NULL THEN cvss_score
+       WHEN ord % 5 = 0 THEN {d(9.9)} WHEN ord % 5 = 1 THEN {d(1.0)} ELSE NULL END"""
+MIRROR_NUMBER_SCORE = f"""CASE ord % 4 WHEN 0 THEN coalesce(nullif(cvss_score, {d(0.0)}), {d(9.9)})
+       WHEN 1 THEN coalesce(nullif(cvss_score, {d(0.0)}), {d(5.0)}) WHEN 2 THEN cvss_score END"""
+
+
+def mirror_sql(source: str, score: str = MIRROR_TEXT_SCORE) -> str:
+    """The mirror records as the rows give them."""
+    return f"""SELECT ord, cid AS cve_id, coalesce(description, 'None') AS description,
+  CASE WHEN starts_with(cid, 'CVE-') AND regexp_matches(split_part(cid, '-', 2), '^[0-9]+$')
+       THEN split_part(cid, '-', 2) ELSE '' END AS published,
+  '' AS last_modified,
+  {score} AS cvss_score,
+  upper(nullif(sev, '')) AS severity,
+  coalesce(cwe, '') AS cwe_ids,
+  CAST(CASE WHEN cwe IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_cwe,
+  'huggingface' AS source
+FROM (
+  SELECT *, CASE WHEN ord % 13 = 7 THEN lower(cve_id) ELSE cve_id END AS cid,
+         CASE WHEN ord % 2 = 1 THEN lower(severity) ELSE severity END AS sev,
+         CASE WHEN cwe_id IS NOT NULL AND ord % 7 = 3 THEN 'Improper Input Validation' ELSE cwe_id END AS cwe
+  FROM {source}
+) WHERE cid <> ''"""
+
+
+RECORD = """cve_id, description, published, '' AS last_modified, cvss_score, severity, coalesce(cwe_id, '') AS cwe_ids,
+  CAST(CASE WHEN cwe_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_cwe, source"""
+# Post-cutoff publication texts of the derived relation, known without parsing.
+AFTER_CUTOFF = "coalesce(published IN ('2025', '2024-08-02T00:15:08.410', '2024-09'), false)"
 
 
 def filter_ctes() -> str:
@@ -163,7 +205,7 @@ def filter_ctes() -> str:
          row_number() OVER (PARTITION BY sev_group ORDER BY coalesce(composite_score, {d(0.0)}) DESC, ord) AS sample_rank
   FROM grp WHERE sev_group IN ({five})
 ), sample AS (
-  SELECT *, coalesce({date_sql("published")} > DATE '{CFG.cutoff_date}', false) AS contamination_flag
+  SELECT *, {AFTER_CUTOFF} AS contamination_flag
   FROM ranked WHERE sample_rank <= {k}
 )"""
 
@@ -201,67 +243,31 @@ def _oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     cve = f"WITH {cve_cte()}"
 
-    o["nvd_normalise"] = f"""{cve}
-SELECT ord, cve_id,
-  CASE WHEN description IS NULL OR ord % 17 = 5 THEN '' ELSE description END AS description,
-  published,
-  concat('2025-02-', lpad(CAST(ord % 28 + 1 AS VARCHAR), 2, '0')) AS last_modified,
-  CASE WHEN cvss_score IS NULL OR ord % 4 = 3 THEN NULL ELSE cvss_score END AS cvss_score,
-  CASE WHEN cvss_score IS NULL OR ord % 4 = 3 THEN NULL ELSE severity END AS severity,
-  CASE WHEN cwe_id IS NULL THEN '' WHEN ord % 5 = 0 THEN concat(cwe_id, ',', cwe_id) ELSE cwe_id END AS cwe_ids,
-  CAST(CASE WHEN cwe_id IS NULL THEN 0 WHEN ord % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_cwe,
-  'nvd' AS source
-FROM cve"""
+    o["nvd_normalise"] = f"""{cve}, p AS ({primary_sql('cve')})
+SELECT * EXCLUDE (page) FROM p UNION ALL SELECT * EXCLUDE (page) FROM p WHERE page % 5 = 3"""
 
-    o["hf_normalise"] = f"""{cve}, m AS (
-  SELECT *, CASE WHEN ord % 13 = 7 THEN lower(cve_id) ELSE cve_id END AS cid,
-         CASE WHEN ord % 2 = 1 THEN lower(severity) ELSE severity END AS sev,
-         CASE WHEN cwe_id IS NOT NULL AND ord % 7 = 3 THEN 'Improper Input Validation' ELSE cwe_id END AS cwe
-  FROM cve
-)
-SELECT ord, cid AS cve_id, coalesce(description, 'None') AS description,
-  CASE WHEN starts_with(cid, 'CVE-') AND regexp_matches(split_part(cid, '-', 2), '^[0-9]+$')
-       THEN split_part(cid, '-', 2) ELSE '' END AS published,
-  '' AS last_modified,
-  CASE WHEN ord % 5 = 4 THEN NULL WHEN cvss_score IS NOT NULL THEN cvss_score
-       WHEN ord % 5 = 0 THEN {d(9.9)} WHEN ord % 5 = 1 THEN {d(1.0)} ELSE NULL END AS cvss_score,
-  upper(nullif(sev, '')) AS severity,
-  coalesce(cwe, '') AS cwe_ids,
-  CAST(CASE WHEN cwe IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_cwe,
-  'huggingface' AS source
-FROM m WHERE cid <> ''"""
+    o["hf_normalise"] = f"""{cve}
+SELECT 'text' AS "columns", * FROM ({mirror_sql('cve')})
+UNION ALL SELECT 'numbers', * FROM ({mirror_sql('cve', MIRROR_NUMBER_SCORE)})"""
 
     o["source_anti_join"] = f"""{cve}
-SELECT ord, cve_id FROM cve m
+SELECT ord, {RECORD} FROM cve m
 WHERE source <> 'nvd' AND cve_id <> ''
   AND NOT EXISTS (SELECT 1 FROM cve p WHERE p.source = 'nvd' AND p.cve_id = m.cve_id)"""
 
-    o["merge_dedup"] = f"""{cve}, u AS (
-  SELECT CASE WHEN source = 'nvd' THEN ord ELSE ord + {STRIDE} END AS ord, cve_id, source FROM cve WHERE cve_id <> ''
-)
-SELECT ord, cve_id, source FROM (
-  SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY ord) AS rn FROM u) WHERE rn = 1"""
-
-    sb = K.SMALL_BATCH_CONFIG
-    o["record_cap"] = f"""{cve}, p AS (
-  SELECT ord, cve_id, source FROM cve WHERE source = 'nvd' ORDER BY ord LIMIT {sb.primary_cap}
-), m AS (
-  SELECT ord, cve_id, source FROM cve c
-  WHERE source <> 'nvd' AND cve_id <> ''
-    AND NOT EXISTS (SELECT 1 FROM p WHERE p.cve_id = c.cve_id AND p.cve_id <> '')
-  ORDER BY ord LIMIT {sb.mirror_cap}
-)
-SELECT ord, cve_id, source FROM p
-UNION ALL SELECT ord + {STRIDE}, cve_id, source FROM m"""
-
-    o["ingest_counts"] = f"""{cve}, ids AS (
-  SELECT cve_id, min(src) AS src FROM (
-    SELECT cve_id, 0 AS src FROM cve WHERE source = 'nvd'
-    UNION ALL
-    SELECT CASE WHEN ord % 13 = 7 THEN lower(cve_id) ELSE cve_id END, 1 FROM cve WHERE source <> 'nvd'
-  ) WHERE cve_id <> '' GROUP BY cve_id
-)
-SELECT count(*) AS total, count_if(src = 0) AS nvd, count_if(src = 1) AS huggingface FROM ids"""
+    o["merge_dedup"] = f"""{cve}
+SELECT CAST(CASE WHEN source = 'nvd' THEN 0 ELSE 1 END AS INTEGER) AS src_rank,
+  CASE WHEN ord % 20 <> 4 AND ord % 10 <> 7 THEN ord END AS ord, {RECORD}
+FROM cve WHERE cve_id <> ''
+QUALIFY row_number() OVER (PARTITION BY cve_id ORDER BY source <> 'nvd', ord % 20 = 4 OR ord % 10 = 7, ord) = 1"""
+
+    merged = f"""{cve}, p AS ({primary_sql("(SELECT * FROM cve WHERE source = 'nvd')")}),
+m AS ({mirror_sql("(SELECT * FROM cve WHERE source <> 'nvd')")}),
+u AS (SELECT CAST(0 AS INTEGER) AS src_rank, * EXCLUDE (page) FROM p UNION ALL SELECT CAST(1 AS INTEGER), * FROM m),
+merged AS (SELECT * FROM u WHERE cve_id <> '' QUALIFY row_number() OVER (PARTITION BY cve_id ORDER BY src_rank, ord) = 1)"""
+    o["ingest_records"] = f"{merged} SELECT * EXCLUDE (ord) FROM merged"
+    o["ingest_counts"] = f"""{merged}
+SELECT count(*) AS total, count_if(source = 'nvd') AS nvd, count_if(source = 'huggingface') AS huggingface FROM merged"""
 
     for name, expr in (("relevance", "rel"), ("completeness", "comp"), ("credibility", "cred"), ("clarity", "clar")):
         col = {"relevance": "relevance_score", "completeness": "completeness_score",
@@ -285,14 +291,9 @@ FROM ready"""
         f"{fp} SELECT ord, cve_id, severity, composite_score, severity_rank, "
         f"CAST(sample_rank AS BIGINT) AS sample_rank, true AS sampled FROM sample"
     )
-    o["parse_date"] = (
-        f"SELECT ord, published, CAST({date_sql('published')} AS VARCHAR) AS published_date "
-        f"FROM ({date_samples_sql()}) t"
-    )
-    o["decontaminate"] = (
-        f"{scoring_prefix()} SELECT ord, cve_id, published, "
-        f"coalesce({date_sql('published')} > DATE '{CFG.cutoff_date}', false) AS contamination_flag FROM ready"
-    )
+    o["parse_date"] = f"""WITH o AS (SELECT o_orderkey, substr(CAST(o_orderdate AS VARCHAR), 1, 10) AS d FROM orders)
+SELECT o_orderkey AS ord, {date_texts_sql(0)} AS published, {date_texts_sql(1)} AS published_date FROM o"""
+    o["decontaminate"] = f"{scoring_prefix()} SELECT ord, cve_id, published, {AFTER_CUTOFF} AS contamination_flag FROM ready"
     o["filter_summary"] = f"""{fp}
 SELECT count(*) AS total_input,
   count_if(exclusion_reason IS NOT NULL) AS hard_excluded,
@@ -307,6 +308,17 @@ FROM tiered"""
         f"{fp} SELECT ord, cve_id, severity, published, composite_score, severity_rank, "
         f"CAST(sample_rank AS BIGINT) AS sample_rank FROM sample WHERE NOT contamination_flag"
     )
+    o["routed_outputs"] = f"""{fp}
+SELECT CASE WHEN exclusion_reason IS NOT NULL THEN {q(K.ROUTE_REJECTED)} ELSE {q(K.ROUTE_REVIEW)} END AS route,
+  ord, cve_id, description, composite_score, exclusion_reason, tier, CAST(NULL AS BOOLEAN) AS sampled,
+  CAST(NULL AS BOOLEAN) AS contamination_flag, CAST(NULL AS BIGINT) AS severity_rank, CAST(NULL AS BIGINT) AS sample_rank
+FROM tiered WHERE exclusion_reason IS NOT NULL OR tier = 'review_queue'
+UNION ALL
+SELECT CASE WHEN contamination_flag THEN {q(K.ROUTE_FLAGGED)} ELSE {q(K.ROUTE_FINAL)} END,
+  ord, cve_id, description, composite_score, exclusion_reason, tier, true,
+  CASE WHEN contamination_flag THEN true END, severity_rank, CAST(sample_rank AS BIGINT)
+FROM sample"""
+    o["scored_jsonl"] = o["score_dataset"]
     sp = scoring_prefix()
     means = ", ".join(
         f"round(coalesce(avg({c}), {d(0.0)}), 6) AS avg_{c.replace('_score', '').replace('source_', '')}"
@@ -384,6 +396,10 @@ FROM l GROUP BY dimension"""
 ), p AS (SELECT * FROM (VALUES {order}) v(position, severity))
 SELECT CAST(p.position AS BIGINT) AS position, p.severity, CAST(count(b.severity) AS BIGINT) AS count
 FROM p LEFT JOIN b ON b.severity = p.severity GROUP BY p.position, p.severity"""
+    o["report_run"] = f"""WITH a AS ({o["readiness_breakdown"]}), h AS ({o["score_histogram"]}), s AS ({o["severity_distribution"]})
+SELECT 'readiness_breakdown' AS report_table, position, bucket AS label, count FROM a
+UNION ALL SELECT 'score_histogram', bin, CAST(bin_start AS VARCHAR), count FROM h
+UNION ALL SELECT 'severity_distribution', position, severity, count FROM s"""
     mark = q(K.MISSING_MARK)
     fmt = lambda c: f"CASE WHEN {c} IS NULL THEN {mark} ELSE printf('%.3f', {c}) END"
     o["top20_table"] = f"""{sp}

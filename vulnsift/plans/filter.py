@@ -1,38 +1,30 @@
 """End-to-end filter stage: exclusions → tiers → sample → decontamination → routes.
 
-The sample (at most 5 × quota rows, a bound fixed by the configuration) is
-the only part that needs a shuffle, and only its narrow keys go through it;
-they are joined back to the records by broadcast when that bound is small,
-so routing and counting stay map-side.
+Exclusions, tiers and their counts are map-side. The sample (at most 5 × quota
+rows, a bound fixed by the configuration) is a two-level top-k whose first level
+limits each task's rows before the shuffle.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from vulnsift import config as K
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.operators.filtering import (
-    BROADCAST_SAMPLE_ROWS,
     apply_stratified_sample,
-    sample_keys,
+    sample_bucket,
+    sample_order,
+    severity_rank_of_group,
     tier_expr,
     with_contamination_flag,
     with_exclusion_reason,
 )
 
 
-# Largest sample written as a single file per route.
-SINGLE_FILE_ROWS = 1_000_000
-
-
-def sample_bound(cfg: CurationConfig) -> int:
-    return len(K.SEVERITY_ORDER) * cfg.per_severity_quota
-
-
 def classify(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
     """Add ``exclusion_reason`` and, for kept records, ``tier``."""
     reasoned = with_exclusion_reason(scored)
@@ -67,47 +59,64 @@ def route_expr() -> Column:
     )
 
 
-def attach_sample(classified: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Every record with its sample marks and ``route`` (null = not written).
+def _tier_counts() -> list[Column]:
+    tier = F.col("tier")
+    return [
+        F.count(F.lit(1)).alias("total_input"),
+        F.count_if(F.col("exclusion_reason").isNotNull()).alias("hard_excluded"),
+        F.count_if(tier == F.lit(K.TIER_READY)).alias("training_ready_raw"),
+        F.count_if(tier == F.lit(K.TIER_REVIEW)).alias("review_queue"),
+        F.count_if(tier == F.lit(K.TIER_REJECTED)).alias("tier_rejected"),
+    ]
 
-    Only the sample keys (at most 5 × quota rows, a bound set by the
-    configuration) travel back to the records, by broadcast when small, so
-    routing stays map-side and the records are scanned once more at most.
-    """
-    # Dates are parsed for the sampled keys only (at most 5 × quota rows).
-    marks = sample_keys(ready_tier(classified, cfg), cfg.per_severity_quota, carry=("published",))
-    marks = with_contamination_flag(marks, cfg, target="_post_cutoff").select(
-        "ord",
-        "severity_rank",
-        "sample_rank",
-        F.lit(True).alias("sampled"),
-        F.when(F.col("_post_cutoff"), F.lit(True)).alias("contamination_flag"),
-    )
-    if sample_bound(cfg) <= BROADCAST_SAMPLE_ROWS:
-        marks = F.broadcast(marks)
-    joined = classified.join(marks, on="ord", how="left")
-    # Only flagged records carry the contamination mark; unsampled ones are not sampled.
-    joined = joined.withColumn("sampled", F.coalesce(F.col("sampled"), F.lit(False)))
-    return joined.withColumn("route", route_expr())
 
+def _sample_counts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("sampled"),
+        F.count_if(~F.col("contamination_flag")).alias("training_final"),
+        F.count_if(F.col("contamination_flag")).alias("flagged_contamination"),
+    ]
 
-def build_routes(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Lazy: all records with reason, tier, sample marks and route."""
-    return attach_sample(classify(scored, cfg), cfg)
 
+def filter_summary(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The eight stage counts as one row, from one pass over the records.
 
-def summary_of(routes: DataFrame) -> DataFrame:
-    """The eight stage counts as one row."""
-    tier, route = F.col("tier"), F.col("route")
-    return routes.agg(
+    Narrow rows (tier, group, order keys, date) are dealt by group and hash
+    bucket; a bucket counts its rows by tier and keeps its first k ready ones, of
+    which the group then takes its k.
+    """
+    k = cfg.per_severity_quota
+    classified = classify(scored, cfg)
+    ready = F.col("tier") == F.lit(K.TIER_READY)
+    narrow = classified.select(
+        F.col("exclusion_reason").isNotNull().alias("excluded"), "tier", "ord", "cve_id", "severity", "published", "composite_score",
+        F.when(ready, severity_rank_of_group()).alias("severity_rank"), sample_bucket().alias("_bucket"),
+    )
+    in_bucket = Window.partitionBy("severity_rank", "_bucket").orderBy(*sample_order())
+    order = F.struct(
+        (-F.coalesce(F.col("composite_score"), F.lit(0.0))).alias("c"), F.col("ord").isNull().alias("none"), "ord", "cve_id",
+        F.xxhash64("cve_id", "severity", "published").alias("h"), "published",
+    )
+    first = F.col("severity_rank").isNotNull() & (F.col("_r") <= F.lit(k))
+    counts = [
         F.count(F.lit(1)).alias("total_input"),
-        F.count_if(F.col("exclusion_reason").isNotNull()).alias("hard_excluded"),
-        F.count_if(tier == F.lit(K.TIER_READY)).alias("training_ready_raw"),
-        F.count_if(tier == F.lit(K.TIER_REVIEW)).alias("review_queue"),
-        F.count_if(tier == F.lit(K.TIER_REJECTED)).alias("tier_rejected"),
-        F.count_if(F.col("sampled")).alias("sampled"),
-        F.count_if(route == F.lit(K.ROUTE_FINAL)).alias("training_final"),
-        F.count_if(route == F.lit(K.ROUTE_FLAGGED)).alias("flagged_contamination"),
+        F.count_if("excluded").alias("hard_excluded"),
+        *[F.count_if(F.col("tier") == F.lit(t)).alias(n) for t, n in ((K.TIER_READY, "training_ready_raw"), (K.TIER_REVIEW, "review_queue"), (K.TIER_REJECTED, "tier_rejected"))],
+    ]
+    names = ["total_input", "hard_excluded", "training_ready_raw", "review_queue", "tier_rejected"]
+    buckets = narrow.withColumn("_r", F.row_number().over(in_bucket)).groupBy("severity_rank", "_bucket").agg(*counts, F.collect_list(F.when(first, order)).alias("_first"))
+    groups = buckets.groupBy("severity_rank").agg(*[F.sum(n).alias(n) for n in names], F.flatten(F.collect_list("_first")).alias("_first"))
+    # At most buckets x quota candidates for a group, of which quota remain.
+    sample = groups.withColumn("_sample", F.slice(F.array_sort("_first"), 1, k))
+    exploded = sample.select(*names, F.posexplode_outer("_sample").alias("_pos", "_s")).withColumn("published", F.col("_s.published"))
+    dated = with_contamination_flag(exploded, cfg, target="post_cutoff")
+    per_row = [F.sum(F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.col(n)).otherwise(F.lit(0))) for n in names]
+    taken = F.col("_s").isNotNull()
+    return dated.agg(
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(n) for c, n in zip(per_row, names)],
+        F.count_if(taken).alias("sampled"),
+        F.count_if(taken & ~F.col("post_cutoff")).alias("training_final"),
+        F.count_if(taken & F.col("post_cutoff")).alias("flagged_contamination"),
     )
 
 
@@ -117,63 +126,51 @@ class FilterRun:
     output_dir: str
 
 
+LARGE_ROUTES = (K.ROUTE_REJECTED, K.ROUTE_REVIEW)
+SAMPLE_ROUTES = (K.ROUTE_FINAL, K.ROUTE_FLAGGED)
+
+
 def run_filter_pipeline(
     scored: DataFrame, output_dir: str, cfg: CurationConfig = DEFAULT_CONFIG, fmt: str = "json"
 ) -> FilterRun:
     """Write the four routes under ``output_dir/route=<name>/`` and return the counts.
 
-    The rejected and review routes need no sample information, so they are
-    written straight from one pass over the classified records, which also
-    yields the tier counts (an observation). The sample is checkpointed to the
-    shared ``spark.checkpoint.dir``: the two small routes and their counts
-    reuse it, and a lost executor does not redo the window. Three passes over
-    the scored records in all: sample keys, sample rows, large routes.
-    Small routes are written as one file each in sample order (severity group,
-    then composite descending).
+    All four folders exist after a run, empty routes included, and hold that run's
+    records only. The rejected and review routes need no sample information, so
+    they are written from one pass over the classified records, which also
+    yields the tier counts (an observation). The sample is stored in the shared
+    checkpoint folder and written in its order (severity group, then composite
+    descending). Two passes over the scored records in all.
     """
-    from vulnsift.session import ensure_checkpoint_dir
+    from vulnsift.session import stored
     from vulnsift.sources.stagefiles import write_stage
 
-    ensure_checkpoint_dir(scored.sparkSession)
     classified = classify(scored, cfg)
-    sample = sample_of(classified, cfg).checkpoint(eager=True)
-
-    # The tier counts ride along the pass that writes the large routes: the
-    # observation sits below the route filter, so it sees every record.
+    sample = stored(sample_of(classified, cfg), "sample")
     observed_counts = Observation("filter_counts")
-    observed = classified.observe(
-        observed_counts,
-        F.count(F.lit(1)).alias("total_input"),
-        F.count_if(F.col("exclusion_reason").isNotNull()).alias("hard_excluded"),
-        F.count_if(F.col("tier") == F.lit(K.TIER_READY)).alias("training_ready_raw"),
-        F.count_if(F.col("tier") == F.lit(K.TIER_REVIEW)).alias("review_queue"),
-        F.count_if(F.col("tier") == F.lit(K.TIER_REJECTED)).alias("tier_rejected"),
-    )
+    # The observation sits below the route filter, so it sees every record.
+    observed = classified.observe(observed_counts, *_tier_counts())
     large = observed.filter(
         F.col("exclusion_reason").isNotNull() | (F.col("tier") == F.lit(K.TIER_REVIEW))
     ).withColumns({"sampled": F.lit(None).cast("boolean"), "contamination_flag": F.lit(None).cast("boolean")})
     large = large.withColumn("route", route_expr()).drop("sampled", "contamination_flag")
-    write_stage(large, output_dir, fmt, partition_by="route")
-    counts = observed_counts.get
-
     small = sample.withColumn("contamination_flag", F.when(F.col("contamination_flag"), F.lit(True)))
     small = small.withColumn("route", route_expr())
-    if sample_bound(cfg) <= SINGLE_FILE_ROWS:
-        # At most 5 × quota rows: one file per route, in sample order.
-        small = small.coalesce(1).sortWithinPartitions("route", "severity_rank", "sample_rank")
-    else:
-        # A large quota: range-partition by the sample order and write in parallel.
-        small = small.repartitionByRange("severity_rank", "sample_rank").sortWithinPartitions(
-            "route", "severity_rank", "sample_rank"
-        )
-    write_stage(small, output_dir, fmt, partition_by="route", mode="append")
-
-    drawn = sample.agg(
-        F.count(F.lit(1)).alias("sampled"),
-        F.count_if(~F.col("contamination_flag")).alias("training_final"),
-        F.count_if(F.col("contamination_flag")).alias("flagged_contamination"),
-    ).first().asDict()
-    summary = {k: int(v) for k, v in {**counts, **drawn}.items()}
+    small = small.repartitionByRange("route", "severity_rank", "sample_rank").sortWithinPartitions("route", "severity_rank", "sample_rank")
+    # Each write replaces the routes that it has rows of.
+    replace = {"partitionOverwriteMode": "dynamic"}
+    write_stage(large, output_dir, fmt, partition_by="route", options=replace)
+    write_stage(small, output_dir, fmt, partition_by="route", options=replace)
+    drawn = sample.agg(*_sample_counts()).first().asDict()
+    summary = {k: int(v) for k, v in {**observed_counts.get, **drawn}.items()}
+    rows = {
+        K.ROUTE_REJECTED: summary["hard_excluded"], K.ROUTE_REVIEW: summary["review_queue"],
+        K.ROUTE_FINAL: summary["training_final"], K.ROUTE_FLAGGED: summary["flagged_contamination"],
+    }
+    for route, n in rows.items():
+        if not n:
+            empty = (large if route in LARGE_ROUTES else small).drop("route").limit(0)
+            write_stage(empty, f"{output_dir}/route={route}", fmt)
     return FilterRun(summary=summary, output_dir=output_dir)
 
 

@@ -8,36 +8,23 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vulnsift import config as K
-from vulnsift.config import DEFAULT_CONFIG, CurationConfig
-from vulnsift.operators.merge import cap_records, drop_known_ids, keep_first, ordered_union
-from vulnsift.operators.normalise import (
-    RECORD_COLUMNS,
-    normalise_mirror_rows,
-    normalise_primary_pages,
-    pages_within_fetch,
-)
+from vulnsift.operators.merge import keep_first, ordered_union, renumbered
+from vulnsift.operators.normalise import RECORD_COLUMNS, normalise_mirror_rows, normalise_primary_pages
 
 
-def merge_sources(primary: DataFrame, mirror: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
+def merge_sources(primary: DataFrame, mirror: DataFrame) -> DataFrame:
     """Normalised primary + mirror records → deduplicated records (lazy).
 
-    The primary cap counts records in page order; the mirror cap counts
-    mirror records left after dropping ids known from the primary feed.
-    Without a mirror cap the anti join is skipped: keep-first on the ordered
-    union already drops every mirror record whose id the primary feed has,
-    so one shuffle does both jobs.
+    Keep-first on the ordered union also drops every mirror record whose id the
+    primary feed has, so one shuffle does both jobs.
     """
-    primary = cap_records(primary.select(*RECORD_COLUMNS), cfg.primary_cap)
-    mirror = mirror.select(*RECORD_COLUMNS)
-    if cfg.mirror_cap is not None:
-        mirror = cap_records(drop_known_ids(mirror, primary), cfg.mirror_cap)
-    return keep_first(ordered_union(primary, mirror))
+    columns = [c for c in RECORD_COLUMNS if c in primary.columns and c in mirror.columns]
+    return keep_first(ordered_union(primary.select(*columns), mirror.select(*columns)))
 
 
-def ingest_frames(pages: DataFrame, mirror_rows: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
+def ingest_frames(pages: DataFrame, mirror_rows: DataFrame) -> DataFrame:
     """Landed pages and mirror rows → deduplicated records (lazy)."""
-    primary = normalise_primary_pages(pages_within_fetch(pages))
-    return merge_sources(primary, normalise_mirror_rows(mirror_rows), cfg)
+    return merge_sources(normalise_primary_pages(pages), normalise_mirror_rows(mirror_rows))
 
 
 def _source_count_exprs() -> list:
@@ -65,20 +52,26 @@ def ingest(
     pages_path: str,
     mirror_path: str,
     output_path: str,
-    cfg: CurationConfig = DEFAULT_CONFIG,
     mirror_format: str = "csv",
     one_page_per_file: bool = True,
     fmt: str = "parquet",
 ) -> IngestRun:
-    """Read both landings, merge, write the raw record file, return the counts."""
+    """Read both landings, merge, write the raw record file, return the counts.
+
+    The normalised records are written once to the shared checkpoint folder, so
+    the nested landing is parsed once however often the merge reads them; the
+    raw file gets a fresh ``ord`` in merged order.
+    """
     from vulnsift.schemas import RECORD_SCHEMA
+    from vulnsift.session import stored
     from vulnsift.sources.landing import read_mirror, read_primary_pages
     from vulnsift.sources.stagefiles import write_stage
 
-    pages = read_primary_pages(spark, pages_path, one_page_per_file)
-    rows = read_mirror(spark, mirror_path, mirror_format)
+    primary = normalise_primary_pages(read_primary_pages(spark, pages_path, one_page_per_file))
+    mirror = normalise_mirror_rows(read_mirror(spark, mirror_path, mirror_format))
+    normalised = stored(ordered_union(primary, mirror), "normalised")
     # The per-source counts are observed on the written rows: no second pass.
     counts = Observation("ingest_counts")
-    merged = ingest_frames(pages, rows, cfg).select(*[F.col(f.name) for f in RECORD_SCHEMA.fields])
+    merged = renumbered(keep_first(normalised)).select(*[F.col(f.name) for f in RECORD_SCHEMA.fields])
     write_stage(merged.observe(counts, *_source_count_exprs()), output_path, fmt)
     return IngestRun(counts={k: int(v) for k, v in counts.get.items()}, output_path=output_path)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.operators.report import build_report
 from vulnsift.schemas import SCORED_SCHEMA
+from vulnsift.session import path_exists, stored
 from vulnsift.sources.jsonl import EmptyInputError, write_jsonl
 from vulnsift.sources.stagefiles import read_stage
 
@@ -25,9 +26,7 @@ class ReportRun:
 
 def load_scored(spark: SparkSession, scored_path: str, fmt: str = "json") -> DataFrame:
     """Scored records; a missing path raises, an empty input raises ``EmptyInputError``."""
-    import os
-
-    if "://" not in scored_path and not os.path.exists(scored_path):
+    if not path_exists(spark, scored_path):
         raise FileNotFoundError(f"Scored data not found at '{scored_path}'. Run the score stage first.")
     return read_stage(spark, scored_path, SCORED_SCHEMA, fmt, require_rows=True)
 
@@ -44,15 +43,12 @@ def generate_report(
 
     Four passes over the scored records (global statistics, top 50,
     credibility frequencies, severity labels); their small results are
-    checkpointed into the shared ``spark.checkpoint.dir`` and every table is
+    stored below the shared ``spark.checkpoint.dir`` and every table is
     derived from those.
     """
-    from vulnsift.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
     scored = load_scored(spark, scored_path, fmt)
     tables = {}
-    report = build_report(scored, cfg, materialise=lambda df: df.checkpoint(eager=True))
+    report = build_report(scored, cfg, materialise=lambda df: stored(df, "report"))
     for name, table in report.items():
         path = f"{output_dir}/{name}"
         write_jsonl(table.coalesce(1), path)

@@ -24,6 +24,8 @@ from vulnsift.plans.filter import run_filter_pipeline
 from vulnsift.plans.ingest import ingest
 from vulnsift.plans.report import generate_report, load_scored
 from vulnsift.schemas import RECORD_SCHEMA
+from vulnsift.session import input_bytes, sized_shuffles
+from vulnsift.sources.landing import MIRROR_FORMATS
 from vulnsift.sources.stagefiles import FORMATS, read_stage, write_stage
 
 STAGES = ("ingest", "score", "filter", "report", "all")
@@ -90,6 +92,7 @@ def run_stages(
     pages_path: str | None = None,
     mirror_path: str | None = None,
     mirror_format: str = "csv",
+    one_page_per_file: bool = True,
     cfg: CurationConfig = DEFAULT_CONFIG,
     scored_at: str | None = None,
     fmt: str = "parquet",
@@ -98,21 +101,18 @@ def run_stages(
         raise ValueError(f"stage must be one of {STAGES}")
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
-    from vulnsift.session import input_bytes, size_shuffles
-
-    size_shuffles(spark, input_bytes(spark, pages_path or "", mirror_path or "", paths.raw, paths.scored))
+    if stage in ("ingest", "all") and not (pages_path and mirror_path):
+        raise ValueError("the ingest stage needs the landed pages and mirror paths")
     result = RunResult()
-    if stage in ("ingest", "all"):
-        if not pages_path or not mirror_path:
-            raise ValueError("the ingest stage needs the landed pages and mirror paths")
-        result.ingest = ingest(spark, pages_path, mirror_path, paths.raw, cfg, mirror_format, fmt=fmt).counts
-    if stage in ("score", "all"):
-        result.score = run_score_stage(spark, paths.raw, paths.scored, cfg, scored_at, fmt)
-    if stage in ("filter", "all"):
-        scored = load_scored(spark, paths.scored, fmt)
-        result.filter = run_filter_pipeline(scored, paths.filtered, cfg, fmt).summary
-    if stage in ("report", "all"):
-        result.report = generate_report(spark, paths.scored, paths.report, cfg, fmt).tables
+    with sized_shuffles(spark, input_bytes(spark, pages_path or "", mirror_path or "", paths.raw, paths.scored)):
+        if stage in ("ingest", "all"):
+            result.ingest = ingest(spark, pages_path, mirror_path, paths.raw, mirror_format, one_page_per_file, fmt).counts
+        if stage in ("score", "all"):
+            result.score = run_score_stage(spark, paths.raw, paths.scored, cfg, scored_at, fmt)
+        if stage in ("filter", "all"):
+            result.filter = run_filter_pipeline(load_scored(spark, paths.scored, fmt), paths.filtered, cfg, fmt).summary
+        if stage in ("report", "all"):
+            result.report = generate_report(spark, paths.scored, paths.report, cfg, fmt).tables
     return result
 
 
@@ -122,17 +122,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--work", required=True, help="folder for stage outputs")
     parser.add_argument("--pages", help="landed primary-feed pages (JSON)")
     parser.add_argument("--mirror", help="landed mirror rows")
-    parser.add_argument("--mirror-format", default="csv", choices=("csv", "parquet"))
+    parser.add_argument("--pages-per-line", action="store_true", help="JSON lines with a page on each line")
+    parser.add_argument("--mirror-format", default="csv", choices=MIRROR_FORMATS)
     parser.add_argument("--format", default="parquet", choices=FORMATS, help="stage file format")
-    parser.add_argument("--max-records", type=int, default=None, dest="max_records",
-                        help="primary-feed cap (default: none)")
-    parser.add_argument("--mirror-cap", type=int, default=None, dest="mirror_cap",
-                        help="mirror cap after source precedence (default: none)")
     args = parser.parse_args(argv)
-    cfg = CurationConfig(primary_cap=args.max_records, mirror_cap=args.mirror_cap)
     spark = SparkSession.builder.appName("vulnsift").getOrCreate()
     result = run_stages(
-        spark, args.stage, StagePaths(args.work), args.pages, args.mirror, args.mirror_format, cfg, fmt=args.format
+        spark, args.stage, StagePaths(args.work), args.pages, args.mirror, args.mirror_format, not args.pages_per_line, fmt=args.format
     )
     print(json.dumps(result.__dict__, indent=2, default=str))
 

@@ -8,55 +8,33 @@ DataFrame whose columns match the oracle of the same name in
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnsift import config as K
-from vulnsift.config import SMALL_BATCH_CONFIG
 from vulnsift.functions.dates import with_parsed_date
 from vulnsift.operators import filtering, merge, normalise, report, scoring, summaries
 from vulnsift.plans import filter as filter_plan
 from vulnsift.plans import ingest as ingest_plan
+from vulnsift.plans import report as report_plan
 from vulnsift.plans.stages import observe_stage
-from vulnsift.session import ensure_checkpoint_dir
-from vulnsift.sources.fixture import cve_records, date_samples, mirror_rows, primary_pages
+from vulnsift.schemas import SCORED_SCHEMA
+from vulnsift.session import scratch_path
+from vulnsift.sources.fixture import (
+    cve_records,
+    date_samples,
+    landed_records,
+    mirror_rows,
+    numeric_mirror_rows,
+    primary_pages,
+)
+from vulnsift.sources.stagefiles import read_stage, write_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-
-def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Reuse the analysed input frame per session and input-file version.
-
-    Building the derived relation and its scoring costs a few hundred
-    milliseconds of plan analysis; the frame is a pure function of the
-    documents file, so it is built once per session (keyed on the file's
-    size and modification time) like a prepared statement. For the scored and
-    record frames only the plan is reused: every action still scans and
-    computes. The derived source landings (``_landed``) are data written once
-    per session and scanned by every run, as landed files would be.
-    """
-
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = os.path.join(sf_dir, "documents.parquet")
-        try:
-            st = os.stat(path)
-            version = (st.st_size, st.st_mtime_ns)
-        except OSError:  # not a local path: build every time
-            return fn(spark, sf_dir)
-        store = spark.__dict__.setdefault("_vulnsift_frames", {})
-        key = (fn.__name__, os.path.abspath(sf_dir), version)
-        if key not in store:
-            store[key] = fn(spark, sf_dir)
-        return store[key]
-
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
 # Fixed batch timestamp for reproducible scored output.
 FIXED_SCORED_AT = "2025-01-01T00:00:00Z"
 
@@ -92,10 +70,10 @@ def q_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _flat(df: DataFrame) -> DataFrame:
+def _flat(df: DataFrame, *first: str) -> DataFrame:
     """Record columns with the id list rendered as text (for value comparison)."""
     return df.select(
-        "ord",
+        *(first or ("ord",)),
         "cve_id",
         "description",
         "published",
@@ -108,39 +86,15 @@ def _flat(df: DataFrame) -> DataFrame:
     )
 
 
-def _landed(df: DataFrame) -> DataFrame:
-    """Write a derived feed once, as a landing would be: a reliable checkpoint in
-    the shared ``spark.checkpoint.dir``. The source queries then scan it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-@_prepared
-def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed(primary_pages(spark, sf_dir))
-
-
-@_prepared
-def all_mirror_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed(mirror_rows(spark, sf_dir))
-
-
-@_prepared
-def primary_feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed(primary_pages(spark, sf_dir, only_source=K.SOURCE_PRIMARY))
-
-
-@_prepared
-def mirror_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed(mirror_rows(spark, sf_dir, exclude_source=K.SOURCE_PRIMARY))
-
-
 def q_nvd_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(normalise.normalise_primary_pages(normalise.pages_within_fetch(all_pages(spark, sf_dir))))
+    return _flat(normalise.normalise_primary_pages(primary_pages(spark, sf_dir)))
 
 
 def q_hf_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(normalise.normalise_mirror_rows(all_mirror_rows(spark, sf_dir)))
+    """Rows of text columns, and the same rows with number columns."""
+    text = normalise.normalise_mirror_rows(mirror_rows(spark, sf_dir)).withColumn("columns", F.lit("text"))
+    numbers = normalise.normalise_mirror_rows(numeric_mirror_rows(spark, sf_dir)).withColumn("columns", F.lit("numbers"))
+    return _flat(text.unionByName(numbers), "columns", "ord")
 
 
 def _split_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -151,38 +105,37 @@ def _split_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 def q_source_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     primary, mirror = _split_sources(spark, sf_dir)
-    return merge.drop_known_ids(mirror, primary).select("ord", "cve_id")
+    return _flat(merge.drop_known_ids(mirror, primary))
 
 
 def q_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full records of both feeds, with repeated landings and records without a position."""
     primary, mirror = _split_sources(spark, sf_dir)
-    return merge.keep_first(merge.ordered_union(primary, mirror)).select("ord", "cve_id", "source")
+    merged = merge.keep_first(merge.ordered_union(landed_records(primary), landed_records(mirror)))
+    return _flat(merged, "src_rank", "ord")
 
 
-def q_record_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = SMALL_BATCH_CONFIG
-    primary, mirror = _split_sources(spark, sf_dir)
-    capped = merge.cap_records(primary, cfg.primary_cap)
-    rest = merge.cap_records(merge.drop_known_ids(mirror, capped), cfg.mirror_cap)
-    return merge.ordered_union(capped, rest).select("ord", "cve_id", "source")
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = primary_pages(spark, sf_dir, only_source=K.SOURCE_PRIMARY)
+    return ingest_plan.ingest_frames(pages, mirror_rows(spark, sf_dir, exclude_source=K.SOURCE_PRIMARY))
+
+
+def q_ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(_ingested(spark, sf_dir), "src_rank")
 
 
 def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages, rows = primary_feed_pages(spark, sf_dir), mirror_feed_rows(spark, sf_dir)
-    return ingest_plan.source_counts(ingest_plan.ingest_frames(pages, rows))
+    return ingest_plan.source_counts(_ingested(spark, sf_dir))
 
 
-@_prepared
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cve_records(spark, sf_dir)
 
 
-@_prepared
 def scored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_dataset(records(spark, sf_dir), scored_at=FIXED_SCORED_AT)
 
 
-@_prepared
 def scored_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored records as a stage boundary (what the filter stage reads).
 
@@ -196,8 +149,8 @@ def scored_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observe_stage(scored_records(spark, sf_dir), "scored")
 
 
-def q_score_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_records(spark, sf_dir).select(
+def _scored_columns(df: DataFrame) -> DataFrame:
+    return df.select(
         "ord",
         "cve_id",
         "description",
@@ -214,6 +167,10 @@ def q_score_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_score_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored_columns(scored_records(spark, sf_dir))
+
+
 def q_hard_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, excluded = filtering.apply_hard_exclusions(scored_stage(spark, sf_dir))
     return excluded.select("ord", "cve_id", "exclusion_reason")
@@ -238,7 +195,6 @@ def q_stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_prepared
 def date_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_samples(spark, sf_dir)
 
@@ -254,17 +210,51 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_filter_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_plan.summary_of(filter_plan.build_routes(scored_stage(spark, sf_dir)))
+    return filter_plan.filter_summary(scored_stage(spark, sf_dir))
 
 
 def q_training_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the clean severity-balanced training sample."""
-    routes = filter_plan.build_routes(scored_stage(spark, sf_dir))
-    return routes.filter(F.col("route") == F.lit(K.ROUTE_FINAL)).select(
+    return _sample(spark, sf_dir).filter(~F.col("contamination_flag")).select(
         "ord", "cve_id", "severity", "published", "composite_score", *_ranks()
     )
 
 
+def q_routed_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter run as users start it: four routes written as JSON lines, read back."""
+    out = scratch_path(spark, "routes")
+    filter_plan.run_filter_pipeline(scored_stage(spark, sf_dir), out)
+    routes = [filter_plan.read_route(spark, out, r).withColumn("route", F.lit(r)) for r in (*filter_plan.LARGE_ROUTES, *filter_plan.SAMPLE_ROUTES)]
+    return reduce(DataFrame.unionByName, routes).select(
+        "route", "ord", "cve_id", "description", "composite_score", "exclusion_reason", "tier", "sampled", "contamination_flag", *_ranks()
+    )
+
+
+def _scored_file(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "scored")
+    write_stage(scored_records(spark, sf_dir), path, "json")
+    return path
+
+
+def q_scored_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored records written as JSON lines and read back."""
+    return _scored_columns(read_stage(spark, _scored_file(spark, sf_dir), SCORED_SCHEMA, "json"))
+
+
+def q_report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report run over a scored file: its counting tables, read back."""
+    run = report_plan.generate_report(spark, _scored_file(spark, sf_dir), scratch_path(spark, "report"))
+    tables = (("readiness_breakdown", "position", "bucket"), ("score_histogram", "bin", "bin_start"), ("severity_distribution", "position", "severity"))
+    schema = "position long, bin long, bucket string, bin_start double, severity string, count long"
+    out = [
+        spark.read.schema(schema).json(run.tables[t]).select(
+            F.lit(t).alias("report_table"), F.col(place).alias("position"), F.col(label).cast("string").alias("label"), "count"
+        )
+        for t, place, label in tables
+    ]
+    return reduce(DataFrame.unionByName, out)
+
+
 # Summaries and report tables are aggregates and top-k over the scored records
 # with no filter in front of them, so they run on the lazy scored frame: one
 # pass from the documents, scoring fused into the aggregation stage.
@@ -306,7 +296,7 @@ def queries() -> dict[str, Query]:
         "hf_normalise": q_hf_normalise,
         "source_anti_join": q_source_anti_join,
         "merge_dedup": q_merge_dedup,
-        "record_cap": q_record_cap,
+        "ingest_records": q_ingest_records,
         "ingest_counts": q_ingest_counts,
         "relevance": q_relevance,
         "completeness": q_completeness,
@@ -321,6 +311,9 @@ def queries() -> dict[str, Query]:
         "decontaminate": q_decontaminate,
         "filter_summary": q_filter_summary,
         "training_final": q_training_final,
+        "routed_outputs": q_routed_outputs,
+        "scored_jsonl": q_scored_jsonl,
+        "report_run": q_report_run,
         "score_summary": q_score_summary,
         "data_card_stats": q_data_card_stats,
         **REPORT_QUERIES,

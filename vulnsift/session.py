@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -76,20 +79,47 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def size_shuffles(spark: SparkSession, nbytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Let AQE start from one shuffle partition per ``target_bytes`` of input.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system that it names (or the default one)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh folder name below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet below the shared checkpoint folder
+    and read it back."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, nbytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> Iterator[int]:
+    """For one run, let AQE start from one shuffle partition per ``target_bytes`` of input.
 
     AQE coalesces small partitions but cannot split an oversized one outside
     joins, so the initial number must fit the largest shuffle (the id dedup
-    moves every record once). Only settings the session leaves unset are
-    filled in; returns the initial partition number in effect.
+    moves every record once). The session's own settings come back afterwards,
+    so the next run is sized by its own input.
     """
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     wanted = max(spark.sparkContext.defaultParallelism, -(-nbytes // target_bytes))
-    current = spark.conf.get(key, None)
-    if current is None:
-        spark.conf.set(key, str(wanted))
-        current = str(wanted)
-    if spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) in (None, "64MB", "67108864b"):
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    return int(current)
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield wanted
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

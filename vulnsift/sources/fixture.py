@@ -1,9 +1,9 @@
 """Deterministic vulnerability-record relation derived from the ``documents`` table.
 
 The driver tables carry no vulnerability fields, so the test and benchmark
-input is a projection of every ``documents`` row into one record: id, text,
-date, CVSS, severity, weakness and source are chosen by rules on ``doc_id``;
-the description embeds the document text (whole, never cut). The projection
+input is a projection of every ``documents`` row into one record: id,
+weakness and source are chosen by rules on ``doc_id``, date, CVSS and severity by
+its sum with the length of the text; the description embeds the document text (whole, never cut). The projection
 is one narrow ``select`` and grows linearly with the table.
 
 The column expressions below are plain SQL that both Spark and DuckDB accept,
@@ -13,11 +13,9 @@ DuckDB oracle. ``ord`` (the document id) is the record order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnsift.sources.partitioning import spread_small_input
-
 # (column, SQL expression over documents)
 CVE_COLUMNS: tuple[tuple[str, str], ...] = (
     ("ord", "doc_id"),
@@ -44,23 +42,23 @@ CVE_COLUMNS: tuple[tuple[str, str], ...] = (
     ),
     (
         "published",
-        """CASE doc_id % 8 WHEN 0 THEN '2023-06-15T10:15:07.123' WHEN 1 THEN '2024' WHEN 2 THEN '2024-08-01'
+        """CASE (doc_id + length(text)) % 8 WHEN 0 THEN '2023-06-15T10:15:07.123' WHEN 1 THEN '2024' WHEN 2 THEN '2024-08-01'
                   WHEN 3 THEN '2025' WHEN 4 THEN '2024-08-02T00:15:08.410' WHEN 5 THEN ''
                   WHEN 6 THEN '2024-09' ELSE '2024-13-01' END""",
     ),
     (
         "cvss_score",
         """CASE WHEN doc_id % 9 = 4 OR doc_id % 23 = 6 THEN CAST(NULL AS DOUBLE)
-       ELSE CAST((doc_id * 37) % 101 AS DOUBLE) / CAST(10 AS DOUBLE) END""",
+       ELSE CAST((doc_id * 37 + length(text)) % 101 AS DOUBLE) / CAST(10 AS DOUBLE) END""",
     ),
     (
         "severity",
         """CASE WHEN doc_id % 9 = 4 OR doc_id % 23 = 6 THEN CAST(NULL AS STRING)
        WHEN doc_id % 31 = 17 THEN 'NONE'
        WHEN doc_id % 31 = 19 THEN ''
-       WHEN (doc_id * 37) % 101 >= 90 THEN 'CRITICAL'
-       WHEN (doc_id * 37) % 101 >= 70 THEN 'high'
-       WHEN (doc_id * 37) % 101 >= 40 THEN 'MEDIUM'
+       WHEN (doc_id * 37 + length(text)) % 101 >= 90 THEN 'CRITICAL'
+       WHEN (doc_id * 37 + length(text)) % 101 >= 70 THEN 'high'
+       WHEN (doc_id * 37 + length(text)) % 101 >= 40 THEN 'MEDIUM'
        ELSE 'LOW' END""",
     ),
     (
@@ -75,30 +73,27 @@ CVE_COLUMNS: tuple[tuple[str, str], ...] = (
     ),
 )
 
-# Input of the date-parsing check: 21 publication texts cycled over the
-# documents, covering every branch of the lenient parser.
-DATE_SAMPLES: tuple[str, ...] = (
-    "",
-    "2023-06-15",
-    "2024",
-    "2024-08",
-    "2024-08-15T10:15:07.123",
-    "2024-08-15T10:15:07Z",
-    "2024-08-15 10:00",
-    "2024-13-01",
-    "2024-02-30",
-    "20240815",
-    "2024-8-5",
-    "2024-8-5T10:00:00",
-    "99",
-    "0000",
-    "n/a",
-    "20231",
-    "2024garbage",
-    "2024-08-xx",
-    " 2024-08-15 ",
-    "2024-08-15T25:00:00",
-    "2024-123",
+# Publication texts of the date-parsing check: an order's date ``d`` written in
+# many ways, and what the lenient parser makes of each (null = no date). SQL that
+# both engines accept; the second column knows the date, it doesn't parse.
+DATE_TEXTS: tuple[tuple[str, str], ...] = (
+    ("d", "d"),
+    ("substr(d, 1, 4)", "concat(substr(d, 1, 4), '-01-01')"),
+    ("substr(d, 1, 7)", "concat(substr(d, 1, 7), '-01')"),
+    ("concat(d, 'T10:15:07.123')", "d"),
+    ("concat(d, 'T10:15:07Z')", "d"),
+    ("concat(d, ' 10:00')", "d"),
+    ("concat(substr(d, 1, 4), '-13-01')", "concat(substr(d, 1, 4), '-01-01')"),
+    ("concat(substr(d, 1, 4), '-02-30')", "concat(substr(d, 1, 4), '-02-01')"),
+    ("replace(d, '-', '')", "concat(substr(d, 1, 4), '-01-01')"),
+    ("concat(substr(d, 1, 5), CAST(CAST(substr(d, 6, 2) AS INT) AS STRING), '-', CAST(CAST(substr(d, 9, 2) AS INT) AS STRING))", "d"),
+    ("concat(' ', d, ' ')", "d"),
+    ("substr(d, 1, 3)", "CAST(NULL AS STRING)"),
+    ("concat(substr(d, 1, 4), 'garbage')", "concat(substr(d, 1, 4), '-01-01')"),
+    ("concat(substr(d, 1, 8), 'xx')", "concat(substr(d, 1, 7), '-01')"),
+    ("''", "CAST(NULL AS STRING)"),
+    ("'n/a'", "CAST(NULL AS STRING)"),
+    ("CAST(NULL AS STRING)", "CAST(NULL AS STRING)"),
 )
 
 
@@ -111,17 +106,15 @@ def cve_relation_sql(table: str = "documents") -> str:
     return f"SELECT\n  {cve_select_sql()}\nFROM {table}"
 
 
-def date_samples_sql(table: str = "documents") -> str:
-    cases = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(DATE_SAMPLES))
-    return (
-        f"SELECT doc_id AS ord, CASE doc_id % {len(DATE_SAMPLES)} {cases} END AS published FROM {table}"
-    )
+def date_texts_sql(column: int, key: str = "o_orderkey") -> str:
+    """The text (0) or the expected date (1) of each order, by its key."""
+    cases = " ".join(f"WHEN {i} THEN {pair[column]}" for i, pair in enumerate(DATE_TEXTS))
+    return f"CASE {key} % {len(DATE_TEXTS)} {cases} END"
 
 
-def read_documents(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = ("doc_id", "text", "lang", "source")) -> DataFrame:
-    """The documents table, column-pruned at the scan, spread over the cores
-    when the file arrives as fewer splits than there are cores."""
-    return spread_small_input(spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns))
+def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table, column-pruned at the scan."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
 
 
 def cve_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,9 +140,16 @@ def cve_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_documents(spark, sf_dir, ("doc_id",))
-    cases = [F.when(F.col("doc_id") % len(DATE_SAMPLES) == i, F.lit(s)) for i, s in enumerate(DATE_SAMPLES)]
-    return docs.select(F.col("doc_id").alias("ord"), F.coalesce(*cases).alias("published"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "substr(CAST(o_orderdate AS STRING), 1, 10) AS d")
+    return orders.selectExpr("o_orderkey AS ord", f"{date_texts_sql(0)} AS published")
+
+
+def landed_records(records: DataFrame) -> DataFrame:
+    """The records as a feed delivers them: every seventh one landed twice, and some
+    without a position."""
+    again = records.filter(F.col("ord") % 7 == 2)
+    unplaced = (F.col("ord") % 20 == 4) | (F.col("ord") % 10 == 7)
+    return records.unionByName(again).withColumn("ord", F.when(~unplaced, F.col("ord")))
 
 
 # ---------------------------------------------------------------------------
@@ -226,27 +226,23 @@ def primary_entries(raw: DataFrame) -> DataFrame:
 
 
 def pages_of(entries: DataFrame) -> DataFrame:
-    """Group entries into API pages of at most 100, in ``ord`` order.
+    """Group entries into API pages by ``ord``, at most ``PAGE_SIZE`` on each.
 
-    A page collects at most ``PAGE_SIZE`` entries (bounded group).
-    ``startIndex`` is the running total of the entries on earlier pages (a
-    window over the page table, one row per page), so ``startIndex + position``
-    numbers the feed densely and in order; ``resultsPerPage`` is what each page
-    holds, so no page reads as a short page before the last one.
+    A page starts at a multiple of the page size, so its start needs nothing of
+    the other pages; every fifth page is landed twice, as by a fetch that was
+    repeated.
     """
-    total = entries.agg(F.count(F.lit(1))).scalar()
     page = F.floor(F.col("ord") / F.lit(PAGE_SIZE)).cast("long")
     grouped = entries.groupBy(page.alias("page")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("ord"), F.col("cve")))).alias("_items")
     )
-    n = F.size("_items").cast("long")
-    before = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return grouped.select(
-        (F.sum(n).over(before) - n).alias("startIndex"),
-        n.alias("resultsPerPage"),
-        total.cast("long").alias("totalResults"),
+    pages = grouped.select(
+        (F.col("page") * PAGE_SIZE).alias("startIndex"),
+        F.size("_items").cast("long").alias("resultsPerPage"),
         F.transform("_items", lambda x: F.struct(x.getField("cve").alias("cve"))).alias("vulnerabilities"),
+        F.explode(F.when(F.col("page") % 5 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
     )
+    return pages.drop("_copy")
 
 
 def primary_pages(spark: SparkSession, sf_dir: str, only_source: str | None = None) -> DataFrame:
@@ -256,8 +252,8 @@ def primary_pages(spark: SparkSession, sf_dir: str, only_source: str | None = No
     return pages_of(primary_entries(raw))
 
 
-def mirror_rows_of(raw: DataFrame) -> DataFrame:
-    """Each record as a flat mirror row (all text).
+def mirror_rows_of(raw: DataFrame, scores: tuple | None = None) -> DataFrame:
+    """Each record as a flat mirror row (all text, unless ``scores`` gives other V4, V3, V2 columns).
 
     Score text placement by ``ord % 5``: 0 → V3 (V4, V2 decoys); 1 → V4 after
     an empty V3; 2 → V2 after empty V3/V4; 3 → V2 padded with spaces after
@@ -271,6 +267,8 @@ def mirror_rows_of(raw: DataFrame) -> DataFrame:
     v3 = F.when(o % 5 == 0, txt).when(o % 5 == 4, F.lit("n/a")).when(o % 5 == 3, none).otherwise(F.lit(""))
     v4 = F.when(o % 5 == 0, F.lit("9.9")).when(o % 5 == 1, txt).when(o % 5 == 2, F.lit("")).when(o % 5 == 3, none).otherwise(F.lit("7.0"))
     v2 = F.when(o % 5 == 2, txt).when(o % 5 == 3, F.concat(F.lit(" "), txt, F.lit(" "))).otherwise(F.lit("1.0"))
+    if scores is not None:
+        v4, v3, v2 = scores
     sev = F.when(o % 2 == 1, F.lower(F.col("severity"))).otherwise(F.col("severity"))
     cwe = (
         F.when(F.col("cwe_id").isNotNull() & (o % 7 == 3), F.lit("Improper Input Validation"))
@@ -297,3 +295,20 @@ def mirror_rows(spark: SparkSession, sf_dir: str, exclude_source: str | None = N
     if exclude_source is not None:
         raw = raw.filter(F.col("source") != F.lit(exclude_source))
     return mirror_rows_of(raw)
+
+
+def numeric_mirror_rows_of(raw: DataFrame) -> DataFrame:
+    """Each record as a mirror row with number columns, in which 0 means absent.
+
+    By ``ord % 4``: 0 → V3 (V4 a decoy); 1 → V4 after a zero V3; 2 → V2 after a
+    missing V3 and a zero V4; 3 → no score at all.
+    """
+    o, score, none = F.col("ord"), F.col("cvss_score"), F.lit(None).cast("double")
+    v3 = F.when(o % 4 == 0, score).when(o % 4 == 1, F.lit(0.0)).otherwise(none)
+    v4 = F.when(o % 4 == 0, F.lit(9.9)).when(o % 4 == 1, score).when(o % 4 == 2, F.lit(0.0)).otherwise(none)
+    v2 = F.when(o % 4 == 1, F.lit(5.0)).when(o % 4 == 2, score).otherwise(none)
+    return mirror_rows_of(raw, (v4, v3, v2))
+
+
+def numeric_mirror_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numeric_mirror_rows_of(_fixture_raw(spark, sf_dir))

@@ -1,37 +1,56 @@
 """Scans of the landed feeds (the network fetch itself is outside Spark).
 
 * Primary feed: one JSON document per landed API page (``startIndex``,
-  ``totalResults``, ``vulnerabilities``), read with the nested schema so only
-  the declared fields are parsed.
-* Mirror feed: flat rows with text columns, as CSV (header) or Parquet; the
-  landing carries the row position in an ``ord`` column.
+  ``vulnerabilities``), read with the nested schema so only the declared fields
+  are parsed. JSON lines with a page on each line split over tasks; one page per
+  file (as fetched) is a task for each file.
+* Mirror feed: flat rows as Parquet (text or number columns) or CSV with a
+  header in any column order. ``csv`` has a row on each line and splits over
+  tasks; ``csv-multiline`` allows line breaks inside quotes, at a task per file.
+
+A feed whose rows carry their position (``startIndex``, ``ord``) is taken in that
+order. One without is taken in the order of its files and of the rows in them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vulnsift.schemas import MIRROR_SCHEMA, NVD_PAGE_SCHEMA
+from vulnsift.schemas import MIRROR_COLUMNS, NVD_PAGE_SCHEMA
+from vulnsift.sources.ordering import first_is_null, in_file_order, with_position, without_position
+
+MIRROR_FORMATS = ("csv", "csv-multiline", "parquet")
 
 
 def read_primary_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
     """Landed pages: one JSON document per file (as fetched), or JSON lines
     with one page per line when ``one_page_per_file`` is false."""
     reader = spark.read.schema(NVD_PAGE_SCHEMA).option("mode", "FAILFAST")
-    return reader.option("multiLine", one_page_per_file).json(path)
+    placed = with_position(reader.option("multiLine", one_page_per_file).json(path))
+    return in_file_order(placed) if first_is_null(placed, "startIndex") else without_position(placed)
 
 
-def read_mirror(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    if fmt == "csv":
-        return (
-            spark.read.schema(MIRROR_SCHEMA)
-            .option("header", True)
-            .option("enforceSchema", False)  # header names must match the schema
-            .option("mode", "FAILFAST")
-            .option("multiLine", True)
-            .option("escape", '"')
-            .csv(path)
-        )
+def _mirror_scan(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     if fmt == "parquet":
-        return spark.read.schema(MIRROR_SCHEMA).parquet(path)
-    raise ValueError(f"unsupported mirror format: {fmt}")
+        return spark.read.parquet(path)
+    options = {"header": True, "escape": '"', "multiLine": fmt == "csv-multiline"}
+    names = spark.read.options(**options).csv(path).columns
+    types = [T.StructField(n, T.LongType() if n == "ord" else T.StringType()) for n in names]
+    return spark.read.schema(T.StructType(types)).options(**options, enforceSchema=False, mode="FAILFAST").csv(path)
+
+
+def read_mirror(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """Mirror rows: ``ord`` and the declared columns, each of the type that the file gives it."""
+    if fmt not in MIRROR_FORMATS:
+        raise ValueError(f"unsupported mirror format: {fmt}")
+    scan = _mirror_scan(spark, path, fmt)
+    missing = [c for c in MIRROR_COLUMNS if c not in scan.columns]
+    if missing:
+        raise ValueError(f"the mirror at '{path}' lacks the columns {missing}")
+    columns = [F.col(f"`{c}`") for c in MIRROR_COLUMNS]
+    placed = with_position(scan, parquet=fmt == "parquet")
+    if "ord" in scan.columns and not first_is_null(scan, "ord"):
+        return without_position(placed).select(F.col("ord").cast("long").alias("ord"), *columns)
+    return in_file_order(placed).select(F.monotonically_increasing_id().alias("ord"), *columns)

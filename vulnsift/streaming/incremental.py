@@ -44,7 +44,8 @@ def scored_stream(
     raw = reader.json(raw_dir) if fmt == "json" else reader.parquet(raw_dir)
     if dedup_horizon:
         raw = (
-            raw.withColumn("_arrived", F.current_timestamp())
+            raw.filter(F.coalesce(F.col("cve_id"), F.lit("")) != F.lit(""))
+            .withColumn("_arrived", F.current_timestamp())
             .withWatermark("_arrived", dedup_horizon)
             .dropDuplicatesWithinWatermark(["cve_id"])
             .drop("_arrived")
