@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vulnsift.llm.common import bounded_batches, stored
+from vulnsift.llm.common import bounded_batches, map_batches, ship_package, stored
 from vulnsift.llm.components import connected_components
 from vulnsift.llm.pieces import mix, split
 
@@ -318,7 +318,7 @@ def _links_of(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         own = nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("n", "matches", "listed", "tokens")])
         pairs = pairs.join(own, side)
-    return pairs.mapInArrow(_verified, "a long, b long")
+    return map_batches(pairs, _verified, "a long, b long")
 
 
 def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -329,7 +329,7 @@ def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
     if not left.num_rows or not right.num_rows:
         return empty
     sides = []
-    for t in (left, right):
+    for t in (left, right.rename_columns(left.column_names)):
         tokens = [np.frombuffer(x, "<i8") for x in t["tokens"].to_pylist()]
         sides.append((t["node"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy().astype(np.int64), tokens))
     common = np.intersect1d(*[np.unique(np.concatenate(s[3])) for s in sides])
@@ -384,15 +384,16 @@ def _rest_of_large_lists(large: DataFrame, nodes: DataFrame) -> DataFrame:
     outside = dealt.where("comp <> main").withColumn("x", F.pmod(hashed, F.col("out_blocks")).cast("int")).withColumn("y", to("blocks"))
     inside = dealt.withColumn("y", F.pmod(hashed, F.col("blocks")).cast("int")).withColumn("x", to("out_blocks"))
     columns = ["cluster", "x", "y", "node", "comp", "n", "tokens"]
-    by = ["cluster", "x", "y"]
-    return outside.select(columns).groupBy(by).cogroup(inside.select(columns).groupBy(by)).applyInArrow(_block_links, "a long, b long")
+    other = [f"i_{c}" for c in columns]
+    left, right = outside.select(columns), inside.select(columns).toDF(*other)
+    return left.groupBy(columns[:3]).cogroup(right.groupBy(other[:3])).applyInArrow(_block_links, "a long, b long")
 
 
 def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n (distinct shingles), node (its set), and of
     texts that may have a partner the shingles shared with other texts."""
     routes = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    entries = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(_entries(routes, words), ENTRY)
+    entries = map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), _entries(routes, words), ENTRY)
     hits = entries.groupBy("route").applyInArrow(_frequencies, HIT)
     return hits.groupBy("chunk").applyInArrow(_gather, SETS)
 
