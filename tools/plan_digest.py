@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from vulnsift.queries import queries  # noqa: E402
 from vulnsift.session import local_session  # noqa: E402
 
 
@@ -24,40 +24,40 @@ def digest(plan: str) -> dict:
     count = lambda pat: sum(1 for ln in lines if re.search(pat, ln))
     scans = [ln for ln in lines if "ReadSchema" in ln or "PushedFilters" in ln]
     return {
+        "file_scans": count(r"FileScan"),
         "shuffles": count(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)"),
-        "spread": count(r"Exchange RoundRobinPartitioning"),
+        "single": count(r"Exchange SinglePartition"),
         "reused": count(r"ReusedExchange"),
-        "broadcasts": count(r"BroadcastExchange"),
         "smj": count(r"SortMergeJoin"),
         "bhj": count(r"BroadcastHashJoin"),
         "group_limit": count(r"WindowGroupLimit"),
         "top_k": count(r"TakeOrderedAndProject"),
         "aggregates": count(r"HashAggregate|ObjectHashAggregate|SortAggregate"),
-        "codegen_stages": len(set(re.findall(r"\*\((\d+)\)", plan))),
         "scans": scans,
     }
 
 
+COLUMNS = ("file_scans", "shuffles", "single", "reused", "bhj", "smj", "group_limit", "top_k", "aggregates")
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
     rows = []
-    for name, fn in entry.queries().items():
+    for name, fn in queries().items():
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()  # final (adaptive) plan
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        df.collect()  # of this very plan, so that AQE's final form is what prints
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         rows.append((name, digest(plan)))
     print("# Physical plan digest\n")
-    print(f"Generated by `tools/plan_digest.py` at `{sf_dir}` on local mode after one execution (AQE final plans).")
-    print("`shuffles` counts hash, single-partition and range exchanges. `input spread` counts the round-robin")
-    print("exchange that spreads a single-split test file over the cores (`sources/partitioning.py`); it is")
-    print("absent on inputs with more splits than cores. `reused` counts exchanges Spark reuses within the plan.")
-    print("Single-partition exchanges carry one row per task (partial aggregates, top-k) or one row in total.\n")
-    print("| query | shuffles | input spread | reused | broadcast joins | sort-merge joins | group limits | top-k | aggregates |")
-    print("|---|---|---|---|---|---|---|---|---|")
+    print(f"Generated by `tools/plan_digest.py` at `{sf_dir}` on local mode after one execution (AQE final plans of")
+    print("the returned frame; scalar subqueries and jobs that a query runs while it is built aren't in it).")
+    print("`shuffles` counts hash, single-partition and range exchanges, `single` those to one partition: partial")
+    print("aggregates or top-k rows of each task. `reused` counts exchanges that Spark reuses within the plan.\n")
+    print("| query | " + " | ".join(c.replace("_", " ") for c in COLUMNS) + " |")
+    print("|---" * (len(COLUMNS) + 1) + "|")
     for name, d in rows:
-        print(f"| {name} | {d['shuffles']} | {d['spread']} | {d['reused']} | {d['bhj']} | {d['smj']} | "
-              f"{d['group_limit']} | {d['top_k']} | {d['aggregates']} |")
+        print(f"| {name} | " + " | ".join(str(d[c]) for c in COLUMNS) + " |")
     print("\n## Scans\n")
     for name, d in rows:
         seen = []

@@ -2,8 +2,8 @@
 
     python tools/stage_bench.py [sf_dir]
 
-Lands the derived primary pages (one JSON document per page) and mirror rows
-(CSV) in a fresh scratch folder, then times ingest, score, filter and report
+Lands the derived primary pages (JSON lines, a page on each) and mirror rows
+(Parquet) in a fresh scratch folder, then times ingest, score, filter and report
 (Parquet stage files) one stage at a time. Prints one JSON line.
 """
 
@@ -26,20 +26,16 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
     root = tempfile.mkdtemp(prefix="run-stages-")
-    pages_dir = os.path.join(root, "landing", "pages")
-    os.makedirs(pages_dir)
-    # Landing set-up (not timed): pages are small, written one file per page.
-    for i, page in enumerate(primary_pages(spark, sf_dir, only_source="nvd").toJSON().toLocalIterator()):
-        with open(os.path.join(pages_dir, f"page_{i:06d}.json"), "w", encoding="utf-8") as f:
-            f.write(page)
-    mirror = os.path.join(root, "landing", "mirror")
-    mirror_rows(spark, sf_dir, exclude_source="nvd").write.option("header", True).option("escape", '"').csv(mirror)
+    # Landing set-up (not timed): JSON lines with a page on each, Parquet mirror rows.
+    pages, mirror = os.path.join(root, "landing", "pages"), os.path.join(root, "landing", "mirror")
+    primary_pages(spark, sf_dir, only_source="nvd").write.json(pages)
+    mirror_rows(spark, sf_dir, exclude_source="nvd").write.parquet(mirror)
 
     paths = StagePaths(os.path.join(root, "work"))
     timings, results = {}, {}
     for stage in ("ingest", "score", "filter", "report"):
         t0 = time.perf_counter()
-        out = run_stages(spark, stage, paths, pages_dir, mirror, scored_at="2025-01-01T00:00:00Z")
+        out = run_stages(spark, stage, paths, pages, mirror, "parquet", False, scored_at="2025-01-01T00:00:00Z")
         timings[stage] = round(time.perf_counter() - t0, 3)
         results[stage] = getattr(out, stage)
     print(json.dumps({"sf_dir": sf_dir, "stage_seconds": timings, "total": round(sum(timings.values()), 3),
