@@ -3,21 +3,19 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vulnsift.llm.common import bounded_batches, map_batches
+from vulnsift.llm.common import bounded_batches, held, map_batches
 from vulnsift.llm.pieces import WHITE, Ragged, WordTable, per_text, split
 
 # The pattern is part of the file format of the ranks (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # White space that isn't ASCII, as the pattern's \\s has it (fixed values).
 WIDE_WHITE = {chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
-SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class RankQueue:
@@ -107,7 +105,7 @@ class ByteBpe:
         self.queue = RankQueue(self.size)
         self.words: dict[bytes, list[int]] = {}
         self.ids = Ragged(np.int32)
-        self.table = WordTable(self._learn, self.ids.clear, 1_500_000)
+        self.table = WordTable(self._learn, self.ids.clear)
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """Ids of pre-tokens that are not tokens themselves.
@@ -242,17 +240,14 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-_CODERS: dict[str, ByteBpe] = {}
-
-
 def coder(path: str) -> ByteBpe:
-    if path not in _CODERS:
-        _CODERS[path] = ByteBpe(path)
-    return _CODERS[path]
+    """The worker's coder for a file of ranks."""
+    return held("byte-bpe", path, lambda: ByteBpe(path))
 
 
 def encode_documents(docs: DataFrame, ranks: str) -> DataFrame:
-    """``docs`` (doc_id, text) with the token ids of every whole text: doc_id, ids.
+    """``docs`` (doc_id, text) with the token ids of every whole text: doc_id, ids
+    (packed little-endian unsigned 32-bit integers).
 
     Null and empty texts have no ids; repeated rows and null ids are encoded like
     any other; an empty table gives no rows; other columns are ignored.
@@ -262,42 +257,21 @@ def encode_documents(docs: DataFrame, ranks: str) -> DataFrame:
         bpe = coder(ranks)
         for batch in bounded_batches(batches, "text", 4 << 20):
             flat, offsets = bpe.encode(batch.column("text"))
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
+            wide = flat.astype("<u4")
+            ids = [wide[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
-    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, "doc_id long, ids array<int>")
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, "doc_id long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:
-    """The bytes of every row of ids (doc_id, ids): doc_id, bytes."""
+    """Rows of packed ids (doc_id, ids) with the bytes that they stand for: doc_id, ids, bytes.
+    Null ids have null bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(ranks)
-        for batch in batches:
-            ids = batch.column("ids")
-            values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
-            out = [bpe.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "bytes"])
-
-    return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, bytes binary")
-
-
-def digests(docs: DataFrame, ranks: str) -> DataFrame:
-    """Per document the number of ids, a digest of them and one of the bytes that
-    they decode to; ids stay in the task. Cases as in ``encode_documents``."""
+        for batch in bounded_batches(batches, "ids", 4 << 20):
+            out = [None if x is None else bpe.decode(np.frombuffer(x, "<u4")) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.binary())], names=["doc_id", "ids", "bytes"])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(ranks)
-        for batch in bounded_batches(batches, "text", 4 << 20):
-            flat, offsets = bpe.encode(batch.column("text"))
-            ends = list(zip(offsets[:-1].tolist(), offsets[1:].tolist()))
-            wide = flat.astype("<u4")
-            columns = [
-                batch.column("doc_id"),
-                pa.array(np.diff(offsets), pa.int64()),
-                pa.array([hashlib.sha256(wide[a:b].tobytes()).hexdigest() for a, b in ends]),
-                pa.array([hashlib.sha256(bpe.decode(flat[a:b])).hexdigest() for a, b in ends]),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, SCHEMA)
+    return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, bytes binary")

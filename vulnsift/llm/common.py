@@ -46,6 +46,19 @@ def map_batches(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterato
     return df.mapInArrow(run, schema)
 
 
+_HELD: dict[str, tuple[object, object]] = {}
+
+
+def held(kind: str, key: object, make: Callable[[], object]):
+    """What a worker keeps between tasks: one object of one kind (workers are
+    reused, so a job of several operators would otherwise pile up their tables)."""
+    found = _HELD.get(kind)
+    if found is None or found[0] is not key and found[0] != key:
+        _HELD.clear()
+        found = _HELD[kind] = (key, make())
+    return found[1]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, by whatever path Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

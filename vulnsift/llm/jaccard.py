@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vulnsift.llm.common import bounded_batches, map_batches, ship_package, stored
+from vulnsift.llm.common import bounded_batches, held, map_batches, ship_package, stored
 from vulnsift.llm.components import connected_components
 from vulnsift.llm.pieces import mix, split
 
@@ -159,6 +159,7 @@ def _wide_cuts(keys: np.ndarray, routes: int) -> np.ndarray:
 
 def _entries(routes: int, words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("shingles", words, object)  # lets go of what other operators kept in this worker
         number = TaskContext.get().partitionId() << 32
         chunk = _Chunk(number, routes)
         for batch in bounded_batches(batches, "text", 4 << 20):

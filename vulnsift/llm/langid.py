@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnsift.llm.common import bounded_batches, crc_mod, map_batches
+from vulnsift.llm.common import bounded_batches, crc_mod, held, map_batches
 from vulnsift.llm.ngrams import collected, gram_sums, grams, sample_rows
 from vulnsift.llm.pieces import NOT_LETTER, WordTable, split
 
@@ -49,7 +49,7 @@ def _letters(word: bytes) -> tuple[str, int]:
     return (script(alphabetic[0]) if alphabetic else "other"), len(alphabetic)
 
 
-@dataclass
+@dataclass(eq=False)
 class LanguageModel:
     """langs: sorted labels. weights: log-probability of each n-gram bucket by
     language. scripts: script -> languages written in it. shares: prior of each."""
@@ -212,15 +212,9 @@ class Labeller:
             yield langs[found], score, spans
 
 
-_LABELLERS: dict[int, Labeller] = {}
-
-
 def _held(shared) -> Labeller:
     """The worker's labeller for a broadcast model."""
-    held = _LABELLERS.get(0)
-    if held is None or held.model is not shared.value:
-        held = _LABELLERS[0] = Labeller(shared.value)
-    return held
+    return held("language", shared.value, lambda: Labeller(shared.value))
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

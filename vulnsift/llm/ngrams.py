@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from vulnsift.llm.pieces import mix
 
 
+WORDS_AT_ONCE = 20_000
+
+
 def grams(words: list[bytes], sizes: tuple[int, ...], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each size: the bucket of the n-gram that begins at every byte of the
     padded words, whether it lies in its word, and the word's number.
@@ -31,6 +34,9 @@ def grams(words: list[bytes], sizes: tuple[int, ...], buckets: int) -> Iterator[
 def gram_sums(words: list[bytes], sizes: tuple[int, ...], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per word the sum of ``weights[bucket]`` (a row for each bucket) over its
     n-grams, and their number."""
+    if len(words) > WORDS_AT_ONCE:
+        parts = [gram_sums(words[i : i + WORDS_AT_ONCE], sizes, weights) for i in range(0, len(words), WORDS_AT_ONCE)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     sums, counts = np.zeros((len(words), weights.shape[1])), np.zeros(len(words), np.int64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 2)
     begins = np.concatenate([[0], ends[:-1]])

@@ -139,7 +139,7 @@ class WordTable:
     affects a result.
     """
 
-    def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], limit: int = 2_000_000):
+    def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], limit: int = 1_000_000):
         self.learn, self.forget, self.limit = learn, forget, limit
         self._clear()
 

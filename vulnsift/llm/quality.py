@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnsift.llm.common import bounded_batches, crc_mod, map_batches
+from vulnsift.llm.common import bounded_batches, crc_mod, held, map_batches
 from vulnsift.llm.ngrams import collected, gram_sums, grams, sample_rows
 from vulnsift.llm.pieces import Ragged, WordTable, split
 
@@ -20,7 +20,7 @@ PAIRS = 1 << 14  # of word pairs, after the others
 DIM = 8
 
 
-@dataclass
+@dataclass(eq=False)
 class QualityModel:
     """With a linear output, a feature's vector acts by its projection on the
     difference of the two classes: ``weights`` holds that for every bucket of
@@ -137,15 +137,9 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def _held(shared) -> Scorer:
     """The worker's scorer for a broadcast model."""
-    held = _SCORERS.get(0)
-    if held is None or held.model is not shared.value:
-        held = _SCORERS[0] = Scorer(shared.value)
-    return held
+    return held("quality", shared.value, lambda: Scorer(shared.value))
 
 
 def classify(docs: DataFrame, model: QualityModel) -> DataFrame:

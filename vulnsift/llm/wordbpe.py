@@ -13,6 +13,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from vulnsift.llm.common import held
 from vulnsift.llm.pieces import Ragged, WordTable, per_text, split
 
 
@@ -74,11 +75,6 @@ class WordBpe:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
 
-_ENCODERS: dict[str, WordBpe] = {}
-
-
 def encoder(path: str) -> WordBpe:
-    """The worker's encoder for a vocabulary file (workers are reused between tasks)."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordBpe(path)
-    return _ENCODERS[path]
+    """The worker's encoder for a vocabulary file."""
+    return held("word-bpe", path, lambda: WordBpe(path))
