@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from vulnsift.llm import bytebpe, packing, tokenfiles
 from vulnsift.llm.common import shared_path
-from vulnsift.llm.queries import BYTE_BPE, WORD_BPE
+from vulnsift.llm.queries import BYTE_BPE, WORD_BPE, op2_token_files, op7_byte_bpe, op9_packing
 from vulnsift.llm.wordbpe import WordBpe
 
 END = 1
@@ -86,16 +86,26 @@ def test_rank_queue_gives_lowest_first():
     assert q.lowest() == -1
 
 
-def test_byte_digests_and_round_trip(spark, odd_docs, no_docs, byte_ids):
-    got = Counter(tuple(r) for r in bytebpe.digests(odd_docs, BYTE_BPE).collect())
-    want = Counter()
-    for d, t in rows_of(odd_docs):
-        ids = byte_ids(t)
-        want[(d, len(ids), hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())] += 1
-    assert got == want
+def packed(ids) -> bytes:
+    return np.asarray(ids, "<u4").tobytes()
+
+
+def test_byte_ids_and_round_trip(spark, odd_docs, no_docs, byte_ids):
     decoded = bytebpe.decode_documents(bytebpe.encode_documents(odd_docs, BYTE_BPE), BYTE_BPE)
-    assert Counter((r[0], bytes(r[1])) for r in decoded.collect()) == Counter((d, (t or "").encode()) for d, t in rows_of(odd_docs))
-    assert bytebpe.digests(no_docs, BYTE_BPE).count() == 0
+    got = Counter((r["doc_id"], bytes(r["ids"]), bytes(r["bytes"])) for r in decoded.collect())
+    assert got == Counter((d, packed(byte_ids(t)), (t or "").encode()) for d, t in rows_of(odd_docs))
+    assert bytebpe.decode_documents(bytebpe.encode_documents(no_docs, BYTE_BPE), BYTE_BPE).count() == 0
+
+
+def test_queries_derive_their_digests(spark, word_ids, byte_ids):
+    docs = rows_of(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    want = {(d, len(i), hashlib.sha256(packed(i)).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for d, t in docs for i in [byte_ids(t)]}
+    assert {tuple(r) for r in op7_byte_bpe(spark, SF_SMALL).collect()} == want
+    rows = sorted(op2_token_files(spark, SF_SMALL).collect())
+    assert [(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows] == [(d, len(i), crc(i)) for d, t in sorted(docs) for i in [[*word_ids(t), END]]]
+    pieces = op9_packing(spark, SF_SMALL).collect()
+    ids = {d: [*word_ids(t), END] for d, t in docs}
+    assert all(r["ids_crc32"] == crc(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]) for r in pieces)
 
 
 def check_files(got, docs, word_ids):
@@ -106,31 +116,31 @@ def check_files(got, docs, word_ids):
     pool = defaultdict(list)
     for d, t in docs:
         ids = [*word_ids(t), END]
-        pool[d].append((len(ids), crc(ids)))
+        pool[d].append((len(ids), packed(ids)))
     for r in rows:
         assert r["start"] == at
         at += r["n_tokens"]
-        pool[r["doc_id"]].remove((r["n_tokens"], r["ids_crc32"]))
+        pool[r["doc_id"]].remove((r["n_tokens"], bytes(r["ids"])))
 
 
 def test_token_files(spark, odd_docs, no_docs, word_ids):
     folder = shared_path(spark, "t")
     tokenfiles.write_token_files(odd_docs, folder, WORD_BPE, container_bytes=200)
-    check_files(tokenfiles.read_digests(spark, folder).collect(), rows_of(odd_docs), word_ids)
+    check_files(tokenfiles.read_token_files(spark, folder).collect(), rows_of(odd_docs), word_ids)
     assert tokenfiles.read_document(spark, folder, 9) == [*word_ids(" ".join([f"Wort{i}" for i in range(40)] * 500)), END]
     assert tokenfiles.read_document(spark, folder, 99) is None
     ids = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in tokenfiles.read_token_files(spark, folder).collect()}
     assert ids[8] == [*word_ids("x" * 30_000), END]
     empty = shared_path(spark, "t")
     tokenfiles.write_token_files(no_docs, empty, WORD_BPE)
-    assert tokenfiles.read_digests(spark, empty).count() == 0
+    assert tokenfiles.read_token_files(spark, empty).count() == 0
 
 
 def test_token_files_share_a_trained_dictionary(spark, word_ids):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     folder = shared_path(spark, "t")
     tokenfiles.write_token_files(docs, folder, WORD_BPE)
-    check_files(tokenfiles.read_digests(spark, folder).collect(), rows_of(docs), word_ids)
+    check_files(tokenfiles.read_token_files(spark, folder).collect(), rows_of(docs), word_ids)
     dictionary = bytes(spark.read.parquet(f"{folder}/dictionary").first()["content"])
     content = bytes(spark.read.parquet(f"{folder}/shards").first()["content"])
     assert dictionary and tokenfiles.Reader(content, dictionary)
@@ -158,7 +168,7 @@ def check_packing(rows, docs, word_ids, capacity):
         ids = [*word_ids(t), END]
         for r in pieces[d]:
             if r["doc_tokens"] == len(ids) and Counter(x for x, _ in docs)[d] == 1:
-                assert r["ids_crc32"] == crc(ids[r["start"] : r["start"] + r["length"]])
+                assert bytes(r["ids"]) == packed(ids[r["start"] : r["start"] + r["length"]])
 
 
 @pytest.mark.parametrize("capacity,group", [(64, 500), (2048, 1 << 20)])

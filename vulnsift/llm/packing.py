@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from vulnsift.llm.common import bounded_batches, map_batches
 from vulnsift.llm.wordbpe import encoder
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
@@ -63,10 +62,11 @@ def pack(lengths: list[int], capacity: int, linear: float = 1.0, quadratic: floa
 def _packed(ids: list, docs: list[int | None], capacity: int, base: int, costs: tuple[float, float]) -> pa.RecordBatch:
     rows = pack([len(x) for x in ids], capacity, *costs)
     out = [
-        (docs[d], start, n, zlib.crc32(ids[d][start : start + n].astype("<u4").tobytes()), len(ids[d]), base + k, offset)
+        (docs[d], start, n, ids[d][start : start + n].astype("<u4").tobytes(), len(ids[d]), base + k, offset)
         for d, start, n, k, offset in rows
     ]
-    arrays = [pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * len(COLUMNS))]
+    columns = zip(*out) if out else [[]] * len(COLUMNS)
+    arrays = [pa.array(c, pa.binary() if name == "ids" else pa.int64()) for name, c in zip(COLUMNS, columns)]
     return pa.RecordBatch.from_arrays(arrays, names=COLUMNS)
 
 
@@ -85,7 +85,8 @@ def pack_documents(
     ``group_tokens`` tokens (its last group may be smaller), so nothing is
     shuffled and a task holds one group at a time. Sequences are full, or have
     a power of two of tokens; none is padded. Null text counts as empty: a
-    document of the end id alone. Repeated rows and null ids are packed like
+    document of the end id alone. A piece carries its ids as packed little-endian
+    unsigned 32-bit integers. Repeated rows and null ids are packed like
     any other row; an empty table gives no pieces; other columns are ignored.
     Sequence ids are unique over the result: the task's number and a running
     number in it.

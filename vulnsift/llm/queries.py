@@ -21,7 +21,7 @@ def op1_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_path(spark, "tokens")
     tokenfiles.write_token_files(table(spark, sf_dir, "documents"), folder, WORD_BPE)
-    return tokenfiles.read_digests(spark, folder)
+    return tokenfiles.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op3_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bytebpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
+    encoded = bytebpe.encode_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
+    return bytebpe.decode_documents(encoded, BYTE_BPE).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256")
+    )
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +57,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -177,33 +176,22 @@ def _with_base(shards: DataFrame) -> DataFrame:
     return shards.join(F.broadcast(bases), "part")
 
 
-def _each(containers: DataFrame, dictionary: bytes, schema: str, row) -> DataFrame:
-    """One output row per document: ``row(doc_id, start, tokens)`` after the columns."""
-    names = [c.split()[0] for c in schema.split(", ")]
+def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document of a folder: doc_id, start (ids of all documents before it),
+    n_tokens, ids (packed little-endian unsigned 32-bit integers)."""
+    shards, dictionary = _open(spark, folder)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, own, content in zip(*(batch.column(c).to_pylist() for c in ("base", "part_start", "content"))):
                 reader = Reader(content, dictionary)
                 starts = base + own + np.cumsum(reader.counts) - reader.counts
-                rows = [row(None if d == NO_ID else d, s, reader.tokens(i)) for i, (d, s) in enumerate(zip(reader.ids.tolist(), starts.tolist()))]
-                kinds = [pa.binary() if c.endswith("binary") else pa.int64() for c in schema.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-
-    return map_batches(containers.select("base", "part_start", "content"), run, schema)
+                ids = [reader.tokens(i).astype("<u4").tobytes() for i in range(len(reader.ids))]
+                columns = [pa.array([None if d == NO_ID else d for d in reader.ids.tolist()], pa.int64()), pa.array(starts, pa.int64())]
+                columns += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
 
-
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document of a folder: doc_id, start, n_tokens, ids (packed little-endian 32-bit)."""
-    shards, dictionary = _open(spark, folder)
-    return _each(_with_base(shards), dictionary, READ, lambda d, s, t: (d, s, len(t), t.astype("<u4").tobytes()))
-
-
-def read_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document of a folder: doc_id, start, n_tokens, ids_crc32."""
-    shards, dictionary = _open(spark, folder)
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    return _each(_with_base(shards), dictionary, schema, lambda d, s, t: (d, s, len(t), zlib.crc32(t.astype("<u4").tobytes())))
+    return map_batches(_with_base(shards).select("base", "part_start", "content"), run, READ)
 
 
 def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[int] | None:
