@@ -16,7 +16,7 @@ import vulnsift
 from vulnsift.session import ensure_checkpoint_dir
 
 TOKENIZER_DIR = "/opt/tokenizers"
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 2 << 20
 
 
 _SHIPPED: set[str] = set()

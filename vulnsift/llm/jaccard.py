@@ -21,6 +21,7 @@ CHUNK_DOCS = 60_000
 LOCAL = 64  # a shingle in more texts of a chunk goes out as one count
 AGGREGATE = 0xFFFF  # stands for a text's number in such a count
 MOST_MATCHES = 8
+ROUTES = 8  # key ranges for each shuffle partition: small groups, dealt evenly
 SMALL_LIST = 32
 BLOCK = 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -162,7 +163,7 @@ def _entries(routes: int, words: int):
         held("shingles", words, object)  # lets go of what other operators kept in this worker
         number = TaskContext.get().partitionId() << 32
         chunk = _Chunk(number, routes)
-        for batch in bounded_batches(batches, "text", 4 << 20):
+        for batch in bounded_batches(batches, "text"):
             for doc_id, keys in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), words)):
                 chunk.add(doc_id, keys)
                 if chunk.full():
@@ -393,7 +394,7 @@ def _rest_of_large_lists(large: DataFrame, nodes: DataFrame) -> DataFrame:
 def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n (distinct shingles), node (its set), and of
     texts that may have a partner the shingles shared with other texts."""
-    routes = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    routes = ROUTES * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     entries = map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), _entries(routes, words), ENTRY)
     hits = entries.groupBy("route").applyInArrow(_frequencies, HIT)
     return hits.groupBy("chunk").applyInArrow(_gather, SETS)

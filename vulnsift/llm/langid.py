@@ -234,7 +234,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("lang", pa.string()), ("begin", pa.int64()), ("end", pa.int64())]))
-        for batch in bounded_batches(batches, "text", 4 << 20):
+        for batch in bounded_batches(batches, "text"):
             found = list(_held(shared).label(batch.column("text")))
             spans = [[{"lang": x, "begin": b, "end": e} for x, b, e in s] for _, _, s in found]
             arrays = [batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(spans, span)]
@@ -249,7 +249,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded_batches(batches, "text", 4 << 20):
+        for batch in bounded_batches(batches, "text"):
             found = _held(shared).label(batch.column("text"))
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score, _ in found], pa.bool_()))
 

@@ -99,7 +99,7 @@ def pack_documents(
         docs_: list[int | None] = []
         held = 0
         end = np.asarray([end_id], bpe.dtype)
-        for batch in bounded_batches(batches, "text", 4 << 20):
+        for batch in bounded_batches(batches, "text"):
             flat, offsets = bpe.encode(batch.column("text"))
             for k, doc in enumerate(batch.column("doc_id").to_pylist()):
                 ids.append(np.concatenate([flat[offsets[k] : offsets[k + 1]], end]))

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 _CODES = np.arange(256)
@@ -139,7 +139,7 @@ class WordTable:
     affects a result.
     """
 
-    def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], limit: int = 1_000_000):
+    def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], limit: int = 600_000):
         self.learn, self.forget, self.limit = learn, forget, limit
         self._clear()
 

@@ -153,7 +153,7 @@ def classify(docs: DataFrame, model: QualityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of buckets
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded_batches(batches, "text", 4 << 20):
+        for batch in bounded_batches(batches, "text"):
             score = _held(shared).score(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
@@ -166,7 +166,7 @@ def keep_predicted(docs: DataFrame, model: QualityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded_batches(batches, "text", 4 << 20):
+        for batch in bounded_batches(batches, "text"):
             yield batch.filter(pa.array(_held(shared).score(batch.column("text")) >= 0.5))
 
     return map_batches(docs, run, docs.schema)

@@ -145,7 +145,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
             kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=[c.split()[0] for c in SHARDS.split(", ")])
 
-        for batch in bounded_batches(batches, "text", 4 << 20):
+        for batch in bounded_batches(batches, "text"):
             flat, offsets = bpe.encode(batch.column("text"))
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 raw = _ids_bytes(offsets, flat, i, end)
