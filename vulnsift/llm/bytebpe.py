@@ -245,6 +245,12 @@ def coder(path: str) -> ByteBpe:
     return held("byte-bpe", path, lambda: ByteBpe(path))
 
 
+def _packed(bpe: ByteBpe, texts: pa.Array) -> list[bytes]:
+    flat, offsets = bpe.encode(texts)
+    wide = flat.astype("<u4")
+    return [wide[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+
+
 def encode_documents(docs: DataFrame, ranks: str) -> DataFrame:
     """``docs`` (doc_id, text) with the token ids of every whole text: doc_id, ids
     (packed little-endian unsigned 32-bit integers).
@@ -254,23 +260,34 @@ def encode_documents(docs: DataFrame, ranks: str) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(ranks)
-        for batch in bounded_batches(batches, "text", 4 << 20):
-            flat, offsets = bpe.encode(batch.column("text"))
-            wide = flat.astype("<u4")
-            ids = [wide[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        for batch in bounded_batches(batches, "text"):
+            ids = _packed(coder(ranks), batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, "doc_id long, ids binary")
 
 
+def round_trip(docs: DataFrame, ranks: str) -> DataFrame:
+    """``docs`` encoded, and the ids decoded again by the same worker: doc_id, ids,
+    bytes. Cases as in ``encode_documents``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = coder(ranks)
+        for batch in bounded_batches(batches, "text"):
+            ids = _packed(bpe, batch.column("text"))
+            out = [bpe.decode(np.frombuffer(x, "<u4")) for x in ids]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(out, pa.binary())], names=["doc_id", "ids", "bytes"])
+
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, "doc_id long, ids binary, bytes binary")
+
+
 def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:
     """Rows of packed ids (doc_id, ids) with the bytes that they stand for: doc_id, ids, bytes.
     Null ids have null bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(ranks)
-        for batch in bounded_batches(batches, "ids", 4 << 20):
+        for batch in bounded_batches(batches, "ids"):
             out = [None if x is None else bpe.decode(np.frombuffer(x, "<u4")) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.binary())], names=["doc_id", "ids", "bytes"])
 

@@ -44,8 +44,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bytebpe.encode_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
-    return bytebpe.decode_documents(encoded, BYTE_BPE).select(
+    return bytebpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256")
     )
 
