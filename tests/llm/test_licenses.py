@@ -50,3 +50,33 @@ def test_native_plan(spark):
 
     plan = licenses.scan_documents(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_whole_licence_files(spark):
+    """The license texts themselves, some of them changed as projects change them."""
+    texts = dict(licenses.license_texts())
+    files = [(f"{name}/LICENSE", text) for name, text in texts.items()] + [(f"{name}/src/f.c", "int x;") for name in texts]
+    files += [("own/COPYING", texts["MIT"].replace("2018 Sam Rijs, Alex Crichton and contributors", "2031 Some Body")), ("flat/LICENSE.txt", " ".join(texts["GPL-2.0"].split()))]
+    files.append(("prose/LICENSE", "copyright " + "the work and all of its parts may be used by any person under the terms of this license " * 30))
+    got = found(licenses.scan(spark.createDataFrame(files, "path string, text string")))
+    want = {f"{name}/LICENSE": (name, "own", None) for name in texts} | {f"{name}/src/f.c": (name, "inherited", name) for name in texts}
+    assert got == want | {"own/COPYING": ("MIT", "own", None), "flat/LICENSE.txt": ("GPL-2.0", "own", None), "prose/LICENSE": (None, "none", None)}
+
+
+def test_headers_across_lines_and_inside_long_ones(spark):
+    gnu = "{0}This {1} is free software: you can redistribute it and/or modify\n{0}it under the terms of the GNU {2}General Public License as published by\n{0}the Free Software Foundation, either version {3} of the License, or\n{0}(at your option) any later version.\n"
+    noise = " ".join(f"word{i}" for i in range(400))
+    mit = dict(licenses.license_texts())["MIT"]
+    files = {
+        "gpl3.c": ("/*\n" + gnu.format(" * ", "program", "", "3") + " */\nint x;", "GPL-3.0"),
+        "gpl2.lua": (gnu.format("-- ", "program", "", "2") + "local x = 1", "GPL-2.0"),
+        "lgpl.py": ("import os\n" * 50 + gnu.format("# ", "library", "Lesser ", "2.1"), "LGPL-2.1"),
+        "agpl.js": (gnu.format("// ", "program", "Affero ", "3") + noise, "AGPL-3.0"),
+        "wrapped.py": (f"{noise}\n# Licensed under the Apache\n# License, Version 2.0\n{noise}", "Apache-2.0"),
+        "long.txt": (f"{noise} Licensed under CC BY-SA 4.0. {noise}", "CC-BY-SA-4.0"),
+        "min.js": (f"/*! {noise} Released under the MIT License */ {noise}", "MIT"),
+        "mit.c": ("// " + mit.replace("\n", "\n// ") + f"\n{noise}", "MIT"),
+        "none.txt": (f"{noise} the license is with the mit people under the table {noise}", None),
+    }
+    got = found(licenses.scan(spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")))
+    assert {p: x[0] for p, x in got.items()} == {p: x for p, (_, x) in files.items()}

@@ -6,7 +6,9 @@ DataFrame operations only.
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,12 +32,46 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
 ]
+# Headers of source files, longer than a line.
+_GNU = "{it} is free software; you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation; {version} of the License, or (at your option) any later version."
+NOTICES = [
+    ("GPL-2.0", _GNU.format(it="This program", name="", version="either version 2")),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("GPL-3.0", _GNU.format(it="This program", name="", version="either version 3")),
+    ("LGPL-2.0", _GNU.format(it="This library", name="Library ", version="either version 2")),
+    ("LGPL-2.1", _GNU.format(it="This library", name="Lesser ", version="either version 2.1")),
+    ("LGPL-3.0", _GNU.format(it="This library", name="Lesser ", version="either version 3")),
+    ("AGPL-3.0", _GNU.format(it="This program", name="Affero ", version="either version 3")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+]
+# Licenses short enough to stand in a header as a whole, from these words on.
+SHORT = {"MIT": "Permission is", "ISC": "Permission to", "BSD-2-Clause": "Redistribution and", "BSD-3-Clause": "Redistribution and", "Unlicense": "This is free"}
+TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
+TEXT_THRESHOLD = 0.85  # for whole texts and long headers, much of which is common to all licenses
 MARKER = "licen[cs]|copyright|spdx"
 EDGE = "[.,;:]+( |$)"
 GAP = "[^a-z0-9.+-]+"
 THRESHOLD = 0.6
 
 
+@lru_cache
+def license_texts() -> list[tuple[str, str]]:
+    """The full-text templates: the files of ``license_texts``, named by license."""
+    out = []
+    for name in sorted(os.listdir(TEXTS)):
+        with open(os.path.join(TEXTS, name), encoding="utf-8") as f:
+            out.append((name.removesuffix(".txt"), f.read()))
+    return out
+
+
+def long_notices() -> list[tuple[str, str]]:
+    """Headers that go over several lines: NOTICES and the licenses of SHORT."""
+    return NOTICES + [(name, text[text.index(SHORT[name]) :]) for name, text in license_texts() if name in SHORT]
+
+
 def _tokens(text: str) -> list[str]:
     import re
 
@@ -82,6 +118,109 @@ def match_headers(files: DataFrame, templates: list[tuple[str, str]] | None = No
     return best.where(F.col("best.score") >= threshold).select("path", F.col("best.license").alias("license"), F.col("best.score").alias("score"))
 
 
+EDGES = r"[.,;:]+(\s|$)"  # EDGE, whatever the white space
+
+
+def text_tokens(text: Column) -> Column:
+    """The tokens of a text across its lines, without the bare signs of comments."""
+    return F.filter(F.split(F.regexp_replace(F.lower(text), EDGES, " "), GAP), lambda t: t.rlike("[a-z0-9]"))
+
+
+def _plain(templates: list[tuple[str, str]]) -> list[tuple[str, list[str]]]:
+    import re
+
+    return [(name, [t for t in re.split(GAP, re.sub(EDGES, " ", text.lower())) if re.search("[a-z0-9]", t)]) for name, text in templates]
+
+
+def _table(spark, templates: list[tuple[str, list[str]]]) -> tuple[DataFrame, float]:
+    """The tokens of the templates with idf and unit weights; the idf of others."""
+    idf, weights, other = template_weights([(name, " ".join(tokens)) for name, tokens in templates])
+    n = range(len(templates))
+    rows = [(t, v, [weights.get((k, t), 0.0) for k in n]) for t, v in idf.items()]
+    return spark.createDataFrame(rows, "token string, idf double, w array<double>").coalesce(1), other
+
+
+def _marked(files: DataFrame) -> DataFrame:
+    """path, key, tokens of the texts with a marker word; the key tells texts of one path apart."""
+    return files.where(F.lower("text").rlike(MARKER)).select("path", F.xxhash64("text").alias("key"), text_tokens(F.col("text")).alias("tokens")).dropDuplicates(["path", "key"])
+
+
+def match_texts(files: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = TEXT_THRESHOLD) -> DataFrame:
+    """For licence files (path, text) that are a license as a whole: path, license,
+    score, first. The TF-IDF vector of the whole text meets each full text."""
+    templates = _plain(license_texts() if templates is None else templates)
+    table, other = _table(files.sparkSession, templates)
+    counts = _marked(files).select("path", "key", F.explode("tokens").alias("token")).groupBy("path", "key", "token").agg(F.count("*").alias("tf"))
+    weighed = counts.join(F.broadcast(table), "token", "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(other)))
+    products = [F.coalesce(F.sum(F.col("v") * F.element_at("w", k + 1)), F.lit(0.0)).alias(f"s{k}") for k in range(len(templates))]
+    scored = weighed.groupBy("path", "key").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), *products)
+    options = F.array(*[F.struct(F.round(F.col(f"s{k}") / F.col("norm"), 6).alias("score"), F.lit(-k).alias("first"), F.lit(name).alias("license")) for k, (name, _) in enumerate(templates)])
+    return scored.select("path", F.array_max(options).alias("best")).where(F.col("best.score") >= threshold).select("path", "best.license", "best.score", "best.first")
+
+
+def match_windows(files: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """For files (path, text) with a notice anywhere: path, license, score, first.
+
+    Every run of tokens as long as a template meets it, across line breaks and
+    inside long lines (a shorter text meets it as a whole). A run must hold a
+    marker word. Running sums give for each run the products and a norm that takes
+    repeated tokens for different ones, so at most the true norm; only runs that
+    reach the threshold with that are counted out.
+    """
+    templates = _plain(templates)
+    table, other = _table(files.sparkSession, templates)
+    sizes = [len(tokens) for _, tokens in templates]
+    texts = _marked(files)
+    each = texts.select("path", "key", F.size("tokens").alias("n"), F.posexplode("tokens").alias("pos", "token")).join(F.broadcast(table), "token", "left")
+    idf = F.coalesce("idf", F.lit(other))
+    up_to = Window.partitionBy("path", "key").orderBy("pos")
+    running = {"q": idf * idf, "m": F.col("token").rlike(MARKER).cast("int")}
+    running |= {f"s{k}": F.coalesce(F.col("idf") * F.element_at("w", k + 1), F.lit(0.0)) for k in range(len(templates))}
+    sums = each.select("path", "key", "n", "pos", *[F.sum(v).over(up_to).alias(c) for c, v in running.items()])
+
+    def run(c: str, size: int) -> Column:
+        return F.col(c) - F.coalesce(F.lag(c, size).over(up_to), F.lit(0))
+
+    whole = sums.select(
+        "path", "key", "n", "pos",
+        *[run(f"s{k}", size).alias(f"s{k}") for k, size in enumerate(sizes)],
+        *[run(c, size).alias(f"{c}{size}") for size in sorted(set(sizes)) for c in ("q", "m")],
+    )
+    fits = [
+        F.when(((F.col("pos") + 1 >= size) | (F.col("pos") + 1 == F.col("n"))) & (F.col(f"m{size}") > 0) & (F.col(f"s{k}") >= (threshold - 1e-6) * F.sqrt(f"q{size}")),
+               F.struct(F.lit(k).alias("k"), F.greatest(F.lit(1), F.col("pos") + 2 - size).alias("begin"), F.lit(size).alias("size")))
+        for k, size in enumerate(sizes)
+    ]
+    found = whole.select("path", "key", F.explode(F.array_compact(F.array(*fits))).alias("at")).groupBy("path", "key").agg(F.collect_list("at").alias("runs"))
+    cut = lambda r: F.struct(r["k"].alias("k"), r["begin"].alias("begin"), F.slice("tokens", r["begin"], r["size"]).alias("run"))
+    runs = found.join(texts, ["path", "key"]).select("path", "key", F.explode(F.transform("runs", cut)).alias("r"))
+    of = ["path", "key", "k", "begin"]
+    counts = runs.select("path", "key", "r.k", "r.begin", F.explode("r.run").alias("token")).groupBy(*of, "token").agg(F.count("*").alias("tf"))
+    weighed = counts.join(F.broadcast(table), "token", "left").withColumn("v", F.col("tf") * idf)
+    scored = weighed.groupBy(of).agg((F.coalesce(F.sum(F.col("v") * F.element_at("w", F.col("k") + 1)), F.lit(0.0)) / F.sqrt(F.sum(F.col("v") * F.col("v")))).alias("score"))
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in templates]), F.col("k") + 1)
+    return scored.select("path", name.alias("license"), F.round("score", 6).alias("score"), (-F.col("k")).alias("first")).where(F.col("score") >= threshold)
+
+
+def match_files(files: DataFrame, notice: str, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """For files (path, text) with a license of their own: path, license, score. A
+    licence file that is a license as a whole has that; otherwise the best header
+    counts, be it a line, a run of tokens or a long notice."""
+    ranked = lambda df, rank: df.select("path", F.struct(F.lit(rank).alias("rank"), "score", "first", "license").alias("best"))
+    every = [
+        ranked(match_texts(files.where(F.col("path").rlike(notice))), 1),
+        ranked(match_headers(files, templates, threshold).withColumn("first", F.lit(0)), 0),
+        ranked(match_windows(files, templates or TEMPLATES, threshold), 0),
+    ]
+    if not templates:
+        every.append(ranked(match_windows(files, long_notices(), TEXT_THRESHOLD).withColumn("first", F.col("first") - len(TEMPLATES)), 0))
+    union = every[0]
+    for df in every[1:]:
+        union = union.unionByName(df)
+    best = union.groupBy("path").agg(F.max("best").alias("best"))
+    return best.select("path", "best.license", "best.score")
+
+
 def folder_of(path: Column) -> Column:
     """The folder of a path ('' at the top)."""
     return F.regexp_replace(path, "/?[^/]*$", "")
@@ -97,7 +236,8 @@ def ancestors(folder: Column) -> Column:
 def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD, notice: str = r"(^|/)(LICEN[CS]E|COPYING|NOTICE)[^/]*$") -> DataFrame:
     """The license of every file (path, text): path, license, score, basis, origin.
 
-    basis: ``own`` (a header of the file), ``inherited`` (a licence file in the
+    basis: ``own`` (a header of the file, or a licence file that is a license as a
+    whole), ``inherited`` (a licence file in the
     nearest folder above or beside it; ``origin`` is that folder) or ``none``. Of
     several licence files in a folder the best match counts, then the lesser path.
     Files of a path in common share one answer, the best of their texts. Null or
@@ -105,7 +245,7 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, thres
     ``none``; an empty table gives no rows; other columns are ignored.
     """
     files = files.select(F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
-    own = match_headers(files.where("path is not null and text is not null"), templates, threshold)
+    own = match_files(files.where("path is not null and text is not null"), notice, templates, threshold)
     names = files.where("path is not null").select("path").distinct().withColumn("folder", folder_of(F.col("path")))
     marked = own.where(F.col("path").rlike(notice)).withColumn("folder", folder_of(F.col("path")))
     first = Window.partitionBy("folder").orderBy(F.desc("score"), "path")
