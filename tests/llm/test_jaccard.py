@@ -107,6 +107,17 @@ def test_frequent_shingles_go_out_as_counts():
     assert sum(len(jaccard.unpack_sorted(r[3])) for r in asked) == 5 + jaccard.LOCAL + 6
 
 
+def test_listings_stay_out_of_the_key_ranges():
+    routes = []
+    for task in range(300):
+        chunk = jaccard._Chunk(task << 32, 64)
+        for i in range(jaccard.LOCAL + 6):
+            chunk.add(i, np.array([5 << 40, (i + 6) << 40], np.uint64))
+        routes += [r[0] for r in chunk.rows() if r[2] != jaccard.ENTRIES]
+    assert len(routes) == len(set(routes)) == 600
+    assert all(-(1 << 31) <= r < 0 for r in routes)
+
+
 def test_prefix_grows_where_it_pays():
     none = np.zeros(0, np.int64)
     assert jaccard.adaptive_prefix(100, none, 12.5) == (1, 0)

@@ -124,9 +124,8 @@ class _Chunk:
     def rows(self) -> list[tuple]:
         """The documents, the frequent shingles with their texts, and for every key
         range the entries (key, text) whose frequency is asked for."""
-        home = self.number % self.routes
         listing = np.array([(0 if d is None else d, d is None, n, node, k) for d, n, node, k in self.docs], "<i8")
-        out = [(home, self.number, DOCUMENTS, b"", listing.T.tobytes(), b"")]
+        out = [(_aside(self.number, DOCUMENTS), self.number, DOCUMENTS, b"", listing.T.tobytes(), b"")]
         if not self.keys:
             return out
         keys = np.concatenate(self.keys)
@@ -139,7 +138,7 @@ class _Chunk:
         counts = np.zeros(0, "<u4")
         if many.any():
             inside = np.repeat(many, lengths)
-            out.append((home, self.number, FREQUENT, pack_sorted(keys[inside]), ords[inside].tobytes(), b""))
+            out.append((_aside(self.number, FREQUENT), self.number, FREQUENT, pack_sorted(keys[inside]), ords[inside].tobytes(), b""))
             keep = ~inside
             keep[begins[many]] = True
             ords[begins[many]] = AGGREGATE
@@ -154,6 +153,11 @@ class _Chunk:
         return out
 
 
+def _aside(number: int, kind: int) -> int:
+    """A group beside the key ranges, for rows that no range has to read."""
+    return -1 - (int(mix(np.array([(number << 2) + kind], np.uint64))[0]) >> 33)
+
+
 def _wide_cuts(keys: np.ndarray, routes: int) -> np.ndarray:
     return np.searchsorted(keys, np.array([(r << 48) // routes for r in range(routes)] + [1 << 48], np.uint64))
 
