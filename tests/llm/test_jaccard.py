@@ -77,6 +77,40 @@ def test_equals_brute_force(spark, groups, monkeypatch, small, block):
     assert answer(df) == brute(groups)
 
 
+def brute_links(rows):
+    """Per row the number of other rows that link with it; the linked pairs of sets."""
+    sets = [shingles(t) for _, t in rows]
+    counts, pairs = [0] * len(rows), set()
+    places = defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s:
+            places[g].append(i)
+    for i, s in enumerate(sets):
+        for j, both in Counter(j for g in s for j in places[g] if j > i).items():
+            if 100 * both >= 75 * (len(s) + len(sets[j]) - both):
+                counts[i] += 1
+                counts[j] += 1
+                if s != sets[j]:
+                    pairs.add(frozenset([s, sets[j]]))
+    return Counter((d, n) for (d, _), n in zip(rows, counts)), pairs
+
+
+@pytest.mark.parametrize("links,block", [(2048, 512), (40, 16)])
+def test_every_link_counts(spark, groups, monkeypatch, links, block):
+    monkeypatch.setattr(jaccard, "LINK_BLOCK", links)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rows = groups + [(1000, groups[0][1]), (1001, groups[0][1]), (None, groups[3][1]), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts, want = brute_links(rows)
+    got = jaccard.near_duplicates_with_links(df).collect()
+    assert Counter((r["doc_id"], r["n_links"]) for r in got) == counts
+    assert Counter(tuple(r)[:3] for r in got) == brute(rows)
+    pairs, members = jaccard.linked_pairs(df)
+    texts = {r["text"]: shingles(dict(rows)[r["doc_id"]]) for r in members.where("doc_id is not null").collect()}
+    found = [tuple(r) for r in pairs.collect()]
+    assert len(found) == len(want) and {frozenset([texts[a], texts[b]]) for a, b in found} == want and all(a < b for a, b in found)
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
     assert answer(odd_docs) == brute(rows)

@@ -24,6 +24,8 @@ MOST_MATCHES = 8
 ROUTES = 8  # key ranges for each shuffle partition: small groups, dealt evenly
 SMALL_LIST = 32
 BLOCK = 512
+LINK_BLOCK = 2048
+LINK_BYTES = 16 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -327,32 +329,37 @@ def _links_of(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_batches(pairs, _verified, "a long, b long")
 
 
-def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Links between two blocks of texts, as a forest: overlaps of all pairs as one
-    product of 0/1 matrices over the shingles that both blocks have."""
-    names = ["a", "b"]
-    empty = pa.table([pa.array([], pa.int64())] * 2, names=names)
-    if not left.num_rows or not right.num_rows:
-        return empty
-    sides = []
-    for t in (left, right.rename_columns(left.column_names)):
-        tokens = [np.frombuffer(x, "<i8") for x in t["tokens"].to_pylist()]
-        sides.append((t["node"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy().astype(np.int64), tokens))
-    common = np.intersect1d(*[np.unique(np.concatenate(s[3])) for s in sides])
-    overlaps = np.zeros((left.num_rows, right.num_rows), np.float32)
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each text of one side shares with each of the other, as one
+    product of 0/1 matrices over the shingles that both sides have."""
+    common = np.intersect1d(*[np.unique(np.concatenate(s)) for s in (left, right)])
+    overlaps = np.zeros((len(left), len(right)), np.float32)
     for begin in range(0, len(common), 4096):
         part = common[begin : begin + 4096]
         dense = []
-        for s in sides:
-            m = np.zeros((len(s[3]), len(part)), np.float32)
-            for i, tokens in enumerate(s[3]):
+        for side in (left, right):
+            m = np.zeros((len(side), len(part)), np.float32)
+            for i, tokens in enumerate(side):
                 at = np.searchsorted(part, tokens)
                 ok = at < len(part)
                 ok[ok] = part[at[ok]] == tokens[ok]
                 m[i, at[ok]] = 1
             dense.append(m)
         overlaps += dense[0] @ dense[1].T
-    both = overlaps.astype(np.int64)
+    return overlaps.astype(np.int64)
+
+
+def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links between two blocks of texts, as a forest."""
+    names = ["a", "b"]
+    empty = pa.table([pa.array([], pa.int64())] * 2, names=names)
+    if not left.num_rows or not right.num_rows:
+        return empty
+    sides = []
+    for t in (left, right.rename_columns(left.column_names)):
+        tokens = [np.frombuffer(x, "<i8") for x in t["tokens"].to_pylist()]
+        sides.append((t["node"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy().astype(np.int64), tokens))
+    both = _overlaps(sides[0][3], sides[1][3])
     linked = DEN * both >= NUM * (sides[0][2][:, None] + sides[1][2][None, :] - both)
     linked &= sides[0][1][:, None] != sides[1][1][None, :]
     root: dict[int, int] = {}
@@ -395,6 +402,81 @@ def _rest_of_large_lists(large: DataFrame, nodes: DataFrame) -> DataFrame:
     return left.groupBy(columns[:3]).cogroup(right.groupBy(other[:3])).applyInArrow(_block_links, "a long, b long")
 
 
+# --- all links of the classes ------------------------------------------------------
+
+LINKED = "a long, b long, n_links long"
+
+
+def _linked_group(rows: list[tuple], x: int, y: int, pairs: bool) -> Iterator[pa.RecordBatch]:
+    """Of the texts (node, block, n, copies, tokens) of two blocks x <= y: the links
+    between the blocks as (a, b), or per text as (a, null, copies linked with)."""
+    left = [r for r in rows if r[1] == x]
+    right = left if x == y else [r for r in rows if r[1] == y]
+    counts = [np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)]
+    for i in range(0, len(left), BLOCK):
+        for j in range(i if x == y else 0, len(right), BLOCK):
+            sides = left[i : i + BLOCK], right[j : j + BLOCK]
+            both = _overlaps(*[[np.frombuffer(r[4], "<i8") for r in s] for s in sides])
+            n, m = (np.array([r[2] for r in s], np.int64) for s in sides)
+            linked = DEN * both >= NUM * (n[:, None] + m[None, :] - both)
+            same = x == y and i == j
+            if same:
+                linked = np.triu(linked, 1)
+            if pairs:
+                nodes = [np.array([r[0] for r in s], np.int64) for s in sides]
+                for k in range(len(nodes[0])):  # a text's links at a time
+                    b = nodes[1][linked[k]]
+                    if len(b):
+                        a = np.full(len(b), nodes[0][k])
+                        yield _linked_rows(np.minimum(a, b), np.maximum(a, b), None)
+                continue
+            copies = [np.array([r[3] for r in s], np.int64) for s in sides]
+            counts[0][i : i + BLOCK] += linked @ copies[1]
+            counts[0 if x == y else 1][j : j + BLOCK] += copies[0] @ linked
+    if not pairs:
+        sides = [left] if x == y else [left, right]
+        for side, count in zip(sides, counts):
+            some = count > 0
+            yield _linked_rows(np.array([r[0] for r in side], np.int64)[some], None, count[some])
+
+
+def _linked_rows(a: np.ndarray, b: np.ndarray | None, n: np.ndarray | None) -> pa.RecordBatch:
+    columns = [pa.array(c, pa.int64()) if c is not None else pa.nulls(len(a), pa.int64()) for c in (a, b, n)]
+    return pa.RecordBatch.from_arrays(columns, names=_names(LINKED))
+
+
+def _linked(pairs: bool):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("comp", "x", "y", "node", "own", "n", "copies", "tokens")]
+            for comp, x, y, *row in zip(*columns):
+                if group != (comp, x, y):
+                    if rows:
+                        yield from _linked_group(rows, *group[1:], pairs)
+                    group, rows = (comp, x, y), []
+                rows.append(tuple(row))
+        if rows:
+            yield from _linked_group(rows, *group[1:], pairs)
+
+    return run
+
+
+def _links_in_classes(sets: DataFrame, nodes: DataFrame, comps: DataFrame, pairs: bool) -> DataFrame:
+    """Every link between different texts: both lie in one class, so each class
+    compares all its texts, large ones in pairs of blocks of LINK_BLOCK texts or
+    LINK_BYTES of shingles. The groups of a task come one after the other."""
+    copies = sets.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"))
+    facts = nodes.select("node", "n", "tokens").join(comps, "node").join(copies, "node")
+    sizes = nodes.select("node", F.octet_length("tokens").alias("bytes")).join(comps, "node").groupBy("comp").agg(F.count("*").alias("size"), F.sum("bytes").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.col("size") / LINK_BLOCK, F.col("bytes") / LINK_BYTES)).cast("int")
+    shape = sizes.where("size > 1").select("comp", F.greatest(blocks, F.lit(1)).alias("blocks"))
+    own = facts.join(shape, "comp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("comp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "own", "n", "copies", "tokens")
+    return map_batches(dealt.repartition("comp", "x", "y").sortWithinPartitions("comp", "x", "y"), _linked(pairs), LINKED)
+
+
 def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n (distinct shingles), node (its set), and of
     texts that may have a partner the shingles shared with other texts."""
@@ -404,26 +486,9 @@ def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return hits.groupBy("chunk").applyInArrow(_gather, SETS)
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Classes of texts whose shingle sets have a Jaccard similarity of 0.75 or more,
-    directly or through others: doc_id, n_shingles, component_id, one row for each
-    row of ``docs`` (doc_id, text).
-
-    A-Z count as a-z; words lie between white space. A text of fewer words than a
-    shingle has its whole sequence as one; without words it is empty and links with
-    nothing. ``component_id`` is the least doc_id of the class. Texts of one set,
-    repeated rows included, are one node from the start and need no pairs. A null
-    id takes the least id of its class, or null if there is none. An empty table
-    gives no rows; other columns are ignored.
-
-    1. Chunks of documents ask for the document frequency of each shingle. Only
-       shingles of two or more texts come back, and only texts with such shingles
-       in their prefix go on, with as long a prefix as their costs suggest.
-    2. Each prefix entry's list compares its texts with one of them, the one with
-       fewest shingles of its own. Most classes are complete after that.
-    3. Lists that still hold texts of several components compare these: all pairs
-       in short lists, blocks in long ones.
-    """
+def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows (doc_id, n_shingles, component_id, node), the sets of all rows, the
+    texts that may have a partner, and the component of each linked text."""
     sets = stored(shared_shingles(docs, words), "sets")
     # Null tokens: no shared shingle in the prefix, hence no partner.
     nodes = sets.where("prefix is not null").dropDuplicates(["node"]).withColumn("listed", F.size("prefix"))
@@ -458,4 +523,47 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     named = least.groupBy("comp").agg(F.min("doc").alias("component_id"))
     names = least.join(named, "comp").select("node", "component_id")
     rows = sets.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "node")
-    return rows.join(names, "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named_rows = rows.join(names, "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "node")
+    return named_rows, sets, nodes, comps
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """Classes of texts whose shingle sets have a Jaccard similarity of 0.75 or more,
+    directly or through others: doc_id, n_shingles, component_id, one row for each
+    row of ``docs`` (doc_id, text).
+
+    A-Z count as a-z; words lie between white space. A text of fewer words than a
+    shingle has its whole sequence as one; without words it is empty and links with
+    nothing. ``component_id`` is the least doc_id of the class. Texts of one set,
+    repeated rows included, are one node from the start and need no pairs. A null
+    id takes the least id of its class, or null if there is none. An empty table
+    gives no rows; other columns are ignored.
+
+    1. Chunks of documents ask for the document frequency of each shingle. Only
+       shingles of two or more texts come back, and only texts with such shingles
+       in their prefix go on, with as long a prefix as their costs suggest.
+    2. Each prefix entry's list compares its texts with one of them, the one with
+       fewest shingles of its own. Most classes are complete after that.
+    3. Lists that still hold texts of several components compare these: all pairs
+       in short lists, blocks in long ones.
+    """
+    return _classes(docs, words)[0].drop("node")
+
+
+def near_duplicates_with_links(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """The rows of ``near_duplicates`` with n_links: how many other rows have a text
+    that links with the row's own, copies (texts of one set) counted each. A text
+    without words has none."""
+    rows, sets, nodes, comps = _classes(docs, words)
+    found = _links_in_classes(sets, nodes, comps, False).groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("others"))
+    copies = sets.where("node is not null").groupBy("node").agg((F.count("*") - 1).alias("same"))
+    counts = stored(copies.join(found, "node", "left").select("node", (F.col("same") + F.coalesce("others", F.lit(0))).alias("n_links")), "counts")
+    return rows.join(counts, "node", "left").select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def linked_pairs(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """The links themselves: every pair (a, b) of different texts that link, a < b,
+    once; and the membership (text, doc_id), one row for each row of ``docs`` with
+    words. A text is named by a hash of its shingle set."""
+    _, sets, nodes, comps = _classes(docs, words)
+    return _links_in_classes(sets, nodes, comps, True).select("a", "b"), sets.where("node is not null").select(F.col("node").alias("text"), "doc_id")

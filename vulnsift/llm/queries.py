@@ -36,7 +36,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates_with_links(table(spark, sf_dir, "documents"))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
