@@ -73,3 +73,17 @@ def test_run_and_odd_documents(spark, odd_docs, no_docs, tmp_path):
     ids = [r[0] for r in kept.select("doc_id").collect()]
     assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None}) and ids.count(None) == 2
     assert jaccard.near_duplicates(odd_docs).count() == odd_docs.count()
+
+
+def test_rows_of_one_id(spark):
+    """Rows, not ids, are kept: an id with several texts, copies without an id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a, "x"), (5, a + " more", "x"), (5, b, "x"), (5, b, "x"), (6, "", "x"), (6, None, "x"), (7, a, "x"), (8, c, "z"), (8, c, "y"), (9, c, "a")]
+    rows += [(None, c + f" {i % 2}", "n") for i in range(5)] + [(None, "", "n"), (None, None, "n")]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        kept = [tuple(r) for r in corpus_pipeline.deduplicate(spark, docs, "").collect()]
+        assert sorted((d, t) for d, t, _ in kept if d is not None and t) == [(3, a), (5, b), (8, c)]
+        assert [d for d, t, _ in kept if d is not None and not t] == [6]
+        without = [t for d, t, _ in kept if d is None]
+        assert len(without) == 3 and sum(1 for t in without if t) == 1
