@@ -108,3 +108,13 @@ def test_repeated_words_share_a_feature():
     (at, times), (other, _) = quality.features(pa.array(["aa aa aa", "bb bb"]))
     shared = set(at.tolist()) & set(other.tolist())
     assert any(x >= quality.BUCKETS for x in shared) and times.sum() > len(at) - 1
+
+
+def test_a_script_keeps_its_languages(spark):
+    rows = [(i, "привет мир как дела у вас сегодня", "ru") for i in range(20)] + [(i, "hello world how are you today", "en") for i in range(20, 40)]
+    labeller = langid.Labeller(langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    english = "hello world how are you today " * 3
+    inner, last, latin = labeller.label(pa.array([english + "привет мир " + english, english + "мир", "привет мир как дела hello у вас сегодня"]))
+    assert inner[0] == last[0] == "en" and latin[0] == "ru"
+    assert [[s[0] for s in x[2]] for x in (inner, last, latin)] == [["en", "ru", "en"], ["en", "ru"], ["ru", "en", "ru"]]
+    assert inner[2][1][1:] == (len(english), len(english) + len("привет мир".encode()))

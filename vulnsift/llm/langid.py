@@ -165,7 +165,9 @@ class Labeller:
             if not letters:
                 sums[i] = 0
         best = sums.max(axis=1, keepdims=True)
-        self.scores = np.concatenate([self.scores, np.maximum(sums - best, FLOOR).astype(np.float32)])
+        # A language that the script rules out costs more than a switch to another and back.
+        behind = np.where(np.isneginf(sums), -2 * self.penalty - 1, np.maximum(sums - best, FLOOR))
+        self.scores = np.concatenate([self.scores, behind.astype(np.float32)])
         self.letters = np.concatenate([self.letters, np.array([n for _, n in kinds], np.int64)])
 
     def label(self, texts: pa.Array) -> Iterator[tuple[str, float, list[tuple[str, int, int]]]]:
