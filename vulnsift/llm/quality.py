@@ -24,7 +24,7 @@ DIM = 8
 class QualityModel:
     """With a linear output, a feature's vector acts by its projection on the
     difference of the two classes: ``weights`` holds that for every bucket of
-    words and n-grams, ``pairs`` for those of word pairs."""
+    n-grams inside words, ``pairs`` for those of word pairs."""
 
     weights: np.ndarray
     pairs: np.ndarray
