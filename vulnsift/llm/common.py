@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 import vulnsift
 from vulnsift.session import ensure_checkpoint_dir
 
-TOKENIZER_DIR = "/opt/tokenizers"
 BATCH_BYTES = 2 << 20
 
 

@@ -17,7 +17,7 @@ from vulnsift.llm.common import held
 from vulnsift.llm.pieces import Ragged, WordTable, per_text, split
 
 
-def _byte_letters() -> dict[int, int]:
+def byte_letters() -> dict[int, int]:
     """The printable letter by which a byte-level file writes each byte: itself
     if printable in Latin-1, else the next free code point from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -45,7 +45,7 @@ class WordBpe:
         return self.tok.encode(text, add_special_tokens=False).ids
 
     def _learn(self, pieces: list[bytes]) -> None:
-        tokenize, direct, letters = self.tok.model.tokenize, self.direct, _byte_letters()
+        tokenize, direct, letters = self.tok.model.tokenize, self.direct, byte_letters()
         flat: list[int] = []
         lengths = []
         for piece in pieces:
