@@ -80,9 +80,9 @@ def rows_of(n, groups, seed=1):
     "rows",
     [
         rows_of(1, ["en"]),
-        rows_of(2, ["en"]) + rows_of(65, [None]) + rows_of(1, ["z"]),
+        rows_of(2, ["en"]) + rows_of(513, [None]) + rows_of(1, ["z"]),
         rows_of(300, ["en", "é", None]) + [(None, None, None, None, None, True, None, None, None)] * 3 + [(7, "s", "en", 1, "same", False, "x", 1, "y")] * 70,
-        rows_of(200, [f"g{i}" for i in range(90)]),
+        rows_of(1300, [f"g{i}" for i in range(600)]) + rows_of(1500, ["big"], 3),
     ],
     ids=["one row", "lone leaves", "nulls and repeated rows", "many groups"],
 )
@@ -91,8 +91,9 @@ def test_equal_to_trees_built_row_by_row(spark, rows):
     assert by_operator(docs) == plain([r.asDict() for r in docs.collect()])
 
 
-def test_blocks_above_the_twelfth_level(spark):
-    n = 4096 * 3 + 130  # three strides; upper nodes stand once for each block
+def test_upper_nodes_stand_once_for_each_block(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "STRIDE", 3)
+    n = 8**4 + 700  # five strides of three levels
     docs = spark.range(n).select(
         (F.col("id") * 3).alias("doc_id"), F.lit("s").alias("source"), F.when(F.col("id") < n - 5, "en").otherwise("fr").alias("lang"),
         F.col("id").alias("n_chars"), F.col("id").cast("string").alias("text"), (F.col("id") % 11 == 0).alias("bad"),
@@ -101,7 +102,7 @@ def test_blocks_above_the_twelfth_level(spark):
     assert len(found) == n and [x for x, y in zip(found, expected) if x != y][:2] == []
     nodes = merkle.build_manifest(docs, FIELDS, "lang", "doc_id").nodes
     passed = nodes.groupBy("tree", "step", "block").count().agg(F.max("count")).first()[0]
-    assert passed == 1 and nodes.where("step = 2").count() >= 4
+    assert passed == 1 and nodes.where("step = 4").count() == -(-(n - 5) // 8)
 
 
 def test_order_of_the_input_and_empty_table(spark):

@@ -5,16 +5,16 @@ two nodes (at a level's end a single one) become their parent until one is left,
 the group's root. The group roots, in order of the group (null first), make a
 tree in the same way; its root is the dataset's.
 
-Levels are built six at a time: a task hashes the subtrees over up to 64 nodes and
+Levels are built nine at a time: a task hashes the subtrees over up to 512 nodes and
 stores, for each node that they start from, a **node row** with the siblings that its
-path to the next such node needs, and that node as its parent. A recursive query then
-climbs from each leaf: it joins a leaf's position with the node row there, appends the
-siblings to the proof and folds them into the hash, until it reaches the root. A climb
-takes a round for every factor of 64 in the number of rows.
-
-Many leaves pass the upper nodes: a node above the 12th level is stored once for every
-block of 4,096 leaves below it, so a join key has at most that many rows whatever the
-group's size. Leaves are numbered by runs (``operators.numbering``), so a group may be
+path to the next such node needs, and that node as its parent. A group's last node row goes on
+through the tree of group roots. A recursive query then climbs from each leaf: it joins
+a leaf's parent link with the node row there, appends the siblings to the proof and folds
+them into the hash, until it reaches the root. A climb takes a round for every factor of
+512 in the number of rows, which is what keeps its shuffles in proportion to the rows.
+
+Many leaves pass the upper nodes: they are stored once for every block of 512 leaves
+below them, so a join key has at most that many rows whatever the group's size. Leaves are numbered by runs (``operators.numbering``), so a group may be
 of any size and need not fit in a task.
 
 Odd input: null fields are ``-``; null ids come first, a null group is a group; rows with the
@@ -34,8 +34,7 @@ from pyspark.sql import functions as F
 from vulnsift.llm.common import stored
 from vulnsift.operators.numbering import in_runs, numbered, run_offsets, with_numbers
 
-STRIDE = 6  # levels that a node row spans
-BLOCK = 12  # levels below a block of leaves that climbs together
+STRIDE = 9  # levels that a node row spans, and height of the blocks that climb together
 
 
 def field_text(value: Column) -> Column:
@@ -77,7 +76,7 @@ def _pairs(level: str) -> Column:
 
 def _climb_stride(nodes: DataFrame, step: int, payload: Sequence[str] = ()) -> DataFrame:
     """Nodes ``tree, at, hash, size`` of one level (and payload columns) with their
-    ``siblings`` on up to six levels and ``top``, the node that these lead to."""
+    ``siblings`` on up to ``STRIDE`` levels and ``top``, the node that these lead to."""
     member = F.struct("at", "hash", *payload)
     block = F.shiftright("at", STRIDE).alias("block")
     groups = nodes.groupBy("tree", "size", block).agg(F.array_sort(F.collect_list(member)).alias("members"))
@@ -147,32 +146,45 @@ def build_manifest(rows: DataFrame, fields: Sequence[str], group: str, order: st
         subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), F.col("subroot").alias("hash"), F.lit(n_groups).cast("long").alias("size")),
         _n_strides(n_groups),
     )
-    sized = groups.join(subroots, "tree")
-    nodes = _node_rows(built[1:], sized, forest)
-    return Manifest(built[0], stored(nodes, "nodes"), sized.select("group", "size", "subroot"), len(built) + len(forest))
+    sized = stored(_forest_paths(groups.join(subroots, "tree"), forest), "paths")
+    nodes = stored(_node_rows(built[1:], sized), "nodes")
+    return Manifest(built[0], nodes, sized.select("group", "size", "subroot"), len(built) + 1)
 
 
 def _n_strides(size: int) -> int:
     return max(1, -(-max(0, size - 1).bit_length() // STRIDE))
 
 
-def _node_rows(upper: Sequence[DataFrame], groups: DataFrame, forest: Sequence[DataFrame]) -> DataFrame:
+def _forest_paths(groups: DataFrame, forest: Sequence[DataFrame]) -> DataFrame:
+    """The groups with the siblings of their path through the tree of group roots, and its root."""
+    paths = groups.withColumn("path", F.array().cast("array<binary>"))
+    for k, rows in enumerate(forest):
+        root = F.col("top").alias("root")
+        above = rows.select(F.col("at").alias("node"), F.col("siblings").alias("more"), *([root] if k + 1 == len(forest) else []))
+        paths = paths.join(above, F.shiftright("tree", STRIDE * k) == F.col("node"))
+        paths = paths.withColumn("path", F.concat("path", "more")).drop("node", "more")
+    return paths
+
+
+def _node_rows(upper: Sequence[DataFrame], groups: DataFrame) -> DataFrame:
     """Node rows ``tree, step, block, at, siblings`` above the leaves' own, each once for every
-    block that passes it; those of the forest follow those of the tree, and the last
-    of a path knows the roots."""
+    block that passes it. The last of a path goes on to the root and knows the roots; in
+    a group of one block that is all it does."""
     null = F.lit(None).cast("binary")
-    parts = []
+    single = groups.where(_strides(F.col("size")) == 1)
+    parts = [single.select("tree", F.lit(1).alias("step"), F.lit(0).cast("long").alias("block"), F.col("tree").alias("at"), F.col("path").alias("siblings"), "subroot", "root")]
+    ends = groups.select("tree", "path", "subroot", "root")
     for step, rows in enumerate(upper, 1):
-        beyond = max(0, STRIDE * step - BLOCK)  # a node here covers 2^beyond blocks
-        last = F.least(F.shiftleft(F.col("at") + 1, beyond), F.shiftright(F.col("size") - 1, BLOCK) + 1) - 1 if beyond else F.col("at")
-        block = F.explode(F.sequence(F.shiftleft("at", beyond), last)).alias("block")
-        parts.append(rows.select("tree", "step", block, "at", "siblings", null.alias("subroot"), null.alias("root")))
-    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col("size") - 1, BLOCK))).alias("block")
-    for k, rows in enumerate(forest):
-        root = (F.col("top") if k + 1 == len(forest) else null).alias("root")
-        above = rows.select("at", "siblings", root)
-        joined = groups.join(above, F.shiftright("tree", STRIDE * k) == F.col("at"))
-        parts.append(joined.select("tree", (_strides(F.col("size")) + k).alias("step"), blocks, "at", "siblings", "subroot", "root"))
+        beyond = STRIDE * (step - 1)  # a node here covers 2^beyond blocks
+        last = F.least(F.shiftleft(F.col("at") + 1, beyond), F.shiftright(F.col("size") - 1, STRIDE) + 1) - 1
+        rows = rows.select("*", F.explode(F.sequence(F.shiftleft("at", beyond), last)).alias("block"))
+        top = _strides(F.col("size")) == step + 1
+        through = rows.where(~top).select("tree", "step", "block", "at", "siblings", null.alias("subroot"), null.alias("root"))
+        # Sides are the bits of ``at``: below those of the group's tree, above those of the groups'.
+        on = rows.where(top).join(ends, "tree").withColumns(
+            {"at": F.col("at") + F.expr("shiftleft(tree, size(siblings))"), "siblings": F.concat("siblings", "path")}
+        )
+        parts += [through, on.select("tree", "step", "block", "at", "siblings", "subroot", "root")]
     nodes = parts[0]
     for more in parts[1:]:
         nodes = nodes.unionAll(more)
@@ -182,17 +194,14 @@ def _node_rows(upper: Sequence[DataFrame], groups: DataFrame, forest: Sequence[D
 _FOLD = """aggregate(transform({siblings}, (s, i) -> struct(s AS s, shiftright({at}, i) & 1 AS odd)), {hash}, (h, x) -> unhex(sha2(CASE
   WHEN x.s IS NULL THEN lower(hex(h)) WHEN x.odd = 1 THEN concat(lower(hex(x.s)), lower(hex(h))) ELSE concat(lower(hex(h)), lower(hex(x.s))) END, 256)))"""
 _APPEND = "aggregate(filter({siblings}, s -> s IS NOT NULL), {proof}, (p, s) -> concat(p, s))"
-CLIMB = f"""
+CLIMB = """
 WITH RECURSIVE climb(key, leaf, tree, step, block, folded, proof, subroot, root) AS (
-  SELECT key, hash, tree, 1, shiftright(at, {STRIDE}),
-         {_FOLD.format(siblings="siblings", at="at", hash="claimed")}, {_APPEND.format(siblings="siblings", proof="X''")},
+  SELECT key, hash, tree, 1, shiftright(at, {stride}), {first_fold}, {first_proof},
          CAST(NULL AS BINARY), CAST(NULL AS BINARY)
-  FROM {{leaves}}
+  FROM {leaves}
   UNION ALL
-  SELECT c.key, c.leaf, n.tree, n.step + 1, CASE WHEN {STRIDE} * n.step < {BLOCK} THEN shiftright(n.block, {STRIDE}) ELSE n.block END,
-         {_FOLD.format(siblings="n.siblings", at="n.at", hash="c.folded")}, {_APPEND.format(siblings="n.siblings", proof="c.proof")},
-         n.subroot, n.root
-  FROM climb c JOIN {{nodes}} n ON n.tree = c.tree AND n.step = c.step AND n.block = c.block
+  SELECT c.key, c.leaf, n.tree, n.step + 1, n.block, {fold}, {proof}, n.subroot, n.root
+  FROM climb c JOIN {nodes} n ON n.tree = c.tree AND n.step = c.step AND n.block = c.block
   WHERE c.root IS NULL
 )
 SELECT key, leaf, subroot, root, proof, folded, folded = root AS verified FROM climb WHERE root IS NOT NULL
@@ -218,5 +227,11 @@ def verify_rows(manifest: Manifest) -> DataFrame:
     siblings one after another, 32 bytes each), ``folded``, the root that the claimed leaf
     leads to, and ``verified``, whether it is the true one. All hashes are bytes."""
     spark = manifest.leaves.sparkSession
+    terms = {
+        "stride": str(STRIDE),
+        "first_fold": _FOLD.format(siblings="siblings", at="at", hash="claimed"), "first_proof": _APPEND.format(siblings="siblings", proof="X''"),
+        "fold": _FOLD.format(siblings="n.siblings", at="n.at", hash="c.folded"), "proof": _APPEND.format(siblings="n.siblings", proof="c.proof"),
+    }
+    query = CLIMB.format(**terms, leaves="{leaves}", nodes="{nodes}")
     with _whole_recursion(spark, manifest.steps):
-        return stored(spark.sql(CLIMB, leaves=manifest.leaves, nodes=manifest.nodes), "proofs")
+        return stored(spark.sql(query, leaves=manifest.leaves, nodes=manifest.nodes), "proofs")
