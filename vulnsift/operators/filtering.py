@@ -102,10 +102,6 @@ def sample_order() -> list[Column]:
     return [composite.desc(), F.col("ord").asc_nulls_last(), F.col("cve_id"), F.xxhash64("cve_id", "severity", "published")]
 
 
-def sample_bucket() -> Column:
-    return F.pmod(F.xxhash64("ord", "cve_id", "published"), F.lit(SAMPLE_BUCKETS))
-
-
 def apply_stratified_sample(
     df: DataFrame,
     target_per_severity: int | None = None,

@@ -2,7 +2,7 @@
 
 Order is explicit and never a reason to lose a record: ``src_rank`` (primary
 before mirror), then ``ord`` (position within the source; a record without one
-comes last), then ``seq`` (position in the frame as read, if the frame has it),
+comes last), then ``seq`` (its place in the files or frame, if the frame has it),
 then a hash of the record. Repeated or missing values of ``ord`` are fine.
 """
 
@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vulnsift.operators.numbering import numbered
+from vulnsift.session import stored
+
 
 def _has_id() -> Column:
     return F.coalesce(F.col("cve_id"), F.lit("")) != F.lit("")
@@ -52,11 +55,41 @@ def keep_first(df: DataFrame, key: str = "cve_id") -> DataFrame:
     return df.filter(has_key).withColumn("_n", first).filter(F.col("_n") == 1).drop("_n")
 
 
+def _order_keys(df: DataFrame) -> list[str]:
+    return [c for c in ("src_rank", "ord", "seq") if c in df.columns]
+
+
 def renumbered(df: DataFrame) -> DataFrame:
-    """The records with a new unique ``ord`` in record order.
+    """The records with a new ``ord``: 0, 1, ... in record order.
+
+    Only what the order needs is sorted and numbered; the numbers then join the
+    records, which stay as they are. ``df`` is read twice, so it should be a stored
+    one; rows are told apart by a running id, so it must not change between.
+    """
+    kept = stored(df.withColumn("_id", F.monotonically_increasing_id()), "records")
+    return _with_dense_order(kept, kept)
 
-    A range sort puts the records in order over the partitions; the running id
-    of Spark then increases along it.
+
+def _with_dense_order(records: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The ``records`` whose ``_id`` is among ``chosen``, numbered in record order."""
+    keys = _order_keys(chosen)
+    order = [*[F.col(c).asc_nulls_last() for c in keys], F.col("_hash"), F.col("_id")]
+    narrow = chosen if "_hash" in chosen.columns else chosen.withColumn("_hash", record_order(chosen.drop("_id"))[-1])
+    numbers = numbered(narrow.select(*keys, "_hash", "_id"), order, "_number").select(F.col("_id").alias("_of"), "_number")
+    joined = records.join(numbers, F.col("_id") == F.col("_of"))
+    return joined.withColumn("ord", F.col("_number")).drop("_id", "_of", "_number", "src_rank", "seq")
+
+
+def keep_first_renumbered(stored_records: DataFrame, key: str = "cve_id") -> DataFrame:
+    """``keep_first`` and ``renumbered`` of stored records that carry a unique ``_id``.
+
+    Dedup and numbering work on narrow rows (key, order, hash, ``_id``); the whole records
+    are read once, for the join with the ids that stay, which is the one shuffle that
+    moves them. Ids are unique, so no key of that join is hot.
     """
-    ordered = df.sort(*record_order(df))
-    return ordered.drop("src_rank", "seq").withColumn("ord", F.monotonically_increasing_id())
+    hashed = record_order(stored_records.drop("_id"))[-1].alias("_hash")
+    narrow = stored_records.select(key, *_order_keys(stored_records), "_id", hashed)
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in _order_keys(narrow)], "_hash", "_id"))
+    has_key = F.coalesce(F.col(key), F.lit("")) != F.lit("")
+    winners = narrow.filter(has_key).withColumn("_n", first).filter(F.col("_n") == 1).drop("_n")
+    return _with_dense_order(stored_records, winners)

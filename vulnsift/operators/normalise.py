@@ -1,7 +1,8 @@
 """Normalise the two feeds into the flat record shape.
 
 Every record carries ``ord``, its position in the source's own numbering (null
-if the source has none), and ``seq``, its position in the frame as read.
+if the source has none), and ``seq``, its place in the files (``place`` of the reads) or,
+in a frame that comes from elsewhere, in the frame.
 
 Primary feed: landed API pages, one row per page with a ``vulnerabilities``
 array. ``posexplode`` yields one record per entry with
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from vulnsift import config as K
 from vulnsift.functions.numbers import parse_plain_number
+from vulnsift.sources.ordering import frame_place
 
 RECORD_COLUMNS = (
     "ord",
@@ -71,15 +73,21 @@ def pick_cwe_ids(weaknesses: Column) -> Column:
     return F.filter(F.flatten(nested), lambda v: F.coalesce(v.startswith(K.CWE_PREFIX), F.lit(False)))
 
 
+def _place(frame: DataFrame) -> Column:
+    return F.col("place") if "place" in frame.columns else frame_place()
+
+
 def normalise_primary_pages(pages: DataFrame) -> DataFrame:
     """Landed pages → one flat record per vulnerability entry, in page order."""
     entries = pages.select(
         F.col("startIndex").alias("_start"),
+        _place(pages).alias("_place"),
         F.posexplode(F.coalesce(F.col("vulnerabilities"), F.array())).alias("_pos", "_item"),
     )
     cve = F.col("_item").getField("cve")
     with_cvss = entries.select(
         (F.col("_start") + F.col("_pos")).cast("long").alias("ord"),
+        F.struct("_place", F.col("_pos").alias("entry")).alias("seq"),
         cve.alias("_cve"),
         pick_cvss(cve.getField("metrics")).alias("_cvss"),
     )
@@ -94,7 +102,7 @@ def normalise_primary_pages(pages: DataFrame) -> DataFrame:
         F.col("_cvss").getField("baseSeverity").alias("severity"),
         pick_cwe_ids(c.getField("weaknesses")).alias("cwe_ids"),
         F.lit(K.SOURCE_PRIMARY).alias("source"),
-        F.monotonically_increasing_id().alias("seq"),
+        "seq",
     )
 
 
@@ -159,5 +167,5 @@ def normalise_mirror_rows(rows: DataFrame) -> DataFrame:
         mirror_severity(F.col("SEVERITY")).alias("severity"),
         mirror_cwe_ids(F.col("`CWE-ID`")).alias("cwe_ids"),
         F.lit(K.SOURCE_MIRROR).alias("source"),
-        F.monotonically_increasing_id().alias("seq"),
+        F.struct(_place(rows).alias("_place"), F.lit(0).alias("entry")).alias("seq"),
     )

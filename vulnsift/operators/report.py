@@ -2,13 +2,12 @@
 
 Every table is an aggregate or a bounded top-k over the scored records:
 
-* one-pass aggregates (``count_if``/``avg``/``median``/``percentile``) with
-  map-side partial aggregation; exact percentiles keep a value→count map,
-  which stays small because scores live on a fixed lattice of values;
+* one-pass aggregates (``count_if``/``avg``) with map-side partial aggregation;
+* exact medians, quartiles and hinges by range refinement (``operators.quantiles``): a
+  few passes over narrow columns, and no buffer grows with the number of values;
 * global top-k as ``orderBy(...).limit(k)`` (TakeOrderedAndProject: every task
   keeps k rows, one task merges them);
-* the credibility hinges from a frequency table, so the only unpartitioned
-  window runs over the distinct credibility values, never over records.
+* the modal severity from a count for each label.
 
 A missing score counts as 0.0 throughout the report (unlike the stage
 summaries, which average only present values).
@@ -20,7 +19,9 @@ aggregation pass; each table also has a stand-alone function.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.functions import per_session
 from vulnsift.functions.numbers import pct, round_stat
 from vulnsift.operators.filtering import severity_group_expr
+from vulnsift.operators.quantiles import order_statistics
 
 
 def _score(name: str) -> Column:
@@ -63,69 +65,111 @@ def headline_stats(scored: DataFrame) -> DataFrame:
     return _headline_from(scored.agg(*_headline_aggs()))
 
 
-# R2 -------------------------------------------------------------------------
-@per_session
-def _median_aggs() -> list[Column]:
-    return [F.median(_score("composite_score")).alias("median_composite")]
+# Order statistics -------------------------------------------------------------
+def _spread(n: int, p: float) -> list[int]:
+    """The ranks around position ``p`` of ``n`` sorted values."""
+    at = p * (n - 1)
+    return [math.floor(at) + 1, math.ceil(at) + 1]
+
+
+def _hinge_ranks(n: int) -> list[list[int]]:
+    """The middle ranks of the lower and of the upper ``n // 2`` values (the middle one is
+    left out when n is odd)."""
+    half = n // 2
+    middle = [(half - 1) // 2 + 1, half // 2 + 1]
+    return [middle, [n - half + r for r in middle]] if n >= 2 else []
+
+
+@dataclass(frozen=True)
+class OrderStats:
+    """What the report needs of the sorted scores; None where there are too few."""
+
+    median: float | None = None
+    hinges: tuple[float, float] | None = None
+    quartiles: dict[str, list[float]] = field(default_factory=dict)
+
+
+QUARTERS = (0.25, 0.5, 0.75)
+
+
+def order_stats(scored: DataFrame, median: bool = False, hinges: bool = False, quartiles: bool = False) -> OrderStats:
+    """The chosen statistics over all records, exact, from shared passes."""
+    names = {*(["composite_score"] if median else []), *(["source_credibility_score"] if hinges else []), *(K.DIMENSIONS if quartiles else [])}
 
+    def ranks(n: int) -> dict[str, list[int]]:
+        wanted = {name: [] for name in names}
+        if n and median:
+            wanted["composite_score"] += _spread(n, 0.5)
+        if hinges:
+            wanted["source_credibility_score"] += [r for rs in _hinge_ranks(n) for r in rs]
+        if n and quartiles:
+            for d in K.DIMENSIONS:
+                wanted[d] += [r for p in QUARTERS for r in _spread(n, p)]
+        return wanted
 
-def _median_from(g: DataFrame) -> DataFrame:
-    return g.select(round_stat(F.col("median_composite")).alias("median_score"))
+    n, at = order_statistics(scored, {name: _score(name) for name in sorted(names)}, ranks)
+
+    def position(name: str, p: float) -> float:
+        """Linear interpolation between the two ranks."""
+        where, (low, high) = p * (n - 1), _spread(n, p)
+        x, y = at[name, low], at[name, high]
+        return x if x == y else (high - 1 - where) * x + (where - low + 1) * y
+
+    credibility = [sum(at["source_credibility_score", r] for r in rs) / 2 for rs in _hinge_ranks(n)] if hinges else []
+    return OrderStats(
+        position("composite_score", 0.5) if n and median else None,
+        tuple(credibility) or None,
+        {d: [position(d, p) for p in QUARTERS] for d in K.DIMENSIONS} if n and quartiles else {},
+    )
+
+
+def _known(value: float | None) -> Column:
+    return F.lit(value).cast("double")
+
+
+# R2 -------------------------------------------------------------------------
+def _median_from(one: DataFrame, stats: OrderStats) -> DataFrame:
+    return one.select(round_stat(_known(stats.median)).alias("median_score"))
 
 
 def median_score(scored: DataFrame) -> DataFrame:
     """Exact median of the composite (mean of the middle two for even counts)."""
-    return _median_from(scored.agg(*_median_aggs()))
+    return _median_from(scored.sparkSession.range(1), order_stats(scored, median=True))
 
 
 # R3 -------------------------------------------------------------------------
+def _hinges_from(one: DataFrame, stats: OrderStats) -> DataFrame:
+    q1, q3 = stats.hinges or (None, None)
+    return one.select(
+        round_stat(_known(q1)).alias("q1"), round_stat(_known(q3)).alias("q3"), round_stat(_known(q3) - _known(q1)).alias("iqr"),
+    )
+
+
 def credibility_hinges(scored: DataFrame) -> DataFrame:
     """Q1, Q3 and IQR of credibility by Tukey's hinges; null below two records.
 
     Q1 is the median of the lower ``n // 2`` sorted values, Q3 of the upper
-    ``n // 2`` (the middle value is left out when n is odd). Ranks are found
-    on the frequency table ``(value, count)`` with cumulative counts.
+    ``n // 2`` (the middle value is left out when n is odd).
     """
-    freq = scored.groupBy(_score("source_credibility_score").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(F.lit(1))
-    spans = freq.select(
-        "v",
-        (F.sum("c").over(running) - F.col("c")).alias("lo"),
-        F.sum("c").over(running).alias("hi"),
-        F.sum("c").over(whole).alias("n"),
-    )
-    m = F.floor(F.col("n") / 2)
-    a1 = F.floor((m - 1) / 2) + 1
-    a2 = F.floor(m / 2) + 1
-    upper_start = F.col("n") - m
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("lo") < rank) & (rank <= F.col("hi")), F.col("v")))
-
-    hinges = spans.agg(
-        F.max("n").alias("n"),
-        ((at(a1) + at(a2)) / 2).alias("q1"),
-        ((at(upper_start + a1) + at(upper_start + a2)) / 2).alias("q3"),
-    )
-    enough = F.coalesce(F.col("n"), F.lit(0)) >= 2
-    return hinges.select(
-        F.when(enough, round_stat(F.col("q1"))).alias("q1"),
-        F.when(enough, round_stat(F.col("q3"))).alias("q3"),
-        F.when(enough, round_stat(F.col("q3") - F.col("q1"))).alias("iqr"),
-    )
+    return _hinges_from(scored.sparkSession.range(1), order_stats(scored, hinges=True))
 
 
 # R4 -------------------------------------------------------------------------
 def modal_severity(scored: DataFrame) -> DataFrame:
-    """Most frequent severity label; ties go to the label seen first."""
+    """Most frequent severity label; ties go to the label seen first (of records with a
+    position before those without), then to the greater label."""
     counts = scored.groupBy(severity_group_expr().alias("label")).agg(F.count(F.lit(1)).alias("c"), F.min("ord").alias("first"))
     return _modal_from(counts.agg(F.sum("c").alias("n"), _modal_label().alias("top")))
 
 
+def _label_row() -> Column:
+    """A label (label, c, first) as a value whose greatest is the modal one: by count, then by the
+    first position seen; labels that no positioned record has come after those."""
+    return F.struct("c", (-F.col("first")).alias("before"), "label")
+
+
 def _modal_label() -> Column:
-    """Of label rows (label, c, first) the most frequent, then the one seen first."""
-    return F.max(F.struct("c", (-F.col("first")).alias("before"), "label"))
+    return F.max(_label_row())
 
 
 def _modal_from(totals: DataFrame) -> DataFrame:
@@ -289,22 +333,16 @@ def _dimension_aggs() -> list[Column]:
         v = _score(d)
         out += [
             F.min(v).alias(f"dim{i}_min"),
-            F.percentile(v, [0.25, 0.5, 0.75]).alias(f"dim{i}_q"),
             F.max(v).alias(f"dim{i}_max"),
             F.avg(v).alias(f"dim{i}_mean"),
         ]
     return out
 
 
-def _dimension_from(g: DataFrame) -> DataFrame:
-    return g.select(_dimension_rows())
-
-
-@per_session
-def _dimension_rows() -> Column:
+def _dimension_from(g: DataFrame, stats: OrderStats) -> DataFrame:
     rows = []
     for i, d in enumerate(K.DIMENSIONS):
-        q = F.col(f"dim{i}_q")
+        q = [_known(x) for x in stats.quartiles.get(d, [None] * 3)]
         rows.append(
             F.struct(
                 F.lit(d).alias("dimension"),
@@ -316,12 +354,12 @@ def _dimension_rows() -> Column:
                 round_stat(F.col(f"dim{i}_mean")).alias("mean"),
             )
         )
-    return F.inline(F.array(*rows))
+    return g.select(F.inline(F.array(*rows)))
 
 
 def dimension_summary(scored: DataFrame) -> DataFrame:
     """Per dimension: min, quartiles (linear interpolation), max and mean."""
-    return _dimension_from(scored.agg(*_dimension_aggs()))
+    return _dimension_from(scored.agg(*_dimension_aggs()), order_stats(scored, quartiles=True))
 
 
 # R9 -------------------------------------------------------------------------
@@ -356,76 +394,43 @@ def severity_distribution(scored: DataFrame) -> DataFrame:
 
 
 # R12 ------------------------------------------------------------------------
-def _callout_from(g: DataFrame, hinges: DataFrame, modal: DataFrame, top: DataFrame, cfg: CurationConfig) -> DataFrame:
-    med = round_stat(F.col("median_composite"))
-    return g.select(
-        round_stat(pct(F.col("n_ready"), F.col("n_total"))).alias("pass_rate"),
+def _callout_from(totals: DataFrame, stats: OrderStats, modal: tuple[Column, Column], top: tuple[Column, Column], cfg: CurationConfig) -> DataFrame:
+    """The figures as one row of ``totals`` (n_total, n_ready): ``modal`` is label and share,
+    ``top`` the two figures of the top 20."""
+    med = round_stat(_known(stats.median))
+    q1, q3 = stats.hinges or (None, None)
+    return totals.select(
+        round_stat(pct(F.col("n_ready"), F.coalesce("n_total", F.lit(0)))).alias("pass_rate"),
         med.alias("median_score"),
         F.when(med < F.lit(cfg.quality_threshold), F.lit("below")).otherwise(F.lit("above")).alias("median_position"),
-        hinges.select("iqr").scalar().alias("credibility_iqr"),
-        modal.select("top_severity").scalar().alias("top_severity"),
-        modal.select("top_severity_pct").scalar().alias("top_severity_pct"),
-        top.select("top20_avg").scalar().alias("top20_avg"),
-        top.select("top20_nvd_pct").scalar().alias("top20_nvd_pct"),
+        round_stat(_known(q3) - _known(q1)).alias("credibility_iqr"),
+        modal[0].alias("top_severity"),
+        modal[1].alias("top_severity_pct"),
+        top[0].alias("top20_avg"),
+        top[1].alias("top20_nvd_pct"),
     )
 
 
-def _hinge(values: Column, n: Column, upper: bool) -> Column:
-    """Tukey hinge of ``values``: sorted (v, c) pairs of a value and its count."""
-    half = F.floor(n / 2)
-    start = n - half if upper else F.lit(0)
-    zero = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v"))
-
-    def at(rank: Column) -> Column:
-        step = lambda acc, x: F.struct(
-            (acc["seen"] + x["c"]).alias("seen"),
-            F.when(acc["v"].isNull() & (acc["seen"] + x["c"] >= rank), x["v"]).otherwise(acc["v"]).alias("v"),
-        )
-        return F.aggregate(values, zero, step)["v"]
-
-    return (at(start + F.floor((half - 1) / 2) + 1) + at(start + F.floor(half / 2) + 1)) / 2
-
-
 def callout_facts(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
-    """The report's key figures as one row, from two passes.
+    """The report's key figures as one row.
 
-    One pass counts the records three ways at once (by composite and readiness, by
-    credibility, by severity label); a last aggregate over those few rows gives
-    pass rate, median, hinges and mode. The other pass is the top 20, a single
-    subquery.
+    One pass counts the records by readiness and by severity label; another is the
+    top 20, a single subquery. Median and hinges come from ``order_stats`` before.
     """
-    facts = scored.select(
-        _score("composite_score").alias("composite"), _ready().alias("ready"), _score("source_credibility_score").alias("credibility"),
-        severity_group_expr().alias("label"), "ord",
-    )
-    sets = [["composite", "ready"], ["credibility"], ["label"]]
-    counted = facts.groupingSets(sets, "composite", "ready", "credibility", "label").agg(
-        F.count(F.lit(1)).alias("c"), F.min("ord").alias("first"), F.grouping("composite").alias("g_composite"),
-        F.grouping("credibility").alias("g_credibility"), F.grouping("label").alias("g_label"),
-    )
-    by_score, by_credibility, by_label = (F.col(f"g_{x}") == 0 for x in ("composite", "credibility", "label"))
-    last = counted.agg(
-        F.sum(F.when(by_score, F.col("c"))).alias("n_total"),
-        F.coalesce(F.sum(F.when(by_score & F.col("ready"), F.col("c"))), F.lit(0)).alias("n_ready"),
-        F.percentile(F.when(by_score, F.col("composite")), 0.5, F.col("c")).alias("median_composite"),
-        F.array_sort(F.collect_list(F.when(by_credibility, F.struct(F.col("credibility").alias("v"), F.col("c").alias("c"))))).alias("values"),
-        F.max(F.when(by_label, F.struct("c", (-F.col("first")).alias("before"), "label"))).alias("top"),
+    facts = scored.select(_ready().alias("ready"), severity_group_expr().alias("label"), "ord")
+    counted = facts.groupingSets([["ready"], ["label"]], "ready", "label").agg(
+        F.count(F.lit(1)).alias("c"), F.min("ord").alias("first"), F.grouping("ready").alias("g_ready"), F.grouping("label").alias("g_label"),
+    )
+    by_ready, by_label = F.col("g_ready") == 0, F.col("g_label") == 0
+    totals = counted.agg(
+        F.sum(F.when(by_ready, F.col("c"))).alias("n_total"),
+        F.coalesce(F.sum(F.when(by_ready & F.col("ready"), F.col("c"))), F.lit(0)).alias("n_ready"),
+        F.max(F.when(by_label, _label_row())).alias("top"),
     )
     top = top20_stats(scored).select(F.struct("top20_avg", "top20_nvd_pct").alias("t")).scalar()
-    n = F.col("n_total")
-    q1, q3 = (round_stat(_hinge(F.col("values"), n, upper)) for upper in (False, True))
-    med = round_stat(F.col("median_composite"))
-    whole = last.withColumn("t", top)
-    return whole.select(
-        round_stat(pct(F.col("n_ready"), F.coalesce(n, F.lit(0)))).alias("pass_rate"),
-        med.alias("median_score"),
-        F.when(med < F.lit(cfg.quality_threshold), F.lit("below")).otherwise(F.lit("above")).alias("median_position"),
-        F.when(n >= 2, round_stat(q3 - q1)).alias("credibility_iqr"),
-        F.col("top.label").alias("top_severity"),
-        F.when(F.col("top").isNotNull(), round_stat(pct(F.col("top.c"), n))).alias("top_severity_pct"),
-        F.col("t.top20_avg").alias("top20_avg"),
-        F.col("t.top20_nvd_pct").alias("top20_nvd_pct"),
-    )
+    share = F.when(F.col("top").isNotNull(), round_stat(pct(F.col("top.c"), F.col("n_total"))))
+    stats = order_stats(scored, median=True, hinges=True)
+    return _callout_from(totals.withColumn("t", top), stats, (F.col("top.label"), share), (F.col("t.top20_avg"), F.col("t.top20_nvd_pct")), cfg)
 
 
 # R13 ------------------------------------------------------------------------
@@ -439,37 +444,36 @@ def build_report(
     cfg: CurationConfig = DEFAULT_CONFIG,
     materialise: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """All report tables, keyed by name, from four passes over the records.
-
-    One aggregation computes every global statistic (headline, median,
-    readiness bands, histogram, severity buckets, dimension summaries); the
-    top 50 (the top 20 are its first rows), the credibility frequency table
-    and the severity label counts are one pass each. ``materialise`` (for
-    example a reliable checkpoint) is applied to those four small results so
-    that the tables derived from them do not re-read the records.
+    """All report tables, keyed by name.
+
+    One aggregation computes every global statistic (headline, readiness bands,
+    histogram, severity buckets, dimension summaries); the top 50 (the top 20 are
+    its first rows) and the severity label counts are one pass each, and all medians,
+    quartiles and hinges share the passes of ``order_stats`` (two on up to 20,000 records).
+    ``materialise`` (for example a reliable checkpoint) is applied to the three small
+    results so that the tables derived from them do not re-read the records.
     """
     narrow = scored.select(*REPORT_COLUMNS)
-    g = narrow.agg(
-        *_headline_aggs(), *_median_aggs(), *_readiness_aggs(cfg), *_histogram_aggs(), *_severity_aggs(),
-        *_dimension_aggs(),
-    )
+    g = narrow.agg(*_headline_aggs(), *_readiness_aggs(cfg), *_histogram_aggs(), *_severity_aggs(), *_dimension_aggs())
     top = ranked_top(narrow, max(K.HEATMAP_ROWS, K.TOP_TABLE_ROWS))
-    hinges = credibility_hinges(narrow)
     modal = modal_severity(narrow)
     if materialise is not None:
-        g, top, hinges, modal = (materialise(x) for x in (g, top, hinges, modal))
+        g, top, modal = (materialise(x) for x in (g, top, modal))
+    stats = order_stats(narrow, median=True, hinges=True, quartiles=True)
     top20 = _top20_stats_from(top)
+    mode = tuple(modal.select(c).scalar() for c in ("top_severity", "top_severity_pct"))
+    best = tuple(top20.select(c).scalar() for c in ("top20_avg", "top20_nvd_pct"))
     return {
         "headline_stats": _headline_from(g),
-        "median_score": _median_from(g),
-        "credibility_iqr": hinges,
+        "median_score": _median_from(g, stats),
+        "credibility_iqr": _hinges_from(g, stats),
         "modal_severity": modal,
         "top20_stats": top20,
         "readiness_breakdown": _readiness_from(g),
         "score_histogram": _histogram_from(g),
-        "dimension_summary": _dimension_from(g),
+        "dimension_summary": _dimension_from(g, stats),
         "severity_distribution": _severity_from(g),
         "top20_table": _top20_table_from(top),
         "heatmap": _heatmap_from(top),
-        "callout_facts": _callout_from(g, hinges, modal, top20, cfg),
+        "callout_facts": _callout_from(g, stats, mode, best, cfg),
     }

@@ -266,6 +266,17 @@ m AS ({mirror_sql("(SELECT * FROM cve WHERE source <> 'nvd')")}),
 u AS (SELECT CAST(0 AS INTEGER) AS src_rank, * EXCLUDE (page) FROM p UNION ALL SELECT CAST(1 AS INTEGER), * FROM m),
 merged AS (SELECT * FROM u WHERE cve_id <> '' QUALIFY row_number() OVER (PARTITION BY cve_id ORDER BY src_rank, ord) = 1)"""
     o["ingest_records"] = f"{merged} SELECT * EXCLUDE (ord) FROM merged"
+    # Every fourth page and some rows of the Parquet mirror have no position: they follow the
+    # others. An empty text in CSV is a missing one.
+    order = "src_rank, late, ord"
+    o["ingest_files"] = f"""{cve}, p AS ({primary_sql("(SELECT * FROM cve WHERE source = 'nvd')")}),
+m AS ({mirror_sql("(SELECT * FROM cve WHERE source <> 'nvd')")}),
+u AS (
+  SELECT f.mirror_format, 0 AS src_rank, p.page % 4 = 1 AS late, p.* EXCLUDE (page) FROM p, (VALUES ('csv-multiline'), ('parquet')) AS f(mirror_format)
+  UNION ALL SELECT 'csv-multiline', 1, false, m.* REPLACE (CASE WHEN description = '' THEN 'None' ELSE description END AS description) FROM m
+  UNION ALL SELECT 'parquet', 1, ord % 20 = 4 OR ord % 10 = 7, m.* FROM m
+), kept AS (SELECT * FROM u WHERE cve_id <> '' QUALIFY row_number() OVER (PARTITION BY mirror_format, cve_id ORDER BY {order}) = 1)
+SELECT * EXCLUDE (src_rank, late, ord), row_number() OVER (PARTITION BY mirror_format ORDER BY {order}) - 1 AS ord FROM kept"""
     o["ingest_counts"] = f"""{merged}
 SELECT count(*) AS total, count_if(source = 'nvd') AS nvd, count_if(source = 'huggingface') AS huggingface FROM merged"""
 

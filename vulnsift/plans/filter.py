@@ -9,20 +9,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vulnsift import config as K
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.operators.filtering import (
     apply_stratified_sample,
-    sample_bucket,
-    sample_order,
-    severity_rank_of_group,
     tier_expr,
     with_contamination_flag,
     with_exclusion_reason,
 )
+from vulnsift.schemas import ROUTED_SCHEMA
+from vulnsift.session import published_folder, stored
+from vulnsift.sources.stagefiles import read_stage, write_stage
 
 
 def classify(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -79,45 +79,17 @@ def _sample_counts() -> list[Column]:
 
 
 def filter_summary(scored: DataFrame, cfg: CurationConfig = DEFAULT_CONFIG) -> DataFrame:
-    """The eight stage counts as one row, from one pass over the records.
+    """The eight stage counts as one row.
 
-    Narrow rows (tier, group, order keys, date) are dealt by group and hash
-    bucket; a bucket counts its rows by tier and keeps its first k ready ones, of
-    which the group then takes its k.
+    Two passes, and neither moves the records: one counts by tier (partial sums of each
+    task), the other draws the sample as the filter run does, at most quota rows of a
+    group and task before each shuffle. The sample is stored, its counts are lazy.
     """
-    k = cfg.per_severity_quota
     classified = classify(scored, cfg)
-    ready = F.col("tier") == F.lit(K.TIER_READY)
-    narrow = classified.select(
-        F.col("exclusion_reason").isNotNull().alias("excluded"), "tier", "ord", "cve_id", "severity", "published", "composite_score",
-        F.when(ready, severity_rank_of_group()).alias("severity_rank"), sample_bucket().alias("_bucket"),
-    )
-    in_bucket = Window.partitionBy("severity_rank", "_bucket").orderBy(*sample_order())
-    order = F.struct(
-        (-F.coalesce(F.col("composite_score"), F.lit(0.0))).alias("c"), F.col("ord").isNull().alias("none"), "ord", "cve_id",
-        F.xxhash64("cve_id", "severity", "published").alias("h"), "published",
-    )
-    first = F.col("severity_rank").isNotNull() & (F.col("_r") <= F.lit(k))
-    counts = [
-        F.count(F.lit(1)).alias("total_input"),
-        F.count_if("excluded").alias("hard_excluded"),
-        *[F.count_if(F.col("tier") == F.lit(t)).alias(n) for t, n in ((K.TIER_READY, "training_ready_raw"), (K.TIER_REVIEW, "review_queue"), (K.TIER_REJECTED, "tier_rejected"))],
-    ]
-    names = ["total_input", "hard_excluded", "training_ready_raw", "review_queue", "tier_rejected"]
-    buckets = narrow.withColumn("_r", F.row_number().over(in_bucket)).groupBy("severity_rank", "_bucket").agg(*counts, F.collect_list(F.when(first, order)).alias("_first"))
-    groups = buckets.groupBy("severity_rank").agg(*[F.sum(n).alias(n) for n in names], F.flatten(F.collect_list("_first")).alias("_first"))
-    # At most buckets x quota candidates for a group, of which quota remain.
-    sample = groups.withColumn("_sample", F.slice(F.array_sort("_first"), 1, k))
-    exploded = sample.select(*names, F.posexplode_outer("_sample").alias("_pos", "_s")).withColumn("published", F.col("_s.published"))
-    dated = with_contamination_flag(exploded, cfg, target="post_cutoff")
-    per_row = [F.sum(F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.col(n)).otherwise(F.lit(0))) for n in names]
-    taken = F.col("_s").isNotNull()
-    return dated.agg(
-        *[F.coalesce(c, F.lit(0)).cast("long").alias(n) for c, n in zip(per_row, names)],
-        F.count_if(taken).alias("sampled"),
-        F.count_if(taken & ~F.col("post_cutoff")).alias("training_final"),
-        F.count_if(taken & F.col("post_cutoff")).alias("flagged_contamination"),
-    )
+    tiers = classified.agg(*_tier_counts()).first().asDict()
+    sample = stored(sample_of(classified, cfg).select("contamination_flag"), "sample")
+    drawn = sample.agg(*_sample_counts())
+    return drawn.select(*[F.lit(n).cast("long").alias(name) for name, n in tiers.items()], *drawn.columns)
 
 
 @dataclass
@@ -135,16 +107,20 @@ def run_filter_pipeline(
 ) -> FilterRun:
     """Write the four routes under ``output_dir/route=<name>/`` and return the counts.
 
-    All four folders exist after a run, empty routes included, and hold that run's
-    records only. The rejected and review routes need no sample information, so
+    All or nothing: the routes are written to a staging folder beside ``output_dir``,
+    which takes its place when all are complete. A run that fails leaves the routes of the
+    run before as they were. All four folders exist after a run, empty routes included. The rejected and review routes need no sample information, so
     they are written from one pass over the classified records, which also
     yields the tier counts (an observation). The sample is stored in the shared
     checkpoint folder and written in its order (severity group, then composite
     descending). Two passes over the scored records in all.
     """
-    from vulnsift.session import stored
-    from vulnsift.sources.stagefiles import write_stage
+    with published_folder(scored.sparkSession, output_dir) as staging:
+        summary = _write_routes(scored, staging, cfg, fmt)
+    return FilterRun(summary=summary, output_dir=output_dir)
+
 
+def _write_routes(scored: DataFrame, folder: str, cfg: CurationConfig, fmt: str) -> dict[str, int]:
     classified = classify(scored, cfg)
     sample = stored(sample_of(classified, cfg), "sample")
     observed_counts = Observation("filter_counts")
@@ -157,10 +133,8 @@ def run_filter_pipeline(
     small = sample.withColumn("contamination_flag", F.when(F.col("contamination_flag"), F.lit(True)))
     small = small.withColumn("route", route_expr())
     small = small.repartitionByRange("route", "severity_rank", "sample_rank").sortWithinPartitions("route", "severity_rank", "sample_rank")
-    # Each write replaces the routes that it has rows of.
-    replace = {"partitionOverwriteMode": "dynamic"}
-    write_stage(large, output_dir, fmt, partition_by="route", options=replace)
-    write_stage(small, output_dir, fmt, partition_by="route", options=replace)
+    for routes in (large, small):
+        write_stage(routes, folder, fmt, mode="append", partition_by="route")
     drawn = sample.agg(*_sample_counts()).first().asDict()
     summary = {k: int(v) for k, v in {**observed_counts.get, **drawn}.items()}
     rows = {
@@ -170,13 +144,10 @@ def run_filter_pipeline(
     for route, n in rows.items():
         if not n:
             empty = (large if route in LARGE_ROUTES else small).drop("route").limit(0)
-            write_stage(empty, f"{output_dir}/route={route}", fmt)
-    return FilterRun(summary=summary, output_dir=output_dir)
+            write_stage(empty, f"{folder}/route={route}", fmt)
+    return summary
 
 
 def read_route(spark, output_dir: str, route: str, schema=None, fmt: str = "json") -> DataFrame:
     """Read one written route back (schema defaults to the routed record schema)."""
-    from vulnsift.schemas import ROUTED_SCHEMA
-    from vulnsift.sources.stagefiles import read_stage
-
     return read_stage(spark, f"{output_dir}/route={route}", schema or ROUTED_SCHEMA, fmt)

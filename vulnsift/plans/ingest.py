@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vulnsift import config as K
-from vulnsift.operators.merge import keep_first, ordered_union, renumbered
+from vulnsift.operators.merge import keep_first, keep_first_renumbered, ordered_union
 from vulnsift.operators.normalise import RECORD_COLUMNS, normalise_mirror_rows, normalise_primary_pages
 
 
@@ -59,8 +59,9 @@ def ingest(
     """Read both landings, merge, write the raw record file, return the counts.
 
     The normalised records are written once to the shared checkpoint folder, so
-    the nested landing is parsed once however often the merge reads them; the
-    raw file gets a fresh ``ord`` in merged order.
+    the nested landing is parsed once however often the merge reads them. Which of
+    them stay, and their ``ord`` (0, 1, ... in merged order), is found on narrow
+    rows; the whole records are shuffled once, to join those.
     """
     from vulnsift.schemas import RECORD_SCHEMA
     from vulnsift.session import stored
@@ -69,9 +70,9 @@ def ingest(
 
     primary = normalise_primary_pages(read_primary_pages(spark, pages_path, one_page_per_file))
     mirror = normalise_mirror_rows(read_mirror(spark, mirror_path, mirror_format))
-    normalised = stored(ordered_union(primary, mirror), "normalised")
+    normalised = stored(ordered_union(primary, mirror).withColumn("_id", F.monotonically_increasing_id()), "normalised")
     # The per-source counts are observed on the written rows: no second pass.
     counts = Observation("ingest_counts")
-    merged = renumbered(keep_first(normalised)).select(*[F.col(f.name) for f in RECORD_SCHEMA.fields])
+    merged = keep_first_renumbered(normalised).select(*[F.col(f.name) for f in RECORD_SCHEMA.fields])
     write_stage(merged.observe(counts, *_source_count_exprs()), output_path, fmt)
     return IngestRun(counts={k: int(v) for k, v in counts.get.items()}, output_path=output_path)

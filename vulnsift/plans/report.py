@@ -1,7 +1,7 @@
 """Report stage: every report table from one scored input, written as tables.
 
-The scored input is read in four passes with only the columns the report
-needs (column pruning reaches the scan); nothing is collected to the driver. Chart drawing and HTML are
+The scored input is read in a few passes with only the columns the report needs (column
+pruning reaches the scan); only order statistics, a few numbers, reach the driver. Chart drawing and HTML are
 presentation and not built here: the tables are the chart data.
 """
 
@@ -41,10 +41,9 @@ def generate_report(
     """Compute all report tables from the scored file and write each under ``output_dir``
     (each table is small: one JSON file per table).
 
-    Four passes over the scored records (global statistics, top 50,
-    credibility frequencies, severity labels); their small results are
-    stored below the shared ``spark.checkpoint.dir`` and every table is
-    derived from those.
+    Passes over the scored records: global statistics, top 50, severity labels,
+    and those of the order statistics. Their small results are stored below the shared
+    ``spark.checkpoint.dir`` and every table is derived from those.
     """
     scored = load_scored(spark, scored_path, fmt)
     tables = {}

@@ -21,9 +21,10 @@ from vulnsift.plans import filter as filter_plan
 from vulnsift.plans import ingest as ingest_plan
 from vulnsift.plans import report as report_plan
 from vulnsift.plans.stages import observe_stage
-from vulnsift.schemas import SCORED_SCHEMA
+from vulnsift.schemas import RECORD_SCHEMA, SCORED_SCHEMA
 from vulnsift.session import scratch_path
 from vulnsift.sources.fixture import (
+    PAGE_SIZE,
     cve_records,
     date_samples,
     landed_records,
@@ -124,6 +125,33 @@ def q_ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_ingested(spark, sf_dir), "src_rank")
 
 
+def _land_feeds(spark: SparkSession, sf_dir: str, mirror_format: str) -> tuple[str, str]:
+    """The derived feeds landed as files: pages as JSON lines, every fourth page without its
+    position; the mirror as CSV without positions (where an empty text is a missing one), or as
+    Parquet where some rows lack theirs."""
+    pages_path, mirror_path = scratch_path(spark, "pages"), scratch_path(spark, "mirror")
+    pages = primary_pages(spark, sf_dir, only_source=K.SOURCE_PRIMARY).orderBy("startIndex")
+    placed = F.col("startIndex") / PAGE_SIZE % 4 != 1
+    pages.withColumn("startIndex", F.when(placed, F.col("startIndex"))).write.json(pages_path)
+    rows = mirror_rows(spark, sf_dir, exclude_source=K.SOURCE_PRIMARY).orderBy("ord")
+    if mirror_format == "parquet":
+        unplaced = (F.col("ord") % 20 == 4) | (F.col("ord") % 10 == 7)
+        rows.withColumn("ord", F.when(~unplaced, F.col("ord"))).write.parquet(mirror_path)
+    else:
+        rows.drop("ord").write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(mirror_path)
+    return pages_path, mirror_path
+
+
+def q_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest stage as users start it, on landed files: the stage file, read back."""
+    out = []
+    for mirror_format in ("csv-multiline", "parquet"):
+        path = scratch_path(spark, "raw")
+        ingest_plan.ingest(spark, *_land_feeds(spark, sf_dir, mirror_format), path, mirror_format, one_page_per_file=False)
+        out.append(_flat(read_stage(spark, path, RECORD_SCHEMA).withColumn("mirror_format", F.lit(mirror_format)), "mirror_format", "ord"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_plan.source_counts(_ingested(spark, sf_dir))
 
@@ -298,6 +326,7 @@ def queries() -> dict[str, Query]:
         "merge_dedup": q_merge_dedup,
         "ingest_records": q_ingest_records,
         "ingest_counts": q_ingest_counts,
+        "ingest_files": q_ingest_files,
         "relevance": q_relevance,
         "completeness": q_completeness,
         "credibility": q_credibility,

@@ -98,6 +98,38 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def published_folder(spark: SparkSession, target: str) -> Iterator[str]:
+    """A staging folder beside ``target`` that takes its place if the block succeeds.
+
+    If the block fails, the staging folder goes and ``target`` is as before. The
+    exchange is two renames, the earlier folder first; if the second fails the first is undone, and
+    if the driver dies between them the next run begins by undoing it. On a store
+    without folder renames each is a copy.
+    """
+    jvm = spark.sparkContext._jvm
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    target = target.rstrip("/")
+    fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    staging, earlier = f"{target}.staging-{uuid.uuid4().hex}", f"{target}.earlier"
+    if not fs.exists(path(target)) and fs.exists(path(earlier)):
+        fs.rename(path(earlier), path(target))
+    try:
+        yield staging
+    except BaseException:
+        fs.delete(path(staging), True)
+        raise
+    fs.delete(path(earlier), True)
+    had = fs.exists(path(target))
+    if had and not fs.rename(path(target), path(earlier)):
+        raise OSError(f"can't set '{target}' aside; the new output is in '{staging}'")
+    if not fs.rename(path(staging), path(target)):
+        if had:
+            fs.rename(path(earlier), path(target))
+        raise OSError(f"can't publish '{staging}' as '{target}'")
+    fs.delete(path(earlier), True)
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, nbytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> Iterator[int]:
     """For one run, let AQE start from one shuffle partition per ``target_bytes`` of input.

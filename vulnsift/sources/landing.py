@@ -8,8 +8,10 @@
   header in any column order. ``csv`` has a row on each line and splits over
   tasks; ``csv-multiline`` allows line breaks inside quotes, at a task per file.
 
-A feed whose rows carry their position (``startIndex``, ``ord``) is taken in that
-order. One without is taken in the order of its files and of the rows in them.
+Order is decided row by row: a row that carries its position (``startIndex``, ``ord``)
+is taken there; rows without one come after those, in the order of the files and of
+the rows in them. Pages bring their place in the files along (``place``), which also
+says which of two landings of one position came first. No read sorts anything.
 """
 
 from __future__ import annotations
@@ -19,17 +21,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vulnsift.schemas import MIRROR_COLUMNS, NVD_PAGE_SCHEMA
-from vulnsift.sources.ordering import first_is_null, in_file_order, with_position, without_position
+from vulnsift.sources.ordering import POSITION, file_place, with_file_order, with_position, without_position
 
 MIRROR_FORMATS = ("csv", "csv-multiline", "parquet")
 
 
 def read_primary_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
     """Landed pages: one JSON document per file (as fetched), or JSON lines
-    with one page per line when ``one_page_per_file`` is false."""
+    with one page per line when ``one_page_per_file`` is false. ``place`` is each
+    page's place in the files."""
     reader = spark.read.schema(NVD_PAGE_SCHEMA).option("mode", "FAILFAST")
     placed = with_position(reader.option("multiLine", one_page_per_file).json(path))
-    return in_file_order(placed) if first_is_null(placed, "startIndex") else without_position(placed)
+    return without_position(placed.withColumn("place", file_place()))
 
 
 def _mirror_scan(spark: SparkSession, path: str, fmt: str) -> DataFrame:
@@ -42,7 +45,8 @@ def _mirror_scan(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 
 def read_mirror(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Mirror rows: ``ord`` and the declared columns, each of the type that the file gives it."""
+    """Mirror rows: ``ord`` and the declared columns, each of the type that the file gives
+    it, and ``place``. Rows without ``ord`` get one that follows those given, in file order."""
     if fmt not in MIRROR_FORMATS:
         raise ValueError(f"unsupported mirror format: {fmt}")
     scan = _mirror_scan(spark, path, fmt)
@@ -51,6 +55,5 @@ def read_mirror(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         raise ValueError(f"the mirror at '{path}' lacks the columns {missing}")
     columns = [F.col(f"`{c}`") for c in MIRROR_COLUMNS]
     placed = with_position(scan, parquet=fmt == "parquet")
-    if "ord" in scan.columns and not first_is_null(scan, "ord"):
-        return without_position(placed).select(F.col("ord").cast("long").alias("ord"), *columns)
-    return in_file_order(placed).select(F.monotonically_increasing_id().alias("ord"), *columns)
+    own = [F.col("ord").cast("long").alias("ord")] if "ord" in scan.columns else []
+    return with_file_order(placed.select(*own, *columns, file_place().alias("place"), *POSITION))

@@ -5,17 +5,16 @@ pushes simple predicates (e.g. ``composite_score >= 0.6``) into the scan.
 JSON lines reproduce the original interchange format (one object per line,
 nulls written) for consumers that expect it.
 
-Records of a file without ``ord`` get one in the order of the file.
+Records without ``ord`` get one that follows those given, in the order of the file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vulnsift.sources.jsonl import EmptyInputError, scan_jsonl, write_jsonl
-from vulnsift.sources.ordering import first_is_null, in_file_order, with_position, without_position
+from vulnsift.sources.ordering import with_file_order, with_position
 
 FORMATS = ("parquet", "json")
 
@@ -42,7 +41,4 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
         raise EmptyInputError(f"No records found in '{path}'.")
     if "ord" not in schema.names:
         return scan
-    placed = with_position(scan, parquet=fmt == "parquet")
-    if not first_is_null(placed, "ord"):
-        return without_position(placed)
-    return in_file_order(placed).withColumn("ord", F.monotonically_increasing_id())
+    return with_file_order(with_position(scan, parquet=fmt == "parquet")).select(*schema.names)
