@@ -10,6 +10,7 @@ out because DuckDB reads ``0.1`` as DECIMAL.
 from __future__ import annotations
 
 from vulnsift import config as K
+from vulnsift.schemas import REPORT_TABLES
 from vulnsift.sources.fixture import PAGE_SIZE, cve_relation_sql, date_texts_sql
 
 CFG = K.DEFAULT_CONFIG
@@ -235,6 +236,18 @@ def _bigint_counts(sql: str) -> str:
         i = k + 1
 
 
+def report_sql(o: dict[str, str]) -> str:
+    """Every value of the twelve report tables, a row for each."""
+    tables, values = [], []
+    for name, (keys, texts, numbers) in REPORT_TABLES.items():
+        tables.append(f"{name} AS MATERIALIZED ({o[name]})")
+        row = " || '/' || ".join(f'CAST("{k}" AS VARCHAR)' for k in keys) or "''"
+        for c in (*texts, *numbers):
+            text, number = (f'"{c}"', "CAST(NULL AS DOUBLE)") if c in texts else ("CAST(NULL AS VARCHAR)", f'CAST("{c}" AS DOUBLE)')
+            values.append(f"SELECT '{name}' AS report_table, {row} AS row, '{c}' AS field, {text} AS text, {number} AS number FROM {name}")
+    return f"WITH {', '.join(tables)}\n" + "\nUNION ALL ".join(values)
+
+
 def oracles() -> dict[str, str]:
     return {name: _bigint_counts(sql) for name, sql in _oracles().items()}
 
@@ -407,10 +420,6 @@ FROM l GROUP BY dimension"""
 ), p AS (SELECT * FROM (VALUES {order}) v(position, severity))
 SELECT CAST(p.position AS BIGINT) AS position, p.severity, CAST(count(b.severity) AS BIGINT) AS count
 FROM p LEFT JOIN b ON b.severity = p.severity GROUP BY p.position, p.severity"""
-    o["report_run"] = f"""WITH a AS ({o["readiness_breakdown"]}), h AS ({o["score_histogram"]}), s AS ({o["severity_distribution"]})
-SELECT 'readiness_breakdown' AS report_table, position, bucket AS label, count FROM a
-UNION ALL SELECT 'score_histogram', bin, CAST(bin_start AS VARCHAR), count FROM h
-UNION ALL SELECT 'severity_distribution', position, severity, count FROM s"""
     mark = q(K.MISSING_MARK)
     fmt = lambda c: f"CASE WHEN {c} IS NULL THEN {mark} ELSE printf('%.3f', {c}) END"
     o["top20_table"] = f"""{sp}
@@ -448,4 +457,5 @@ SELECT
   (SELECT round(avg({c0}), 6) FROM t) AS top20_avg,
   (SELECT round(count_if(source = 'nvd') * {d(100.0)} / count(*), 6) FROM t) AS top20_nvd_pct
 FROM ready"""
+    o["report_run"] = report_sql(o)
     return o

@@ -8,12 +8,14 @@ presentation and not built here: the tables are the chart data.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vulnsift.config import DEFAULT_CONFIG, CurationConfig
 from vulnsift.operators.report import build_report
-from vulnsift.schemas import SCORED_SCHEMA
+from vulnsift.schemas import REPORT_TABLES, SCORED_SCHEMA
 from vulnsift.session import path_exists, stored
 from vulnsift.sources.jsonl import EmptyInputError, write_jsonl
 from vulnsift.sources.stagefiles import read_stage
@@ -55,4 +57,18 @@ def generate_report(
     return ReportRun(tables=tables)
 
 
-__all__ = ["generate_report", "load_scored", "ReportRun", "EmptyInputError"]
+def read_report(spark: SparkSession, run: ReportRun) -> DataFrame:
+    """Every value of every table that a run wrote, a row for each: ``report_table, row`` (the
+    key of its row), ``field``, and ``text`` or ``number``."""
+    parts = []
+    for name, (keys, texts, numbers) in REPORT_TABLES.items():
+        types = {**dict.fromkeys((*keys, *texts), "string"), **dict.fromkeys(numbers, "double")}
+        table = spark.read.schema(", ".join(f"`{c}` {t}" for c, t in types.items())).json(run.tables[name])
+        none, nan = F.lit(None).cast("string"), F.lit(None).cast("double")
+        values = [F.struct(F.lit(c).alias("field"), F.col(c).alias("text"), nan.alias("number")) for c in texts]
+        values += [F.struct(F.lit(c).alias("field"), none.alias("text"), F.col(c).alias("number")) for c in numbers]
+        parts.append(table.select(F.lit(name).alias("report_table"), F.concat_ws("/", *keys).alias("row"), F.inline(F.array(*values))))
+    return reduce(DataFrame.unionAll, parts)
+
+
+__all__ = ["generate_report", "load_scored", "read_report", "ReportRun", "EmptyInputError"]

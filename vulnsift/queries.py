@@ -270,17 +270,8 @@ def q_scored_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report run over a scored file: its counting tables, read back."""
-    run = report_plan.generate_report(spark, _scored_file(spark, sf_dir), scratch_path(spark, "report"))
-    tables = (("readiness_breakdown", "position", "bucket"), ("score_histogram", "bin", "bin_start"), ("severity_distribution", "position", "severity"))
-    schema = "position long, bin long, bucket string, bin_start double, severity string, count long"
-    out = [
-        spark.read.schema(schema).json(run.tables[t]).select(
-            F.lit(t).alias("report_table"), F.col(place).alias("position"), F.col(label).cast("string").alias("label"), "count"
-        )
-        for t, place, label in tables
-    ]
-    return reduce(DataFrame.unionByName, out)
+    """The report run over a scored file: every value of its twelve tables, read back."""
+    return report_plan.read_report(spark, report_plan.generate_report(spark, _scored_file(spark, sf_dir), scratch_path(spark, "report")))
 
 
 # Summaries and report tables are aggregates and top-k over the scored records

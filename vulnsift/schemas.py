@@ -73,3 +73,22 @@ NVD_PAGE_SCHEMA = T.StructType(
 # position in the mirror's order when the landing carries it.
 MIRROR_COLUMNS = ("CVE-ID", "DESCRIPTION", "CVSS-V4", "CVSS-V3", "CVSS-V2", "SEVERITY", "CWE-ID")
 MIRROR_SCHEMA = T.StructType([_f("ord", L)] + [_f(c, S) for c in MIRROR_COLUMNS])
+
+# The tables of a report: what tells their rows apart, text columns, number columns.
+REPORT_TABLES = {
+    "headline_stats": ((), (), ("total", "ready_count", "pass_rate", "avg_composite")),
+    "median_score": ((), (), ("median_score",)),
+    "credibility_iqr": ((), (), ("q1", "q3", "iqr")),
+    "modal_severity": ((), ("top_severity",), ("top_severity_count", "top_severity_pct")),
+    "top20_stats": ((), (), ("top20_avg", "top20_nvd_pct")),
+    "readiness_breakdown": (("position",), ("bucket",), ("count", "pct")),
+    "score_histogram": (("bin",), (), ("bin_start", "bin_end", "count")),
+    "dimension_summary": (("dimension",), (), ("min", "q1", "median", "q3", "max", "mean")),
+    "severity_distribution": (("position",), ("severity",), ("count",)),
+    "top20_table": (("rank",), ("cve_id", "severity", "cvss", "composite", "relevance", "completeness", "clarity", "training_ready"), ()),
+    "heatmap": (("rank", "dimension"), ("cve_id",), ("score",)),
+    "callout_facts": (
+        (), ("median_position", "top_severity"),
+        ("pass_rate", "median_score", "credibility_iqr", "top_severity_pct", "top20_avg", "top20_nvd_pct"),
+    ),
+}
