@@ -111,6 +111,40 @@ def test_every_link_counts(spark, groups, monkeypatch, links, block):
     assert len(found) == len(want) and {frozenset([texts[a], texts[b]]) for a, b in found} == want and all(a < b for a, b in found)
 
 
+def boilerplate(n=1200, passages=60, each=6, seed=3):
+    """Texts of a few of many passages in random order: no two link, nearly all share something."""
+    rng = random.Random(seed)
+    known = [" ".join(f"p{k}w{i}" for i in range(30)) for k in range(passages)]
+    return [(d, " ".join(rng.sample(known, each))) for d in range(n)]
+
+
+def test_boilerplate_meets_only_where_prefixes_do(spark, monkeypatch):
+    rows = boilerplate()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    seen = []
+    monkeypatch.setattr(jaccard, "list_shapes", lambda large, shapes=jaccard.list_shapes: seen.append(shapes(large)) or seen[-1])
+    assert answer(df) == brute(rows)
+    compared = seen[0][1].selectExpr("sum(size * outside)").first()[0]
+    nodes = jaccard.shared_shingles(df).where("prefix is not null").select("node", "prefix").collect()
+    met = defaultdict(set)
+    for r in nodes:
+        for k in r["prefix"]:
+            met[k].add(r["node"])
+    together = len({(a, b) for texts in {frozenset(t) for t in met.values()} for a in texts for b in texts if a != b})
+    assert compared <= 8 * together and together < len(nodes) ** 2 / 3
+
+
+def test_a_list_of_many_copies_is_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST_PART", 50)
+    entries = spark.range(500).selectExpr("7L as key", "500L as size", "id as node", "id % 3 as comp").unionAll(
+        spark.range(500).selectExpr("9L", "500L", "id", "id % 3")
+    )
+    parts = jaccard._dealt(entries).groupBy("key", "part").count().agg({"count": "max"}).first()[0]
+    assert parts < 100
+    kept, shapes = jaccard.list_shapes(entries)
+    assert kept.count() == 500 and [tuple(r) for r in shapes.collect()] == [(7, 500, 1, 333)]
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
     assert answer(odd_docs) == brute(rows)

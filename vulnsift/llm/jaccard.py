@@ -23,6 +23,7 @@ AGGREGATE = 0xFFFF  # stands for a text's number in such a count
 MOST_MATCHES = 8
 ROUTES = 8  # key ranges for each shuffle partition: small groups, dealt evenly
 SMALL_LIST = 32
+LIST_PART = 1024  # entries of a list that one task of a join reads
 BLOCK = 512
 LINK_BLOCK = 2048
 LINK_BYTES = 16 << 20
@@ -350,7 +351,9 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Links between two blocks of texts, as a forest."""
+    """Links between two blocks of texts, as a forest. Texts of different components
+    with enough common shingles in their prefixes are candidates; only these
+    are compared whole."""
     names = ["a", "b"]
     empty = pa.table([pa.array([], pa.int64())] * 2, names=names)
     if not left.num_rows or not right.num_rows:
@@ -358,10 +361,20 @@ def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
     sides = []
     for t in (left, right.rename_columns(left.column_names)):
         tokens = [np.frombuffer(x, "<i8") for x in t["tokens"].to_pylist()]
-        sides.append((t["node"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy().astype(np.int64), tokens))
-    both = _overlaps(sides[0][3], sides[1][3])
-    linked = DEN * both >= NUM * (sides[0][2][:, None] + sides[1][2][None, :] - both)
-    linked &= sides[0][1][:, None] != sides[1][1][None, :]
+        numbers = {c: t[c].to_numpy().astype(np.int64) for c in ("node", "comp", "n", "shared", "matches", "listed")}
+        sides.append((numbers, tokens))
+    (x, x_tokens), (y, y_tokens) = sides
+    prefixes = [[t[:k] for t, k in zip(tokens, c["listed"].tolist())] for c, tokens in sides]
+    likely = _overlaps(*prefixes) >= np.minimum(x["matches"][:, None], y["matches"][None, :])
+    likely &= x["comp"][:, None] != y["comp"][None, :]
+    sizes = x["n"][:, None] + y["n"][None, :]
+    least = np.minimum(np.minimum(x["n"], x["shared"])[:, None], np.minimum(y["n"], y["shared"])[None, :])
+    likely &= least * (NUM + DEN) >= sizes * NUM
+    rows, columns = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
+    if not len(rows):
+        return empty
+    both = _overlaps([x_tokens[i] for i in rows], [y_tokens[j] for j in columns])
+    linked = likely[np.ix_(rows, columns)] & (DEN * both >= NUM * (sizes[np.ix_(rows, columns)] - both))
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -372,31 +385,55 @@ def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
 
     out = []
     for i, j in np.argwhere(linked).tolist():
-        a, b = int(sides[0][0][i]), int(sides[1][0][j])
+        a, b = int(x["node"][rows[i]]), int(y["node"][columns[j]])
         if find(a) != find(b):
             root[find(a)] = find(b)
             out.append((a, b))
     return pa.table([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=names)
 
 
+def _dealt(entries: DataFrame) -> DataFrame:
+    """List entries (key, size, node) with the part of their list that they are dealt to."""
+    return entries.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / LIST_PART)).cast("int"))
+
+
+def _parts(lists: DataFrame) -> DataFrame:
+    """Each list (key, size) once for every part, to join what ``_dealt`` gives: no task
+    of such a join reads more than a part, however long the list."""
+    return lists.withColumn("part", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("size") / LIST_PART) - 1).cast("int"))))
+
+
+def list_shapes(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries (key, size, node, comp) of long lists → those of lists that differ, and for each of
+    these (key, size) its largest component ``main`` and the texts outside of it.
+
+    The shingles of one passage mostly have the same texts; of such lists one is enough.
+    """
+    prints = large.groupBy("key", "size").agg(*[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1)])
+    kept = prints.groupBy("size", "x0", "x1").agg(F.min("key").alias("key")).select("key", "size")
+    entries = stored(_dealt(large).join(_parts(kept).drop("size"), ["key", "part"]).drop("part"), "members")
+    sizes = entries.groupBy("key", "size", "comp").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("key", "size").agg(F.max(F.struct("n", "comp")).alias("main"))
+    return entries, main.select("key", "size", F.col("main.comp").alias("main"), (F.col("size") - F.col("main.n")).alias("outside"))
+
+
 def _rest_of_large_lists(large: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links among texts that meet in lists of more than SMALL_LIST texts (key,
-    node, comp). Lists with common texts form a cluster. In it, all but the
-    largest component meet all texts, in blocks, so no pair across components is
-    left out and a cluster never lies in one task."""
-    heads = large.groupBy("key").agg(F.min("node").alias("a"))
-    members = connected_components(large.join(heads, "key").select("a", F.col("node").alias("b")))
-    facts = members.withColumnRenamed("comp", "cluster").join(large.select("node", "comp").distinct(), "node")
-    facts = stored(facts.select("cluster", "node", "comp"), "cluster")
-    sizes = facts.groupBy("cluster", "comp").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("cluster").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"))
-    shape = main.select("cluster", F.col("main.comp").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("all") - F.col("main.size")) / BLOCK).cast("int").alias("out_blocks"))
-    dealt = facts.join(shape, "cluster").where("out_blocks > 0").join(nodes.select("node", "n", "tokens"), "node")
+    """Links among texts that meet in lists of more than SMALL_LIST texts (key, size,
+    node, comp). In each list the texts outside its largest component meet all texts, in
+    blocks, so only texts with a common prefix shingle are held against each
+    other, no pair across components is left out, and a list never lies in one task."""
+    entries, shapes = list_shapes(large)
+    shapes = shapes.where("outside > 0").withColumns(
+        {"blocks": F.ceil(F.col("size") / BLOCK).cast("int"), "out_blocks": F.ceil(F.col("outside") / BLOCK).cast("int")}
+    )
+    facts = ["n", "shared", "matches", "listed", "tokens"]
+    met = _dealt(entries).join(_parts(shapes).drop("size"), ["key", "part"])
+    dealt = met.join(nodes.select("node", *facts), "node")
     hashed = F.xxhash64("node")
     to = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
     outside = dealt.where("comp <> main").withColumn("x", F.pmod(hashed, F.col("out_blocks")).cast("int")).withColumn("y", to("blocks"))
     inside = dealt.withColumn("y", F.pmod(hashed, F.col("blocks")).cast("int")).withColumn("x", to("out_blocks"))
-    columns = ["cluster", "x", "y", "node", "comp", "n", "tokens"]
+    columns = ["key", "x", "y", "node", "comp", *facts]
     other = [f"i_{c}" for c in columns]
     left, right = outside.select(columns), inside.select(columns).toDF(*other)
     return left.groupBy(columns[:3]).cogroup(right.groupBy(other[:3])).applyInArrow(_block_links, "a long, b long")
@@ -506,8 +543,8 @@ def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, DataFra
         return rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
     open_ = labelled(met.select("key", "size", "node", "n", "shared"))
-    mixed = open_.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rest = stored(open_.join(mixed, "key"), "rest")
+    mixed = open_.groupBy("key", "size").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "size")
+    rest = stored(_dealt(open_).join(_parts(mixed).drop("size"), ["key", "part"]).drop("part"), "rest")
     short = rest.where(F.col("size") <= SMALL_LIST)
     left = short.select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "shared", "comp")])
     right = short.select(F.col("key").alias("y_key"), *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "shared", "comp")])
@@ -517,7 +554,7 @@ def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, DataFra
     all_links = links.unionByName(found)
     large = rest.where(F.col("size") > SMALL_LIST)
     if not large.isEmpty():
-        all_links = all_links.unionByName(stored(_rest_of_large_lists(large.select("key", "node", "comp"), nodes), "links"))
+        all_links = all_links.unionByName(stored(_rest_of_large_lists(large.select("key", "size", "node", "comp"), nodes), "links"))
     comps = connected_components(all_links)
     least = labelled(sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"))).select("node", "comp", "doc")
     named = least.groupBy("comp").agg(F.min("doc").alias("component_id"))
@@ -544,8 +581,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
        in their prefix go on, with as long a prefix as their costs suggest.
     2. Each prefix entry's list compares its texts with one of them, the one with
        fewest shingles of its own. Most classes are complete after that.
-    3. Lists that still hold texts of several components compare these: all pairs
-       in short lists, blocks in long ones.
+    3. Lists that still hold texts of several components compare these: pairs
+       in short lists, blocks in long ones. Candidates have the wanted number of
+       common shingles in their prefixes; only they are compared whole.
     """
     return _classes(docs, words)[0].drop("node")
 
