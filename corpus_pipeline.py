@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,21 +28,22 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the row of the least id, and of several rows
-    of that id the one of the least hash of all its columns; rows are told apart by
-    a number of their own, so one id may have several texts. Rows without an id
-    are held against each other in the same way, not against rows with one. Of the
-    rows without words one stays for each id, and all that have no id."""
-    row, content, none = "__row", "__content", F.col("doc_id").isNull()
+    """Of each class of near duplicates one row: that of the least id, rows without an id
+    after all others, and of several such rows the one of the least hash of all its
+    columns; rows are told apart by a number of their own, so one id may have several texts.
+    Of the rows without words one stays for each id, and all that have no id."""
+    mark = uuid.uuid4().hex  # no column of the table has these names
+    row, content, none = f"row_{mark}", f"content_{mark}", F.col("doc_id").isNull()
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     # Written, so that a task that runs again gives a row the number it had.
-    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(content, F.xxhash64(*docs.columns)), "keyed")
+    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(content, every), "keyed")
     classes = jaccard.near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"))
     classes = classes.select(F.col("doc_id").alias(row), (F.col("n_shingles") > 0).alias("words"), "component_id")
     known = keyed.select(row, "doc_id", content).join(classes, row)
     of = F.when(F.col("words"), F.struct(F.col("component_id").alias("c"), F.lit(None).cast(keyed.schema["doc_id"].dataType).alias("d")))
     alone = F.struct(F.when(none, F.col(row)).alias("c"), F.col("doc_id").alias("d"))
-    first = known.groupBy("words", none.alias("none"), F.coalesce(of, alone).alias("class")).agg(F.min(F.struct("doc_id", content, row)).alias("first"))
-    return keyed.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(docs.columns)
+    first = known.groupBy("words", F.coalesce(of, alone).alias("class")).agg(F.min(F.struct(none.alias("late"), "doc_id", content, row)).alias("first"))
+    return keyed.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
