@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import random
+import re
+from collections import Counter
+
 from vulnsift.llm import licenses
 
 
@@ -80,3 +85,76 @@ def test_headers_across_lines_and_inside_long_ones(spark):
     }
     got = found(licenses.scan(spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")))
     assert {p: x[0] for p, x in got.items()} == {p: x for p, (_, x) in files.items()}
+
+
+def words_of(text):
+    return [t for t in re.split(licenses.GAP, re.sub(licenses.EDGES, " ", (text or "").lower())) if re.search("[a-z0-9]", t)]
+
+
+def cosine(tokens, k, idf, weights, other):
+    v = {t: n * idf.get(t, other) for t, n in Counter(tokens).items()}
+    return sum(x * weights.get((k, t), 0.0) for t, x in v.items()) / math.sqrt(sum(x * x for x in v.values()))
+
+
+def naive(text, templates, threshold, whole):
+    """The best (license, score) of a text by every run, or as a whole."""
+    plain = licenses._plain(templates)
+    facts = licenses.template_weights([(n, " ".join(t)) for n, t in plain])
+    tokens, best = words_of(text), {}
+    if not re.search(licenses.MARKER, (text or "").lower()):
+        return {}
+    for k, (name, template) in enumerate(plain):
+        size = len(tokens) if whole else len(template)
+        for i in range(max(1, len(tokens) - size + 1)):
+            run = tokens[i : i + size]
+            if whole or any(re.search(licenses.MARKER, t) for t in run):
+                score = round(cosine(run, k, *facts), 6)
+                if score >= threshold:
+                    best[name] = max(best.get(name, 0), score)
+    return best
+
+
+def best_rows(df):
+    best = {}
+    for r in df.collect():
+        best.setdefault(r["path"], {})
+        best[r["path"]][r["license"]] = max(best[r["path"]].get(r["license"], 0), r["score"])
+    return best
+
+
+def test_runs_and_whole_texts_equal_a_plain_search(spark):
+    rng = random.Random(11)
+    pool = [w for _, t in licenses.TEMPLATES for w in t.split()] + ["the", "copyright", "and", "license", "x1", "\n#", "moon."]
+    texts = [" ".join(rng.choices(pool, k=rng.randint(1, 90))) for _ in range(60)]
+    for _ in range(40):
+        noise = [" ".join(rng.choices(pool, k=rng.randint(0, 70))) for _ in range(2)]
+        texts.append(noise[0] + " " + rng.choice(licenses.TEMPLATES)[1].replace(" ", rng.choice([" ", "\n", "  "])) + ", " + noise[1])
+    texts += ["", None, "license", "license " * 500]
+    files = spark.createDataFrame([(f"p{i}", t) for i, t in enumerate(texts)], "path string, text string").where("text is not null")
+    windows = best_rows(licenses.match_windows(files, licenses.TEMPLATES, licenses.THRESHOLD))
+    expected = {f"p{i}": n for i, t in enumerate(texts) if (n := naive(t, licenses.TEMPLATES, licenses.THRESHOLD, False))}
+    assert windows.keys() == expected.keys()
+    for path, scores in expected.items():
+        assert windows[path].keys() == scores.keys() and all(abs(windows[path][n] - s) <= 1e-6 for n, s in scores.items())
+    full = licenses.license_texts()[:3]
+    whole = [full[0][1], full[1][1] + " more", full[2][1][: len(full[2][1]) // 2], "license"]
+    got = best_rows(licenses.match_texts(spark.createDataFrame([(str(i), t) for i, t in enumerate(whole)], "path string, text string"), full))
+    for i, t in enumerate(whole):
+        scores = naive(t, full, licenses.TEXT_THRESHOLD, True)
+        if scores:
+            name, score = max(scores.items(), key=lambda x: x[1])
+            assert abs(got[str(i)][name] - score) <= 1e-6
+        else:
+            assert str(i) not in got
+
+
+def test_documents_without_id_or_source_against_the_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = [(0, "Released under the MIT License.", "s"), (1, "x", "s"), (None, "Released under the MIT License.", "s"), (2, "Licensed under CC BY-NC 4.0.", None), (None, None, None), (72, None, "s"), (64, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in licenses.scan_documents(docs).collect()]
+    documents = pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], "Int64"), "text": [r[1] for r in rows], "source": [r[2] for r in rows]})  # noqa: F841
+    want = duckdb.sql(licenses.oracle()).fetchall()
+    assert sorted(got, key=str) == sorted(want, key=str) and sum(r[4] == "none" for r in got) >= 3

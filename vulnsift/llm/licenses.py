@@ -13,6 +13,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vulnsift.llm.common import stored
+
 # Notices by which works name their license (fixed values).
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -95,7 +97,8 @@ def header_tokens(line: Column) -> Column:
 
 
 def match_headers(files: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """For files (path, text) with a notice: path, license, score of the best line.
+    """For files (path, text) with a notice: path, license, score of the best line. A null or
+    empty text has no line; files of one path count together.
 
     A line with a marker word is a header. Its TF-IDF vector meets each template
     through the tokens they share; the norm takes all of its tokens.
@@ -118,6 +121,7 @@ def match_headers(files: DataFrame, templates: list[tuple[str, str]] | None = No
     return best.where(F.col("best.score") >= threshold).select("path", F.col("best.license").alias("license"), F.col("best.score").alias("score"))
 
 
+STRETCH = 6  # positions of a text that runs and tokens meet in: 2 to this power
 EDGES = r"[.,;:]+(\s|$)"  # EDGE, whatever the white space
 
 
@@ -147,7 +151,8 @@ def _marked(files: DataFrame) -> DataFrame:
 
 def match_texts(files: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = TEXT_THRESHOLD) -> DataFrame:
     """For licence files (path, text) that are a license as a whole: path, license,
-    score, first. The TF-IDF vector of the whole text meets each full text."""
+    score, first. The TF-IDF vector of the whole text meets each full text. Null and empty
+    texts meet none; repeated texts of a path give one row."""
     templates = _plain(license_texts() if templates is None else templates)
     table, other = _table(files.sparkSession, templates)
     counts = _marked(files).select("path", "key", F.explode("tokens").alias("token")).groupBy("path", "key", "token").agg(F.count("*").alias("tf"))
@@ -163,7 +168,7 @@ def match_windows(files: DataFrame, templates: list[tuple[str, str]], threshold:
 
     Every run of tokens as long as a template meets it, across line breaks and
     inside long lines (a shorter text meets it as a whole). A run must hold a
-    marker word. Running sums give for each run the products and a norm that takes
+    marker word. Null and empty texts have no run; repeated texts of a path count once. Running sums give for each run the products and a norm that takes
     repeated tokens for different ones, so at most the true norm; only runs that
     reach the threshold with that are counted out.
     """
@@ -191,11 +196,15 @@ def match_windows(files: DataFrame, templates: list[tuple[str, str]], threshold:
                F.struct(F.lit(k).alias("k"), F.greatest(F.lit(1), F.col("pos") + 2 - size).alias("begin"), F.lit(size).alias("size")))
         for k, size in enumerate(sizes)
     ]
-    found = whole.select("path", "key", F.explode(F.array_compact(F.array(*fits))).alias("at")).groupBy("path", "key").agg(F.collect_list("at").alias("runs"))
-    cut = lambda r: F.struct(r["k"].alias("k"), r["begin"].alias("begin"), F.slice("tokens", r["begin"], r["size"]).alias("run"))
-    runs = found.join(texts, ["path", "key"]).select("path", "key", F.explode(F.transform("runs", cut)).alias("r"))
+    runs = stored(whole.select("path", "key", F.explode(F.array_compact(F.array(*fits))).alias("r")).select("path", "key", "r.*"), "runs")
+    # Runs and tokens of their texts meet in stretches of positions: a row is a token or a run.
+    first, last = F.col("begin") - 1, F.col("begin") + F.col("size") - 2
+    stretches = runs.withColumn("stretch", F.explode(F.sequence(F.shiftright(first, STRETCH), F.shiftright(last, STRETCH))))
+    tokens = texts.join(runs.select("path", "key").distinct(), ["path", "key"], "left_semi").select("path", "key", F.posexplode("tokens").alias("pos", "token"))
+    tokens = tokens.withColumn("stretch", F.shiftright("pos", STRETCH))
     of = ["path", "key", "k", "begin"]
-    counts = runs.select("path", "key", "r.k", "r.begin", F.explode("r.run").alias("token")).groupBy(*of, "token").agg(F.count("*").alias("tf"))
+    inside = stretches.join(tokens, ["path", "key", "stretch"]).where(F.col("pos").between(first, last))
+    counts = inside.groupBy(*of, "token").agg(F.count("*").alias("tf"))
     weighed = counts.join(F.broadcast(table), "token", "left").withColumn("v", F.col("tf") * idf)
     scored = weighed.groupBy(of).agg((F.coalesce(F.sum(F.col("v") * F.element_at("w", F.col("k") + 1)), F.lit(0.0)) / F.sqrt(F.sum(F.col("v") * F.col("v")))).alias("score"))
     name = F.element_at(F.array(*[F.lit(n) for n, _ in templates]), F.col("k") + 1)
@@ -205,7 +214,11 @@ def match_windows(files: DataFrame, templates: list[tuple[str, str]], threshold:
 def match_files(files: DataFrame, notice: str, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """For files (path, text) with a license of their own: path, license, score. A
     licence file that is a license as a whole has that; otherwise the best header
-    counts, be it a line, a run of tokens or a long notice."""
+    counts, be it a line, a run of tokens or a long notice. Null and empty texts have none,
+    repeated files give one row, an empty table none; paths are not null.
+
+    The texts are read once: those with a marker word are stored for all matchers."""
+    files = stored(files.where(F.lower("text").rlike(MARKER)).select("path", "text"), "marked")
     ranked = lambda df, rank: df.select("path", F.struct(F.lit(rank).alias("rank"), "score", "first", "license").alias("best"))
     every = [
         ranked(match_texts(files.where(F.col("path").rlike(notice))), 1),
@@ -270,9 +283,9 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, thres
 
 def document_path() -> str:
     """SQL by which a document gets a path: its source, then folders by id; every
-    eighth document is a licence file, some of them higher up."""
-    folder = "CASE WHEN doc_id % 64 = 0 THEN '' WHEN doc_id % 32 = 0 THEN concat('b', CAST(doc_id // 512 AS {s}), '/') ELSE concat('b', CAST(doc_id // 512 AS {s}), '/s', CAST(doc_id // 64 % 8 AS {s}), '/') END"
-    return f"concat(source, '/', {folder}, CASE WHEN doc_id % 8 = 0 THEN 'LICENSE-' ELSE 'f' END, CAST(doc_id AS {{s}}))"
+    eighth document is a licence file, some of them higher up. Null without source or id."""
+    folder = "CASE WHEN doc_id % 64 = 0 THEN '' WHEN doc_id % 32 = 0 THEN 'b' || CAST(doc_id // 512 AS {s}) || '/' ELSE 'b' || CAST(doc_id // 512 AS {s}) || '/s' || CAST(doc_id // 64 % 8 AS {s}) || '/' END"
+    return f"(source || '/' || {folder} || CASE WHEN doc_id % 8 = 0 THEN 'LICENSE-' ELSE 'f' END || CAST(doc_id AS {{s}}))"
 
 
 def oracle() -> str:
@@ -311,7 +324,9 @@ FROM names n LEFT JOIN own o USING (path) LEFT JOIN nearest i ON n.folder = i.fo
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
-    """The scan over documents by their derived paths, with doc_id."""
+    """The scan over documents by their derived paths, with doc_id. A document without id or
+    source has no path and is ``none``."""
     path = F.expr(document_path().format(s="STRING").replace(" // ", " div "))
     files = docs.select("doc_id", path.alias("path"), "text")
-    return files.select("doc_id", "path").join(scan(files), "path", "left").select("doc_id", "path", "license", "score", "basis", "origin")
+    found = files.select("doc_id", "path").join(scan(files), "path", "left")
+    return found.select("doc_id", "path", "license", "score", F.coalesce("basis", F.lit("none")).alias("basis"), "origin")
