@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SF_MEDIUM
+from conftest import SF_MEDIUM, SF_SMALL
 from pyspark.sql import functions as F
 
 from vulnsift.llm import langid, quality
+from vulnsift.llm.pieces import split
 from vulnsift.llm.queries import op4_language_id, op8_quality
 
 
@@ -104,6 +108,56 @@ def test_odd_documents_quality(spark, odd_docs, no_docs):
     assert quality.keep_predicted(odd_docs, model).columns == odd_docs.columns
 
 
+M64 = (1 << 64) - 1
+
+
+def scrambled(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = ((x ^ (x >> shift)) * factor) & M64
+    return x ^ (x >> 31)
+
+
+def naive_score(text, model, hash_of):
+    """The score of a text, feature by feature."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    values = []
+    for w in words:
+        signs = "\x02" + w + "\x03"
+        for n in quality.SIZES:
+            for i in range(len(signs) - n + 1):
+                rolling = 0
+                for k, c in enumerate(signs[i : i + n], 1):
+                    rolling = (rolling * 0x100000001B3 + ord(c) + k) & M64
+                values.append(float(model.weights[scrambled(rolling) % quality.BUCKETS, 0]))
+        h = hash_of[w]
+        values.append(float(model.words[(h ^ (h >> 31)) % quality.WORDS]))
+    for a, b in zip(words, words[1:]):
+        j = hash_of[a] ^ hash_of[b]
+        values.append(float(model.pairs[(j ^ (j >> 29)) % quality.PAIRS]))
+    return 1 / (1 + math.exp(-(sum(values) / max(1, len(values)) + model.bias)))
+
+
+def test_scores_equal_a_plain_sum_over_features(spark, odd_docs):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    model = quality.train_on_folds(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    docs = docs.where("length(text) < 3000").unionAll(odd_docs.where("length(text) < 5000").selectExpr("doc_id + 100000", "text"))
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    words = sorted({w for t in rows.values() for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")})
+    hash_of = dict(zip(words, split(pa.array([" ".join(words)])).hashes.tolist()))
+    got = quality.classify(docs, model).collect()
+    assert len(got) == docs.count() > 100
+    wrong = [r.doc_id for r in got if abs(r.score - naive_score(rows[r.doc_id], model, hash_of)) > 1e-6]
+    assert wrong == []
+
+
+def test_a_whole_word_has_a_vector():
+    one, other = quality.features(pa.array(["é日本語x", "é日本語x y"]))
+    start = quality.BUCKETS + quality.PAIRS
+    assert sum(x >= start for x in one[0]) == 1 and sum(x >= start for x in other[0]) == 2
+    # Characters, not bytes: 7 signs with the marks give 6, 5 and 4 n-grams.
+    assert one[1][one[0] < quality.BUCKETS].sum() == 6 + 5 + 4
+
+
 def test_repeated_words_share_a_feature():
     (at, times), (other, _) = quality.features(pa.array(["aa aa aa", "bb bb"]))
     shared = set(at.tolist()) & set(other.tolist())

@@ -1,4 +1,4 @@
-"""Hashed byte n-grams of many words at once, and bounded training samples."""
+"""Hashed n-grams of many words at once, by bytes or characters, and bounded training samples."""
 
 from __future__ import annotations
 
@@ -14,12 +14,23 @@ from vulnsift.llm.pieces import mix
 WORDS_AT_ONCE = 20_000
 
 
-def grams(words: list[bytes], sizes: tuple[int, ...], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each size: the bucket of the n-gram that begins at every byte of the
-    padded words, whether it lies in its word, and the word's number.
-    ``buckets`` is a power of two. Words are padded with a start and an end mark."""
-    raw = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in words), np.uint8).astype(np.uint64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+def padded(words: list[bytes], characters: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The signs of the words one after another, each word with a start and an end mark,
+    and their numbers of signs."""
+    joined = b"".join(b"\x02" + w + b"\x03" for w in words)
+    if not characters:
+        return np.frombuffer(joined, np.uint8).astype(np.uint64), np.fromiter(map(len, words), np.int64, len(words)) + 2
+    buf = np.frombuffer(joined, np.uint8)
+    begins = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 2)])
+    points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # first bytes of characters
+    return np.frombuffer(joined.decode().encode("utf-32-le"), "<u4").astype(np.uint64), np.diff(points[begins])
+
+
+def grams(words: list[bytes], sizes: tuple[int, ...], buckets: int, characters: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each size: the bucket of the n-gram that begins at every sign (byte, or
+    character) of the padded words, whether it lies in its word, and the word's number.
+    ``buckets`` is a power of two."""
+    raw, lengths = padded(words, characters)
     owner = np.repeat(np.arange(len(words)), lengths)
     room = np.cumsum(lengths)[owner] - np.arange(len(raw))
     rolling = np.zeros(len(raw), np.uint64)
@@ -31,16 +42,16 @@ def grams(words: list[bytes], sizes: tuple[int, ...], buckets: int) -> Iterator[
             yield (mix(rolling) & np.uint64(buckets - 1)).astype(np.int64), room >= n, owner
 
 
-def gram_sums(words: list[bytes], sizes: tuple[int, ...], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gram_sums(words: list[bytes], sizes: tuple[int, ...], weights: np.ndarray, characters: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Per word the sum of ``weights[bucket]`` (a row for each bucket) over its
     n-grams, and their number."""
     if len(words) > WORDS_AT_ONCE:
-        parts = [gram_sums(words[i : i + WORDS_AT_ONCE], sizes, weights) for i in range(0, len(words), WORDS_AT_ONCE)]
+        parts = [gram_sums(words[i : i + WORDS_AT_ONCE], sizes, weights, characters) for i in range(0, len(words), WORDS_AT_ONCE)]
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     sums, counts = np.zeros((len(words), weights.shape[1])), np.zeros(len(words), np.int64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 2)
+    ends = np.cumsum(padded(words, characters)[1])
     begins = np.concatenate([[0], ends[:-1]])
-    for bucket, inside, owner in grams(words, sizes, len(weights)):
+    for bucket, inside, owner in grams(words, sizes, len(weights), characters):
         running = np.zeros((len(bucket) + 1, weights.shape[1]))
         np.cumsum(np.where(inside[:, None], weights[bucket], 0), axis=0, out=running[1:])
         sums += running[ends] - running[begins]

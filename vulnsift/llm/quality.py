@@ -17,6 +17,7 @@ from vulnsift.llm.pieces import Ragged, WordTable, split
 SIZES = (2, 3, 4)
 BUCKETS = 1 << 16
 PAIRS = 1 << 14  # of word pairs, after the others
+WORDS = 1 << 15  # of whole words, after those
 DIM = 8
 
 
@@ -24,10 +25,12 @@ DIM = 8
 class QualityModel:
     """With a linear output, a feature's vector acts by its projection on the
     difference of the two classes: ``weights`` holds that for every bucket of
-    n-grams inside words, ``pairs`` for those of word pairs."""
+    character n-grams inside words, ``pairs`` for those of word pairs, ``words`` for those of
+    whole words."""
 
     weights: np.ndarray
     pairs: np.ndarray
+    words: np.ndarray
     bias: float
 
 
@@ -40,14 +43,19 @@ def _pair_buckets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return ((joined ^ (joined >> np.uint64(29))) & np.uint64(PAIRS - 1)).astype(np.int64), owner[1:][same]
 
 
+def _word_buckets(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes ^ (hashes >> np.uint64(31))) & np.uint64(WORDS - 1)).astype(np.int64)
+
+
 def features(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per text the distinct buckets of its words' n-grams and word pairs, and how often each occurs."""
+    """Per text the distinct buckets of its words, their character n-grams and word pairs, and
+    how often each occurs."""
     p = split(texts)
     _, first, codes = np.unique(p.hashes, return_index=True, return_inverse=True)
     words = [p.buf[s:e].tobytes() for s, e in zip(p.starts[first].tolist(), p.ends[first].tolist())]
     ragged = Ragged(np.int32)
     if words:
-        found = [(owner[inside], bucket[inside]) for bucket, inside, owner in grams(words, SIZES, BUCKETS)]
+        found = [(owner[inside], bucket[inside]) for bucket, inside, owner in grams(words, SIZES, BUCKETS, characters=True)]
         owner, bucket = np.concatenate([o for o, _ in found]), np.concatenate([b for _, b in found])
         order = np.argsort(owner, kind="stable")
         ragged.extend(bucket[order], np.bincount(owner, minlength=len(words)))
@@ -56,8 +64,9 @@ def features(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for i in range(len(p.offsets) - 1):
         own = ragged.take(codes[p.offsets[i] : p.offsets[i + 1]])[0] if len(words) else np.zeros(0, np.int32)
-        both = np.concatenate([own, pairs[cuts[i] : cuts[i + 1]] + BUCKETS])
-        out.append(tuple(x.astype(np.int32) for x in np.unique(both, return_counts=True)))
+        single = _word_buckets(p.hashes[p.offsets[i] : p.offsets[i + 1]]) + BUCKETS + PAIRS
+        every = np.concatenate([own, pairs[cuts[i] : cuts[i + 1]] + BUCKETS, single])
+        out.append(tuple(x.astype(np.int32) for x in np.unique(every, return_counts=True)))
     return out
 
 
@@ -65,7 +74,7 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, prior
     """Stochastic gradient descent on the softmax loss of averaged feature vectors.
     ``prior`` corrects the bias for a sample that isn't in proportion."""
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + PAIRS, DIM)).astype(np.float32)
+    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + PAIRS + WORDS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     out[:, 1] = rng.uniform(-0.5, 0.5, DIM)
     out[:, 0] = -out[:, 1]
@@ -90,7 +99,8 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, prior
             vectors[at] -= (step * 25) * share[:, None] * back
     apart = out[:, 1] - out[:, 0]
     projected = vectors @ apart
-    return QualityModel(projected[:BUCKETS, None].astype(np.float32), projected[BUCKETS:].astype(np.float32), float(bias[1] - bias[0]) + prior)
+    weights, pairs, words = np.split(projected.astype(np.float32), [BUCKETS, BUCKETS + PAIRS])
+    return QualityModel(weights[:, None], pairs, words, float(bias[1] - bias[0]) + prior)
 
 
 def train(docs: DataFrame, marked: DataFrame, per_label: int = 2000, longest: int = 20_000) -> QualityModel:
@@ -106,7 +116,7 @@ def train(docs: DataFrame, marked: DataFrame, per_label: int = 2000, longest: in
     s1 = int(labels.sum())
     s0 = len(labels) - s1
     if not s0 or not s1:
-        return QualityModel(np.zeros((BUCKETS, 1), np.float32), np.zeros(PAIRS, np.float32), 0.0 if n0 == n1 else (8.0 if n1 > n0 else -8.0))
+        return QualityModel(*[np.zeros(n, np.float32) for n in ((BUCKETS, 1), PAIRS, WORDS)], 0.0 if n0 == n1 else (8.0 if n1 > n0 else -8.0))
     examples = []
     for i in range(0, len(sample), 200):
         examples += features(pa.array([t for t, _ in sample[i : i + 200]], pa.string()))
@@ -122,7 +132,7 @@ class Scorer:
         self.sums, self.counts = np.zeros(0), np.zeros(0, np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        sums, counts = gram_sums(words, SIZES, self.model.weights)
+        sums, counts = gram_sums(words, SIZES, self.model.weights, characters=True)
         self.sums, self.counts = np.concatenate([self.sums, sums[:, 0]]), np.concatenate([self.counts, counts])
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -131,8 +141,8 @@ class Scorer:
         n = len(p.offsets) - 1
         owner = np.repeat(np.arange(n), np.diff(p.offsets))
         pairs, of = _pair_buckets(p.hashes, p.offsets)
-        total = np.bincount(owner, self.sums[rows], n) + np.bincount(of, self.model.pairs[pairs], n)
-        count = np.bincount(owner, self.counts[rows], n) + np.bincount(of, minlength=n)
+        total = np.bincount(owner, self.sums[rows] + self.model.words[_word_buckets(p.hashes)], n) + np.bincount(of, self.model.pairs[pairs], n)
+        count = np.bincount(owner, self.counts[rows] + 1, n) + np.bincount(of, minlength=n)
         logit = total / np.maximum(count, 1) + self.model.bias
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
