@@ -192,3 +192,16 @@ def test_packing_balances_cost():
     assert max(full) <= one_by_one + 1e-6 and short
     assert sum(fill.values()) == sum(lengths)
     assert packing.pack([], 2048) == [] and packing.pack([0, 0], 8) == []
+
+
+def test_groups_pool_what_they_have_left(spark, word_ids):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    rows = packing.pack_documents(docs.repartition(60), WORD_BPE, capacity=256).collect()
+    check_packing(rows, rows_of(docs), word_ids, 256)
+    fill = Counter()
+    for r in rows:
+        fill[r["sequence_id"]] += r["length"]
+    short = sum(1 for n in fill.values() if n < 256)
+    assert short <= 8 and len(fill) > 300  # one pool: a sequence for each bit of the rest
+    few = packing.pack_documents(docs.repartition(60), WORD_BPE, capacity=256, group_tokens=3000).collect()
+    check_packing(few, rows_of(docs), word_ids, 256)

@@ -9,11 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from vulnsift.llm.common import bounded_batches, map_batches
+from vulnsift.llm.common import bounded_batches, map_batches, stored
 from vulnsift.llm.wordbpe import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+POOLS = 1 << 62  # sequence ids from here on are those of pooled remainders
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
@@ -22,18 +24,19 @@ def piece_cost(length: int, linear: float, quadratic: float) -> float:
     return linear * length + quadratic * length * length
 
 
-def pack(lengths: list[int], capacity: int, linear: float = 1.0, quadratic: float = 1.0 / 1024) -> list[tuple[int, int, int, int, int]]:
+def pack(lengths: list[int], capacity: int, linear: float = 1.0, quadratic: float = 1.0 / 1024, split_rest: bool = True) -> list[tuple[int, int, int, int, int]]:
     """Pieces ``(document, start, length, sequence, offset)`` of documents by token count.
 
     Sequences: as many full ones as the tokens fill, and for what is left one for
-    each power of two in it, so that none has padding. Documents go longest first
+    each power of two in it, so that none has padding (or a single one, the last, if
+    ``split_rest`` is false). Documents go longest first
     to the sequence of the lowest cost with room. What doesn't fit there is cut
     off and queues again by its length.
     """
     total = sum(lengths)
     rooms = [capacity] * (total // capacity)
     left = total % capacity
-    rooms += [1 << b for b in range(left.bit_length() - 1, -1, -1) if left >> b & 1]
+    rooms += [1 << b for b in range(left.bit_length() - 1, -1, -1) if left >> b & 1] if split_rest else [left] * (left > 0)
     cost = [0.0] * len(rooms)
     fill = [0] * len(rooms)
     # A short sequence starts as if its missing room were taken, so that costs compare by capacity.
@@ -59,17 +62,35 @@ def pack(lengths: list[int], capacity: int, linear: float = 1.0, quadratic: floa
     return out
 
 
-def _packed(ids: list, docs: list[int | None], capacity: int, base: int, costs: tuple[float, float]) -> pa.RecordBatch:
-    rows = pack([len(x) for x in ids], capacity, *costs)
-    out = [
-        (docs[d], start, n, ids[d][start : start + n].astype("<u4").tobytes(), len(ids[d]), base + k, offset)
-        for d, start, n, k, offset in rows
-    ]
-    columns = zip(*out) if out else [[]] * len(COLUMNS)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(COLUMNS)
     arrays = [pa.array(c, pa.binary() if name == "ids" else pa.int64()) for name, c in zip(COLUMNS, columns)]
     return pa.RecordBatch.from_arrays(arrays, names=COLUMNS)
 
 
+def _packed(ids: list, docs: list[int | None], capacity: int, base: int, costs: tuple[float, float]) -> pa.RecordBatch:
+    """The full sequences of a group; what is left has the negative ``-1 - base`` for one."""
+    rows = pack([len(x) for x in ids], capacity, *costs, split_rest=False)
+    full = sum(map(len, ids)) // capacity
+    return _batch([
+        (docs[d], start, n, ids[d][start : start + n].astype("<u4").tobytes(), len(ids[d]), base + k if k < full else -1 - base, offset)
+        for d, start, n, k, offset in rows
+    ])
+
+
+def _pooled(capacity: int, costs: tuple[float, float]):
+    def run(pool: tuple, pieces: pa.Table) -> pa.Table:
+        """The left pieces of many groups packed again."""
+        own = {c: pieces[c].to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens")}
+        base = POOLS | pool[0].as_py() << 32
+        return pa.Table.from_batches([_batch([
+            (own["doc_id"][p], own["start"][p] + start, n, own["ids"][p][4 * start : 4 * (start + n)], own["doc_tokens"][p], base + k, offset)
+            for p, start, n, k, offset in pack(pieces["length"].to_pylist(), capacity, *costs)
+        ])])
+
+    return run
+
+
 def pack_documents(
     docs: DataFrame,
     vocabulary: str,
@@ -82,14 +103,16 @@ def pack_documents(
     """Pack the token ids of ``docs`` (doc_id, text) into sequences of ``capacity``.
 
     Each task tokenises its rows and packs them in groups of at least
-    ``group_tokens`` tokens (its last group may be smaller), so nothing is
-    shuffled and a task holds one group at a time. Sequences are full, or have
+    ``group_tokens`` tokens (its last group may be smaller), so a task holds one group at
+    a time. What a group has left, less than a sequence, goes to a pool of about
+    ``group_tokens`` tokens and is packed there with what other groups left, whichever tasks
+    they are of; nothing else is shuffled. Sequences are full, or, the last few of a pool, have
     a power of two of tokens; none is padded. Null text counts as empty: a
     document of the end id alone. A piece carries its ids as packed little-endian
     unsigned 32-bit integers. Repeated rows and null ids are packed like
     any other row; an empty table gives no pieces; other columns are ignored.
     Sequence ids are unique over the result: the task's number and a running
-    number in it.
+    number in it, or the pool's. Costs are even within a group and a pool.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,4 +135,9 @@ def pack_documents(
         if ids:
             yield _packed(ids, docs_, capacity, base, (linear, quadratic))
 
-    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, SCHEMA)
+    pieces = stored(map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, SCHEMA), "pieces")
+    left = pieces.where("sequence_id < 0")
+    pools = max(1, -(-(left.agg(F.sum("length")).first()[0] or 0) // group_tokens))
+    pool = F.pmod(F.xxhash64("sequence_id"), F.lit(pools)).alias("pool")
+    again = left.groupBy(pool).applyInArrow(_pooled(capacity, (linear, quadratic)), SCHEMA)
+    return pieces.where("sequence_id >= 0").unionAll(again)
