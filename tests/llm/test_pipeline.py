@@ -16,7 +16,7 @@ from llm.test_jaccard import brute
 
 def test_every_query_is_registered():
     own = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in own) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in own) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
 
 
@@ -26,10 +26,10 @@ def rows(columns, values):
     return sorted("|".join(norm(r[i]) for i in order) for r in values)
 
 
-@pytest.mark.parametrize("name", ["op1_threshold_topk", "op6_license_scan"])
+@pytest.mark.parametrize("name", ["op1_threshold_topk", "op6_license_scan", "op11_merkle_manifest", "op13_chat_format"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_MEDIUM}/{t}.parquet')")
     df = entry.queries()[name](spark, SF_MEDIUM)
     want = con.sql(entry.oracle_sql()[name])
