@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vulnsift.llm import ann, topk
 
+SF_LARGE = "/root/testdata/sf0.1"
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, vec int, block int"
 
 
@@ -81,19 +83,63 @@ def test_nearest_finds_all_of_few(odd_vectors):
     assert hits >= 0.9 * total
 
 
-def test_recall_on_the_given_vectors(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
-    rows = usable(df.collect(), zero=False)
-    ids, data = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
-    queries = np.flatnonzero(ids % 5 == 0)
-    at, found, _ = ann.collision_search(ids, data, ids[queries], data[queries])
+def recall_and_share(ids, data, queries):
+    """Recall of the five nearest, and the share of all rows that was verified."""
+    verified = []
+    at, found, _ = ann.collision_search(ids, data, ids[queries], data[queries], verified=verified)
     unit = data / np.linalg.norm(data, axis=1)[:, None]
     hits = 0
     for k, q in enumerate(queries):
         s = unit @ unit[q]
         s[q] = -2
         hits += len(set(ids[np.argsort(-s)[:5]]) & set(found[at == k]))
-    assert hits >= 0.9 * 5 * len(queries)
+    figures = hits / 5 / len(queries), sum(verified) / len(queries) / len(ids)
+    print(f"{len(ids)} rows: recall {figures[0]:.3f}, verified {figures[1]:.3f}")
+    return figures
+
+
+def test_recall_on_the_given_vectors(spark):
+    rows = usable(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect(), zero=False)
+    ids, data = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    assert recall_and_share(ids, data, np.flatnonzero(ids % 5 == 0))[0] >= 0.9
+
+
+def test_few_rows_are_verified(spark):
+    rows = usable(spark.read.parquet(f"{SF_LARGE}/embeddings.parquet").collect(), zero=False)
+    ids, data = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    recall, share = recall_and_share(ids, data, np.flatnonzero(ids % 20 == 0))
+    assert recall >= 0.9 and share < 0.1
+    data = np.random.default_rng(5).standard_normal((16384, 64))
+    recall, share = recall_and_share(np.arange(16384), data, np.arange(0, 16384, 512))
+    assert recall >= 0.9 and share < 0.05
+
+
+def test_hashing_plan_keeps_its_errors():
+    normal = NormalDist()
+    for miss, passing, contrast in ((0.1, 0.1, 1.15), (0.02, 0.05, 1.3)):
+        m, needed = ann.hashing_plan(miss, passing, contrast)
+        for distance, least, most in ((1.0, 1 - miss - 0.01, 1.0), (contrast, 0.0, passing + 0.01)):
+            p = 2 * normal.cdf(ann.HALF_WIDTH / distance) - 1
+            reached = sum(math.comb(m, i) * p**i * (1 - p) ** (m - i) for i in range(needed, m + 1))
+            assert least <= reached <= most
+
+
+def test_bound_stops_early_on_skewed_vectors():
+    rng = np.random.default_rng(6)
+    skewed = {
+        "norms": 100 * rng.standard_normal((4096, 64)) * rng.lognormal(0, 1, (4096, 1)),
+        "dimensions": 100 * rng.standard_normal((4096, 64)) * 0.7 ** np.arange(64),
+    }
+    for name, data in skewed.items():
+        data, ids, scored = np.floor(data), np.arange(4096), []
+        at, found, scores = topk.threshold_search(ids, data, ids[:40], data[:40], scored=scored)
+        share = sum(scored) / 40 / 4096
+        print(f"skewed {name}: scored {share:.3f}")
+        assert share < 0.6
+        for q in range(40):
+            s = data @ data[q]
+            want = [i for i in np.lexsort((ids, -s)) if i != q][:10]
+            assert sorted(found[at == q], key=lambda i: (-s[i], i)) == want and set(scores[at == q]) == set(s[want])
 
 
 def test_empty(spark):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from itertools import count
+from statistics import NormalDist
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -10,57 +12,74 @@ from pyspark.sql import functions as F
 
 from vulnsift.llm.vectors import best_k, finite_vectors, frame, search_in_blocks
 
-WIDTH = 2.72  # of a window at radius 1: two points at distance 1 share it with probability 0.83
+HALF_WIDTH = 1.36  # of a window at radius 1: a point at distance 1 lies in it with probability 0.83
+FIRST, FACTOR = 0.3, 1.02  # smallest window radius, and the finest step between radii
+STRIDE = 8  # fine steps taken at once while few rows reach the threshold
+BITE = 200  # a stride that would verify more than one row in so many is halved
 
 
-def _radii(first: float, factor: float) -> list[float]:
-    """Window radii by virtual rehashing, up to the largest distance of unit vectors."""
-    out = [first]
-    while out[-1] < 2:
-        out.append(out[-1] * factor)
-    return out
+def hashing_plan(miss: float = 0.1, passing: float = 0.1, contrast: float = 1.15) -> tuple[int, int]:
+    """(projections, collisions needed) for a wished error.
+
+    A row at distance d from the query lies in a window of radius r with probability
+    p(d / r). The threshold lies so many deviations below the mean of a row at the
+    radius that ``miss`` of such rows fall short, and there are as many projections as it
+    takes for at most ``passing`` of the rows ``contrast`` times as far away to reach it.
+    """
+    normal = NormalDist()
+    near, far = (2 * normal.cdf(HALF_WIDTH / d) - 1 for d in (1.0, contrast))
+    below, above = normal.inv_cdf(1 - miss), normal.inv_cdf(1 - passing)
+    for projections in count(1):
+        needed = math.floor(projections * near - below * math.sqrt(projections * near * (1 - near)) + 0.5)
+        if needed - 0.5 >= projections * far + above * math.sqrt(projections * far * (1 - far)):
+            return projections, needed
 
 
 def collision_search(
-    ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = 5, projections: int = 48, share: float = 0.72, first: float = 0.55, factor: float = 1.2, seed: int = 7
+    ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = 5, miss: float = 0.1, passing: float = 0.1, contrast: float = 1.15, seed: int = 7, verified: list[int] | None = None
 ):
     """Nearest rows by cosine. The index is one sorted array per random projection
     of the unit vectors. A query opens a window around its own value in each; a
     larger radius widens all windows, which is hashing with wider buckets. A row
-    in at least ``share`` of the windows is verified by its exact cosine. The
-    search ends when the k-th verified distance is within the radius, at the
-    latest when the windows hold every row."""
+    in at least the planned number of windows (``hashing_plan``) is verified by its
+    exact cosine. The search ends when the k-th verified distance is within the
+    radius, at the latest when the windows hold every row. ``verified`` collects the
+    number of rows verified for each query."""
     n, dim = data.shape
+    projections, needed = hashing_plan(miss, passing, contrast)
     norms, query_norms = np.sqrt((data * data).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
     axes = np.random.default_rng(seed).standard_normal((dim, projections))
     values = ((data / norms[:, None]) @ axes).T
-    lists = np.argsort(values, axis=1).astype(np.int32)
-    values = np.take_along_axis(values, lists, axis=1)
-    centres = (queries / query_norms[:, None]) @ axes
-    radii = _radii(first, factor)
-    half = WIDTH / 2 * np.array(radii)
-    lows = np.stack([values[p].searchsorted(centres[:, p, None] - half, "left") for p in range(projections)], axis=1)
-    highs = np.stack([values[p].searchsorted(centres[:, p, None] + half, "right") for p in range(projections)], axis=1)
-    needed = math.ceil(share * projections)
+    lists = np.argsort(values, axis=1)
+    # All arrays end to end, apart by more than a window reaches: one search finds a query's place in all.
+    gaps = (2 * np.linalg.norm(axes, axis=0).max() + 4 * HALF_WIDTH * FACTOR) * np.arange(projections)
+    values = (np.take_along_axis(values, lists, axis=1) + gaps[:, None]).ravel()
+    lists = lists.ravel()
+    last = math.ceil(math.log(2 / FIRST, FACTOR))
     out = []
     for at, query in enumerate(queries):
+        centres = (query / query_norms[at]) @ axes + gaps
         counts = np.zeros(n, np.int64)
         open_ = ids != query_ids[at]
         best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        low, high = None, None
-        for r, radius in enumerate(radii):
-            new_low, new_high = lows[at, :, r], highs[at, :, r]
-            if low is None:
-                spans = [lists[p, a:b] for p, (a, b) in enumerate(zip(new_low.tolist(), new_high.tolist()))]
-            else:
-                spans = [lists[p, a:b] for p, (a, b) in enumerate(zip(new_low.tolist(), low.tolist()))]
-                spans += [lists[p, a:b] for p, (a, b) in enumerate(zip(high.tolist(), new_high.tolist()))]
-            counts += np.bincount(np.concatenate(spans), minlength=n)
-            low, high = new_low, new_high
-            whole = radius >= 2
-            new = np.flatnonzero(open_ if whole else open_ & (counts >= needed))
+        low = high = values.searchsorted(centres)
+        step, stride, tested = -1, STRIDE, 0
+        while step < last:
+            ahead = min(last, step + stride)
+            radius = FIRST * FACTOR**ahead
+            new_low, new_high = values.searchsorted(centres - HALF_WIDTH * radius, "left"), values.searchsorted(centres + HALF_WIDTH * radius, "right")
+            spans = [lists[a:b] for a, b in zip(new_low.tolist(), low.tolist())] + [lists[a:b] for a, b in zip(high.tolist(), new_high.tolist())]
+            wider = counts + np.bincount(np.concatenate(spans), minlength=n)
+            new = np.flatnonzero(open_ & (wider >= needed))
+            if stride > 1 and len(new) > 2 * k + n // BITE:
+                stride //= 2
+                continue
+            step, counts, low, high = ahead, wider, new_low, new_high
+            if step == last:
+                new = np.flatnonzero(open_)
             open_[new] = False
             if len(new):
+                tested += len(new)
                 # Summed along each row, so that equal rows have equal cosines.
                 cosines = (data[new] * query).sum(axis=1) / (norms[new] * query_norms[at])
                 best_ids, best = np.concatenate([best_ids, ids[new]]), np.concatenate([best, cosines])
@@ -68,11 +87,13 @@ def collision_search(
                 best_ids, best = best_ids[kept], best[kept]
             if len(best) == k and 2 - 2 * best[-1] <= radius * radius:
                 break
+        if verified is not None:
+            verified.append(tested)
         out.append((at, best_ids, best))
     return frame(out)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 16384, query_rows: int = 256) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 8192, query_rows: int = 4096) -> DataFrame:
     """For every query row its ``k`` nearest other rows found, by cosine.
 
     ``is_query`` is a condition on ``id``. Result: query_id, rank, vec_id, score

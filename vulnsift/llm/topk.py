@@ -11,15 +11,16 @@ from vulnsift.llm.vectors import best_k, finite_vectors, frame, search_in_blocks
 LONG = (1 << 63) - 1
 
 
-def threshold_search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = 10, depth: int = 16):
+def threshold_search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = 10, scored: list[int] | None = None):
     """The ``k`` largest inner products of whole-number vectors for every query.
 
     Each dimension has a list of the rows sorted by that component. Sorted access
     goes down all lists together, from the end that the query's sign favours, in
-    steps that double. Rows met for the first time get their full score by random
+    steps of a fourth of what is read. Rows met for the first time get their full score by random
     access. No row further down can score more than the bound: the sum over the
     dimensions of the query's component times the last value read. Reading stops
     when the bound is below the k-th score (at equality a smaller id may follow).
+    ``scored`` collects the number of rows scored for each query.
     """
     n = len(data)
     reach = np.abs(data).max(initial=0) * np.abs(queries).max(initial=0) * data.shape[1]
@@ -35,9 +36,9 @@ def threshold_search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, q
         weights = query[dims]
         seen = ids == query_ids[at]
         best_ids, best = np.zeros(0, np.int64), np.zeros(0, data.dtype)
-        read, step = 0, depth
+        read = met = 0
         while read < n:
-            end = min(n, read + step)
+            end = min(n, read + max(1, read // 4))
             top, low = lists[dims[up], n - end : n - read], lists[dims[~up], read:end]
             fresh = np.zeros(n, bool)
             fresh[top.ravel()] = True
@@ -47,23 +48,26 @@ def threshold_search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, q
             fresh &= ~seen
             new = np.flatnonzero(fresh)
             seen |= fresh
+            met += len(new)
             if len(new):
                 best_ids, best = np.concatenate([best_ids, ids[new]]), np.concatenate([best, data[new] @ query])
                 kept = best_k(best_ids, best, k) if best.dtype != object else np.lexsort((best_ids, np.array([-x for x in best])))[:k]
                 best_ids, best = best_ids[kept], best[kept]
-            read, step = end, end
+            read = end
             if len(best) == k and read < n:
                 last = np.empty(len(dims), data.dtype)
                 last[up], last[~up] = values[dims[up], n - end], values[dims[~up], end - 1]
                 if weights @ last < best[-1]:
                     break
+        if scored is not None:
+            scored.append(met)
         if best.dtype == object:
             best = np.array([max(-LONG - 1, min(LONG, x)) for x in best], np.int64)
         out.append((at, best_ids, best.astype(np.int64)))
     return frame(out)
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 16384, query_rows: int = 256) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 8192, query_rows: int = 4096) -> DataFrame:
     """For every query row its ``k`` highest scores over all other rows.
 
     Components become floor(scale * x); the score is the integer inner product.
