@@ -5,8 +5,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -82,10 +85,33 @@ def test_rank_queue_gives_lowest_first():
         want[r].append(p)
     for r in sorted(want):
         assert q.lowest() == r
-        assert q.take(r) == sorted(want[r])
+        assert list(q.take(r)) == sorted(want[r])
     assert q.lowest() == -1
 
 
+LONG_WORD = """
+import random, resource, sys
+sys.path.insert(0, {root!r})
+from vulnsift.llm import bytebpe
+from vulnsift.llm.queries import BYTE_BPE
+import pyarrow as pa
+bpe = bytebpe.ByteBpe(BYTE_BPE)
+bpe.encode(pa.array(["warm up"]))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text = "".join(random.Random(5).choices("etaoinshrdlucmfwypvbgkjqxz", k={size}))
+ids, _ = bpe.encode(pa.array([text]))
+assert bpe.decode(ids) == text.encode()
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+
+
+def test_a_long_pre_token_fits_in_memory():
+    size, root = 8 << 20, str(Path(__file__).resolve().parents[2])
+    grown = float(subprocess.run([sys.executable, "-c", LONG_WORD.format(root=root, size=size)], check=True, capture_output=True, text=True).stdout)
+    print(f"{size >> 20} MB in one pre-token: {grown:.0f} MB")
+    assert grown < 400
+
+
 def packed(ids) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,6 +19,16 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 WIDE_WHITE = {chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
 
 
+DECODE_STEP = 1 << 16  # ids turned into bytes at once
+
+
+def flat_ints(values: np.ndarray) -> array:
+    """A numpy column as an array of 32-bit integers, which Python code reads without a list of objects."""
+    out = array("i")
+    out.frombytes(np.ascontiguousarray(values, np.int32).view(np.uint8))
+    return out
+
+
 class RankQueue:
     """Positions by merge rank, lowest rank first.
 
@@ -27,7 +38,7 @@ class RankQueue:
     """
 
     def __init__(self, ranks: int):
-        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
+        self.buckets: list[array] = [array("i") for _ in range(ranks)]
         self.levels: list[list[int]] = []
         size = ranks
         while True:
@@ -49,9 +60,9 @@ class RankQueue:
                 at = word
         bucket.append(position)
 
-    def fill(self, rank: int, positions: list[int]) -> None:
+    def fill(self, rank: int, positions: array) -> None:
         self.push(rank, positions[0])
-        self.buckets[rank] += positions[1:]
+        self.buckets[rank].extend(positions[1:])
 
     def lowest(self) -> int:
         """The lowest rank with positions, or -1."""
@@ -63,9 +74,9 @@ class RankQueue:
             at = at << 6 | (word & -word).bit_length() - 1
         return at
 
-    def take(self, rank: int) -> list[int]:
+    def take(self, rank: int) -> array:
         """Empty a bucket; its positions in ascending order."""
-        positions, self.buckets[rank] = self.buckets[rank], []
+        positions, self.buckets[rank] = self.buckets[rank], array("i")
         at = rank
         for level in self.levels:
             word = at >> 6
@@ -73,7 +84,8 @@ class RankQueue:
             if level[word]:
                 break
             at = word
-        positions.sort()
+        if len(positions) > 1:
+            np.frombuffer(positions, np.int32).sort()
         return positions
 
 
@@ -90,7 +102,7 @@ class ByteBpe:
         self.tokens = [b""] * self.size
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         # The rank of two adjacent tokens is that of their concatenation.
         self.pairs = {
             self.ranks[t[:i]] << 32 | self.ranks[t[i:]]: r
@@ -98,7 +110,7 @@ class ByteBpe:
             for i in range(1, len(t))
             if t[:i] in self.ranks and t[i:] in self.ranks
         }
-        self.first = np.full((256, 256), -1, np.int64)
+        self.first = np.full((256, 256), -1, np.int32)
         for a in range(256):
             for b in range(256):
                 self.first[a, b] = self.ranks.get(bytes((a, b)), -1)
@@ -107,7 +119,7 @@ class ByteBpe:
         self.ids = Ragged(np.int32)
         self.table = WordTable(self._learn, self.ids.clear)
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
+    def merge(self, words: list[bytes]) -> list[array]:
         """Ids of pre-tokens that are not tokens themselves.
 
         All words lie in one linked list with a barrier after each. The queue
@@ -115,26 +127,31 @@ class ByteBpe:
         entry (the pair there has changed) is skipped. If a merge makes a pair of
         a lower rank, the rest of the bucket waits until that is done, so every
         word sees its lowest, leftmost pair first, as if merged by itself.
+
+        List and buckets are flat 32-bit arrays: about 40 bytes for a byte at the most.
         """
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        raw = np.frombuffer(b"".join(words), np.uint8)
+        raw = np.frombuffer(words[0] if len(words) == 1 else b"".join(words), np.uint8)
         n = len(raw)
         last = np.cumsum(lengths) - 1
-        initial = np.full(n, -1, np.int64)
+        initial = np.full(n, -1, np.int32)
         initial[:-1] = self.first[raw[:-1], raw[1:]]
         initial[last] = -1
-        ids = self.byte_id[raw].tolist()
-        following = np.arange(1, n + 1)
-        following[last] = -1
-        before = np.arange(-1, n - 1)
-        before[last[:-1] + 1] = -1
-        following, before, rank_at = following.tolist(), before.tolist(), initial.tolist()
+        links = np.arange(1, n + 1, dtype=np.int32)
+        links[last] = -1
+        following = flat_ints(links)
+        links = np.arange(-1, n - 1, dtype=np.int32)
+        links[last[:-1] + 1] = -1
+        before = flat_ints(links)
+        del links
+        ids, rank_at = flat_ints(self.byte_id[raw]), flat_ints(initial)
         queue, pairs = self.queue, self.pairs.get
-        at = np.flatnonzero(initial >= 0)
-        order = at[np.argsort(initial[at], kind="stable")]
+        order = np.argsort(initial, kind="stable").astype(np.int32)
+        order = order[np.searchsorted(initial, 0, sorter=order) :]
         cuts = np.flatnonzero(np.diff(initial[order])) + 1
         for group in np.split(order, cuts) if len(order) else []:
-            queue.fill(int(initial[group[0]]), group.tolist())
+            queue.fill(int(initial[group[0]]), flat_ints(group))
+        del initial, order
         push = queue.push
         while (rank := queue.lowest()) >= 0:
             positions = queue.take(rank)
@@ -167,15 +184,15 @@ class ByteBpe:
                 if lower and k + 1 < len(positions):
                     queue.fill(rank, positions[k + 1 :])
                     break
-        out, begin = [], 0
-        for end in (last + 1).tolist():
-            out.append([i for i in ids[begin:end] if i >= 0])
-            begin = end
-        return out
+        merged = np.frombuffer(ids, np.int32)
+        kept = merged >= 0
+        ends = np.cumsum(kept, dtype=np.int32)[last].tolist()
+        merged = flat_ints(merged[kept])
+        return [merged[a:b] for a, b in zip([0, *ends], ends)]
 
-    def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
+    def encode_words(self, words: list[bytes]) -> dict[bytes, array]:
         """Ids of distinct pre-tokens."""
-        found = {w: [r] for w in words if (r := self.ranks.get(w)) is not None}
+        found = {w: array("i", (r,)) for w in words if (r := self.ranks.get(w)) is not None}
         rest = [w for w in words if w not in found]
         step: list[bytes] = []
         held = 0
@@ -233,11 +250,12 @@ class ByteBpe:
         for i in odd.tolist():
             words = self._pre_tokens(p.text(i))
             known = self.encode_words(list(dict.fromkeys(words)))
-            parts[i] = np.fromiter((x for w in words for x in known[w]), np.int32)
+            parts[i] = np.frombuffer(b"".join(known[w] for w in words), np.int32)
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        steps = (ids[i : i + DECODE_STEP].tolist() for i in range(0, len(ids), DECODE_STEP))
+        return b"".join(b"".join(map(self.tokens.__getitem__, step)) for step in steps)
 
 
 def coder(path: str) -> ByteBpe:
