@@ -144,9 +144,13 @@ def _table(spark, templates: list[tuple[str, list[str]]]) -> tuple[DataFrame, fl
     return spark.createDataFrame(rows, "token string, idf double, w array<double>").coalesce(1), other
 
 
-def _marked(files: DataFrame) -> DataFrame:
-    """path, key, tokens of the texts with a marker word; the key tells texts of one path apart."""
-    return files.where(F.lower("text").rlike(MARKER)).select("path", F.xxhash64("text").alias("key"), text_tokens(F.col("text")).alias("tokens")).dropDuplicates(["path", "key"])
+def _marked(files: DataFrame, within: DataFrame | None = None) -> DataFrame:
+    """path, key, tokens of the texts with a marker word; the key tells texts of one path
+    apart. ``within`` holds the (path, key) wanted. Texts are shuffled, not their tokens."""
+    texts = files.where(F.lower("text").rlike(MARKER)).select("path", F.xxhash64("text").alias("key"), "text")
+    if within is not None:
+        texts = texts.join(within, ["path", "key"], "left_semi")
+    return texts.dropDuplicates(["path", "key"]).select("path", "key", text_tokens(F.col("text")).alias("tokens"))
 
 
 def match_texts(files: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = TEXT_THRESHOLD) -> DataFrame:
@@ -200,7 +204,7 @@ def match_windows(files: DataFrame, templates: list[tuple[str, str]], threshold:
     # Runs and tokens of their texts meet in stretches of positions: a row is a token or a run.
     first, last = F.col("begin") - 1, F.col("begin") + F.col("size") - 2
     stretches = runs.withColumn("stretch", F.explode(F.sequence(F.shiftright(first, STRETCH), F.shiftright(last, STRETCH))))
-    tokens = texts.join(runs.select("path", "key").distinct(), ["path", "key"], "left_semi").select("path", "key", F.posexplode("tokens").alias("pos", "token"))
+    tokens = _marked(files, runs.select("path", "key").distinct()).select("path", "key", F.posexplode("tokens").alias("pos", "token"))
     tokens = tokens.withColumn("stretch", F.shiftright("pos", STRETCH))
     of = ["path", "key", "k", "begin"]
     inside = stretches.join(tokens, ["path", "key", "stretch"]).where(F.col("pos").between(first, last))
