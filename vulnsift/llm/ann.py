@@ -14,7 +14,7 @@ from vulnsift.llm.vectors import best_k, finite_vectors, frame, search_in_blocks
 
 HALF_WIDTH = 1.36  # of a window at radius 1: a point at distance 1 lies in it with probability 0.83
 FIRST, FACTOR = 0.3, 1.02  # smallest window radius, and the finest step between radii
-STRIDE = 8  # fine steps taken at once while few rows reach the threshold
+STRIDE = 4  # fine steps taken at once while few rows reach the threshold
 BITE = 200  # a stride that would verify more than one row in so many is halved
 
 
@@ -56,24 +56,42 @@ def collision_search(
     values = (np.take_along_axis(values, lists, axis=1) + gaps[:, None]).ravel()
     lists = lists.ravel()
     last = math.ceil(math.log(2 / FIRST, FACTOR))
-    out = []
-    for at, query in enumerate(queries):
+    starts = np.arange(projections) * n
+    buffer = np.empty(n * projections, lists.dtype)
+
+    def met(begins: tuple[np.ndarray, ...], ends: tuple[np.ndarray, ...]) -> np.ndarray:
+        """How often each row lies between the places."""
+        spans = [lists[a:b] for x, y in zip(begins, ends) for a, b in zip(x.tolist(), y.tolist()) if a < b]
+        size = sum(map(len, spans))
+        return np.bincount(np.concatenate(spans, out=buffer[:size]), minlength=n) if size else np.zeros(n, np.int64)
+
+    out, ended = [], 0
+    for at in np.argsort(query_ids, kind="stable").tolist():
+        query = queries[at]
         centres = (query / query_norms[at]) @ axes + gaps
-        counts = np.zeros(n, np.int64)
         open_ = ids != query_ids[at]
         best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        low = high = values.searchsorted(centres)
-        step, stride, tested = -1, STRIDE, 0
+        # The first windows are a little narrower than those that answered the query before.
+        step, stride, start, tested = -1, STRIDE, max(0, ended - STRIDE), 0
+        counts = low = high = None
         while step < last:
-            ahead = min(last, step + stride)
+            ahead = start if step < 0 else min(last, step + stride)
             radius = FIRST * FACTOR**ahead
             new_low, new_high = values.searchsorted(centres - HALF_WIDTH * radius, "left"), values.searchsorted(centres + HALF_WIDTH * radius, "right")
-            spans = [lists[a:b] for a, b in zip(new_low.tolist(), low.tolist())] + [lists[a:b] for a, b in zip(high.tolist(), new_high.tolist())]
-            wider = counts + np.bincount(np.concatenate(spans), minlength=n)
+            if counts is not None:
+                wider = counts + met((new_low, high), (low, new_high))
+            elif 2 * int((new_high - new_low).sum()) < len(lists):
+                wider = met((new_low,), (new_high,))
+            else:  # fewer rows lie outside the windows
+                wider = projections - met((starts, new_high), (new_low, starts + n))
             new = np.flatnonzero(open_ & (wider >= needed))
-            if stride > 1 and len(new) > 2 * k + n // BITE:
-                stride //= 2
-                continue
+            if len(new) > 2 * k + n // BITE:
+                if step < 0 and start:
+                    start //= 2
+                    continue
+                if step >= 0 and stride > 1:
+                    stride //= 2
+                    continue
             step, counts, low, high = ahead, wider, new_low, new_high
             if step == last:
                 new = np.flatnonzero(open_)
@@ -87,6 +105,7 @@ def collision_search(
                 best_ids, best = best_ids[kept], best[kept]
             if len(best) == k and 2 - 2 * best[-1] <= radius * radius:
                 break
+        ended = step
         if verified is not None:
             verified.append(tested)
         out.append((at, best_ids, best))
