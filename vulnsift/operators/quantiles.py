@@ -5,7 +5,8 @@ of bounded size) give two values of the data close around the rank, an exact cou
 below, at, between or above which of them the rank lies, and the next round looks
 only there. A round narrows a range by a factor of some thousands, whatever the
 distribution; once few values are left in a range they are gathered and the rank is read
-off. So no task and no buffer ever holds more than ``GATHER`` values of a range, and all ranks of
+off. Where there are more than ``gather`` rows, the columns are written once before (numbers only), so the passes
+don't compute them again. So no task and no buffer ever holds more than ``GATHER`` values of a range, and all ranks of
 all columns share the passes.
 """
 
@@ -17,6 +18,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vulnsift.session import stored
+
 GATHER = 20_000
 ACCURACY = 10_000  # of the percentile sketch: its rank is off by at most 1 in so many
 
@@ -52,6 +55,8 @@ def order_statistics(
     """
     n = df.count()
     values = df.select(*[c.cast("double").alias(name) for name, c in columns.items()])
+    if n > gather:
+        values = stored(values, "order-values")
     open_ = {(name, r): Range(name, None, None, 0, n) for name, rs in ranks(n).items() for r in rs if 1 <= r <= n}
     found: dict[tuple[str, int], float] = {}
     while open_:
