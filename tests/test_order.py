@@ -5,11 +5,14 @@ from __future__ import annotations
 import json
 import random
 import statistics
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, scored_row
+from vulnsift import queries
 from vulnsift.operators import merge
 from vulnsift.operators.normalise import normalise_mirror_rows, normalise_primary_pages
 from vulnsift.operators.numbering import numbered
@@ -18,9 +21,10 @@ from vulnsift.operators.report import credibility_hinges, dimension_summary, med
 from vulnsift.plans import filter as filter_plan
 from vulnsift.plans.filter import filter_summary, read_route, run_filter_pipeline
 from vulnsift.plans.ingest import ingest
-from vulnsift.queries import scored_stage
+from vulnsift.queries import q_ingest_files, scored_stage
 from vulnsift.schemas import MIRROR_COLUMNS, RECORD_SCHEMA
-from vulnsift.session import published_folder
+from vulnsift.session import published_folder, scratch_path
+from vulnsift.sources.fixture import pages_of, primary_entries
 from vulnsift.sources.landing import read_mirror, read_primary_pages
 from vulnsift.sources.stagefiles import read_stage, write_stage
 
@@ -137,6 +141,30 @@ def test_ingest_numbers_records_densely_and_moves_them_once(spark, tmp_path):
     assert len(whole) == 4 and "rangepartitioning" not in plan  # the records; narrow: runs, their offsets, ids
 
 
+def test_pages_are_gathered_and_sorted_in_one_shuffle(spark):
+    raw = spark.range(0, 3000, 7).selectExpr("id AS ord", "concat('CVE-', id) AS cve_id", "repeat('text ', 9) AS description", "'2024' AS published", "1.5D AS cvss_score", "'LOW' AS severity", "'CWE-1' AS cwe_id")
+    entries = primary_entries(raw.unionByName(raw.where("ord < 200")))
+    pages = pages_of(entries, in_order=True)
+    rows = pages.collect()
+    assert rows == pages_of(entries).orderBy("startIndex").collect() and len(rows) == 36
+    whole = [line for line in plan_of(pages).split("Initial Plan")[-1].splitlines() if "Exchange" in line]
+    assert len(whole) == 1 and "rangepartitioning" in whole[0]
+
+
+def test_ingest_files_lands_the_pages_once_and_writes_them_packed(spark, tmp_path, monkeypatch):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'web' AS source")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    tags = []
+    monkeypatch.setattr(queries, "scratch_path", lambda session, tag: tags.append(tag) or scratch_path(session, tag))
+    seen = []
+    monkeypatch.setattr(queries, "read_stage", lambda session, path, *rest: seen.append(path) or read_stage(session, path, *rest))
+    assert q_ingest_files(spark, str(tmp_path)).count() > 0
+    assert sorted(tags) == ["mirror", "mirror", "pages", "raw", "raw"] and len(seen) == 2
+    for path in seen:
+        for part in Path(path.removeprefix("file:")).glob("part-*.parquet"):
+            assert pq.ParquetFile(part).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
 # order statistics ---------------------------------------------------------------
 def spread_values(n, seed):
     rng = random.Random(seed)

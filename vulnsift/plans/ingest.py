@@ -70,9 +70,11 @@ def ingest(
 
     primary = normalise_primary_pages(read_primary_pages(spark, pages_path, one_page_per_file))
     mirror = normalise_mirror_rows(read_mirror(spark, mirror_path, mirror_format))
-    normalised = stored(ordered_union(primary, mirror).withColumn("_id", F.monotonically_increasing_id()), "normalised")
+    # Both files hold whole texts: Zstandard writes a third less of them than Snappy.
+    normalised = stored(ordered_union(primary, mirror).withColumn("_id", F.monotonically_increasing_id()), "normalised", "zstd")
     # The per-source counts are observed on the written rows: no second pass.
     counts = Observation("ingest_counts")
     merged = keep_first_renumbered(normalised).select(*[F.col(f.name) for f in RECORD_SCHEMA.fields])
-    write_stage(merged.observe(counts, *_source_count_exprs()), output_path, fmt)
+    options = {"compression": "zstd"} if fmt == "parquet" else None
+    write_stage(merged.observe(counts, *_source_count_exprs()), output_path, fmt, options=options)
     return IngestRun(counts={k: int(v) for k, v in counts.get.items()}, output_path=output_path)

@@ -125,29 +125,36 @@ def q_ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_ingested(spark, sf_dir), "src_rank")
 
 
-def _land_feeds(spark: SparkSession, sf_dir: str, mirror_format: str) -> tuple[str, str]:
-    """The derived feeds landed as files: pages as JSON lines, every fourth page without its
-    position; the mirror as CSV without positions (where an empty text is a missing one), or as
-    Parquet where some rows lack theirs."""
-    pages_path, mirror_path = scratch_path(spark, "pages"), scratch_path(spark, "mirror")
-    pages = primary_pages(spark, sf_dir, only_source=K.SOURCE_PRIMARY).orderBy("startIndex")
+def _land_pages(spark: SparkSession, sf_dir: str) -> str:
+    """The derived primary feed landed as JSON lines, every fourth page without its position."""
+    path = scratch_path(spark, "pages")
+    pages = primary_pages(spark, sf_dir, only_source=K.SOURCE_PRIMARY, in_order=True)
     placed = F.col("startIndex") / PAGE_SIZE % 4 != 1
-    pages.withColumn("startIndex", F.when(placed, F.col("startIndex"))).write.json(pages_path)
+    pages.withColumn("startIndex", F.when(placed, F.col("startIndex"))).write.json(path)
+    return path
+
+
+def _land_mirror(spark: SparkSession, sf_dir: str, mirror_format: str) -> str:
+    """The derived mirror landed as CSV without positions (where an empty text is a missing
+    one), or as Parquet where some rows lack theirs."""
+    path = scratch_path(spark, "mirror")
     rows = mirror_rows(spark, sf_dir, exclude_source=K.SOURCE_PRIMARY).orderBy("ord")
     if mirror_format == "parquet":
         unplaced = (F.col("ord") % 20 == 4) | (F.col("ord") % 10 == 7)
-        rows.withColumn("ord", F.when(~unplaced, F.col("ord"))).write.parquet(mirror_path)
+        rows.withColumn("ord", F.when(~unplaced, F.col("ord"))).write.parquet(path)
     else:
-        rows.drop("ord").write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(mirror_path)
-    return pages_path, mirror_path
+        rows.drop("ord").write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return path
 
 
 def q_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ingest stage as users start it, on landed files: the stage file, read back."""
+    """The ingest stage as users start it, on landed files: the stage file, read back. The
+    primary feed is landed once, and ingested with either landing of the mirror."""
+    pages_path = _land_pages(spark, sf_dir)
     out = []
     for mirror_format in ("csv-multiline", "parquet"):
         path = scratch_path(spark, "raw")
-        ingest_plan.ingest(spark, *_land_feeds(spark, sf_dir, mirror_format), path, mirror_format, one_page_per_file=False)
+        ingest_plan.ingest(spark, pages_path, _land_mirror(spark, sf_dir, mirror_format), path, mirror_format, one_page_per_file=False)
         out.append(_flat(read_stage(spark, path, RECORD_SCHEMA).withColumn("mirror_format", F.lit(mirror_format)), "mirror_format", "ord"))
     return reduce(DataFrame.unionByName, out)
 

@@ -225,15 +225,17 @@ def primary_entries(raw: DataFrame) -> DataFrame:
     return raw.select("ord", cve.alias("cve"))
 
 
-def pages_of(entries: DataFrame) -> DataFrame:
+def pages_of(entries: DataFrame, in_order: bool = False) -> DataFrame:
     """Group entries into API pages by ``ord``, at most ``PAGE_SIZE`` on each.
 
     A page starts at a multiple of the page size, so its start needs nothing of
     the other pages; every fifth page is landed twice, as by a fetch that was
-    repeated.
+    repeated. ``in_order`` sorts the pages by their start over all partitions: the
+    entries are dealt by ranges of pages, so the shuffle that gathers them also sorts.
     """
     page = F.floor(F.col("ord") / F.lit(PAGE_SIZE)).cast("long")
-    grouped = entries.groupBy(page.alias("page")).agg(
+    keyed = entries.withColumn("page", page)
+    grouped = (keyed.repartitionByRange("page") if in_order else keyed).groupBy("page").agg(
         F.sort_array(F.collect_list(F.struct(F.col("ord"), F.col("cve")))).alias("_items")
     )
     pages = grouped.select(
@@ -242,14 +244,15 @@ def pages_of(entries: DataFrame) -> DataFrame:
         F.transform("_items", lambda x: F.struct(x.getField("cve").alias("cve"))).alias("vulnerabilities"),
         F.explode(F.when(F.col("page") % 5 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
     )
-    return pages.drop("_copy")
+    pages = pages.drop("_copy")
+    return pages.sortWithinPartitions("startIndex") if in_order else pages
 
 
-def primary_pages(spark: SparkSession, sf_dir: str, only_source: str | None = None) -> DataFrame:
+def primary_pages(spark: SparkSession, sf_dir: str, only_source: str | None = None, in_order: bool = False) -> DataFrame:
     raw = _fixture_raw(spark, sf_dir)
     if only_source is not None:
         raw = raw.filter(F.col("source") == F.lit(only_source))
-    return pages_of(primary_entries(raw))
+    return pages_of(primary_entries(raw), in_order)
 
 
 def mirror_rows_of(raw: DataFrame, scores: tuple | None = None) -> DataFrame:
