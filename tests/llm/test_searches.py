@@ -146,3 +146,27 @@ def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert topk.top_k(none, F.col("id") % 10 == 0).count() == 0
     assert ann.nearest(none, F.col("id") % 10 == 0).count() == 0
+
+
+def test_collisions_are_counted_by_sets():
+    rng = np.random.default_rng(8)
+    for n, projections in ((1, 1), (63, 2), (64, 5), (200, 273)):
+        values = rng.standard_normal((projections, n)) * 3
+        below = ann.bucket_index(values)
+        bits = lambda sets: np.unpackbits(sets.view(np.uint8), axis=-1, bitorder="little")
+        assert not below[0].any() and (bits(below[-1])[:, :n] == 1).all() and not bits(below[-1])[:, n:].any()
+        low, high = ann.BUCKETS // 2 - 20, ann.BUCKETS // 2 + 9
+        windows = below[low] ^ below[high]
+        inside = (values >= -20 * ann.BUCKET) & (values < 9 * ann.BUCKET)
+        assert (bits(windows)[:, :n] == inside).all()
+        for needed in range(1, projections + 2):
+            assert (bits(ann.met_often(windows, needed))[:n] == (inside.sum(axis=0) >= needed)).all()
+
+
+def test_a_query_counts_few_windows_of_a_large_block(monkeypatch):
+    counted, real = [], ann.met_often
+    monkeypatch.setattr(ann, "met_often", lambda sets, needed: counted.append(sets.nbytes) or real(sets, needed))
+    data = np.random.default_rng(9).standard_normal((8192, 64))
+    recall, share = recall_and_share(np.arange(8192), data, np.arange(0, 8192, 128))
+    # An 8th of a byte for each row and projection at a time.
+    assert recall >= 0.9 and share < 0.05 and max(counted) == 8192 * ann.hashing_plan()[0] / 8 and len(counted) < 14 * 64

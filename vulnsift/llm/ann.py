@@ -16,6 +16,7 @@ HALF_WIDTH = 1.36  # of a window at radius 1: a point at distance 1 lies in it w
 FIRST, FACTOR = 0.3, 1.02  # smallest window radius, and the finest step between radii
 STRIDE = 4  # fine steps taken at once while few rows reach the threshold
 BITE = 200  # a stride that would verify more than one row in so many is halved
+BUCKETS, BUCKET = 128, 1 / 16  # of a projection, and the width of one; those at the ends take what lies beyond
 
 
 def hashing_plan(miss: float = 0.1, passing: float = 0.1, contrast: float = 1.15) -> tuple[int, int]:
@@ -35,56 +36,82 @@ def hashing_plan(miss: float = 0.1, passing: float = 0.1, contrast: float = 1.15
             return projections, needed
 
 
+def bucket_index(values: np.ndarray) -> np.ndarray:
+    """For each border of buckets and each projection (a row of ``values``) the set of the
+    rows that lie below it, a bit for each: two of them give the rows of any window, whatever
+    its width."""
+    projections, n = values.shape
+    bucket = np.full((projections, -(-n // 64) * 64), BUCKETS, np.uint8)  # what fills the last word lies below no border
+    bucket[:, :n] = np.clip(values / BUCKET + BUCKETS // 2, 0, BUCKETS - 1)
+    below = np.empty((BUCKETS + 1, projections, bucket.shape[1] // 64), np.uint64)
+    for border in range(BUCKETS + 1):
+        below[border] = np.packbits(bucket < border, axis=1, bitorder="little").view(np.uint64)
+    return below
+
+
+def met_often(sets: np.ndarray, needed: int) -> np.ndarray:
+    """The set of the rows that lie in at least ``needed`` of ``sets``. The counts are held
+    by their binary digits, a set for each, and three sets are added at a time."""
+    reached = np.full(sets.shape[1], ~np.uint64(0))
+    while len(sets):
+        carried = []
+        while len(sets) > 1:
+            third = max(1, len(sets) // 3)
+            one, two, three = sets[:third], sets[third : 2 * third], sets[2 * third : 3 * third]
+            either = one ^ two
+            if len(three):
+                carried.append((one & two) | (either & three))
+                sets = np.concatenate([either ^ three, sets[3 * third :]])
+            else:
+                carried.append(one & two)
+                sets = either
+        reached = sets[0] & reached if needed & 1 else sets[0] | reached
+        needed >>= 1
+        sets = np.concatenate(carried) if carried else sets[:0]
+    return reached if not needed else np.zeros_like(reached)
+
+
 def collision_search(
     ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = 5, miss: float = 0.1, passing: float = 0.1, contrast: float = 1.15, seed: int = 7, verified: list[int] | None = None
 ):
-    """Nearest rows by cosine. The index is one sorted array per random projection
-    of the unit vectors. A query opens a window around its own value in each; a
-    larger radius widens all windows, which is hashing with wider buckets. A row
-    in at least the planned number of windows (``hashing_plan``) is verified by its
-    exact cosine. The search ends when the k-th verified distance is within the
-    radius, at the latest when the windows hold every row. ``verified`` collects the
-    number of rows verified for each query."""
+    """Nearest rows by cosine. The index holds the buckets of random projections
+    of the unit vectors (``bucket_index``). A query opens a window around its own value in
+    each, up to the nearest borders; a larger radius widens all windows, which is
+    hashing with wider buckets. A row in at least the planned number of windows
+    (``hashing_plan``) is verified by its exact cosine. The search ends when the k-th
+    verified distance is within the radius, at the latest when the windows hold every row.
+    ``verified`` collects the number of rows verified for each query."""
     n, dim = data.shape
     projections, needed = hashing_plan(miss, passing, contrast)
     norms, query_norms = np.sqrt((data * data).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
     axes = np.random.default_rng(seed).standard_normal((dim, projections))
-    values = ((data / norms[:, None]) @ axes).T
-    lists = np.argsort(values, axis=1)
-    # All arrays end to end, apart by more than a window reaches: one search finds a query's place in all.
-    gaps = (2 * np.linalg.norm(axes, axis=0).max() + 4 * HALF_WIDTH * FACTOR) * np.arange(projections)
-    values = (np.take_along_axis(values, lists, axis=1) + gaps[:, None]).ravel()
-    lists = lists.ravel()
+    below, each = bucket_index(np.nan_to_num((data / norms[:, None]) @ axes).T), np.arange(projections)
     last = math.ceil(math.log(2 / FIRST, FACTOR))
-    starts = np.arange(projections) * n
-    buffer = np.empty(n * projections, lists.dtype)
 
-    def met(begins: tuple[np.ndarray, ...], ends: tuple[np.ndarray, ...]) -> np.ndarray:
-        """How often each row lies between the places."""
-        spans = [lists[a:b] for x, y in zip(begins, ends) for a, b in zip(x.tolist(), y.tolist()) if a < b]
-        size = sum(map(len, spans))
-        return np.bincount(np.concatenate(spans, out=buffer[:size]), minlength=n) if size else np.zeros(n, np.int64)
+    def colliding(centres: np.ndarray, radius: float) -> np.ndarray:
+        """Whether each row is in enough windows of the radius."""
+        low = np.clip(np.rint((centres - HALF_WIDTH * radius) / BUCKET) + BUCKETS // 2, 0, BUCKETS - 1).astype(int)
+        high = np.clip(np.rint((centres + HALF_WIDTH * radius) / BUCKET) + BUCKETS // 2, 1, BUCKETS).astype(int)
+        rows = met_often(below[low, each] ^ below[high, each], needed)
+        return np.unpackbits(rows.view(np.uint8), count=n, bitorder="little").view(bool)
 
     out, ended = [], 0
     for at in np.argsort(query_ids, kind="stable").tolist():
         query = queries[at]
-        centres = (query / query_norms[at]) @ axes + gaps
+        centres = np.nan_to_num((query / query_norms[at]) @ axes)
         open_ = ids != query_ids[at]
         best_ids, best = np.zeros(0, np.int64), np.zeros(0)
         # The first windows are a little narrower than those that answered the query before.
         step, stride, start, tested = -1, STRIDE, max(0, ended - STRIDE), 0
-        counts = low = high = None
+        met: dict[int, np.ndarray] = {}
         while step < last:
             ahead = start if step < 0 else min(last, step + stride)
+            if step >= 0 and len(best) == k:  # a wider window than that of the k-th distance isn't needed
+                ahead = min(ahead, max(step + 1, math.ceil(math.log(max(1.0, (2 - 2 * best[-1]) / FIRST**2), FACTOR) / 2)))
             radius = FIRST * FACTOR**ahead
-            new_low, new_high = values.searchsorted(centres - HALF_WIDTH * radius, "left"), values.searchsorted(centres + HALF_WIDTH * radius, "right")
-            if counts is not None:
-                wider = counts + met((new_low, high), (low, new_high))
-            elif 2 * int((new_high - new_low).sum()) < len(lists):
-                wider = met((new_low,), (new_high,))
-            else:  # fewer rows lie outside the windows
-                wider = projections - met((starts, new_high), (new_low, starts + n))
-            new = np.flatnonzero(open_ & (wider >= needed))
+            if ahead not in met:
+                met[ahead] = colliding(centres, radius)
+            new = np.flatnonzero(open_ & met[ahead])
             if len(new) > 2 * k + n // BITE:
                 if step < 0 and start:
                     start //= 2
@@ -92,7 +119,7 @@ def collision_search(
                 if step >= 0 and stride > 1:
                     stride //= 2
                     continue
-            step, counts, low, high = ahead, wider, new_low, new_high
+            step = ahead
             if step == last:
                 new = np.flatnonzero(open_)
             open_[new] = False
