@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnsift.llm import jaccard, langid, packing, quality
-from vulnsift.llm.common import shared_path, stored, table
+from vulnsift.llm.common import stored, table
 from vulnsift.llm.queries import WORD_BPE
 
 # A text of one language scores at least 0.5 however short it is; below this, it
@@ -35,8 +35,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mark = uuid.uuid4().hex  # no column of the table has these names
     row, content, none = f"row_{mark}", f"content_{mark}", F.col("doc_id").isNull()
     every = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    # Written, so that a task that runs again gives a row the number it had.
-    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(content, every), "keyed")
+    # Written, so that a task that runs again gives a row the number it had; these are whole
+    # texts, and Zstandard takes three quarters of what Snappy does.
+    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(content, every), "keyed", "zstd")
     classes = jaccard.near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"))
     classes = classes.select(F.col("doc_id").alias(row), (F.col("n_shingles") > 0).alias("words"), "component_id")
     known = keyed.select(row, "doc_id", content).join(classes, row)
@@ -61,7 +62,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            path = shared_path(spark, f"stage{k}")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+            docs = stored(docs, f"stage{k}")
     return docs

@@ -199,3 +199,17 @@ def test_components_of_a_chain_and_a_star(spark):
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_tokens_begin_with_the_prefix(spark):
+    """Six bytes a shingle, the greatest and the least hash too; a prefix is how they begin."""
+    keys = np.array([(1 << 48) - 1, 0, 1, 1 << 47, 255], np.int64)
+    packed = jaccard.pack_tokens(keys)
+    assert len(packed) == 30 and jaccard.unpack_tokens(packed).tolist() == keys.tolist()
+    assert jaccard.unpack_tokens(packed[:12]).tolist() == keys[:2].tolist() and not len(jaccard.unpack_tokens(b""))
+    words = [f"w{i}" for i in range(80)]
+    df = spark.createDataFrame([(i, " ".join(words + [f"own{i}"] * 3)) for i in range(6)] + [(7, None), (8, "one two")], "doc_id long, text string")
+    rows = jaccard.shared_shingles(df).where("prefix is not null").collect()
+    assert len(rows) == 6
+    for r in rows:
+        assert len(r["tokens"]) == 6 * r["shared"] and jaccard.unpack_tokens(r["tokens"])[: len(r["prefix"])].tolist() == r["prefix"]

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_MEDIUM, SF_SMALL
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from vulnsift.llm import jaccard, langid, packing, quality
+from vulnsift.llm.common import FREE_SHUFFLES, stored
 from vulnsift.llm.queries import WORD_BPE
+from vulnsift.session import ensure_checkpoint_dir
 
 from llm.test_jaccard import brute
 
@@ -96,3 +102,43 @@ def test_rows_without_an_id_and_clashing_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, __row long, __content string").repartition(3)
     kept = [tuple(r) for r in corpus_pipeline.deduplicate(spark, docs, "").collect()]
     assert len(kept) == 2 and (4, a + " more", 2, "k") in kept and set(kept) <= set(rows)
+
+
+def files_of(spark, kind):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {x for x in found.mkString("\n").splitlines() if os.path.basename(x).startswith(kind)}
+
+
+def test_near_duplicates_hold_little_disk(spark):
+    """What an intermediate table shuffled goes once it is stored, texts are stored with
+    Zstandard, and shingles as six bytes, the prefix not twice."""
+    rows = [(i, " ".join(f"w{(i // 3) * 60 + k}" for k in range(60)) + " end" * (i % 3)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    checkpoints = ensure_checkpoint_dir(spark).removeprefix("file:")
+    shuffled, folders, setting = files_of(spark, "shuffle_"), set(os.listdir(checkpoints)), spark.conf.get(FREE_SHUFFLES, None)
+    kept = corpus_pipeline.deduplicate(spark, docs, "")
+    for _ in range(40):  # executors delete them a little later
+        if left := files_of(spark, "shuffle_") - shuffled:
+            time.sleep(0.25)
+    assert not left and spark.conf.get(FREE_SHUFFLES, None) == setting
+    new = {tag: f"{checkpoints}/{x}" for x in set(os.listdir(checkpoints)) - folders for tag in ("keyed", "sets", "nodes") if x.startswith(f"llm-{tag}-")}
+    parts = [os.path.join(new["keyed"], x) for x in os.listdir(new["keyed"]) if x.endswith(".parquet")]
+    assert {pq.ParquetFile(x).metadata.row_group(0).column(1).compression for x in parts} == {"ZSTD"}
+    for tag in ("sets", "nodes"):
+        found = spark.read.parquet(new[tag])
+        assert "prefix" not in found.columns
+        assert found.where("tokens is not null").count() > 0 and found.where("octet_length(tokens) <> 6 * shared").isEmpty()
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == list(range(0, 300, 3))
+
+
+def test_stored_gives_the_setting_back(spark):
+    for value in (None, "true", "false"):
+        if value is not None:
+            spark.conf.set(FREE_SHUFFLES, value)
+        try:
+            assert stored(spark.range(5).groupBy().count(), "counted").first()[0] == 5
+            with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+                stored(spark.sql("select 1 div (id - id) x from range(3)"), "fails")
+            assert spark.conf.get(FREE_SHUFFLES, None) == value
+        finally:
+            spark.conf.unset(FREE_SHUFFLES)

@@ -26,7 +26,8 @@ SMALL_LIST = 32
 LIST_PART = 1024  # entries of a list that one task of a join reads
 BLOCK = 512
 LINK_BLOCK = 2048
-LINK_BYTES = 16 << 20
+LINK_BYTES = 12 << 20
+TOKEN_BYTES = 6  # of a shingle's 48-bit hash
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -83,6 +84,17 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(wide.view("<u8")[:, 0], dtype=np.uint64)
 
 
+def pack_tokens(keys: np.ndarray) -> bytes:
+    """48-bit numbers in their order, so that a beginning can be cut off."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
+
+
+def unpack_tokens(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // TOKEN_BYTES, 8), np.uint8)
+    wide[:, :TOKEN_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, TOKEN_BYTES)
+    return wide.view("<i8")[:, 0]
+
+
 # --- document frequencies ---------------------------------------------------------
 
 ENTRY = "route int, chunk long, kind int, keys binary, ords binary, counts binary"
@@ -218,6 +230,7 @@ def _frequencies(rows: pa.Table) -> pa.Table:
 
 # --- adaptive prefixes ------------------------------------------------------------
 
+POSTING = "node long, n int, shared int, key long"
 SETS = "doc_id long, n int, node long, shared int, matches int, prefix array<long>, tokens binary"
 
 
@@ -283,7 +296,7 @@ def _gather(rows: pa.Table) -> pa.Table:
         if k not in done:
             own, own_df = key[cuts[k] : cuts[k + 1]], df[cuts[k] : cuts[k + 1]]
             matches, length = adaptive_prefix(n, own_df, n / 8)
-            done[k] = (len(own), matches, own[:length].tolist(), own.astype("<i8").tobytes()) if length > 0 else (len(own), None, None, None)
+            done[k] = (len(own), matches, own[:length].tolist(), pack_tokens(own)) if length > 0 else (len(own), None, None, None)
         out.append((None if missing else doc, n, node, *done[k]))
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
     return pa.Table.from_batches([_rows(out, SETS, types)])
@@ -302,7 +315,7 @@ def _can_link(a: str, b: str) -> Column:
 
 
 def _overlap(a: bytes, b: bytes) -> int:
-    return len(np.intersect1d(np.frombuffer(a, "<i8"), np.frombuffer(b, "<i8"), assume_unique=True))
+    return len(np.intersect1d(unpack_tokens(a), unpack_tokens(b), assume_unique=True))
 
 
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +325,7 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = [], []
         for i in range(batch.num_rows):
             wanted = min(c["a_matches"][i], c["b_matches"][i])
-            size = c["a_listed"][i] * 8, c["b_listed"][i] * 8
+            size = c["a_listed"][i] * TOKEN_BYTES, c["b_listed"][i] * TOKEN_BYTES
             if _overlap(c["a_tokens"][i][: size[0]], c["b_tokens"][i][: size[1]]) < wanted:
                 continue
             both = _overlap(c["a_tokens"][i], c["b_tokens"][i])
@@ -322,6 +335,15 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=["a", "b"])
 
 
+def _postings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefix entries (node, n, shared, key) of texts (node, n, shared, listed, tokens)."""
+    for batch in bounded_batches(batches, "tokens"):
+        listed = batch.column("listed").to_numpy()
+        keys = [unpack_tokens(t[: k * TOKEN_BYTES]) for t, k in zip(batch.column("tokens").to_pylist(), listed.tolist())]
+        facts = [pa.array(np.repeat(batch.column(c).to_numpy(), listed)) for c in ("node", "n", "shared")]
+        yield pa.RecordBatch.from_arrays([*facts, pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))], names=_names(POSTING))
+
+
 def _links_of(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that link."""
     for side in ("a", "b"):
@@ -360,7 +382,7 @@ def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
         return empty
     sides = []
     for t in (left, right.rename_columns(left.column_names)):
-        tokens = [np.frombuffer(x, "<i8") for x in t["tokens"].to_pylist()]
+        tokens = [unpack_tokens(x) for x in t["tokens"].to_pylist()]
         numbers = {c: t[c].to_numpy().astype(np.int64) for c in ("node", "comp", "n", "shared", "matches", "listed")}
         sides.append((numbers, tokens))
     (x, x_tokens), (y, y_tokens) = sides
@@ -453,7 +475,7 @@ def _linked_group(rows: list[tuple], x: int, y: int, pairs: bool) -> Iterator[pa
     for i in range(0, len(left), BLOCK):
         for j in range(i if x == y else 0, len(right), BLOCK):
             sides = left[i : i + BLOCK], right[j : j + BLOCK]
-            both = _overlaps(*[[np.frombuffer(r[4], "<i8") for r in s] for s in sides])
+            both = _overlaps(*[[unpack_tokens(r[4]) for r in s] for s in sides])
             n, m = (np.array([r[2] for r in s], np.int64) for s in sides)
             linked = DEN * both >= NUM * (n[:, None] + m[None, :] - both)
             same = x == y and i == j
@@ -526,11 +548,13 @@ def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The rows (doc_id, n_shingles, component_id, node), the sets of all rows, the
     texts that may have a partner, and the component of each linked text."""
-    sets = stored(shared_shingles(docs, words), "sets")
+    # The prefix is how the tokens begin, so its length is enough.
+    listed = F.when(F.col("prefix").isNotNull(), F.size("prefix")).alias("listed")
+    sets = stored(shared_shingles(docs, words).select("doc_id", "n", "node", "shared", "matches", listed, "tokens"), "sets")
     # Null tokens: no shared shingle in the prefix, hence no partner.
-    nodes = sets.where("prefix is not null").dropDuplicates(["node"]).withColumn("listed", F.size("prefix"))
-    nodes = stored(nodes.select("node", "n", "shared", "matches", "listed", "prefix", "tokens"), "nodes")
-    postings = nodes.select("node", "n", "shared", F.explode("prefix").alias("key"))
+    nodes = sets.where("tokens is not null").dropDuplicates(["node"])
+    nodes = stored(nodes.select("node", "n", "shared", "matches", "listed", "tokens"), "nodes")
+    postings = map_batches(nodes.select("node", "n", "shared", "listed", "tokens"), _postings, POSTING)
     lists = postings.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct((F.col("n") - F.col("shared")).alias("alone"), "node", "n", "shared")).alias("p")).where("size > 1")
     lists = lists.select("key", "size", F.col("p.node").alias("p_node"), F.col("p.n").alias("p_n"), F.col("p.shared").alias("p_shared"))
     met = stored(postings.join(lists, "key"), "lists")
